@@ -22,8 +22,11 @@ def safe_div(num: str | Column, den: str | Column) -> Column:
 
 
 def r6(c: str | Column) -> Column:
-    """Round to 6 decimals and fold -0.0 into 0.0 (the report precision)."""
-    return F.round(col(c).cast("double"), 6) + F.lit(0.0)
+    """Round to 6 decimals and fold -0.0 into 0.0 (the report precision).
+
+    Rounding to 9 decimals first removes last-bit differences between summation
+    orders, so a value that is mathematically a tie rounds the same everywhere."""
+    return F.round(F.round(col(c).cast("double"), 9), 6) + F.lit(0.0)
 
 
 def md5_hex(key: str | Column, seed: int = 42) -> Column:

@@ -45,7 +45,7 @@ def values_doubles(vals, name: str) -> str:
 
 
 def r6(expr: str) -> str:
-    return f"(round(CAST({expr} AS DOUBLE), 6) + 0.0)"
+    return f"(round(round(CAST({expr} AS DOUBLE), 9), 6) + 0.0)"
 
 
 def sdiv(num: str, den: str) -> str:
