@@ -45,7 +45,9 @@ def values_doubles(vals, name: str) -> str:
 
 
 def r6(expr: str) -> str:
-    return f"(round(round(CAST({expr} AS DOUBLE), 9), 6) + 0.0)"
+    """Decimal half-up rounding (what Spark's ``round`` does on doubles), after a
+    9-digit step that removes last-bit differences between engines."""
+    return f"(CAST(round(CAST(CAST({expr} AS DOUBLE) AS DECIMAL(38, 9)), 6) AS DOUBLE) + 0.0)"
 
 
 def sdiv(num: str, den: str) -> str:
