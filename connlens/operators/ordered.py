@@ -3,11 +3,11 @@
 A window without ``partitionBy`` sends every row to one task.  Here global order is
 obtained the scalable way:
 
-1. ``repartitionByRange`` on (group, order keys) -- sampled range bounds, every
-   task gets a contiguous key range, equal keys always land in the same task;
-2. running sums inside each range partition (window partitioned by the task id);
-3. per-(group, task) totals -> exclusive prefix over tasks.  That table has at most
-   ``#groups x #partitions`` rows (a proven bound), so it is broadcast back.
+1. bucket ids monotone in the order key, from approximate-quantile bounds computed
+   once and applied with ``Bucketizer`` -- deterministic on every recomputation;
+2. running sums inside each (group, bucket) -- one hash shuffle, balanced buckets;
+3. per-(group, bucket) totals -> exclusive prefix over buckets.  That table has at
+   most ``#groups x #buckets`` rows (a proven bound), so it is broadcast back.
 
 Callers pre-aggregate to distinct order keys first (``groupBy(score).count()``), so a
 hot key is one row and cannot overload a task.
@@ -25,34 +25,57 @@ def _parts(df: DataFrame, n: int | None) -> int:
     return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def prefix_sums(df: DataFrame, order_cols: Sequence, sum_cols: Sequence[str],
-                group_cols: Sequence[str] = (), prefix: str = "cum_",
-                num_partitions: int | None = None) -> DataFrame:
-    """Add ``cum_<c>`` = sum of ``c`` over rows of the same group whose order key is
-    <= the current row's (peers included).  ``order_cols`` are Column or names; use
-    ``F.col(x).desc()`` for descending order.  ``group_cols`` must be low-cardinality."""
+def bucketize(df: DataFrame, order: Column, num_buckets: int, out: str = "_pid") -> DataFrame:
+    """Add a deterministic bucket id monotone in ``order`` (numeric).
+
+    Bucket bounds are approximate quantiles of ``order`` computed once (at most
+    ``num_buckets - 1`` numbers reach the driver) and applied with the JVM
+    ``Bucketizer`` (binary search), so every recomputation -- a second branch of the
+    same plan or a retried task after executor loss -- assigns the same bucket."""
+    from pyspark.ml.feature import Bucketizer
+
+    tmp = df.withColumn("_ord", order.cast("double"))
+    probs = [i / num_buckets for i in range(1, num_buckets)]
+    bounds = tmp.approxQuantile("_ord", probs, 1.0 / (10 * num_buckets)) if probs else []
+    splits = [float("-inf")] + sorted({b for b in bounds if b == b}) + [float("inf")]
+    bk = Bucketizer(splits=splits, inputCol="_ord", outputCol=out, handleInvalid="keep")
+    return bk.transform(tmp).withColumn(out, F.col(out).cast("int")).drop("_ord")
+
+
+def prefix_sums(df: DataFrame, order: Column, sum_cols: Sequence[str], group_cols: Sequence[str] = (),
+                prefix: str = "cum_", tiebreak: Sequence = (), num_buckets: int | None = None) -> DataFrame:
+    """Add ``cum_<c>`` = sum of ``c`` over rows of the same group whose (order,
+    tiebreak) key is <= the current row's (peers included).
+
+    ``order`` is a numeric Column, ascending (negate it for descending order);
+    ``tiebreak`` columns refine the order inside equal ``order`` values.  Group
+    columns must be low-cardinality (the offsets table has #groups x #buckets rows)."""
     group_cols = list(group_cols)
-    order_exprs = [F.col(o) if isinstance(o, str) else o for o in order_cols]
-    ranged = (df.repartitionByRange(_parts(df, num_partitions), *[F.col(g) for g in group_cols],
-                                    *order_exprs)
-              .withColumn("_pid", F.spark_partition_id()))
-    w = (Window.partitionBy(*group_cols, "_pid").orderBy(*order_exprs)
-         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.select("*", *[F.sum(c).over(w).alias(f"_loc_{c}") for c in sum_cols])
-    totals = ranged.groupBy(*group_cols, "_pid").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
+    tiebreak = [F.col(t) if isinstance(t, str) else t for t in tiebreak]
+    b = bucketize(df.withColumn("_o", order.cast("double")), F.col("_o"), _parts(df, num_buckets))
+    w = (Window.partitionBy(*group_cols, "_pid").orderBy(F.col("_o"), *tiebreak)
+         .rangeBetween(Window.unboundedPreceding, Window.currentRow) if not tiebreak else
+         Window.partitionBy(*group_cols, "_pid").orderBy(F.col("_o"), *tiebreak)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = b.select("*", *[F.sum(c).over(w).alias(f"_loc_{c}") for c in sum_cols])
+    totals = b.groupBy(*group_cols, "_pid").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
     wo = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*group_cols, "_pid", *[
         F.coalesce(F.sum(f"_tot_{c}").over(wo), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
-    out = local.join(F.broadcast(offsets), [*group_cols, "_pid"])
+    out = local.join(F.broadcast(offsets), [*group_cols, "_pid"])  # <= #groups x #buckets rows
     return out.select(*df.columns, *[(F.col(f"_loc_{c}") + F.col(f"_off_{c}")).alias(f"{prefix}{c}")
                                      for c in sum_cols])
 
 
-def row_rank(df: DataFrame, order_cols: Sequence, group_cols: Sequence[str] = (),
-             name: str = "rank") -> DataFrame:
-    """1-based row number within each group by a UNIQUE order key (e.g. a hash)."""
+def hash_order(h: Column) -> Column:
+    """Numeric, order-preserving proxy of a lowercase hex hash (first 48 bits)."""
+    return F.conv(F.substring(h, 1, 12), 16, 10).cast("double")
+
+
+def row_rank(df: DataFrame, hash_col: str, group_cols: Sequence[str] = (), name: str = "rank") -> DataFrame:
+    """1-based row number within each group in order of a UNIQUE hex hash column."""
     one = df.withColumn("_one", F.lit(1).cast("long"))
-    ranked = prefix_sums(one, order_cols, ["_one"], group_cols, prefix="_r")
+    ranked = prefix_sums(one, hash_order(F.col(hash_col)), ["_one"], group_cols, prefix="_r", tiebreak=[hash_col])
     return ranked.withColumnRenamed("_r_one", name).drop("_one")
 
 
@@ -71,7 +94,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     Returns (column, q, value)."""
     kv = unpivot_numeric(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
     dist = kv.groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
-    cum = prefix_sums(dist, ["value"], ["c"], ["column"])  # cum_c inclusive
+    cum = prefix_sums(dist, F.col("value"), ["c"], ["column"])  # cum_c inclusive
     n = dist.groupBy("column").agg(F.sum("c").alias("n"))
     # #columns x #probs rows: bounded by the caller's lists
     pos = (n.select("column", "n", F.explode(F.array(*[F.lit(float(q)) for q in probs])).alias("q"))

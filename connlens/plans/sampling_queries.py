@@ -1,3 +1,132 @@
-"""Registered queries."""
+"""Split / subsample / oversample / SMOTE / fold queries."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from connlens import config
+from connlens.functions.core import r6
+from connlens.operators import labels as L
+from connlens.operators import neighbors as N
+from connlens.operators import sampling as S
+from connlens.plans import sqlfrag as Q
+from connlens.plans.registry import register
+from connlens.sources.tables import CONN_CTE, conn_view, table, with_ctes
+
+KEY = ["l_orderkey", "l_partkey", "dst_host", "l_linenumber", "count_"]
+KEYS = ", ".join(KEY)
+KEY_SQL = "concat_ws('|', l_orderkey, l_partkey, dst_host, l_linenumber, CAST(count_ AS BIGINT))"
+ROS_TARGETS = {5: 120, 3: 100}
+SMOTE_TARGET = {5: 120}
+
+
+def conn_keyed(spark, sf_dir):
+    c = conn_view(spark, sf_dir)
+    k = F.concat_ws("|", "l_orderkey", "l_partkey", "dst_host", "l_linenumber", F.col("count_").cast("long"))
+    return c.select(*KEY, "class", k.alias("rkey"), L.binary_label().alias("target_label"),
+                    L.family_label().alias("multiclass_label"))
+
+
+LAB_CTE = f"""lab AS (SELECT {KEYS}, class, {KEY_SQL} AS rkey, {Q.binary_label()} AS target_label,
+  {Q.family_label()} AS multiclass_label, {Q.md5_hex(KEY_SQL)} AS h FROM conn)"""
+W = with_ctes(CONN_CTE, LAB_CTE)
+
+
+@register("stratified_split", W + f"""
+SELECT {KEYS}, target_label,
+       CASE WHEN row_number() OVER (PARTITION BY target_label ORDER BY h)
+                 <= floor(count(*) OVER (PARTITION BY target_label) * {config.TRAIN_RATIO} + 0.5)
+            THEN 'train' ELSE 'val' END AS split
+FROM lab""")
+def q_stratified_split(spark, sf_dir):
+    df = conn_keyed(spark, sf_dir)
+    return S.stratified_split(df, F.col("rkey"), "target_label").select(*KEY, "target_label", "split")
+
+
+@register("stratified_subsample", W + f"""
+, cc AS (SELECT multiclass_label, count(*) AS n_c FROM lab GROUP BY multiclass_label),
+ex AS (SELECT multiclass_label, n_c, least({config.SUBSAMPLE_SIZE}, sum(n_c) OVER ()) * n_c / sum(n_c) OVER () AS e FROM cc),
+fl AS (SELECT multiclass_label, n_c, floor(e) AS f, e - floor(e) AS rem FROM ex),
+qt AS (SELECT multiclass_label, f + CASE WHEN row_number() OVER (ORDER BY rem DESC, multiclass_label)
+              <= least({config.SUBSAMPLE_SIZE}, sum(n_c) OVER ()) - sum(f) OVER () THEN 1 ELSE 0 END AS quota FROM fl)
+SELECT {KEYS}, l.multiclass_label FROM
+  (SELECT *, row_number() OVER (PARTITION BY multiclass_label ORDER BY h) AS rk FROM lab) l
+  JOIN qt ON l.multiclass_label = qt.multiclass_label WHERE rk <= quota""")
+def q_stratified_subsample(spark, sf_dir):
+    df = conn_keyed(spark, sf_dir)
+    return S.stratified_subsample(df, F.col("rkey"), "multiclass_label").select(*KEY, "multiclass_label")
+
+
+@register("uniform_subsample", W + f"""
+SELECT {KEYS} FROM lab ORDER BY h LIMIT {config.LOF_MAX_REFERENCE}""")
+def q_uniform_subsample(spark, sf_dir):
+    return S.uniform_subsample(conn_keyed(spark, sf_dir), F.col("rkey"), config.LOF_MAX_REFERENCE).select(*KEY)
+
+
+@register("kfold_assign", W + f"""
+SELECT {KEYS}, target_label,
+       CAST((row_number() OVER (PARTITION BY target_label ORDER BY h) - 1) % 5 AS INTEGER) AS fold FROM lab""")
+def q_kfold_assign(spark, sf_dir):
+    return S.kfold_assign(conn_keyed(spark, sf_dir), F.col("rkey"), "target_label").select(*KEY, "target_label", "fold")
+
+
+EMB_H = f"""emb AS (SELECT vec_id, label, embedding, {Q.md5_hex('vec_id')} AS h FROM embeddings)"""
+
+
+def _ros_sql(targets):
+    vals = ", ".join(f"({k}, {v})" for k, v in targets.items())
+    return with_ctes(EMB_H, f"""plan AS (
+  SELECT label, n_c, greatest(n_c, COALESCE(t.target, n_c)) - n_c AS m
+  FROM (SELECT label, count(*) AS n_c FROM embeddings GROUP BY label) c
+  LEFT JOIN (VALUES {vals}) t(lbl, target) ON c.label = t.lbl),
+ranked AS (SELECT e.vec_id, e.label, e.embedding, row_number() OVER (PARTITION BY e.label ORDER BY h) AS rk, p.n_c, p.m
+           FROM emb e JOIN plan p ON e.label = p.label),
+rep AS (SELECT vec_id, label, embedding, CAST(r.replica AS INTEGER) AS replica FROM ranked,
+        LATERAL (SELECT unnest(range(0, CAST(floor(m / n_c) + CASE WHEN rk <= m % n_c THEN 1 ELSE 0 END + 1 AS BIGINT)))
+                 AS replica) r)""")
+
+
+@register("random_oversample", _ros_sql(ROS_TARGETS) + "SELECT vec_id, label, replica FROM rep")
+def q_random_oversample(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    out = S.random_oversample(e, F.col("vec_id"), "label", ROS_TARGETS)
+    return out.select("vec_id", "label", F.col("replica").cast("int").alias("replica"))
+
+
+@register("union_augmented", _ros_sql(ROS_TARGETS) + """
+SELECT label, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT vec_id, label FROM embeddings UNION ALL SELECT vec_id, label FROM rep WHERE replica > 0) GROUP BY label""")
+def q_union_augmented(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    synth = S.random_oversample(e, F.col("vec_id"), "label", ROS_TARGETS).where("replica > 0")
+    both = e.select("vec_id", "label").unionByName(synth.select("vec_id", "label"))
+    return both.groupBy("label").agg(F.count(F.lit(1)).cast("long").alias("n"))
+
+
+def knn_sql(k, where_q="TRUE", where_r="TRUE", exclude_self=True):
+    cond = "a.vec_id <> b.vec_id" if exclude_self else "TRUE"
+    return f"""nn AS (
+  SELECT qid, nid, CAST(rk AS INTEGER) AS rank, dist FROM (
+    SELECT a.vec_id AS qid, b.vec_id AS nid, d.dist,
+           row_number() OVER (PARTITION BY a.vec_id ORDER BY d.dist, b.vec_id) AS rk
+    FROM embeddings a JOIN embeddings b ON {cond} AND ({where_r.replace('@', 'b.')}),
+    LATERAL (SELECT array_distance(CAST(a.embedding AS DOUBLE[64]), CAST(b.embedding AS DOUBLE[64])) AS dist) d
+    WHERE {where_q.replace('@', 'a.')}) WHERE rk <= {k})"""
+
+
+@register("smote", _ros_sql(SMOTE_TARGET).replace("WITH ", "WITH " + knn_sql(5, "@label = 5", "@label = 5") + ",\n", 1) + f"""
+, base AS (SELECT vec_id AS base_id, replica, embedding AS x,
+                  CAST(floor({Q.md5_uniform("concat_ws('#', vec_id, replica)", 43)} * 5) + 1 AS INTEGER) AS nb_rank,
+                  {Q.md5_uniform("concat_ws('#', vec_id, replica)", 44)} AS u
+           FROM rep WHERE label = 5 AND replica > 0)
+SELECT base_id, replica, nn.nid, {Q.r6('u')} AS u,
+       {", ".join(Q.r6(f"x[{i + 1}] + u * (e.embedding[{i + 1}] - x[{i + 1}])") + f" AS s{i}" for i in range(4))}
+FROM base JOIN nn ON base.base_id = nn.qid AND base.nb_rank = nn.rank JOIN embeddings e ON e.vec_id = nn.nid""")
+def q_smote(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    plan = S.random_oversample(e.where("label = 5"), F.col("vec_id"), "label", SMOTE_TARGET)
+    minority = e.where("label = 5")
+    nn = N.knn_join(minority, minority, 5, qid="vec_id", qvec="embedding", exclude_self=True)
+    syn = N.smote(plan, nn, "vec_id", "embedding", None, seed=42)
+    return syn.select("base_id", F.col("replica").cast("int").alias("replica"), "nid", r6("u").alias("u"),
+                      *[r6(F.element_at("synthetic", i + 1)).alias(f"s{i}") for i in range(4)])
