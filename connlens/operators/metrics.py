@@ -178,3 +178,29 @@ def roc_auc_ovr(df: DataFrame, y: str, probs: str, classes: Sequence[int]) -> Da
     for a in aucs[1:]:
         u = u.unionByName(a)
     return u.agg(r6(F.avg("roc_auc")).alias("roc_auc_macro"))
+
+
+def roc_auc_by(df: DataFrame, keys: Sequence[str], y: str, score: str) -> DataFrame:
+    """Exact AUC per group (few groups: the offsets table is #groups x #buckets)."""
+    yy = col(y).cast("int") == 1
+    sc = df.groupBy(*keys, col(score).cast("double").alias("score")).agg(_cnt(yy).alias("pos"), _cnt(~yy).alias("neg"))
+    c = prefix_sums(sc, -F.col("score"), ["pos", "neg"], keys)
+    g = c.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"),
+                             F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") + F.col("pos") / 2.0)).alias("A"))
+    return g.select(*keys, F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("A") / (F.col("P") * F.col("N")))
+                    .otherwise(F.lit(0.5)).alias("roc_auc"))
+
+
+def macro_by(df: DataFrame, keys: Sequence[str], y: str, yhat: str) -> DataFrame:
+    """Macro precision / recall / F1 per group over labels in y_true U y_pred."""
+    t = df.select(*keys, F.col(y).cast("int").alias("_t"), F.col(yhat).cast("int").alias("_p"))
+    truth = t.groupBy(*keys, F.col("_t").alias("cls")).agg(F.count(F.lit(1)).alias("support"),
+                                                          _cnt(F.col("_t") == F.col("_p")).alias("tp"))
+    pred = t.groupBy(*keys, F.col("_p").alias("cls")).agg(F.count(F.lit(1)).alias("n_pred"))
+    j = truth.join(pred, [*keys, "cls"], "full_outer")
+    tp = F.coalesce("tp", F.lit(0))
+    fp = F.coalesce("n_pred", F.lit(0)) - tp
+    fn = F.coalesce("support", F.lit(0)) - tp
+    return j.groupBy(*keys).agg(F.avg(safe_div(tp, tp + fp)).alias("precision_macro"),
+                                F.avg(safe_div(tp, tp + fn)).alias("recall_macro"),
+                                F.avg(safe_div(2 * tp, 2 * tp + fp + fn)).alias("f1_macro"))

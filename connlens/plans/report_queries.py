@@ -77,3 +77,317 @@ LIMIT 1""")
 def q_top1_operating_point(spark, sf_dir):
     return operating_point(sweep(spark, sf_dir), min_recall=config.TARGET_NOVEL_RECALL,
                            max_fpr=config.TARGET_FPR)
+
+
+# ---------------------------------------------------------------------------
+# model-result records derived from the scored view
+# ---------------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from connlens.functions.core import md5_uniform, r6, safe_div  # noqa: E402
+from connlens.operators import metrics as M  # noqa: E402
+from connlens.operators import reports as R  # noqa: E402
+from connlens.operators.sweep import _cnt  # noqa: E402
+from connlens.plans.metric_queries import EVAL_CTE, MULTI_PRED_SQL, evaluated, multi_pred  # noqa: E402
+
+MODELS = ["logistic_regression", "decision_tree", "knn", "naive_bayes", "svm"]
+
+
+def model_eval(spark, sf_dir):
+    """Per (row, model): a model-specific score, its binary and 5-class predictions and
+    the validation/holdout split.  Five fixed scoring rules -> 5 rows per event."""
+    ev = evaluated(spark, sf_dir)
+    m = F.explode(F.array(*[F.struct(F.lit(i).alias("midx"), F.lit(n).alias("model_name"))
+                            for i, n in enumerate(MODELS)])).alias("m")
+    long = ev.select("row_id", "y", "y_multi", "segment", "score", m).select(
+        "row_id", "y", "y_multi", "segment", "score", "m.midx", "m.model_name")
+    noise = md5_uniform(F.concat_ws("#", F.col("row_id").cast("string"), F.col("midx").cast("string")), 100)
+    sm = (F.col("score") + 0.1 * F.col("midx") * noise) / (1 + 0.1 * F.col("midx"))
+    split = F.when(md5_uniform("row_id", 7) < 0.5, "val").otherwise("holdout")
+    return long.select("*", sm.alias("sm"), split.alias("split")).select(
+        "*", (F.col("sm") >= 0.5).cast("int").alias("pb"), multi_pred("sm").alias("pm"))
+
+
+def records(spark, sf_dir):
+    me = model_eval(spark, sf_dir)
+    keys = ["model_name", "midx", "split"]
+    seg = F.col("segment")
+
+    def det_rate(det, among):
+        return safe_div(_cnt(det & among), _cnt(among))
+
+    b = me.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        safe_div(_cnt(F.col("y") == F.col("pb")), F.count(F.lit(1))).alias("accuracy"),
+        safe_div(_cnt((F.col("y") == 1) & (F.col("pb") == 1)), _cnt(F.col("pb") == 1)).alias("precision"),
+        safe_div(_cnt((F.col("y") == 1) & (F.col("pb") == 1)), _cnt(F.col("y") == 1)).alias("recall"),
+        safe_div(2 * _cnt((F.col("y") == 1) & (F.col("pb") == 1)),
+                 _cnt(F.col("y") == 1) + _cnt(F.col("pb") == 1)).alias("f1"),
+        det_rate(F.col("pb") == 1, F.col("y") == 0).alias("fpr"),
+        det_rate(F.col("pb") == 1, seg == "seen").alias("seen_recall"),
+        det_rate(F.col("pb") == 1, seg == "novel").alias("novel_recall"),
+        det_rate(F.col("pb") == 1, F.col("y_multi") == 4).alias("u2r_recall"),
+        det_rate(F.col("pb") == 1, F.col("y_multi") == 3).alias("r2l_recall"),
+    ).withColumn("target_type", F.lit("binary"))
+    mc = me.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        safe_div(_cnt(F.col("y_multi") == F.col("pm")), F.count(F.lit(1))).alias("accuracy"),
+        det_rate(F.col("pm") != 0, F.col("y_multi") == 0).alias("fpr"),
+        det_rate(F.col("pm") != 0, seg == "seen").alias("seen_recall"),
+        det_rate(F.col("pm") != 0, seg == "novel").alias("novel_recall"),
+        det_rate(F.col("pm") == 4, F.col("y_multi") == 4).alias("u2r_recall"),
+        det_rate(F.col("pm") == 3, F.col("y_multi") == 3).alias("r2l_recall"),
+    ).join(M.macro_by(me, keys, "y_multi", "pm"), keys).select(
+        *keys, "n", "accuracy", F.col("precision_macro").alias("precision"), F.col("recall_macro").alias("recall"),
+        F.col("f1_macro").alias("f1"), "fpr", "seen_recall", "novel_recall", "u2r_recall", "r2l_recall",
+    ).withColumn("target_type", F.lit("multiclass"))
+    auc = M.roc_auc_by(me, keys, "y", "sm")
+    both = b.unionByName(mc).join(auc, keys)
+    metric_cols = ["accuracy", "precision", "recall", "f1", "roc_auc", "fpr", "seen_recall", "novel_recall",
+                   "u2r_recall", "r2l_recall"]
+    return both.select("model_name", "target_type", "split", *[r6(c).alias(c) for c in metric_cols],
+                       r6(F.col("n") * (F.col("midx") + 1) / 100000.0).alias("fit_time"))
+
+
+def _sdiv_cnt(cond, among):
+    return Q.sdiv(f"count(*) FILTER (WHERE ({cond}) AND ({among}))", f"count(*) FILTER (WHERE {among})")
+
+
+ME_CTE = f"""me0 AS (
+  SELECT ev.row_id, y, y_multi, segment, score, m.midx, m.model_name,
+         (score + 0.1 * m.midx * {Q.md5_uniform("concat_ws('#', ev.row_id, m.midx)", 100)}) / (1 + 0.1 * m.midx) AS sm,
+         CASE WHEN {Q.md5_uniform('ev.row_id', 7)} < 0.5 THEN 'val' ELSE 'holdout' END AS split
+  FROM ev, (VALUES {", ".join(f"({i}, '{n}')" for i, n in enumerate(MODELS))}) m(midx, model_name)),
+me AS (SELECT *, CAST(sm >= 0.5 AS INTEGER) AS pb, {MULTI_PRED_SQL.replace('score', 'sm')} AS pm FROM me0),
+bin AS (SELECT model_name, midx, split, count(*) AS n,
+   {Q.sdiv("count(*) FILTER (WHERE y = pb)", "count(*)")} AS accuracy,
+   {Q.sdiv("count(*) FILTER (WHERE y = 1 AND pb = 1)", "count(*) FILTER (WHERE pb = 1)")} AS precision,
+   {Q.sdiv("count(*) FILTER (WHERE y = 1 AND pb = 1)", "count(*) FILTER (WHERE y = 1)")} AS recall,
+   {Q.sdiv("2 * count(*) FILTER (WHERE y = 1 AND pb = 1)", "count(*) FILTER (WHERE y = 1) + count(*) FILTER (WHERE pb = 1)")} AS f1,
+   {_sdiv_cnt("pb = 1", "y = 0")} AS fpr, {_sdiv_cnt("pb = 1", "segment = 'seen'")} AS seen_recall,
+   {_sdiv_cnt("pb = 1", "segment = 'novel'")} AS novel_recall, {_sdiv_cnt("pb = 1", "y_multi = 4")} AS u2r_recall,
+   {_sdiv_cnt("pb = 1", "y_multi = 3")} AS r2l_recall, 'binary' AS target_type
+  FROM me GROUP BY model_name, midx, split),
+pct AS (SELECT model_name, midx, split, cls, sum(support) AS support, sum(tp) AS tp, sum(n_pred) AS n_pred FROM (
+    SELECT model_name, midx, split, y_multi AS cls, count(*) AS support,
+           count(*) FILTER (WHERE y_multi = pm) AS tp, 0 AS n_pred FROM me GROUP BY ALL
+    UNION ALL SELECT model_name, midx, split, pm AS cls, 0, 0, count(*) FROM me GROUP BY ALL) GROUP BY ALL),
+mac AS (SELECT model_name, midx, split, avg({Q.sdiv('tp', 'n_pred')}) AS precision,
+        avg({Q.sdiv('tp', 'support')}) AS recall, avg({Q.sdiv('2 * tp', 'support + n_pred')}) AS f1
+        FROM pct GROUP BY ALL),
+mul AS (SELECT model_name, midx, split, count(*) AS n,
+   {Q.sdiv("count(*) FILTER (WHERE y_multi = pm)", "count(*)")} AS accuracy,
+   {_sdiv_cnt("pm <> 0", "y_multi = 0")} AS fpr, {_sdiv_cnt("pm <> 0", "segment = 'seen'")} AS seen_recall,
+   {_sdiv_cnt("pm <> 0", "segment = 'novel'")} AS novel_recall, {_sdiv_cnt("pm = 4", "y_multi = 4")} AS u2r_recall,
+   {_sdiv_cnt("pm = 3", "y_multi = 3")} AS r2l_recall, 'multiclass' AS target_type
+  FROM me GROUP BY model_name, midx, split),
+sh AS (SELECT model_name, midx, split, sm, sum(y) AS pos, count(*) - sum(y) AS neg FROM me GROUP BY ALL),
+sc AS (SELECT *, sum(pos) OVER (PARTITION BY model_name, split ORDER BY sm DESC) AS cpos FROM sh),
+auc AS (SELECT model_name, split, CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+          THEN sum(neg * (cpos - pos + pos / 2.0)) / (sum(pos) * sum(neg)) ELSE 0.5 END AS roc_auc
+        FROM sc GROUP BY model_name, split),
+allr AS (
+  SELECT model_name, midx, split, n, target_type, accuracy, precision, recall, f1, fpr, seen_recall, novel_recall,
+         u2r_recall, r2l_recall FROM bin
+  UNION ALL
+  SELECT mul.model_name, mul.midx, mul.split, n, target_type, accuracy, mac.precision, mac.recall, mac.f1, fpr,
+         seen_recall, novel_recall, u2r_recall, r2l_recall
+  FROM mul JOIN mac ON mul.model_name = mac.model_name AND mul.split = mac.split),
+records AS (
+  SELECT a.model_name, target_type, a.split, {Q.r6('accuracy')} AS accuracy, {Q.r6('precision')} AS precision,
+         {Q.r6('recall')} AS recall, {Q.r6('f1')} AS f1, {Q.r6('roc_auc')} AS roc_auc, {Q.r6('fpr')} AS fpr,
+         {Q.r6('seen_recall')} AS seen_recall, {Q.r6('novel_recall')} AS novel_recall,
+         {Q.r6('u2r_recall')} AS u2r_recall, {Q.r6('r2l_recall')} AS r2l_recall,
+         {Q.r6('n * (midx + 1) / 100000.0')} AS fit_time
+  FROM allr a JOIN auc ON a.model_name = auc.model_name AND a.split = auc.split)"""
+
+from connlens.plans.metric_queries import EVAL_CTE as _EV  # noqa: E402,F811
+
+REC = with_ctes(SCORED_CTE, _EV, ME_CTE)
+REC_COLS = ("model_name, target_type, split, accuracy, precision, recall, f1, roc_auc, fpr, seen_recall, "
+            "novel_recall, u2r_recall, r2l_recall, fit_time")
+
+
+@register("model_records", REC + f"SELECT {REC_COLS} FROM records")
+def q_model_records(spark, sf_dir):
+    return records(spark, sf_dir)
+
+
+def _val(spark, sf_dir):
+    return records(spark, sf_dir).where("split = 'val'").drop("split")
+
+
+LB_COLS = ["model_name", "target_type", "recall", "f1", "roc_auc", "accuracy", "fit_time"]
+
+
+@register("leaderboard_rank", REC + """
+SELECT model_name, target_type, recall, f1, roc_auc, accuracy, fit_time,
+       CAST(row_number() OVER (ORDER BY recall DESC, f1 DESC, roc_auc DESC, accuracy DESC, model_name) AS INTEGER) AS rank
+FROM records WHERE split = 'val'""")
+def q_leaderboard_rank(spark, sf_dir):
+    return R.leaderboard(_val(spark, sf_dir).select(*LB_COLS))
+
+
+@register("rank_within_task", REC + """
+SELECT model_name, target_type, recall, f1, roc_auc, accuracy, fit_time,
+       CAST(row_number() OVER (PARTITION BY target_type ORDER BY recall DESC, f1 DESC, roc_auc DESC, accuracy DESC,
+                               model_name) AS INTEGER) AS rank
+FROM records WHERE split = 'val'""")
+def q_rank_within_task(spark, sf_dir):
+    return R.leaderboard(_val(spark, sf_dir).select(*LB_COLS), ["target_type"])
+
+
+@register("report_leaderboard", REC + """
+SELECT model_name, target_type, rank, rank = 1 AS is_best,
+       upper(target_type) AS task, replace(model_name, '_', ' ') AS display_name,
+       printf('%.4f%%', recall * 100) AS recall_pct, printf('%.2fs', fit_time) AS fit_time_s
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY target_type ORDER BY recall DESC, f1 DESC, roc_auc DESC,
+             accuracy DESC, model_name) AS INTEGER) AS rank FROM records WHERE split = 'val')""")
+def q_report_leaderboard(spark, sf_dir):
+    lb = R.leaderboard(_val(spark, sf_dir), ["target_type"])
+    return lb.select("model_name", "target_type", "rank", (F.col("rank") == 1).alias("is_best"),
+                     F.upper("target_type").alias("task"),
+                     F.replace(F.col("model_name"), F.lit("_"), F.lit(" ")).alias("display_name"),
+                     F.format_string("%.4f%%", F.col("recall") * 100).alias("recall_pct"),
+                     F.format_string("%.2fs", F.col("fit_time")).alias("fit_time_s"))
+
+
+GAP_METRICS = ["recall", "f1", "accuracy"]
+
+
+def _gap(spark, sf_dir):
+    rec = records(spark, sf_dir)
+    # the validation leaderboard has no multiclass svm row -> its validation values count as 0
+    val = rec.where("split = 'val' AND NOT (model_name = 'svm' AND target_type = 'multiclass')")
+    hold = rec.where("split = 'holdout'").select("model_name", "target_type", *GAP_METRICS, "precision", "roc_auc",
+                                                  "seen_recall", "novel_recall")
+    return R.holdout_gap(val, hold, ["model_name", "target_type"], GAP_METRICS)
+
+
+GAP_SQL = REC + """
+, v AS (SELECT * FROM records WHERE split = 'val' AND NOT (model_name = 'svm' AND target_type = 'multiclass')),
+h AS (SELECT * FROM records WHERE split = 'holdout'),
+g AS (SELECT h.model_name, h.target_type, h.recall AS test_recall, h.f1 AS test_f1, h.accuracy AS test_accuracy,
+             h.precision, h.roc_auc, h.seen_recall, h.novel_recall,
+             COALESCE(v.recall, 0.0) AS val_recall, COALESCE(v.f1, 0.0) AS val_f1,
+             COALESCE(v.accuracy, 0.0) AS val_accuracy
+      FROM h LEFT JOIN v ON h.model_name = v.model_name AND h.target_type = v.target_type)"""
+GAP_SELECT = f"""SELECT model_name, target_type, test_recall, test_f1, test_accuracy, precision, roc_auc, seen_recall,
+       novel_recall, val_recall, val_f1, val_accuracy, {Q.r6('val_recall - test_recall')} AS recall_gap,
+       {Q.r6('val_f1 - test_f1')} AS f1_gap, {Q.r6('val_accuracy - test_accuracy')} AS accuracy_gap"""
+
+
+@register("join_val_holdout_gap", GAP_SQL + GAP_SELECT + " FROM g")
+def q_join_val_holdout_gap(spark, sf_dir):
+    return _gap(spark, sf_dir)
+
+
+@register("report_holdout_gap", GAP_SQL + GAP_SELECT + f""", {Q.r6('seen_recall - novel_recall')} AS novel_deficit,
+       CAST(row_number() OVER (PARTITION BY target_type ORDER BY novel_recall DESC, model_name) AS INTEGER) AS rank
+FROM g""")
+def q_report_holdout_gap(spark, sf_dir):
+    g = _gap(spark, sf_dir).withColumn("novel_deficit", r6(F.col("seen_recall") - F.col("novel_recall")))
+    return R.leaderboard(g, ["target_type"], ["novel_recall"])
+
+
+SEL_SQL = REC + """
+, h AS (SELECT * FROM records WHERE split = 'holdout'),
+fast AS (SELECT model_name AS fm FROM h ORDER BY fit_time, model_name LIMIT 1)"""
+
+
+@register("report_selection_matrix", SEL_SQL + """
+SELECT model_name, target_type, novel_recall, u2r_recall, r2l_recall, fpr, fit_time,
+       CASE WHEN model_name = fm THEN 'Low-Latency Alternative'
+            WHEN novel_recall > 0.75 OR u2r_recall > 0.5 THEN 'Production Candidate'
+            ELSE 'Rejected (Overfitting)' END AS status
+FROM h, fast""")
+def q_report_selection_matrix(spark, sf_dir):
+    h = records(spark, sf_dir).where("split = 'holdout'").select(
+        "model_name", "target_type", "novel_recall", "u2r_recall", "r2l_recall", "fpr", "fit_time")
+    return R.selection_matrix(h)
+
+
+@register("deploy_status", SEL_SQL + """
+SELECT model_name, target_type, CASE WHEN model_name = fm THEN 'Low-Latency Alternative'
+            WHEN novel_recall > 0.75 OR u2r_recall > 0.5 THEN 'Production Candidate'
+            ELSE 'Rejected (Overfitting)' END AS status FROM h, fast""")
+def q_deploy_status(spark, sf_dir):
+    h = records(spark, sf_dir).where("split = 'holdout'")
+    return R.selection_matrix(h).select("model_name", "target_type", "status")
+
+
+@register("best_by", GAP_SQL + """
+SELECT * FROM (SELECT 'fastest' AS criterion, model_name, target_type, fit_time AS value FROM records
+               WHERE split = 'holdout' ORDER BY fit_time, model_name LIMIT 1)
+UNION ALL SELECT * FROM (SELECT 'best_generalizer', model_name, target_type, abs(val_recall - test_recall) FROM g
+               ORDER BY abs(val_recall - test_recall), model_name LIMIT 1)
+UNION ALL SELECT * FROM (SELECT 'best_rare_detector', model_name, target_type, u2r_recall FROM records
+               WHERE split = 'holdout' ORDER BY u2r_recall DESC, model_name LIMIT 1)""")
+def q_best_by(spark, sf_dir):
+    h = records(spark, sf_dir).where("split = 'holdout'")
+    g = _gap(spark, sf_dir).withColumn("abs_gap", F.abs(F.col("val_recall") - F.col("test_recall")))
+    a = R.best_by(h, "fit_time", "min").select(F.lit("fastest").alias("criterion"), "model_name", "target_type",
+                                                F.col("fit_time").alias("value"))
+    b = R.best_by(g, "abs_gap", "min").select(F.lit("best_generalizer").alias("criterion"), "model_name",
+                                               "target_type", F.col("abs_gap").alias("value"))
+    c = R.best_by(h, "u2r_recall", "max").select(F.lit("best_rare_detector").alias("criterion"), "model_name",
+                                                  "target_type", F.col("u2r_recall").alias("value"))
+    return a.unionByName(b).unionByName(c)
+
+
+@register("union_records", REC + """
+SELECT model_name, target_type, recall, f1, NULL::DOUBLE AS novel_recall, 'baseline' AS phase FROM records
+WHERE split = 'val'
+UNION ALL SELECT model_name, target_type, recall, f1, novel_recall, 'robust' AS phase FROM records
+WHERE split = 'holdout'""")
+def q_union_records(spark, sf_dir):
+    rec = records(spark, sf_dir)
+    a = rec.where("split = 'val'").select("model_name", "target_type", "recall", "f1", F.lit("baseline").alias("phase"))
+    b = rec.where("split = 'holdout'").select("model_name", "target_type", "recall", "f1", "novel_recall",
+                                              F.lit("robust").alias("phase"))
+    return a.unionByName(b, allowMissingColumns=True)
+
+
+@register("sort_multi_key", REC + """
+SELECT model_name, target_type, novel_recall, fpr FROM records WHERE split = 'holdout'
+ORDER BY target_type, novel_recall DESC, fpr, model_name""")
+def q_sort_multi_key(spark, sf_dir):
+    h = records(spark, sf_dir).where("split = 'holdout'")
+    return h.select("model_name", "target_type", "novel_recall", "fpr").orderBy(
+        "target_type", F.col("novel_recall").desc(), "fpr", "model_name")
+
+
+@register("champion_per_model", REC + """
+SELECT model_name, target_type, split, recall, f1 FROM (
+  SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY recall DESC, f1 DESC, target_type, split) AS r
+  FROM records) WHERE r = 1""")
+def q_champion_per_model(spark, sf_dir):
+    rec = records(spark, sf_dir).select("model_name", "target_type", "split", "recall", "f1")
+    return R.champion_per_model(rec, "model_name", [F.col("recall").desc(), F.col("f1").desc(), "target_type", "split"])
+
+
+@register("target_flag", SWEEP_SQL + f"""
+SELECT threshold, novel_attack_recall, fpr,
+       novel_attack_recall >= {config.TARGET_NOVEL_RECALL} AND fpr <= {config.TARGET_FPR} AS meets_target FROM metrics""")
+def q_target_flag(spark, sf_dir):
+    s = sweep(spark, sf_dir)
+    meets = (F.col("novel_attack_recall") >= config.TARGET_NOVEL_RECALL) & (F.col("fpr") <= config.TARGET_FPR)
+    return s.select("threshold", "novel_attack_recall", "fpr", meets.alias("meets_target"))
+
+
+@register("report_threshold_delta", SWEEP_SQL + f"""
+, opt AS (SELECT * FROM metrics ORDER BY (novel_attack_recall >= {config.TARGET_NOVEL_RECALL}
+            AND fpr <= {config.TARGET_FPR}) DESC, novel_attack_recall DESC,
+            CASE WHEN novel_attack_recall >= {config.TARGET_NOVEL_RECALL} AND fpr <= {config.TARGET_FPR} THEN fpr END
+            ASC NULLS LAST, threshold LIMIT 1),
+d AS (SELECT * FROM metrics WHERE threshold = 0.5)
+SELECT 0.5 AS default_threshold, opt.threshold AS optimal_threshold,
+       {", ".join(f"d.{m} AS default_{m}" for m in ("novel_attack_recall", "fpr", "precision", "f1_score"))},
+       {", ".join(f"opt.{m} AS optimal_{m}" for m in ("novel_attack_recall", "fpr", "precision", "f1_score"))},
+       {", ".join(Q.r6(f"opt.{m} - d.{m}") + f" AS change_{m}" for m in ("novel_attack_recall", "fpr", "precision", "f1_score"))}
+FROM opt, d""")
+def q_report_threshold_delta(spark, sf_dir):
+    s = sweep(spark, sf_dir)
+    opt = operating_point(s, min_recall=config.TARGET_NOVEL_RECALL, max_fpr=config.TARGET_FPR)
+    return R.threshold_delta(s, opt, 0.5)
