@@ -1,3 +1,121 @@
-"""Registered queries."""
+"""Model-level queries: hybrid rule, router fallback, naive Bayes, MLlib models,
+isolation forest and the anomaly benchmark."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from connlens import config
+from connlens.functions.core import md5_uniform, r6
+from connlens.operators import hybrid as H
+from connlens.plans import sqlfrag as Q
+from connlens.plans.metric_queries import EVAL_CTE, evaluated
+from connlens.plans.registry import register
+from connlens.sources.tables import SCORED_CTE, with_ctes
+
+T_STRICT = -0.10
+
+
+def staged(spark, sf_dir):
+    """Stage-1 anomaly score d1 (lower = more anomalous, anomaly iff d1 < 0), a stage-2
+    router that misses ~30 % of attacks, and router probabilities."""
+    ev = evaluated(spark, sf_dir)
+    d1 = F.lit(0.45) - F.col("score")
+    s2 = F.when(md5_uniform("row_id", 5) < 0.3, F.lit(0)).otherwise(F.col("y_multi"))
+    top = 0.7 + 0.3 * md5_uniform("row_id", 6)
+    staged = ev.select("row_id", "y", "y_multi", "segment", d1.alias("d1"), (d1 < 0).alias("s1_anomaly"),
+                       s2.alias("s2_pred"), top.alias("_top"))
+    probs = F.transform(F.sequence(F.lit(0), F.lit(4)),
+                        lambda k: F.when(k == F.col("s2_pred"), F.col("_top")).otherwise((1 - F.col("_top")) / 4))
+    return staged.withColumn("probs", probs).drop("_top")
+
+
+STAGED_CTE = f"""st AS (
+  SELECT row_id, y, y_multi, segment, 0.45 - score AS d1, (0.45 - score) < 0 AS s1_anomaly,
+         CASE WHEN {Q.md5_uniform('row_id', 5)} < 0.3 THEN 0 ELSE y_multi END AS s2_pred,
+         0.7 + 0.3 * {Q.md5_uniform('row_id', 6)} AS top FROM ev)"""
+W = with_ctes(SCORED_CTE, EVAL_CTE, STAGED_CTE)
+
+
+def _decide_sql(t):
+    ov = "TRUE" if t is None else f"d1 < {float(t)!r}"
+    return f"CASE WHEN NOT s1_anomaly THEN 0 WHEN s2_pred <> 0 THEN s2_pred WHEN {ov} THEN 3 ELSE 0 END"
+
+
+@register("hybrid_decide", W + f"SELECT row_id, CAST({_decide_sql(T_STRICT)} AS INTEGER) AS pred FROM st")
+def q_hybrid_decide(spark, sf_dir):
+    s = staged(spark, sf_dir)
+    return s.select("row_id", H.decide("s1_anomaly", "s2_pred", "d1", T_STRICT).alias("pred"))
+
+
+def _serve_sql(t):
+    p = _decide_sql(t)
+    conf = (f"CASE WHEN s1_anomaly AND s2_pred <> 0 THEN top WHEN s1_anomaly AND s2_pred = 0 AND ({p}) = 3 "
+            f"THEN 1.0 ELSE CASE WHEN s2_pred = 0 THEN top ELSE (1 - top) / 4 END END")
+    return W + f"""SELECT row_id, ({p}) <> 0 AS is_attack, {Q.family_name(p)} AS attack_family,
+       {Q.r6(conf)} AS confidence, {Q.r6('d1')} AS stage1_score FROM st"""
+
+
+@register("hybrid_serve", _serve_sql(None))
+def q_hybrid_serve(spark, sf_dir):
+    s = staged(spark, sf_dir).select("row_id", H.serve("s1_anomaly", "s2_pred", "d1", "probs", None).alias("r"))
+    return s.select("row_id", "r.is_attack", "r.attack_family", r6("r.confidence").alias("confidence"),
+                    r6("r.stage1_score").alias("stage1_score"))
+
+
+def _sweep_sql():
+    rows = []
+    for t in config.T_STRICT_SWEEP:
+        p = _decide_sql(t)
+        tv = "NULL::DOUBLE" if t is None else f"{float(t)!r}::DOUBLE"
+        rows.append(f"""SELECT {tv} AS t_strict, count(*) AS n, sum(y) AS n_pos,
+  count(*) FILTER (WHERE segment = 'normal') AS n_normal, count(*) FILTER (WHERE segment = 'seen') AS n_seen,
+  count(*) FILTER (WHERE segment = 'novel') AS n_novel, count(*) FILTER (WHERE y_multi = 4) AS n_u2r,
+  count(*) FILTER (WHERE y_multi = 3) AS n_r2l,
+  count(*) FILTER (WHERE ({p}) <> 0 AND y = 1) AS tp, count(*) FILTER (WHERE ({p}) <> 0 AND y = 0) AS fp,
+  count(*) FILTER (WHERE ({p}) <> 0 AND segment = 'normal') AS fpn,
+  count(*) FILTER (WHERE ({p}) <> 0 AND segment = 'seen') AS ds,
+  count(*) FILTER (WHERE ({p}) <> 0 AND segment = 'novel') AS dn,
+  count(*) FILTER (WHERE ({p}) = 4 AND y_multi = 4) AS u, count(*) FILTER (WHERE ({p}) = 3 AND y_multi = 3) AS r
+  FROM st""")
+    return W + ", sw AS (" + " UNION ALL ".join(rows) + f"""),
+hm AS (SELECT t_strict, {Q.r6(Q.sdiv('tp', 'tp + fp'))} AS precision, {Q.r6(Q.sdiv('tp', 'n_pos'))} AS recall,
+   {Q.r6(Q.sdiv('2 * tp', '2 * tp + fp + (n_pos - tp)'))} AS f1_score,
+   {Q.r6(Q.sdiv('tp + (n - n_pos - fp)', 'n'))} AS accuracy, {Q.r6(Q.sdiv('fpn', 'n_normal'))} AS fpr,
+   {Q.r6(Q.sdiv('ds', 'n_seen'))} AS seen_recall, {Q.r6(Q.sdiv('dn', 'n_novel'))} AS novel_recall,
+   {Q.r6(Q.sdiv('u', 'n_u2r'))} AS u2r_recall, {Q.r6(Q.sdiv('r', 'n_r2l'))} AS r2l_recall FROM sw)"""
+
+
+@register("report_hybrid_sweep", _sweep_sql() + " SELECT * FROM hm")
+def q_report_hybrid_sweep(spark, sf_dir):
+    return H.hybrid_sweep(staged(spark, sf_dir), config.T_STRICT_SWEEP)
+
+
+@register("top1_hybrid", _sweep_sql() + " SELECT * FROM hm ORDER BY f1_score DESC, fpr ASC, t_strict ASC NULLS FIRST LIMIT 1")
+def q_top1_hybrid(spark, sf_dir):
+    return H.best_operating_point(H.hybrid_sweep(staged(spark, sf_dir), config.T_STRICT_SWEEP))
+
+
+@register("cross_hybrid_sweep", W + " UNION ALL ".join(
+    f"SELECT {'NULL::DOUBLE' if t is None else repr(float(t)) + '::DOUBLE'} AS t_strict, "
+    f"CAST({_decide_sql(t)} AS INTEGER) AS pred, CAST(count(*) AS BIGINT) AS n FROM st GROUP BY 2"
+    for t in config.T_STRICT_SWEEP))
+def q_cross_hybrid_sweep(spark, sf_dir):
+    return H.prediction_counts(staged(spark, sf_dir), config.T_STRICT_SWEEP)
+
+
+@register("router_fallback", with_ctes(SCORED_CTE, EVAL_CTE) + f"""
+, avail AS (SELECT DISTINCT 'naive_bayes' AS model_name FROM ev WHERE score >= 0
+            UNION SELECT 'logistic_regression_cs_cost_sensitive' FROM ev WHERE score > 2)
+SELECT model_name, CAST(pos AS INTEGER) AS priority FROM avail JOIN
+  (VALUES {", ".join(f"({i}, '{n}')" for i, n in enumerate(config.ROUTER_PREFERENCE))}) p(pos, name)
+  ON avail.model_name = p.name ORDER BY pos LIMIT 1""")
+def q_router_fallback(spark, sf_dir):
+    # the registry holds the models that were trained on this data: naive_bayes always
+    # (the scored view exists), the cost-sensitive LR only if some score exceeds 2
+    from connlens.operators.models import router_choice
+    ev = evaluated(spark, sf_dir)
+    avail = (ev.where("score >= 0").select(F.lit("naive_bayes").alias("model_name"))
+             .union(ev.where("score > 2").select(F.lit("logistic_regression_cs_cost_sensitive").alias("model_name")))
+             .distinct())
+    return router_choice(avail, config.ROUTER_PREFERENCE)
