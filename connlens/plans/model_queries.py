@@ -119,3 +119,43 @@ def q_router_fallback(spark, sf_dir):
              .union(ev.where("score > 2").select(F.lit("logistic_regression_cs_cost_sensitive").alias("model_name")))
              .distinct())
     return router_choice(avail, config.ROUTER_PREFERENCE)
+
+
+# ---------------------------------------------------------------------------
+# Gaussian naive Bayes on the first NB_DIMS embedding dimensions
+# ---------------------------------------------------------------------------
+
+from connlens.operators import models as MD  # noqa: E402
+from connlens.sources.tables import table  # noqa: E402
+
+NB_DIMS = 8
+
+
+def _nb_feats():
+    return [F.element_at("embedding", i + 1).cast("double").alias(f"e{i}") for i in range(NB_DIMS)]
+
+
+def _nb_sql():
+    dims = range(NB_DIMS)
+    feat = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in dims)
+    stats = ", ".join(f"avg(e{i}) AS m{i}, var_pop(e{i}) AS v{i}" for i in dims)
+    eps = "1e-9 * greatest(" + ", ".join(f"var_pop(e{i})" for i in dims) + ")"
+    jll = " + ".join(f"(-0.5 * ln(2 * pi() * (v{i} + eps)) - (x.e{i} - m{i}) ^ 2 / (2 * (v{i} + eps)))" for i in dims)
+    return f"""WITH x AS (SELECT vec_id, label, {feat} FROM embeddings),
+g AS (SELECT {eps} AS eps FROM x),
+cs AS (SELECT label AS cls, count(*) * 1.0 / (SELECT count(*) FROM x) AS prior, {stats} FROM x GROUP BY label),
+j AS (SELECT x.vec_id, cs.cls, ln(prior) + {jll} AS jll FROM x, cs, g),
+mx AS (SELECT vec_id, max(jll) AS m, sum(exp(jll)) AS s0 FROM j GROUP BY vec_id),
+nrm AS (SELECT j.vec_id, j.cls, exp(j.jll - mx.m) AS e FROM j JOIN mx USING (vec_id))
+SELECT vec_id, CAST(arg_max(cls, e) AS INTEGER) AS pred, {Q.r6('max(e) / sum(e)')} AS confidence
+FROM nrm GROUP BY vec_id"""
+
+
+@register("fit_gaussian_nb", _nb_sql())
+def q_fit_gaussian_nb(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    x = e.select("vec_id", "label", *_nb_feats())
+    feats = [f"e{i}" for i in range(NB_DIMS)]
+    model = MD.gaussian_nb_fit(x, feats, "label")
+    p = MD.gaussian_nb_predict(x, model, feats, keep=["vec_id"])
+    return p.select("vec_id", F.col("pred").cast("int").alias("pred"), r6(F.array_max("probability")).alias("confidence"))

@@ -1,3 +1,70 @@
-"""Registered queries."""
+"""Traffic-window queries over ``events`` (host = user_id, service = event_type)."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from connlens.operators import traffic as TR
+from connlens.plans import sqlfrag as Q
+from connlens.plans.registry import register
+from connlens.sources.tables import table
+
+T_SECONDS = 86400   # 2 s is empty at the fixture's event density; one day is not
+LAST_N = 20
+
+
+def _err():
+    return F.col("event_type") == "error", F.col("value") > 400
+
+
+ERR_SQL = "CAST(event_type = 'error' AS INTEGER) AS se, CAST(value > 400 AS INTEGER) AS re"
+
+
+def _win(part, frame):
+    return f"OVER (PARTITION BY {part} ORDER BY ts {frame})"
+
+
+@register("traffic_time_window", f"""
+WITH e AS (SELECT event_id, ts, user_id, event_type, {ERR_SQL} FROM events),
+w AS (SELECT event_id,
+        count(*) {_win('user_id', "RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW")} AS hc,
+        sum(se) {_win('user_id', "RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW")} AS hse,
+        sum(re) {_win('user_id', "RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW")} AS hre,
+        count(*) {_win('event_type', "RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW")} AS sc,
+        sum(se) {_win('event_type', "RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW")} AS sse,
+        sum(re) {_win('event_type', "RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW")} AS sre,
+        count(*) {_win('user_id, event_type', "RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW")} AS hsc
+      FROM e)
+SELECT event_id, CAST(hc AS BIGINT) AS count, CAST(sc AS BIGINT) AS srv_count,
+       {Q.r6(Q.sdiv('hse', 'hc'))} AS serror_rate, {Q.r6(Q.sdiv('sse', 'sc'))} AS srv_serror_rate,
+       {Q.r6(Q.sdiv('hre', 'hc'))} AS rerror_rate, {Q.r6(Q.sdiv('sre', 'sc'))} AS srv_rerror_rate,
+       {Q.r6(Q.sdiv('hsc', 'hc'))} AS same_srv_rate, {Q.r6('1.0 - ' + Q.sdiv('hsc', 'hc'))} AS diff_srv_rate,
+       {Q.r6('1.0 - ' + Q.sdiv('hsc', 'sc'))} AS srv_diff_host_rate FROM w""")
+def q_traffic_time_window(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    se, re = _err()
+    return TR.traffic_time_window(e, "event_id", "ts", "user_id", "event_type", se, re, T_SECONDS)
+
+
+@register("traffic_host_window", f"""
+WITH e AS (SELECT event_id, ts, user_id, event_type, {ERR_SQL},
+                  row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rk FROM events),
+w AS (SELECT event_id,
+        count(*) OVER (PARTITION BY user_id ORDER BY rk RANGE BETWEEN {LAST_N - 1} PRECEDING AND CURRENT ROW) AS dc,
+        sum(se) OVER (PARTITION BY user_id ORDER BY rk RANGE BETWEEN {LAST_N - 1} PRECEDING AND CURRENT ROW) AS dse,
+        sum(re) OVER (PARTITION BY user_id ORDER BY rk RANGE BETWEEN {LAST_N - 1} PRECEDING AND CURRENT ROW) AS dre,
+        count(*) OVER (PARTITION BY user_id, event_type ORDER BY rk
+                       RANGE BETWEEN {LAST_N - 1} PRECEDING AND CURRENT ROW) AS sc,
+        sum(se) OVER (PARTITION BY user_id, event_type ORDER BY rk
+                      RANGE BETWEEN {LAST_N - 1} PRECEDING AND CURRENT ROW) AS sse,
+        sum(re) OVER (PARTITION BY user_id, event_type ORDER BY rk
+                      RANGE BETWEEN {LAST_N - 1} PRECEDING AND CURRENT ROW) AS sre FROM e)
+SELECT event_id, CAST(dc AS BIGINT) AS dst_host_count, CAST(sc AS BIGINT) AS dst_host_srv_count,
+       {Q.r6(Q.sdiv('sc', 'dc'))} AS dst_host_same_srv_rate, {Q.r6('1.0 - ' + Q.sdiv('sc', 'dc'))} AS dst_host_diff_srv_rate,
+       {Q.r6(Q.sdiv('dse', 'dc'))} AS dst_host_serror_rate, {Q.r6(Q.sdiv('sse', 'sc'))} AS dst_host_srv_serror_rate,
+       {Q.r6(Q.sdiv('dre', 'dc'))} AS dst_host_rerror_rate, {Q.r6(Q.sdiv('sre', 'sc'))} AS dst_host_srv_rerror_rate
+FROM w""")
+def q_traffic_host_window(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    se, re = _err()
+    return TR.traffic_host_window(e, "event_id", "ts", "user_id", "event_type", se, re, LAST_N)
