@@ -25,7 +25,8 @@ def _parts(df: DataFrame, n: int | None) -> int:
     return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def bucketize(df: DataFrame, order: Column, num_buckets: int, out: str = "_pid") -> DataFrame:
+def bucketize(df: DataFrame, order: Column, num_buckets: int, out: str = "_pid",
+              bounds: Sequence[float] | None = None) -> DataFrame:
     """Add a deterministic bucket id monotone in ``order`` (numeric).
 
     Bucket bounds are approximate quantiles of ``order`` computed once (at most
@@ -36,14 +37,16 @@ def bucketize(df: DataFrame, order: Column, num_buckets: int, out: str = "_pid")
 
     tmp = df.withColumn("_ord", order.cast("double"))
     probs = [i / num_buckets for i in range(1, num_buckets)]
-    bounds = tmp.approxQuantile("_ord", probs, 1.0 / (10 * num_buckets)) if probs else []
+    if bounds is None:
+        bounds = tmp.approxQuantile("_ord", probs, 1.0 / (10 * num_buckets)) if probs else []
     splits = [float("-inf")] + sorted({b for b in bounds if b == b}) + [float("inf")]
     bk = Bucketizer(splits=splits, inputCol="_ord", outputCol=out, handleInvalid="keep")
     return bk.transform(tmp).withColumn(out, F.col(out).cast("int")).drop("_ord")
 
 
 def prefix_sums(df: DataFrame, order: Column, sum_cols: Sequence[str], group_cols: Sequence[str] = (),
-                prefix: str = "cum_", tiebreak: Sequence = (), num_buckets: int | None = None) -> DataFrame:
+                prefix: str = "cum_", tiebreak: Sequence = (), num_buckets: int | None = None,
+                bounds: Sequence[float] | None = None) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows of the same group whose (order,
     tiebreak) key is <= the current row's (peers included).
 
@@ -52,7 +55,7 @@ def prefix_sums(df: DataFrame, order: Column, sum_cols: Sequence[str], group_col
     columns must be low-cardinality (the offsets table has #groups x #buckets rows)."""
     group_cols = list(group_cols)
     tiebreak = [F.col(t) if isinstance(t, str) else t for t in tiebreak]
-    b = bucketize(df.withColumn("_o", order.cast("double")), F.col("_o"), _parts(df, num_buckets))
+    b = bucketize(df.withColumn("_o", order.cast("double")), F.col("_o"), _parts(df, num_buckets), bounds=bounds)
     w = (Window.partitionBy(*group_cols, "_pid").orderBy(F.col("_o"), *tiebreak)
          .rangeBetween(Window.unboundedPreceding, Window.currentRow) if not tiebreak else
          Window.partitionBy(*group_cols, "_pid").orderBy(F.col("_o"), *tiebreak)
@@ -75,7 +78,11 @@ def hash_order(h: Column) -> Column:
 def row_rank(df: DataFrame, hash_col: str, group_cols: Sequence[str] = (), name: str = "rank") -> DataFrame:
     """1-based row number within each group in order of a UNIQUE hex hash column."""
     one = df.withColumn("_one", F.lit(1).cast("long"))
-    ranked = prefix_sums(one, hash_order(F.col(hash_col)), ["_one"], group_cols, prefix="_r", tiebreak=[hash_col])
+    n = _parts(df, None)
+    # md5 is uniform: equal-width bounds over the 48-bit proxy are balanced, no sampling job
+    uniform = [float(i * (2 ** 48) // n) for i in range(1, n)]
+    ranked = prefix_sums(one, hash_order(F.col(hash_col)), ["_one"], group_cols, prefix="_r", tiebreak=[hash_col],
+                         num_buckets=n, bounds=uniform)
     return ranked.withColumnRenamed("_r_one", name).drop("_one")
 
 
