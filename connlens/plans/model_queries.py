@@ -159,3 +159,139 @@ def q_fit_gaussian_nb(spark, sf_dir):
     model = MD.gaussian_nb_fit(x, feats, "label")
     p = MD.gaussian_nb_predict(x, model, feats, keep=["vec_id"])
     return p.select("vec_id", F.col("pred").cast("int").alias("pred"), r6(F.array_max("probability")).alias("confidence"))
+
+
+# ---------------------------------------------------------------------------
+# anomaly detectors on embeddings: attack = label 8 (seen) / 9 (novel)
+# ---------------------------------------------------------------------------
+
+from connlens.operators import anomaly as IF  # noqa: E402
+from connlens.operators import neighbors as N  # noqa: E402
+from connlens.functions.core import safe_div  # noqa: E402
+from connlens.operators.ordered import exact_quantiles  # noqa: E402
+from pyspark.sql import DataFrame  # noqa: E402
+
+
+def anomaly_frame(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    seg = F.when(F.col("label") == 9, "novel").when(F.col("label") == 8, "seen").otherwise("normal")
+    return e.select("vec_id", "label", F.transform("embedding", lambda v: v.cast("double")).alias("vec"),
+                    (F.col("label") >= 8).cast("int").alias("y"), seg.alias("segment"),
+                    F.when(md5_uniform("vec_id", 3) < 0.6, "train").otherwise("test").alias("split"))
+
+
+def detector_metrics(df: DataFrame, preds: dict) -> DataFrame:
+    """One pass: precision, recall, F1, accuracy, FPR, seen/novel recall for every
+    named prediction column expression in ``preds``."""
+    cnt = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")
+    yy, seg = F.col("y") == 1, F.col("segment")
+    aggs = [F.count(F.lit(1)).alias("n"), cnt(yy).alias("P"), cnt(seg == "seen").alias("S"),
+            cnt(seg == "novel").alias("V")]
+    for i, p in enumerate(preds.values()):
+        a = p == 1
+        aggs += [cnt(a & yy).alias(f"tp{i}"), cnt(a & ~yy).alias(f"fp{i}"), cnt(a & (seg == "seen")).alias(f"ds{i}"),
+                 cnt(a & (seg == "novel")).alias(f"dn{i}")]
+    one = df.agg(*aggs)
+    rows = F.explode(F.array(*[F.struct(F.lit(name).alias("config"), *[F.col(f"{k}{i}").alias(k)
+                                                                      for k in ("tp", "fp", "ds", "dn")])
+                               for i, name in enumerate(preds)])).alias("x")
+    t = one.select("n", "P", "S", "V", rows)
+    tp, fp = F.col("x.tp"), F.col("x.fp")
+    return t.select(F.col("x.config").alias("config"),
+                    r6(safe_div(tp, tp + fp)).alias("precision"), r6(safe_div(tp, "P")).alias("recall"),
+                    r6(safe_div(2 * tp, tp + fp + F.col("P"))).alias("f1_score"),
+                    r6(safe_div(tp + (F.col("n") - F.col("P") - fp), "n")).alias("accuracy"),
+                    r6(safe_div(fp, F.col("n") - F.col("P"))).alias("fpr"),
+                    r6(safe_div("x.ds", "S")).alias("seen_recall"), r6(safe_div("x.dn", "V")).alias("novel_recall"))
+
+
+@register("isolation_forest")
+def q_isolation_forest(spark, sf_dir):
+    a = anomaly_frame(spark, sf_dir)
+    train = a.where("split = 'train' AND y = 0")
+    model = IF.fit(train, "vec_id", "vec", config.IF_TREES, config.IF_MAX_SAMPLES, config.RANDOM_STATE)
+    off = IF.offsets(IF.score(train, model, "vec_id", "vec"), [config.HYBRID_CONTAMINATION])
+    s = IF.label(IF.score(a.where("split = 'test'"), model, "vec_id", "vec"), F.lit(off[config.HYBRID_CONTAMINATION]))
+    return s.select("vec_id", r6("score").alias("score"), r6("decision").alias("decision"), "is_anomaly")
+
+
+def _if_configs(a, scheme):
+    train = a.where("split = 'train'") if scheme == "Entire Set" else a.where("split = 'train' AND y = 0")
+    model = IF.fit(train, "vec_id", "vec", config.IF_TREES, config.IF_MAX_SAMPLES, config.RANDOM_STATE)
+    tr = IF.score(train, model, "vec_id", "vec")
+    test = a.where("split = 'test'")
+    sc = IF.score(test, model, "vec_id", "vec").join(test.select("vec_id", "y", "segment"), "vec_id")
+    offs = IF.offsets(tr, config.IF_CONTAMINATIONS)
+    return sc, {f"contamination={c}": (F.col("score") < F.lit(offs[c])).cast("int") for c in config.IF_CONTAMINATIONS}
+
+
+def _lof_configs(a, scheme, k):
+    ref = a.where("split = 'train'") if scheme == "Entire Set" else a.where("split = 'train' AND y = 0")
+    from connlens.operators.sampling import uniform_subsample
+    ref = uniform_subsample(ref, F.col("vec_id"), config.LOF_MAX_REFERENCE)
+    ref_nn = N.knn_join(ref, ref, k, qid="vec_id", qvec="vec", exclude_self=True)
+    fitted = N.lof_fit(ref_nn)
+    nof = N.lof_training_factor(ref_nn, fitted)
+    test = a.where("split = 'test'")
+    sc = N.lof_score(N.knn_join(test, ref, k, qid="vec_id", qvec="vec"), fitted).withColumnRenamed("qid", "vec_id")
+    sc = sc.join(test.select("vec_id", "y", "segment"), "vec_id")
+    offs = IF.offsets(nof, config.LOF_CONTAMINATIONS)
+    offs["auto"] = -1.5  # LOF's fixed offset for 'auto'
+    return sc, {f"n_neighbors={k}, contamination={c}": (F.col("score") < F.lit(offs[c])).cast("int")
+                for c in config.LOF_CONTAMINATIONS}
+
+
+
+
+
+@register("report_anomaly_sweep")
+def q_report_anomaly_sweep(spark, sf_dir):
+    a = anomaly_frame(spark, sf_dir)
+    parts = []
+    # supervised generative champion: Gaussian NB on the first NB_DIMS dims, tau = 0.5
+    tr = a.where("split = 'train'").select("y", *[F.element_at("vec", i + 1).alias(f"e{i}") for i in range(NB_DIMS)])
+    feats = [f"e{i}" for i in range(NB_DIMS)]
+    nb = MD.gaussian_nb_fit(tr, feats, "y")
+    te = a.where("split = 'test'").select("vec_id", "y", "segment", *[F.element_at("vec", i + 1).alias(f"e{i}")
+                                                                      for i in range(NB_DIMS)])
+    p = MD.gaussian_nb_predict(te, nb, feats, keep=["vec_id", "y", "segment"])
+    p1 = F.element_at("probability", nb["classes"].index(1) + 1) if 1 in nb["classes"] else F.lit(0.0)
+    parts.append(detector_metrics(p, {"tau=0.50": (p1 >= 0.5).cast("int")}).select(
+        F.lit("Naive Bayes (Champion)").alias("model"), F.lit("Supervised (Generative)").alias("training_scheme"),
+        F.col("config").alias("params"), "*").drop("config"))
+    for scheme in ("Normal Only", "Entire Set"):
+        sc, preds = _if_configs(a, scheme)
+        parts.append(detector_metrics(sc, preds).select(
+            F.lit("Isolation Forest").alias("model"), F.lit(scheme).alias("training_scheme"),
+            F.col("config").alias("params"), "*").drop("config"))
+    for scheme in ("Normal Only", "Entire Set"):
+        for k in config.LOF_NEIGHBORS:
+            sc, preds = _lof_configs(a, scheme, k)
+            parts.append(detector_metrics(sc, preds).select(
+                F.lit("Local Outlier Factor").alias("model"), F.lit(scheme).alias("training_scheme"),
+                F.col("config").alias("params"), "*").drop("config"))
+    out = parts[0]
+    for q in parts[1:]:
+        out = out.unionByName(q)
+    return out
+
+
+@register("hybrid_fit_score")
+def q_hybrid_fit_score(spark, sf_dir):
+    """Stage 1 isolation forest (normal-only, contamination 0.20) + stage 2 Gaussian NB
+    router over the 10 embedding labels mapped to families, decided with T = None."""
+    a = anomaly_frame(spark, sf_dir).withColumn("family", (F.col("label") % 5).cast("int"))
+    train = a.where("split = 'train'")
+    model = IF.fit(train.where("y = 0"), "vec_id", "vec", config.IF_TREES, config.IF_MAX_SAMPLES, config.RANDOM_STATE)
+    off = F.lit(IF.offsets(IF.score(train.where("y = 0"), model, "vec_id", "vec"), [config.HYBRID_CONTAMINATION])[
+        config.HYBRID_CONTAMINATION])
+    feats = [f"e{i}" for i in range(NB_DIMS)]
+    ex = lambda d: d.select("*", *[F.element_at("vec", i + 1).alias(f"e{i}") for i in range(NB_DIMS)])
+    nb = MD.gaussian_nb_fit(ex(train), feats, "family")
+    test = a.where("split = 'test'")
+    s1 = IF.label(IF.score(test, model, "vec_id", "vec"), off)
+    s2 = MD.gaussian_nb_predict(ex(test), nb, feats, keep=["vec_id", "y", "segment"])
+    j = s1.join(s2, "vec_id").select("vec_id", "y", "segment", (F.col("is_anomaly") == 1).alias("s1_anomaly"),
+                                     F.col("pred").alias("s2_pred"), F.col("decision").alias("d1"), "probability")
+    return j.select("vec_id", "y", "segment", H.decide("s1_anomaly", "s2_pred", "d1", None).alias("pred"),
+                    H.serve("s1_anomaly", "s2_pred", "d1", "probability", None).alias("response"))
