@@ -5,8 +5,8 @@
   is compiled into a projection (no UDF, no join).
 * Logistic regression, trees, forests, GBT, linear SVM go through MLlib estimators
   (distributed treeAggregate / histogram training); class weights ride on ``weightCol``.
-* AdaBoost (SAMME) is a loop of weighted depth-1 trees whose weight update is a
-  projection; lineage is cut with ``checkpoint()`` into the cluster's checkpoint dir.
+* AdaBoost (SAMME) fits stumps on quantile bins; each round is one grouped aggregate
+  and the row weights are an expression of the stumps so far (no lineage growth).
 """
 
 from __future__ import annotations
@@ -144,7 +144,8 @@ def ovr_probabilities(scored: DataFrame, raw: str = "rawPrediction", out: str =
 def fit_linear_svm(train: DataFrame, label: str, max_iter: int = 100):
     """Linear SVM + Platt scaling (logistic regression on the margin)."""
     svm = LinearSVC(featuresCol="features", labelCol=label, maxIter=max_iter).fit(train)
-    margin = svm.transform(train).withColumn("_margin", vector_to_array("rawPrediction")[1])
+    margin = (svm.transform(train).withColumn("_margin", vector_to_array("rawPrediction")[1])
+              .drop("rawPrediction", "prediction"))
     platt = LogisticRegression(featuresCol="_mf", labelCol=label).fit(
         VectorAssembler(inputCols=["_margin"], outputCol="_mf").transform(margin))
     return svm, platt
@@ -156,44 +157,108 @@ def svm_probability(svm, platt, df: DataFrame) -> DataFrame:
     return platt.transform(m)
 
 
-def fit_adaboost(train: DataFrame, label: str, n_rounds: int = 100, classes: int = 2, seed: int = 42,
-                 checkpoint_every: int = 5):
-    """SAMME boosting of depth-1 trees.  Weights live in a column; each round is one
-    distributed fit + one projection; lineage is cut every few rounds."""
-    spark = train.sparkSession
-    checkpoint_dir(spark)
-    d = train.withColumn("_w", F.lit(1.0))
-    stumps, alphas = [], []
+def adaboost_bins(df: DataFrame, features: Sequence[str], n_bins: int = 32) -> tuple[DataFrame, dict]:
+    """Quantile bin edges per feature (one approxQuantile job; features x bins numbers)
+    and the binned frame (JVM Bucketizer, multi-column)."""
+    from pyspark.ml.feature import Bucketizer
+    probs = [i / n_bins for i in range(1, n_bins)]
+    qs = df.approxQuantile(list(features), probs, 1.0 / (10 * n_bins))
+    splits = {f: [float("-inf")] + sorted(set(q)) + [float("inf")] for f, q in zip(features, qs)}
+    bk = Bucketizer(splitsArray=[splits[f] for f in features], inputCols=list(features),
+                    outputCols=[f"_bin_{f}" for f in features], handleInvalid="keep")
+    return bk.transform(df), splits
+
+
+def _stump_expr(st: dict) -> Column:
+    return F.when(F.col(f"_bin_{st['feature']}") < st["cut"], F.lit(st["left"])).otherwise(F.lit(st["right"]))
+
+
+def fit_adaboost(train: DataFrame, features: Sequence[str], label: str, n_rounds: int = 100, classes: int = 2,
+                 n_bins: int = 32, checkpoint_every: int = 10):
+    """SAMME with decision stumps on quantile bins.
+
+    Round r is ONE grouped aggregate: weights summed by (feature, bin, class); the
+    histogram (<= features x bins x classes rows) comes to the driver, which picks the
+    stump with the smallest weighted error.  The row log-weight is a running column
+    updated by one term per round; every ``checkpoint_every`` rounds the frame is
+    checkpointed, so plans and generated code stay small and lineage is cut."""
+    checkpoint_dir(train.sparkSession)
+    binned, splits = adaboost_bins(train, features, n_bins)
+    cur = binned.select(F.col(label).cast("int").alias("_y"), *[f"_bin_{f}" for f in features],
+                        F.lit(0.0).alias("_lw")).checkpoint()
+    stumps = []
     for r in range(n_rounds):
-        stump = DecisionTreeClassifier(featuresCol="features", labelCol=label, maxDepth=1, weightCol="_w",
-                                       seed=seed + r).fit(d)
-        p = stump.transform(d).select(*d.columns, F.col("prediction").alias("_p"))
-        wrong = (F.col("_p") != F.col(label)).cast("double")
-        tot, err_w = p.agg(F.sum("_w"), F.sum(F.col("_w") * wrong)).first()
-        err = (err_w or 0.0) / (tot or 1.0)
-        if err <= 0:
-            stumps.append(stump)
-            alphas.append(1.0)
+        long = cur.select("_y", F.exp("_lw").alias("_w"), F.explode(F.array(*[
+            F.struct(F.lit(f).alias("f"), F.col(f"_bin_{f}").cast("int").alias("b")) for f in features])).alias("e"))
+        hist = long.groupBy("e.f", "e.b", "_y").agg(F.sum("_w").alias("w")).collect()
+        best = _best_stump(hist, features, classes)
+        if best is None:
             break
+        err = best["err"]
         if err >= 1 - 1.0 / classes:
             break
-        alpha = math.log((1 - err) / err) + math.log(classes - 1)
-        stumps.append(stump)
-        alphas.append(alpha)
-        d = p.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * wrong)).drop("_p")
+        alpha = (math.log((1 - err) / err) + math.log(classes - 1)) if err > 0 else 1.0
+        best["alpha"] = alpha
+        stumps.append(best)
+        if err <= 0:
+            break
+        cur = cur.withColumn("_lw", F.col("_lw") + F.lit(alpha) * (_stump_expr(best) != F.col("_y")).cast("double"))
         if (r + 1) % checkpoint_every == 0:
-            d = d.checkpoint()
-    return stumps, alphas
-
-
-def adaboost_predict(stumps, alphas, df: DataFrame, classes: int = 2, keep: Sequence[str] = ()) -> DataFrame:
-    d = df
-    score_cols = []
-    for i, (s, a) in enumerate(zip(stumps, alphas)):
-        d = s.transform(d).withColumnRenamed("prediction", f"_p{i}").drop("rawPrediction", "probability")
-        score_cols.append((f"_p{i}", a))
-    votes = F.array(*[sum((F.when(F.col(c) == k, F.lit(a)).otherwise(F.lit(0.0)) for c, a in score_cols), F.lit(0.0))
-                      for k in range(classes)])
+            cur = cur.checkpoint()
+    return {"stumps": stumps, "splits": splits, "features": list(features), "classes": classes}
+
+
+def _best_stump(hist, features, classes):
+    import numpy as np
+    tot_by_f = {}
+    for r in hist:
+        tot_by_f.setdefault(r["f"], {})[(r["b"], r["_y"])] = r["w"]
+    best = None
+    for f, cells in tot_by_f.items():
+        nb = max(b for b, _ in cells) + 1
+        m = np.zeros((nb, classes))
+        for (b, y), w in cells.items():
+            if 0 <= y < classes:
+                m[b, y] += w
+        total = m.sum()
+        if total <= 0:
+            continue
+        cum = np.cumsum(m, axis=0)
+        for cut in range(1, nb):
+            left, right = cum[cut - 1], cum[-1] - cum[cut - 1]
+            lc, rc = int(np.argmax(left)), int(np.argmax(right))
+            err = (total - left[lc] - right[rc]) / total
+            if best is None or err < best["err"] - 1e-15:
+                best = {"feature": f, "cut": cut, "left": lc, "right": rc, "err": float(err)}
+    return best
+
+
+def adaboost_predict(model: dict, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """argmax_k sum_i alpha_i [stump_i(x) = k]: the stumps are literal arrays folded with
+    ``aggregate`` -- one compact expression whatever the number of rounds."""
+    from pyspark.ml.feature import Bucketizer
+    feats = model["features"]
+    stumps = model["stumps"]
+    bk = Bucketizer(splitsArray=[model["splits"][f] for f in feats], inputCols=feats,
+                    outputCols=[f"_bin_{f}" for f in feats], handleInvalid="keep")
+    d = bk.transform(df).withColumn("_bins", F.array(*[F.col(f"_bin_{f}").cast("int") for f in feats]))
+    if not stumps:
+        return d.select(*keep, F.lit(0).alias("pred"))
+    fidx = F.array(*[F.lit(feats.index(st["feature"])) for st in stumps])
+    cuts = F.array(*[F.lit(st["cut"]) for st in stumps])
+    lefts = F.array(*[F.lit(st["left"]) for st in stumps])
+    rights = F.array(*[F.lit(st["right"]) for st in stumps])
+    alphas = F.array(*[F.lit(float(st["alpha"])) for st in stumps])
+    idx = F.sequence(F.lit(1), F.lit(len(stumps)))
+
+    def stump(i):
+        b = F.element_at(F.col("_bins"), F.element_at(fidx, i) + 1)
+        return F.when(b < F.element_at(cuts, i), F.element_at(lefts, i)).otherwise(F.element_at(rights, i))
+
+    def vote_for(k):
+        return lambda acc, i: acc + F.element_at(alphas, i) * (stump(i) == k).cast("double")
+
+    votes = F.array(*[F.aggregate(idx, F.lit(0.0), vote_for(k)) for k in range(model["classes"])])
     return d.select(*keep, argmax(votes).alias("pred"))
 
 
