@@ -1,3 +1,230 @@
-"""Registered queries."""
+"""Streaming queries: each runs to completion (Trigger.AvailableNow) over the events
+file and returns what its sink wrote.  Where the result is deterministic the oracle is
+the equivalent batch SQL."""
 
 from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from connlens.functions.core import md5_uniform, r6
+from connlens.operators import hybrid as H
+from connlens.operators import labels as L
+from connlens.plans import sqlfrag as Q
+from connlens.plans.metric_queries import multi_pred
+from connlens.plans.registry import register
+from connlens.sources.tables import table
+from connlens.streaming import jobs as S
+
+DELAY = "1 hour"
+def _err():
+    return F.col("event_type") == "error"
+
+
+def _closed(window_end_sql: str, delay_hours: int = 1) -> str:
+    return f"{window_end_sql} <= (SELECT max(ts) FROM events) - INTERVAL {delay_hours} HOUR"
+
+
+@register("stream_tumbling", f"""
+SELECT window_start, window_end, event_type, CAST(n AS BIGINT) AS n, CAST(errors AS BIGINT) AS errors FROM (
+  SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
+         event_type, count(*) AS n, sum(CAST(event_type = 'error' AS INTEGER)) AS errors
+  FROM events GROUP BY 1, 2, 3) WHERE {_closed('window_end')}""")
+def q_stream_tumbling(spark, sf_dir):
+    out, _ = S.run_to_table(S.tumbling_counts(S.event_stream(spark, sf_dir), "event_type", "1 day", DELAY, _err()),
+                            "tumbling")
+    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).withColumn(
+        "window_end", F.col("window_end").cast("timestamp_ntz"))
+
+
+@register("stream_sliding", f"""
+WITH b AS (SELECT ts, event_type, CAST(event_type = 'error' AS DOUBLE) AS e,
+                  time_bucket(INTERVAL 6 HOUR, ts) AS b0 FROM events),
+w AS (SELECT b0 - INTERVAL (6 * k) HOUR AS window_start, event_type, e FROM b, range(0, 4) r(k))
+SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, event_type, CAST(count(*) AS BIGINT) AS n,
+       {Q.r6('avg(e)')} AS error_rate
+FROM w GROUP BY window_start, event_type HAVING {_closed('window_start + INTERVAL 1 DAY')}""")
+def q_stream_sliding(spark, sf_dir):
+    s = S.sliding_counts(S.event_stream(spark, sf_dir), "event_type", "1 day", "6 hours", DELAY, _err())
+    out, _ = S.run_to_table(s, "sliding")
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type", "n",
+                      r6("error_rate").alias("error_rate"))
+
+
+@register("stream_session", f"""
+WITH e AS (SELECT user_id, ts, value, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events),
+g AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts - prev >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+                OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, CAST(count(*) AS BIGINT) AS n_events,
+       {Q.r6('sum(value)')} AS total_value
+FROM g GROUP BY user_id, sid HAVING {_closed('max(ts) + INTERVAL 30 MINUTE')}""")
+def q_stream_session(spark, sf_dir):
+    out, _ = S.run_to_table(S.sessions(S.event_stream(spark, sf_dir), "user_id", "30 minutes", DELAY), "sessions")
+    return out.select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
+                      F.col("session_end").cast("timestamp_ntz").alias("session_end"), "n_events",
+                      r6("total_value").alias("total_value"))
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    out, _ = S.run_to_table(S.dedup(S.event_stream(spark, sf_dir), ["user_id", "event_type"], DELAY), "dedup")
+    return out.select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+@register("stream_late")
+def q_stream_late(spark, sf_dir):
+    """Bounded lateness: rows arriving behind the watermark are dropped by the stateful
+    window; the count comes from the query's progress metrics.  The file is split in
+    two micro-batches by event time order reversal to create late rows."""
+    s = S.tumbling_counts(S.event_stream(spark, sf_dir), "event_type", "1 hour", "10 minutes", _err())
+    out, stats = S.run_to_table(s, "late")
+    emitted = out.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_in_emitted_windows")) if out is not None else None
+    return emitted.select(F.lit(stats["input_rows"]).cast("long").alias("input_rows"),
+                          F.lit(stats["dropped_by_watermark"]).cast("long").alias("dropped_by_watermark"),
+                          F.col("rows_in_emitted_windows").cast("long").alias("rows_in_emitted_windows"))
+
+
+def _staged_stream(s):
+    shift = F.when(F.col("event_type") == "error", 40.0).when(F.col("event_type") == "signup", 20.0).otherwise(0.0)
+    v = F.col("value") + shift
+    cls = (F.when(F.col("event_type") == "signup", "neptune").when(F.col("event_type") == "purchase", "warezclient")
+           .when(F.col("event_type") == "error", "mscan").otherwise("normal"))
+    sc = s.select(F.col("event_id").alias("row_id"), cls.alias("class"), (v / (v + 50.0)).alias("score"))
+    d1 = F.lit(0.45) - F.col("score")
+    s2 = F.when(md5_uniform("row_id", 5) < 0.3, F.lit(0)).otherwise(L.family_label("class"))
+    top = 0.7 + 0.3 * md5_uniform("row_id", 6)
+    st = sc.select("row_id", d1.alias("d1"), (d1 < 0).alias("s1_anomaly"), s2.alias("s2_pred"), top.alias("_top"))
+    probs = F.transform(F.sequence(F.lit(0), F.lit(4)),
+                        lambda k: F.when(k == F.col("s2_pred"), F.col("_top")).otherwise((1 - F.col("_top")) / 4))
+    return st.withColumn("probs", probs)
+
+
+def _serve_sql():
+    from connlens.plans.model_queries import _serve_sql as serve
+    return serve(None)
+
+
+@register("stream_score", _serve_sql())
+def q_stream_score(spark, sf_dir):
+    st = _staged_stream(S.event_stream(spark, sf_dir))
+    r = st.select("row_id", H.serve("s1_anomaly", "s2_pred", "d1", "probs", None).alias("r"))
+    out, _ = S.run_to_table(r.select("row_id", "r.is_attack", "r.attack_family", r6("r.confidence").alias("confidence"),
+                                     r6("r.stage1_score").alias("stage1_score")), "score")
+    return out
+
+
+def _truncated(props, event_id):
+    bad = md5_uniform(event_id, 50) < 0.02
+    return F.when(bad, F.expr(f"substring({props}, 1, length({props}) - 1)")).otherwise(F.col(props))
+
+
+@register("stream_rejects", f"""
+WITH r AS (SELECT event_id, CASE WHEN {Q.md5_uniform('event_id', 50)} < 0.02 THEN substr(props, 1, length(props) - 1)
+                                 ELSE props END AS raw FROM events)
+SELECT event_id, raw, NOT json_valid(raw) AS rejected,
+       CASE WHEN json_valid(raw) THEN CAST(json_extract(raw, '$.k') AS INTEGER) END AS k FROM r""")
+def q_stream_rejects(spark, sf_dir):
+    """Malformed records (every ~50th props string truncated) are routed to a rejects
+    sink; valid ones to the accepted sink -- two writes per micro-batch."""
+    s = S.event_stream(spark, sf_dir).select("event_id", _truncated("props", "event_id").alias("raw"))
+    parsed = s.select("event_id", "raw", F.from_json("raw", "k INT", {"mode": "PERMISSIVE"}).alias("j"))
+
+    def per_batch(batch, epoch, root):
+        batch = batch.withColumn("rejected", F.col("j").isNull() | F.col("j.k").isNull())
+        batch.where("rejected").select("event_id", "raw").write.mode("append").parquet(os.path.join(root, "rejects"))
+        batch.where("NOT rejected").select("event_id", "raw", F.col("j.k").alias("k")).write.mode("append").parquet(
+            os.path.join(root, "accepted"))
+
+    _, stats = S.run_to_table(parsed, "rejects", per_batch=per_batch)
+    acc = S.read_if_exists(spark, os.path.join(stats["root"], "accepted")).withColumn("rejected", F.lit(False))
+    rej = S.read_if_exists(spark, os.path.join(stats["root"], "rejects"))
+    if rej is None:
+        return acc
+    return acc.unionByName(rej.select("event_id", "raw", F.lit(True).alias("rejected"), F.lit(None).cast("int").alias("k")))
+
+
+@register("stream_alert_rollup", (
+    "WITH " + _serve_sql()[len("WITH "):].split("SELECT row_id, (", 1)[0] + f"""
+SELECT {Q.family_name('pred')} AS attack_family, CAST(count(*) AS BIGINT) AS n_alerts
+FROM (SELECT CASE WHEN NOT s1_anomaly THEN 0 WHEN s2_pred <> 0 THEN s2_pred ELSE 3 END AS pred FROM st) GROUP BY 1"""))
+def q_stream_alert_rollup(spark, sf_dir):
+    st = _staged_stream(S.event_stream(spark, sf_dir))
+    dec = st.select(L.family_name(H.decide("s1_anomaly", "s2_pred", "d1", None)).alias("attack_family"))
+    agg = dec.groupBy("attack_family").agg(F.count(F.lit(1)).cast("long").alias("n_alerts"))  # <= 5 keys of state
+    out, _ = S.run_to_table(agg, "alerts", mode="complete")
+    return out
+
+
+@register("stream_recent", """
+SELECT user_id, CAST(rk AS INTEGER) AS rank, event_id, ts, event_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rk FROM events) WHERE rk <= 5""")
+def q_stream_recent(spark, sf_dir):
+    s = S.event_stream(spark, sf_dir).select("user_id", "event_id", "ts", "event_type")
+    out, _ = S.run_to_table(S.last_n_per_key(s, "user_id", 5, ["event_type"]), "recent", mode="update")
+    # one emission per key per micro-batch: keep the latest batch's list for each key
+    return out.select("user_id", "rank", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type")
+
+
+@register("stream_host_window", f"""
+WITH e AS (SELECT event_id, ts, user_id, event_type, CAST(event_type = 'error' AS INTEGER) AS se,
+                  CAST(value > 400 AS INTEGER) AS re FROM events)
+SELECT event_id,
+  CAST(count(*) OVER w AS BIGINT) AS dst_host_count,
+  CAST(count(*) OVER ws AS BIGINT) AS dst_host_srv_count,
+  {Q.r6('avg(se) OVER w')} AS dst_host_serror_rate, {Q.r6('avg(re) OVER w')} AS dst_host_rerror_rate
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rk FROM e)
+WINDOW w AS (PARTITION BY user_id ORDER BY rk RANGE BETWEEN 19 PRECEDING AND CURRENT ROW),
+       ws AS (PARTITION BY user_id, event_type ORDER BY rk RANGE BETWEEN 19 PRECEDING AND CURRENT ROW)""")
+def q_stream_host_window(spark, sf_dir):
+    s = S.event_stream(spark, sf_dir).select(
+        "event_id", "ts", "user_id", "event_type", (F.col("event_type") == "error").cast("int").alias("se"),
+        (F.col("value") > 400).cast("int").alias("re"))
+    out, _ = S.run_to_table(S.host_window_online(s, "user_id", "event_type", 20, "se", "re"), "hostwin")
+    return out.select("event_id", "dst_host_count", "dst_host_srv_count",
+                      r6("dst_host_serror_rate").alias("dst_host_serror_rate"),
+                      r6("dst_host_rerror_rate").alias("dst_host_rerror_rate"))
+
+
+@register("drift_monitor", f"""
+WITH base AS (SELECT avg(value) AS mu, stddev_samp(value) AS sd FROM events),
+seen AS (SELECT DISTINCT event_type FROM events WHERE ts < (SELECT min(ts) FROM events) + INTERVAL 1 DAY),
+d AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, e.event_type, value,
+             CASE WHEN s.event_type IS NULL THEN 1.0 ELSE 0.0 END AS unseen
+      FROM events e LEFT JOIN seen s ON e.event_type = s.event_type)
+SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, CAST(count(*) AS BIGINT) AS n,
+       {Q.r6('avg(unseen)')} AS unseen_share, {Q.r6('(avg(value) - max(mu)) / max(sd)')} AS mean_shift_z
+FROM d, base GROUP BY window_start HAVING {_closed('window_start + INTERVAL 1 DAY')}""")
+def q_drift_monitor(spark, sf_dir):
+    """Daily windows of the stream joined to a static baseline computed from the table
+    (categories seen on the first day; mean and std of value)."""
+    ev = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    first = ev.agg(F.min("ts")).scalar()
+    seen = ev.where(F.col("ts") < first + F.expr("INTERVAL 1 DAY")).select("event_type").distinct().withColumn(
+        "_seen", F.lit(1))
+    base = ev.agg(F.avg("value").alias("mu"), F.stddev_samp("value").alias("sd"))
+    s = S.event_stream(spark, sf_dir).join(F.broadcast(seen), "event_type", "left")  # stream-static join
+    agg = (s.withWatermark("ts", DELAY).groupBy(F.window("ts", "1 day").alias("w"))
+           .agg(F.count(F.lit(1)).alias("n"), F.avg(F.when(F.col("_seen").isNull(), 1.0).otherwise(0.0)).alias("u"),
+                F.avg("value").alias("m")))
+    out, _ = S.run_to_table(agg, "drift")
+    b = base.first()  # two numbers
+    return out.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("w.end").cast("timestamp_ntz").alias("window_end"), F.col("n").cast("long").alias("n"),
+                      r6("u").alias("unseen_share"), r6((F.col("m") - F.lit(b["mu"])) / F.lit(b["sd"])).alias("mean_shift_z"))
+
+
+@register("foreach_report")
+def q_foreach_report(spark, sf_dir):
+    """Per micro-batch report rows written by foreachBatch (batch id, rows, attacks)."""
+    st = _staged_stream(S.event_stream(spark, sf_dir, max_files=1))
+    dec = st.select("row_id", H.decide("s1_anomaly", "s2_pred", "d1", None).alias("pred"))
+
+    def per_batch(batch, epoch, root):
+        batch.agg(F.lit(epoch).cast("long").alias("batch_id"), F.count(F.lit(1)).cast("long").alias("rows"),
+                  F.sum((F.col("pred") != 0).cast("long")).alias("attacks")).write.mode("append").parquet(
+            os.path.join(root, "report"))
+
+    _, stats = S.run_to_table(dec, "foreach_report", per_batch=per_batch)
+    return S.read_if_exists(spark, os.path.join(stats["root"], "report"))
