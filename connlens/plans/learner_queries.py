@@ -135,8 +135,8 @@ def q_vote_soft(spark, sf_dir):
     return _binary_report(out, "voting_nb_rf_lr")
 
 
-@register("kfold_oof")
-def q_kfold_oof(spark, sf_dir):
+@register("stack")
+def q_stack(spark, sf_dir):
     """5-fold out-of-fold probabilities of two base learners (NB, LR) -> stacking LR."""
     tr, va = learn_split(spark, sf_dir)
     folded = S.kfold_assign(tr, F.col("rkey"), "y", 5)
@@ -175,3 +175,90 @@ def q_model_store(spark, sf_dir):
     manifest.write.mode("append").parquet(os.path.join(root, "manifest"))
     loaded = PipelineModel.load(path)
     return _binary_report(_p1(loaded.transform(va)), "logistic_regression_loaded")
+
+
+@register("coef_importance")
+def q_coef_importance(spark, sf_dir):
+    """Mean |coefficient| across classes of a multinomial logistic regression."""
+    tr, _ = learn_split(spark, sf_dir)
+    lr = MD.fit_logistic(tr, "y_multi")
+    mat = lr.coefficientMatrix.toArray()  # classes x features: bounded by the schema
+    rows = [(f, float(abs(mat[:, j]).mean())) for j, f in enumerate(FEATS)]
+    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.col("importance").desc())
+
+
+@register("kfold_oof")
+def q_kfold_oof(spark, sf_dir):
+    """Out-of-fold naive-Bayes probabilities over 5 stratified folds (R7 alone)."""
+    tr, _ = learn_split(spark, sf_dir)
+    folded = S.kfold_assign(tr, F.col("rkey"), "y", 5)
+    parts = []
+    for k in range(5):
+        nb = MD.gaussian_nb_fit(folded.where(F.col("fold") != k), FEATS, "y")
+        hold = folded.where(F.col("fold") == k)
+        parts.append(MD.gaussian_nb_predict(hold, nb, FEATS, keep=["rkey", "y", "fold"]).select(
+            "rkey", "y", "fold", r6(F.element_at("probability", 2)).alias("oof_p1")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("score_records")
+def q_score_records(spark, sf_dir):
+    """Batch scoring of request records with a saved pipeline: the JSON contract splits
+    out incomplete records, the loaded model scores the rest."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.classification import LogisticRegression
+    tr, va = learn_split(spark, sf_dir)
+    path = os.path.join(checkpoint_dir(spark), "models", "binary", "records_lr")
+    MD.pipeline_fit([LogisticRegression(featuresCol="features", labelCol="y", maxIter=100)], tr).write().overwrite().save(path)
+    model = PipelineModel.load(path)
+    recs = va.select("rkey", *FEATS).withColumn("valid", F.lit(True))
+    for c in FEATS:
+        recs = recs.withColumn("valid", F.col("valid") & F.col(c).isNotNull())
+    scored = model.transform(MD.assemble(recs.where("valid"), FEATS))
+    return scored.select("rkey", F.col("prediction").cast("int").alias("is_attack"),
+                         r6(vector_to_array("probability")[1]).alias("confidence"))
+
+
+@register("build_features")
+def q_build_features(spark, sf_dir):
+    """End to end: read -> validate -> label -> split -> fit on train -> transform ->
+    write the splits (partitioned) -> JSON manifest -> feature-order audit."""
+    from connlens.operators import features as FE
+    from connlens.operators import quality as QL
+    from connlens.plans.feature_queries import BIN, CAT, LOG, RATE, ROB, THRESH, conn_split
+    from connlens.plans.quality_queries import CONN_COLS
+    from connlens.sources import io as IO
+    audit = QL.validate(conn_view(spark, sf_dir), CONN_COLS, "class", CAT)
+    df = conn_split(spark, sf_dir)
+    pre = FE.Preprocessor(CAT, LOG, ROB, RATE, BIN, threshold=THRESH).fit(df.where("split = 'train'"))
+    out = pre.transform(df, keep=["split", "target_label", "multiclass_label"])
+    root = IO.scratch(spark, "processed")
+    IO.write_partitioned(out, os.path.join(root, "data"), "split")
+    written = spark.read.parquet(os.path.join(root, "data"))
+    names = pre.feature_names()
+    manifest = written.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("split") == "train").alias("train_rows"), F.count_if(F.col("split") == "val").alias("val_rows"),
+        F.count_if(F.col("target_label") == 0).alias("benign"), F.count_if(F.col("target_label") == 1).alias("anomaly"),
+    ).select("*", F.lit(len(CONN_COLS)).alias("features_before"), F.lit(len(names)).alias("features_after"),
+             F.lit(audit["duplicate_count"]).alias("duplicate_count"),
+             F.lit("COMPATIBLE" if [c for c in written.columns if c not in ("split", "target_label", "multiclass_label")]
+                   == names else "INCOMPATIBLE").alias("compat_status"))
+    IO.write_json_manifest(manifest, os.path.join(root, "manifest"))
+    return manifest
+
+
+@register("report_compat_audit")
+def q_report_compat_audit(spark, sf_dir):
+    """Feature-order audit: the manifest of a preprocessor fitted on the train split
+    (expected) against one fitted on the validation split (actual)."""
+    from connlens.operators import features as FE
+    from connlens.operators import joins as JN
+    from connlens.plans.feature_queries import BIN, CAT, LOG, RATE, ROB, THRESH, conn_split
+    df = conn_split(spark, sf_dir)
+    exp = FE.Preprocessor(CAT, LOG, ROB, RATE, BIN, threshold=THRESH).fit(df.where("split = 'train'")).feature_names()
+    act = FE.Preprocessor(CAT, LOG, ROB, RATE, BIN, threshold=THRESH).fit(df.where("split = 'val'")).feature_names()
+    return JN.manifest_diff(JN.names_table(spark, exp), JN.names_table(spark, act))

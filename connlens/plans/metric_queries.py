@@ -197,3 +197,17 @@ def q_contamination_cutoff(spark, sf_dir):
     train = evaluated(spark, sf_dir).where("y = 0")
     q = exact_quantiles(train, ["score"], [float(c) for c in CONTAM])
     return q.select(F.col("q").alias("contamination"), r6("value").alias("cutoff"))
+
+
+@register("topk_importance", " UNION ALL ".join(
+    f"SELECT {i} AS feature, {Q.r6(f'abs(corr(CAST(embedding[{i + 1}] AS DOUBLE), CAST(label = 5 AS DOUBLE)))')} AS importance FROM embeddings"
+    for i in range(64)).join(["SELECT * FROM (", ") ORDER BY importance DESC, feature LIMIT 10"]))
+def q_topk_importance(spark, sf_dir):
+    """Top 10 of the 64 embedding dimensions by |corr(dim, label = 5)| (one aggregate
+    for all dimensions, then a top-10 -- the limit is the feature)."""
+    e = table(spark, sf_dir, "embeddings")
+    y = (F.col("label") == 5).cast("double")
+    one = e.agg(*[F.abs(F.corr(F.element_at("embedding", i + 1).cast("double"), y)).alias(f"c{i}") for i in range(64)])
+    long = one.select(F.explode(F.array(*[F.struct(F.lit(i).alias("feature"), r6(F.col(f"c{i}")).alias("importance"))
+                                          for i in range(64)])).alias("x")).select("x.*")
+    return long.orderBy(F.col("importance").desc(), "feature").limit(10)

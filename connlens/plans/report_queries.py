@@ -391,3 +391,36 @@ def q_report_threshold_delta(spark, sf_dir):
     s = sweep(spark, sf_dir)
     opt = operating_point(s, min_recall=config.TARGET_NOVEL_RECALL, max_fpr=config.TARGET_FPR)
     return R.threshold_delta(s, opt, 0.5)
+
+
+@register("cross_threshold_sweep", with_ctes(SCORED_CTE, LABELED_CTE) + " UNION ALL ".join(
+    f"SELECT {float(t)!r}::DOUBLE AS threshold, CAST(score >= {float(t)!r} AS INTEGER) AS pred, "
+    f"CAST(count(*) AS BIGINT) AS n FROM labeled GROUP BY 2" for t in config.THRESHOLDS))
+def q_cross_threshold_sweep(spark, sf_dir):
+    """Every threshold applied to every row, counted in one pass (no row replication)."""
+    s = scored_labeled(spark, sf_dir)
+    aggs = []
+    for i, t in enumerate(config.THRESHOLDS):
+        aggs += [_cnt(F.col("score") >= t).alias(f"p{i}"), _cnt(F.col("score") < t).alias(f"q{i}")]
+    one = s.agg(*aggs)
+    rows = F.explode(F.array(*[F.struct(F.lit(float(t)).alias("threshold"), F.lit(p).alias("pred"),
+                                        F.col(f"{'p' if p else 'q'}{i}").alias("n"))
+                               for i, t in enumerate(config.THRESHOLDS) for p in (1, 0)])).alias("x")
+    return one.select(rows).select("x.threshold", "x.pred", "x.n").where("n > 0")
+
+
+@register("score_probability_fallback", REC.split("bin AS (")[0].rstrip().rstrip(",") + f"""
+SELECT row_id, model_name,
+       {Q.r6("COALESCE(CASE WHEN model_name = 'svm' THEN NULL ELSE sm END, "
+             "CASE WHEN model_name = 'knn' THEN NULL ELSE 1.0 / (1.0 + exp(-(sm - 0.5) * 4)) END, pb)")} AS score,
+       CASE WHEN model_name = 'svm' THEN 'decision_function' ELSE 'predict_proba' END AS source
+FROM me""")
+def q_score_probability_fallback(spark, sf_dir):
+    """Probability if the model has one, else a squashed decision value, else the
+    hard label (svm: no probability; knn: no decision function)."""
+    me = model_eval(spark, sf_dir)
+    proba = F.when(F.col("model_name") == "svm", F.lit(None)).otherwise(F.col("sm"))
+    decision = F.when(F.col("model_name") == "knn", F.lit(None)).otherwise(
+        1.0 / (1.0 + F.exp(-(F.col("sm") - 0.5) * 4)))
+    return me.select("row_id", "model_name", r6(F.coalesce(proba, decision, F.col("pb").cast("double"))).alias("score"),
+                     F.when(F.col("model_name") == "svm", "decision_function").otherwise("predict_proba").alias("source"))

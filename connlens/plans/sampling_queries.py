@@ -130,3 +130,25 @@ def q_smote(spark, sf_dir):
     syn = N.smote(plan, nn, "vec_id", "embedding", None, seed=42)
     return syn.select("base_id", F.col("replica").cast("int").alias("replica"), "nid", r6("u").alias("u"),
                       *[r6(F.element_at("synthetic", i + 1)).alias(f"s{i}") for i in range(4)])
+
+
+@register("split_rank", W + f"""
+SELECT {KEYS}, target_label, CAST(row_number() OVER (PARTITION BY target_label ORDER BY h) AS BIGINT) AS rank FROM lab""")
+def q_split_rank(spark, sf_dir):
+    from connlens.functions.core import md5_hex
+    from connlens.operators.ordered import row_rank
+    df = conn_keyed(spark, sf_dir).withColumn("_h", md5_hex(F.col("rkey")))
+    return row_rank(df, "_h", ["target_label"], "rank").select(*KEY, "target_label", "rank")
+
+
+@register("balanced_weights", f"""
+WITH t AS (SELECT l.toxic FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+c AS (SELECT toxic, count(*) AS n_c FROM t GROUP BY toxic)
+SELECT toxic, CAST(n_c AS BIGINT) AS n_c, {Q.r6('(SELECT count(*) FROM t) * 1.0 / ((SELECT count(*) FROM c) * n_c)')} AS weight
+FROM c""")
+def q_balanced_weights(spark, sf_dir):
+    from connlens.operators.joins import class_weights
+    lab = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
+    w = class_weights(lab, "toxic")
+    n = lab.groupBy("toxic").agg(F.count(F.lit(1)).cast("long").alias("n_c"))
+    return w.join(n, "toxic").select("toxic", "n_c", r6("weight").alias("weight"))
