@@ -40,7 +40,8 @@ def best_by(records: DataFrame, metric, how: str = "max", name: str = "model_nam
     """The single record with the min/max of ``metric`` (name breaks ties)."""
     m = F.col(metric) if isinstance(metric, str) else metric
     key = m.desc() if how == "max" else m.asc()
-    w = Window.orderBy(key, F.col(name).asc())
+    ties = [F.col(name).asc()] + ([F.col("target_type").asc()] if "target_type" in records.columns else [])
+    w = Window.orderBy(key, *ties)
     return records.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 

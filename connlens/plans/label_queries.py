@@ -141,10 +141,11 @@ def _first5(e: str = "embedding"):
 
 
 @register("fn_softmax", f"""
-SELECT vec_id, {", ".join(Q.r6(f"exp(embedding[{i + 1}] - m) / s") + f" AS p{i}" for i in range(5))}
-FROM (SELECT vec_id, embedding, m, {" + ".join(f"exp(embedding[{i + 1}] - m)" for i in range(5))} AS s
-      FROM (SELECT vec_id, embedding, greatest({", ".join(f"embedding[{i + 1}]" for i in range(5))}) AS m
-            FROM embeddings))""")
+SELECT vec_id, {", ".join(Q.r6(f"exp(e{i} - m) / s") + f" AS p{i}" for i in range(5))}
+FROM (SELECT *, {" + ".join(f"exp(e{i} - m)" for i in range(5))} AS s
+      FROM (SELECT *, greatest({", ".join(f"e{i}" for i in range(5))}) AS m
+            FROM (SELECT vec_id, {", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(5))}
+                  FROM embeddings)))""")
 def q_fn_softmax(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select("vec_id", A.softmax(_first5()).alias("p"))
     return e.select("vec_id", *[r6(F.element_at("p", i + 1)).alias(f"p{i}") for i in range(5)])

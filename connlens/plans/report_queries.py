@@ -293,7 +293,7 @@ def q_report_holdout_gap(spark, sf_dir):
 
 SEL_SQL = REC + """
 , h AS (SELECT * FROM records WHERE split = 'holdout'),
-fast AS (SELECT model_name AS fm FROM h ORDER BY fit_time, model_name LIMIT 1)"""
+fast AS (SELECT model_name AS fm FROM h ORDER BY fit_time, model_name, target_type LIMIT 1)"""
 
 
 @register("report_selection_matrix", SEL_SQL + """
@@ -319,11 +319,11 @@ def q_deploy_status(spark, sf_dir):
 
 @register("best_by", GAP_SQL + """
 SELECT * FROM (SELECT 'fastest' AS criterion, model_name, target_type, fit_time AS value FROM records
-               WHERE split = 'holdout' ORDER BY fit_time, model_name LIMIT 1)
+               WHERE split = 'holdout' ORDER BY fit_time, model_name, target_type LIMIT 1)
 UNION ALL SELECT * FROM (SELECT 'best_generalizer', model_name, target_type, abs(val_recall - test_recall) FROM g
-               ORDER BY abs(val_recall - test_recall), model_name LIMIT 1)
+               ORDER BY abs(val_recall - test_recall), model_name, target_type LIMIT 1)
 UNION ALL SELECT * FROM (SELECT 'best_rare_detector', model_name, target_type, u2r_recall FROM records
-               WHERE split = 'holdout' ORDER BY u2r_recall DESC, model_name LIMIT 1)""")
+               WHERE split = 'holdout' ORDER BY u2r_recall DESC, model_name, target_type LIMIT 1)""")
 def q_best_by(spark, sf_dir):
     h = records(spark, sf_dir).where("split = 'holdout'")
     g = _gap(spark, sf_dir).withColumn("abs_gap", F.abs(F.col("val_recall") - F.col("test_recall")))

@@ -120,7 +120,7 @@ def knn_sql(k, where_q="TRUE", where_r="TRUE", exclude_self=True):
                   {Q.md5_uniform("concat_ws('#', vec_id, replica)", 44)} AS u
            FROM rep WHERE label = 5 AND replica > 0)
 SELECT base_id, replica, nn.nid, {Q.r6('u')} AS u,
-       {", ".join(Q.r6(f"x[{i + 1}] + u * (e.embedding[{i + 1}] - x[{i + 1}])") + f" AS s{i}" for i in range(4))}
+       {", ".join(Q.r6(f"CAST(x[{i + 1}] AS DOUBLE) + u * (CAST(e.embedding[{i + 1}] AS DOUBLE) - CAST(x[{i + 1}] AS DOUBLE))") + f" AS s{i}" for i in range(4))}
 FROM base JOIN nn ON base.base_id = nn.qid AND base.nb_rank = nn.rank JOIN embeddings e ON e.vec_id = nn.nid""")
 def q_smote(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
