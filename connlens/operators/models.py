@@ -130,7 +130,8 @@ def fit_gbt_ovr(train: DataFrame, label: str, n_iter: int = 100, max_depth: int
                 subsample: float = 0.8, seed: int = 42):
     gbt = GBTClassifier(featuresCol="features", maxIter=n_iter, maxDepth=max_depth, stepSize=step,
                         subsamplingRate=subsample, seed=seed)
-    return OneVsRest(classifier=gbt, featuresCol="features", labelCol=label).fit(train)
+    k = train.select(label).distinct().count()  # classes fit concurrently (bounded by the label set)
+    return OneVsRest(classifier=gbt, featuresCol="features", labelCol=label, parallelism=max(1, k)).fit(train)
 
 
 def ovr_probabilities(scored: DataFrame, raw: str = "rawPrediction", out: str = "probability") -> DataFrame:
