@@ -10,7 +10,7 @@ Operators
   tumbling / sliding windows     withWatermark + window()           append
   sessions                       session_window()                   append
   dedup                          dropDuplicatesWithinWatermark      append
-  late-data policy               watermark; dropped rows from the progress metrics
+  late-data policy               per-batch watermark (one number on the driver); late rows to their own sink
   scoring / rejects              stateless projection; two sinks per micro-batch
   alert rollup                   stateful groupBy over a bounded key space (families)
   last-N per key                 applyInPandasWithState, list state capped at N
