@@ -177,10 +177,14 @@ class Preprocessor:
         self.freq = FrequencyEncoder(self.threshold).fit(train, self.categorical)
         consolidated = self.freq.transform(train.select(*self.categorical), self.categorical)
         self.onehot = OneHot().fit(consolidated, self.categorical)
-        # quantiles of log1p(x): interpolation is not invariant under log, so fit after it
-        logged = train.select(*[log1p_expr(c) for c in self.log])
-        self.log_scaler = RobustScaler().fit(logged, self.log)
-        self.robust_scaler = RobustScaler().fit(train, self.robust)
+        # quantiles of log1p(x): interpolation is not invariant under log, so fit after it.
+        # Both scalers share ONE exact-quantile pass over the log and the raw columns.
+        both = train.select(*[log1p_expr(c, f"__log__{c}") for c in self.log], *self.robust)
+        joint = RobustScaler().fit(both, [f"__log__{c}" for c in self.log] + list(self.robust))
+        self.log_scaler = RobustScaler({c: joint.center[f"__log__{c}"] for c in self.log},
+                                       {c: joint.scale[f"__log__{c}"] for c in self.log})
+        self.robust_scaler = RobustScaler({c: joint.center[c] for c in self.robust},
+                                          {c: joint.scale[c] for c in self.robust})
         return self
 
     def feature_names(self) -> list[str]:
