@@ -168,6 +168,7 @@ def q_fit_gaussian_nb(spark, sf_dir):
 from connlens.operators import anomaly as IF  # noqa: E402
 from connlens.operators import neighbors as N  # noqa: E402
 from connlens.functions.core import safe_div  # noqa: E402
+from connlens.session import checkpoint_dir  # noqa: E402
 from connlens.operators.ordered import exact_quantiles  # noqa: E402
 from pyspark.sql import DataFrame  # noqa: E402
 
@@ -216,9 +217,10 @@ def q_isolation_forest(spark, sf_dir):
 
 
 def _if_configs(a, scheme):
+    checkpoint_dir(a.sparkSession)
     train = a.where("split = 'train'") if scheme == "Entire Set" else a.where("split = 'train' AND y = 0")
     model = IF.fit(train, "vec_id", "vec", config.IF_TREES, config.IF_MAX_SAMPLES, config.RANDOM_STATE)
-    tr = IF.score(train, model, "vec_id", "vec")
+    tr = IF.score(train, model, "vec_id", "vec").checkpoint()  # reused by every contamination offset
     test = a.where("split = 'test'")
     sc = IF.score(test, model, "vec_id", "vec").join(test.select("vec_id", "y", "segment"), "vec_id")
     offs = IF.offsets(tr, config.IF_CONTAMINATIONS)
@@ -226,10 +228,12 @@ def _if_configs(a, scheme):
 
 
 def _lof_configs(a, scheme, k):
+    checkpoint_dir(a.sparkSession)
     ref = a.where("split = 'train'") if scheme == "Entire Set" else a.where("split = 'train' AND y = 0")
     from connlens.operators.sampling import uniform_subsample
     ref = uniform_subsample(ref, F.col("vec_id"), config.LOF_MAX_REFERENCE)
-    ref_nn = N.knn_join(ref, ref, k, qid="vec_id", qvec="vec", exclude_self=True)
+    # the kNN table feeds k-distance, reachability and the training factor: write it once
+    ref_nn = N.knn_join(ref, ref, k, qid="vec_id", qvec="vec", exclude_self=True).checkpoint()
     fitted = N.lof_fit(ref_nn)
     nof = N.lof_training_factor(ref_nn, fitted)
     test = a.where("split = 'test'")
