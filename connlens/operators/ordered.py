@@ -15,7 +15,7 @@ hot key is one row and cannot overload a task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -129,3 +129,109 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     arr = kv.groupBy("column").agg(F.percentile_approx("value", list(probs), accuracy).alias("v"))
     return arr.select("column", F.posexplode("v").alias("i", "value")).select(
         "column", F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1).alias("q"), "value")
+
+
+# ---------------------------------------------------------------------------
+# rank cut-offs: "first q rows of each group in hash order" without moving rows
+# ---------------------------------------------------------------------------
+
+HEX_DIGITS_PER_PASS = 4       # 16-bit histogram per pass: <= #groups x 65536 rows
+MAX_FINAL_CANDIDATES = 200_000  # rows per group ranked exactly in the last step
+ALL_ROWS = "g"  # sorts after every lowercase hex string
+NO_ROWS = ""    # sorts before every hex string
+
+
+def rank_cutoffs(df: DataFrame, hash_col: str, group_cols: Sequence[str],
+                 quota: DataFrame | Callable[[DataFrame], DataFrame], quota_col: str = "_q") -> DataFrame:
+    """Per group, the hash of the ``quota``-th row in ascending ``hash_col`` order.
+
+    ``hash_col`` is a UNIQUE lowercase hex hash (md5 of a unique row key), so
+    ``rank <= quota`` is the same as ``hash_col <= cutoff``: choosing the first q rows
+    of a stratum then needs no shuffle of the rows at all, only a filter.
+
+    The cut-off is found by histogram refinement on hex-digit prefixes.  Each pass
+    is a partial (map-side) aggregate of (group, next 4 hex digits) -> count over the
+    rows whose prefix still matches: at most #groups x 65536 rows leave a task, and
+    one row per group (the chosen digits and the remaining rank) reaches the driver.
+    When the chosen prefix holds <= MAX_FINAL_CANDIDATES rows of its group, those
+    candidates are ranked exactly.  md5 is uniform, so the candidate set shrinks by
+    ~65536x per pass: one pass up to ~10^10 rows per group, two up to ~10^14.
+
+    The passes read only the narrow (group, hash) projection; it is persisted
+    (memory, spilling to disk) so an expensive input plan runs once for all passes.
+    A lost executor only recomputes its partitions from lineage.
+
+    ``quota`` is a table with one row per group and ``quota_col``, or a function of
+    the group sizes (group..., n_c) returning that table -- then the sizes come from
+    the same pass and the input is not read again for them.  Returns
+    (group..., _cut), with ``_cut`` = "g" (all rows) when quota >= group size and ""
+    when quota <= 0.
+    """
+    from pyspark import StorageLevel
+
+    group_cols = list(group_cols)
+    spark = df.sparkSession
+    keys = df.select(*group_cols, F.col(hash_col).alias("_h")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _rank_cutoffs(spark, df, keys, group_cols, quota, quota_col)
+    finally:
+        keys.unpersist()
+
+
+def _rank_cutoffs(spark, df, keys, group_cols, quota, quota_col):
+    sizes = keys.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n_c"))
+    qdf = quota(sizes) if callable(quota) else quota
+    q = F.broadcast(qdf.select(*group_cols, quota_col))  # one row per group
+    plan = sizes.join(q, group_cols, "left") if group_cols else sizes.crossJoin(q)
+    rows = plan.select(*group_cols, F.col("n_c").alias("_n"),
+                       F.coalesce(F.col(quota_col), F.lit(0)).cast("long").alias("_q")).collect()
+    fixed, open_ = [], []  # one row per group: bounded by the group count
+    for r in rows:
+        g = tuple(r[c] for c in group_cols)
+        if r["_q"] <= 0:
+            fixed.append((*g, NO_ROWS))
+        elif r["_q"] >= r["_n"]:
+            fixed.append((*g, ALL_ROWS))
+        else:
+            open_.append((g, "", int(r["_q"]), int(r["_n"])))  # (group, prefix, rank within prefix, rows)
+    out_schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in group_cols)
+    out_schema = (out_schema + ", " if out_schema else "") + "_cut string"
+    level = 0
+    while open_:
+        sel_schema = (", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in group_cols)
+                      + (", " if group_cols else "") + "_prefix string, _need long")
+        sel = spark.createDataFrame([(*g, p, k) for g, p, k, _ in open_], sel_schema)
+        start = level * HEX_DIGITS_PER_PASS
+        cand = keys.join(F.broadcast(sel), group_cols) if group_cols else keys.crossJoin(F.broadcast(sel))
+        cand = cand.where(F.substring("_h", 1, start) == F.col("_prefix")) if start else cand
+        exact = [o for o in open_ if o[3] <= MAX_FINAL_CANDIDATES]
+        if len(exact) == len(open_) or start + HEX_DIGITS_PER_PASS >= 32:
+            # the candidates of every open group are few: rank them exactly by the full hash
+            w = Window.partitionBy(*group_cols).orderBy("_h") if group_cols else Window.orderBy("_h")
+            got = (cand.select(*group_cols, "_h", "_need", F.row_number().over(w).alias("_r"))
+                   .where(F.col("_r") == F.col("_need")).select(*group_cols, "_h").collect())
+            fixed += [(*(r[c] for c in group_cols), r["_h"]) for r in got]
+            break
+        digits = F.substring("_h", start + 1, HEX_DIGITS_PER_PASS)
+        hist = cand.groupBy(*group_cols, "_prefix", "_need", digits.alias("_d")).agg(F.count(F.lit(1)).alias("_c"))
+        w = (Window.partitionBy(*group_cols).orderBy("_d").rowsBetween(Window.unboundedPreceding, 0)
+             if group_cols else Window.orderBy("_d").rowsBetween(Window.unboundedPreceding, 0))
+        cum = hist.withColumn("_cum", F.sum("_c").over(w))  # <= 65536 histogram rows per group
+        pick = cum.where((F.col("_cum") - F.col("_c") < F.col("_need")) & (F.col("_need") <= F.col("_cum")))
+        open_ = [(tuple(r[c] for c in group_cols), r["_prefix"] + r["_d"], int(r["_need"] - (r["_cum"] - r["_c"])),
+                  int(r["_c"])) for r in pick.collect()]
+        level += 1
+    return spark.createDataFrame(fixed, out_schema)
+
+
+def first_in_hash_order(df: DataFrame, hash_col: str, group_cols: Sequence[str],
+                        quota: DataFrame | Callable[[DataFrame], DataFrame], quota_col: str = "_q",
+                        out: str = "_in") -> DataFrame:
+    """Add boolean ``out``: the row is among the first ``quota`` rows of its group in
+    ``hash_col`` order.  The cut-off table has one row per group and is broadcast."""
+    cuts = rank_cutoffs(df, hash_col, group_cols, quota, quota_col)
+    if not group_cols:
+        cut = cuts.first()["_cut"] if cuts.count() else NO_ROWS
+        return df.withColumn(out, F.col(hash_col) <= F.lit(cut))
+    j = df.join(F.broadcast(cuts), list(group_cols), "left")
+    return j.withColumn(out, F.coalesce(F.col(hash_col) <= F.col("_cut"), F.lit(False))).drop("_cut")

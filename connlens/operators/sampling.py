@@ -1,9 +1,11 @@
 """Seeded splitting and re-balancing.
 
 Randomness is an md5 of (seed, row key), so the same rows are chosen on every run,
-on any cluster size and in the SQL oracle.  Ranks inside a stratum use the
-distributed ``row_rank`` (bucketed prefix counts), never a window that
-puts a whole stratum in one task; per-class quotas are a table with one row per
+on any cluster size and in the SQL oracle.  "The first q rows of a stratum in md5
+order" is a filter ``md5 <= cut-off``: the cut-off comes from histogram passes that
+shuffle no rows (``first_in_hash_order``).  Only k-fold ids need the rank itself;
+they use the distributed ``row_rank`` (bucketed prefix counts), never a window that
+puts a whole stratum in one task.  Per-class quotas are a table with one row per
 class.
 """
 
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 
 from connlens import config
 from connlens.functions.core import md5_hex, md5_uniform
-from connlens.operators.ordered import row_rank
+from connlens.operators.ordered import first_in_hash_order, row_rank
 
 
 def row_key(cols: Sequence[str]) -> Column:
@@ -32,10 +34,11 @@ def stratified_split(df: DataFrame, key: Column, label: str, train_ratio: float
     """Add ``split`` = 'train' / 'val': inside each label stratum the first
     round(ratio * n_c) rows in md5(seed|key) order go to train."""
     h = df.withColumn("_h", md5_hex(key, seed))
-    ranked = row_rank(h, "_h", [label], "_rk")
-    quota = _class_counts(df, label).select(label, F.floor(F.col("n_c") * train_ratio + 0.5).alias("_q"))
-    out = ranked.join(F.broadcast(quota), label)  # one row per class
-    return out.withColumn("split", F.when(F.col("_rk") <= F.col("_q"), "train").otherwise("val")).drop("_h", "_rk", "_q")
+    def quota(sizes):  # one row per class
+        return sizes.select(label, F.floor(F.col("n_c") * train_ratio + 0.5).alias("_q"))
+
+    out = first_in_hash_order(h, "_h", [label], quota)
+    return out.withColumn("split", F.when(F.col("_in"), "train").otherwise("val")).drop("_h", "_in")
 
 
 def largest_remainder_quotas(counts: DataFrame, label: str, size: int) -> DataFrame:
@@ -53,15 +56,17 @@ def stratified_subsample(df: DataFrame, key: Column, label: str, size: int = con
                          seed: int = config.RANDOM_STATE) -> DataFrame:
     """Exactly ``size`` rows (or all rows if fewer), label-proportional."""
     h = df.withColumn("_h", md5_hex(key, seed))
-    ranked = row_rank(h, "_h", [label], "_rk")
-    q = largest_remainder_quotas(_class_counts(df, label), label, size)
-    return ranked.join(F.broadcast(q), label).where(F.col("_rk") <= F.col("_quota")).drop("_h", "_rk", "_quota", "n_c")
+    def quota(sizes):
+        return largest_remainder_quotas(sizes, label, size)
+
+    return first_in_hash_order(h, "_h", [label], quota, "_quota").where("_in").drop("_h", "_in")
 
 
 def uniform_subsample(df: DataFrame, key: Column, size: int, seed: int = config.RANDOM_STATE) -> DataFrame:
     """Exactly ``size`` rows uniformly without replacement (first ``size`` in md5 order)."""
     h = df.withColumn("_h", md5_hex(key, seed))
-    return row_rank(h, "_h", [], "_rk").where(F.col("_rk") <= size).drop("_h", "_rk")
+    q = df.sparkSession.createDataFrame([(int(size),)], "_q long")
+    return first_in_hash_order(h, "_h", [], q).where("_in").drop("_h", "_in")
 
 
 def random_oversample(df: DataFrame, key: Column, label: str, targets: dict,
@@ -72,16 +77,15 @@ def random_oversample(df: DataFrame, key: Column, label: str, targets: dict,
     spark = df.sparkSession
     tgt = spark.createDataFrame([(k, int(v)) for k, v in targets.items()], f"{label} int, _target long")
     h = df.withColumn("_h", md5_hex(key, seed))
-    ranked = row_rank(h, "_h", [label], "_rk")
     plan = (_class_counts(df, label).join(F.broadcast(tgt), label, "left")
             .select(label, "n_c", F.greatest(F.col("n_c"), F.coalesce("_target", "n_c")).alias("_goal")))
-    plan = plan.withColumn("_m", F.col("_goal") - F.col("n_c"))
-    j = ranked.join(F.broadcast(plan), label)
-    copies = (F.floor(F.col("_m") / F.col("n_c")) + F.when(F.col("_rk") <= F.col("_m") % F.col("n_c"), 1)
-              .otherwise(0)).cast("int")
+    plan = plan.withColumn("_m", F.col("_goal") - F.col("n_c")).withColumn("_rem", F.col("_m") % F.col("n_c"))
+    ranked = first_in_hash_order(h, "_h", [label], plan, "_rem")  # the first (m mod n_c) rows get one more copy
+    j = ranked.join(F.broadcast(plan), label)  # one row per class
+    copies = (F.floor(F.col("_m") / F.col("n_c")) + F.when(F.col("_in"), 1).otherwise(0)).cast("int")
     # each row fans out into 1 + copies rows; copies is bounded by target / n_c
     out = j.withColumn("replica", F.explode(F.sequence(F.lit(0), copies)))
-    return out.drop("_h", "_rk", "n_c", "_goal", "_m")
+    return out.drop("_h", "_in", "n_c", "_goal", "_m", "_rem")
 
 
 def kfold_assign(df: DataFrame, key: Column, label: str, folds: int = 5, seed: int = config.RANDOM_STATE) -> DataFrame:

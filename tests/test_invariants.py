@@ -33,6 +33,28 @@ def test_exact_quantiles_match_numpy(spark):
         assert v == pytest.approx(np.quantile(x, q))
 
 
+@pytest.mark.parametrize("limit", [5, 200_000])
+def test_rank_cutoffs_match_sorted_ranks(spark, monkeypatch, limit):
+    # limit=5 forces the histogram-refinement passes; the default ranks directly
+    monkeypatch.setattr(O, "MAX_FINAL_CANDIDATES", limit)
+    import hashlib
+    rng = np.random.default_rng(4)
+    n = 3000
+    pdf = pd.DataFrame({"g": rng.integers(0, 4, n), "id": np.arange(n)})
+    pdf["h"] = [hashlib.md5(f"7|{i}".encode()).hexdigest() for i in pdf["id"]]
+    sizes = pdf.groupby("g").size()
+    quotas = {0: 0, 1: int(sizes[1]) // 3, 2: int(sizes[2]) + 5}  # group 3 has no quota row -> 0
+    q = spark.createDataFrame([(int(k), int(v)) for k, v in quotas.items()], "g long, _q long")
+    got = O.first_in_hash_order(spark.createDataFrame(pdf), "h", ["g"], q).toPandas()
+    pdf["rk"] = pdf.groupby("g")["h"].rank(method="first")
+    pdf["exp"] = pdf["rk"] <= pdf["g"].map(quotas).fillna(0)
+    m = got.merge(pdf, on="id")
+    assert len(m) == n and (m["_in"] == m["exp"]).all()
+    one = spark.createDataFrame([(777,)], "_q long")
+    flat = O.first_in_hash_order(spark.createDataFrame(pdf[["id", "h"]]), "h", [], one).where("_in")
+    assert sorted(r["id"] for r in flat.collect()) == sorted(pdf.sort_values("h")["id"].head(777))
+
+
 def test_auc_symmetry_and_ties(spark):
     pdf = pd.DataFrame({"y": [0, 0, 1, 1, 1, 0], "p": [0.1, 0.5, 0.5, 0.9, 0.3, 0.2]})
     df = spark.createDataFrame(pdf)
