@@ -110,14 +110,21 @@ def model_eval(spark, sf_dir):
 
 
 def records(spark, sf_dir):
-    me = model_eval(spark, sf_dir)
+    from connlens.session import checkpoint_dir
+    checkpoint_dir(spark)
+    # five metric families (binary, 5-class, macro, AUC bounds, AUC sums) read the
+    # per-(row, rule) table: written once to the shared checkpoint folder, not
+    # recomputed (hashes included) once per family
+    me = model_eval(spark, sf_dir).checkpoint()
     keys = ["model_name", "midx", "split"]
     seg = F.col("segment")
 
     def det_rate(det, among):
         return safe_div(_cnt(det & among), _cnt(among))
 
-    b = me.groupBy(*keys).agg(
+    # binary and 5-class counts share ONE grouped pass over the scored rows
+    pb, pm = F.col("pb"), F.col("pm")
+    counts = me.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         safe_div(_cnt(F.col("y") == F.col("pb")), F.count(F.lit(1))).alias("accuracy"),
         safe_div(_cnt((F.col("y") == 1) & (F.col("pb") == 1)), _cnt(F.col("pb") == 1)).alias("precision"),
@@ -129,18 +136,20 @@ def records(spark, sf_dir):
         det_rate(F.col("pb") == 1, seg == "novel").alias("novel_recall"),
         det_rate(F.col("pb") == 1, F.col("y_multi") == 4).alias("u2r_recall"),
         det_rate(F.col("pb") == 1, F.col("y_multi") == 3).alias("r2l_recall"),
-    ).withColumn("target_type", F.lit("binary"))
-    mc = me.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        safe_div(_cnt(F.col("y_multi") == F.col("pm")), F.count(F.lit(1))).alias("accuracy"),
-        det_rate(F.col("pm") != 0, F.col("y_multi") == 0).alias("fpr"),
-        det_rate(F.col("pm") != 0, seg == "seen").alias("seen_recall"),
-        det_rate(F.col("pm") != 0, seg == "novel").alias("novel_recall"),
-        det_rate(F.col("pm") == 4, F.col("y_multi") == 4).alias("u2r_recall"),
-        det_rate(F.col("pm") == 3, F.col("y_multi") == 3).alias("r2l_recall"),
-    ).join(M.macro_by(me, keys, "y_multi", "pm"), keys).select(
-        *keys, "n", "accuracy", F.col("precision_macro").alias("precision"), F.col("recall_macro").alias("recall"),
-        F.col("f1_macro").alias("f1"), "fpr", "seen_recall", "novel_recall", "u2r_recall", "r2l_recall",
+        safe_div(_cnt(F.col("y_multi") == pm), F.count(F.lit(1))).alias("m_accuracy"),
+        det_rate(pm != 0, F.col("y_multi") == 0).alias("m_fpr"),
+        det_rate(pm != 0, seg == "seen").alias("m_seen_recall"),
+        det_rate(pm != 0, seg == "novel").alias("m_novel_recall"),
+        det_rate(pm == 4, F.col("y_multi") == 4).alias("m_u2r_recall"),
+        det_rate(pm == 3, F.col("y_multi") == 3).alias("m_r2l_recall"),
+    )
+    bin_cols = ["accuracy", "precision", "recall", "f1", "fpr", "seen_recall", "novel_recall", "u2r_recall",
+                "r2l_recall"]
+    b = counts.select(*keys, "n", *bin_cols).withColumn("target_type", F.lit("binary"))
+    mc = counts.join(M.macro_by(me, keys, "y_multi", "pm"), keys).select(
+        *keys, "n", F.col("m_accuracy").alias("accuracy"), F.col("precision_macro").alias("precision"),
+        F.col("recall_macro").alias("recall"), F.col("f1_macro").alias("f1"),
+        *[F.col(f"m_{c}").alias(c) for c in ["fpr", "seen_recall", "novel_recall", "u2r_recall", "r2l_recall"]],
     ).withColumn("target_type", F.lit("multiclass"))
     auc = M.roc_auc_by(me, keys, "y", "sm")
     both = b.unionByName(mc).join(auc, keys)
