@@ -99,8 +99,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     of several numeric columns, nulls ignored, without holding a column in one task.
 
     Returns (column, q, value)."""
+    from connlens.session import materialize
+
     kv = unpivot_numeric(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    dist = kv.groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
+    # (column, distinct value, count) is read four times below (bucket bounds, local
+    # sums, bucket totals, sizes): written once as a table in the shared checkpoint folder
+    dist = materialize(kv.groupBy("column", "value").agg(F.count(F.lit(1)).alias("c")), "quantile-values")
     cum = prefix_sums(dist, F.col("value"), ["c"], ["column"])  # cum_c inclusive
     n = dist.groupBy("column").agg(F.sum("c").alias("n"))
     # #columns x #probs rows: bounded by the caller's lists

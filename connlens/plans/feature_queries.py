@@ -116,15 +116,14 @@ def q_impute_median_mode(spark, sf_dir):
 
 
 def conn_split(spark, sf_dir):
-    """Labelled, split connection records, written once to the checkpoint folder: the
+    """Labelled, split connection records, written once as a table in the checkpoint folder: the
     fit reads the train part four times (frequencies, categories, two quantile fits)
     and the transform reads it again, so the join + ranking runs once."""
-    from connlens.session import checkpoint_dir
-    checkpoint_dir(spark)
+    from connlens.session import materialize
     c = conn_view(spark, sf_dir)
     k = F.concat_ws("|", "l_orderkey", "l_partkey", "dst_host", "l_linenumber", F.col("count_").cast("long"))
     c = c.withColumn("target_label", L.binary_label()).withColumn("multiclass_label", L.family_label())
-    return S.stratified_split(c, k, "target_label").checkpoint()
+    return materialize(S.stratified_split(c, k, "target_label"), "conn-split")
 
 
 def fitted_preprocessor(spark, sf_dir):

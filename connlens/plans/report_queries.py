@@ -110,12 +110,11 @@ def model_eval(spark, sf_dir):
 
 
 def records(spark, sf_dir):
-    from connlens.session import checkpoint_dir
-    checkpoint_dir(spark)
+    from connlens.session import materialize
     # five metric families (binary, 5-class, macro, AUC bounds, AUC sums) read the
-    # per-(row, rule) table: written once to the shared checkpoint folder, not
-    # recomputed (hashes included) once per family
-    me = model_eval(spark, sf_dir).checkpoint()
+    # per-(row, rule) table: written once as a table in the shared checkpoint folder,
+    # not recomputed (hashes included) once per family
+    me = materialize(model_eval(spark, sf_dir), "model-eval")
     keys = ["model_name", "midx", "split"]
     seg = F.col("segment")
 

@@ -54,3 +54,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="connlens-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def materialize(df, name: str = "table"):
+    """Cut lineage by writing ``df`` once as a parquet table under the shared
+    checkpoint folder and reading it back.
+
+    Unlike ``DataFrame.checkpoint()`` -- which runs the plan twice (an eager count,
+    then the checkpoint write) unless cached -- the plan runs exactly once, and later
+    readers get column pruning and filter pushdown on the written table.  A lost
+    executor re-reads files from the shared folder; nothing lives on one machine."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
