@@ -8,7 +8,9 @@ its own session and the operators only read settings from it.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -35,6 +37,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -42,8 +45,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only when
-    neither is set -- a local test session -- a scratch folder is created and
-    registered so that ``DataFrame.checkpoint()`` works.
+    neither is set and the master is local -- a test session -- a scratch folder is
+    created and registered so that ``DataFrame.checkpoint()`` works.  On a cluster a
+    missing setting is an error: a driver-local folder would be invisible to executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,11 +55,42 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="connlens-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The one parent folder of everything this application writes for itself."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/connlens-{spark.sparkContext.applicationId}"
+
+
+def drop_run_folder(spark: SparkSession) -> None:
+    """Delete this application's intermediates (call when their readers are done)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the executors, so that tasks find it wherever they run."""
+    sc = spark.sparkContext
+    if getattr(sc, "_connlens_shipped", False):
+        return
+    folder = tempfile.mkdtemp(prefix="connlens-zip-")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(folder, "connlens.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for base, dirs, names in os.walk(os.path.join(root, "connlens")):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for n in names:
+                if n.endswith(".py"):
+                    z.write(os.path.join(base, n), os.path.relpath(os.path.join(base, n), root))
+    sc.addPyFile(archive)
+    sc._connlens_shipped = True
+
+
 def materialize(df, name: str = "table"):
     """Cut lineage by writing ``df`` once as a parquet table under the shared
     checkpoint folder and reading it back.
@@ -67,6 +102,6 @@ def materialize(df, name: str = "table"):
     import uuid
 
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
