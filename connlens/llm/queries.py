@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from connlens.llm import exact_dedup, sharding
+from connlens.llm import bpe, exact_dedup, packing, secrets, sharding
 from connlens.sources.tables import table
 
 
@@ -12,13 +14,30 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids = bpe.encode(table(spark, sf_dir, "documents"), path)
+    return ids.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(bpe.decoded(F.col("ids"), path), 256).alias("decoded_sha256"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"), "doc_id")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op5_bpe": op5_bpe,
     "op6_sharding": op6_sharding,
+    "op9_packing": op9_packing,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLE_SQL = {
