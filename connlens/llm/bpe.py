@@ -8,6 +8,8 @@ word of n bytes costs O(n log n) however long it is.  Decoding concatenates the
 
 Texts are cut before each run of white space: no word of the vocabulary's pattern crosses such a cut, so the ids
 of a chunk can be kept in a bounded cache.  Special tokens in a text become their ids, as in the file's library.
+Letters and numbers differ between versions of Unicode; chunks with characters from U+0530 on are cut into words
+by the library's own pattern, the others by the same pattern here.
 
 Defined results: a null text counts as empty, an empty text has no ids; ids of null id rows are returned as
 they are; equal rows give equal results; further columns do not matter; an empty table gives an empty result.
@@ -25,12 +27,15 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from tokenizers.pre_tokenizers import ByteLevel
 
 from connlens.session import ship_package
 
 #: The pattern of byte-level BPE words, with Unicode's own White_Space.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
+#: From here on, which characters are letters or numbers depends on the version of Unicode.
+FAR = regex.compile("[\u0530-\U0010ffff]")
 CACHED_CHUNKS = 400_000
 CACHED_CHARS = 64
 BATCH_BYTES = 8 << 20
@@ -64,6 +69,7 @@ class BytePairCodec:
         self.strings |= {i: s.encode() for s, i in special.items()}
         self.at_special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.words = regex.compile(PATTERN)
+        self.library_words = ByteLevel(add_prefix_space=False, use_regex=True)
         self.chunks = regex.compile(r"[\p{White_Space}]*[^\p{White_Space}]+|[\p{White_Space}]+")
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -113,14 +119,24 @@ class BytePairCodec:
         if ids is None:
             ids = self.old.get(chunk)
             if ids is None:
-                words = self.words.findall(chunk)
+                if FAR.search(chunk):
+                    words = [chunk[a:b] for _, (a, b) in self.library_words.pre_tokenize_str(chunk)]
+                else:
+                    words = self.words.findall(chunk)
                 if len(words) == 1:
                     ids = array("I", self.merge(chunk.encode())).tobytes()
                 else:
-                    ids = b"".join([self._chunk(w) for w in words])
+                    ids = b"".join([self._word(w) for w in words])
             self._keep(chunk, ids)
         return ids
 
+    def _word(self, word: str) -> bytes:
+        ids = self.new.get(word) or self.old.get(word)
+        if ids is None:
+            ids = array("I", self.merge(word.encode())).tobytes()
+            self._keep(word, ids)
+        return ids
+
     def _plain(self, text: str) -> bytes:
         get, chunks = self.new.get, self.chunks.findall(text)
         parts = [get(c) for c in chunks]

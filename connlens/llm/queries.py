@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from connlens.llm import bpe, exact_dedup, packing, secrets, sharding
+from connlens.llm import bpe, exact_dedup, near_dedup, packing, secrets, sharding, toxicity
 from connlens.sources.tables import table
 
 
@@ -24,6 +24,14 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"), "doc_id")
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
@@ -36,6 +44,8 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op5_bpe": op5_bpe,
     "op6_sharding": op6_sharding,
+    "op7_near_dedup": op7_near_dedup,
+    "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_secrets": op10_secrets,
 }

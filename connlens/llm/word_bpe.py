@@ -3,8 +3,8 @@
 No word crosses white space, so the ids of a white-space-separated chunk are kept in a bounded cache.  The words
 that a batch brings anew are merged together, array-wise: in each pass every word merges all its pairs of the
 lowest rank.  That equals merging one at a time because a merge's result occurs only in merges of higher rank,
-which the constructor verifies.  Texts with special tokens or the separators U+001C to U+001F go through the
-tokenizers library itself.
+which the constructor verifies.  Texts with special tokens or the separators U+001C to U+001F, and chunks with
+characters from U+0530 on (their classes depend on the version of Unicode), go through the tokenizers library.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import unicodedata
 import numpy as np
 import regex
 
-from connlens.llm.bpe import byte_alphabet
+from connlens.llm.bpe import FAR, byte_alphabet
 
 CACHED_CHUNKS = 500_000
 NONE = np.int32(2**31 - 1)
@@ -108,6 +108,10 @@ class WordCodec:
     def _learn(self, chunks: list[str]) -> None:
         """Put the ids of chunks without white space into the cache."""
         lists = []
+        far = [c for c in chunks if FAR.search(c)]
+        if far:
+            self.cache.update((c, self._library_ids(c)) for c in far)
+            chunks = [c for c in chunks if c not in self.cache]
         for c in chunks:
             if not c.isascii():
                 c = unicodedata.normalize("NFC", c)
