@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from connlens.llm import bpe, exact_dedup, near_dedup, packing, secrets, sharding, toxicity
+from connlens.llm import bpe, exact_dedup, near_dedup, packing, secrets, sharding, substring_dedup, toxicity
 from connlens.sources.tables import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.spans(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.verdicts(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op5_bpe": op5_bpe,
     "op6_sharding": op6_sharding,
