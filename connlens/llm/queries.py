@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from connlens.llm import bpe, exact_dedup, near_dedup, packing, secrets, sharding, substring_dedup, toxicity
+from connlens.llm import bpe, exact_dedup, hamming, near_dedup, packing, secrets, sharding, substring_dedup, toxicity, warc
+from connlens.session import materialize
 from connlens.sources.tables import table
 
 
@@ -18,6 +19,15 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages")).drop("archive", "place", "length")
+
+
+def op4_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = materialize(hamming.sign_codes(table(spark, sf_dir, "embeddings"), "vec_id", "embedding"), "sign-codes")
+    return hamming.search(codes, codes.where("id % 50 = 0"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     ids = bpe.encode(table(spark, sf_dir, "documents"), path)
@@ -47,6 +57,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_warc": op3_warc,
+    "op4_hamming_topk": op4_hamming_topk,
     "op5_bpe": op5_bpe,
     "op6_sharding": op6_sharding,
     "op7_near_dedup": op7_near_dedup,
@@ -57,5 +69,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_exact_dedup": exact_dedup.VERDICT_SQL,
+    "op3_warc": warc.REPORT_SQL,
+    "op4_hamming_topk": hamming.SEARCH_SQL,
     "op6_sharding": sharding.placement_sql("documents", "doc_id"),
 }
