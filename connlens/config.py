@@ -93,7 +93,7 @@ LOF_CONTAMINATIONS = ["auto", 0.10, 0.20, 0.44]
 IF_TREES = 100
 IF_MAX_SAMPLES = 256
 HYBRID_CONTAMINATION = 0.20
-LOF_MAX_REFERENCE = 10000
+UNIFORM_SUBSAMPLE_SIZE = 10000
 SUBSAMPLE_SIZE = 10000
 
 # Stage-2 router preference list (first available model is used, else a fallback forest).

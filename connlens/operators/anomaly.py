@@ -86,15 +86,12 @@ def fit(train: DataFrame, key: str, vec: str, n_trees: int = 100, psi: int = 256
     psi_eff = int(min(psi, n))
     max_depth = int(math.ceil(math.log2(max(psi_eff, 2))))
     base = train.select(F.col(key).cast("string").alias("_k"), F.col(vec).alias("_v"))
-    if n < psi * n_trees * 2:
-        rate = min(1.0, 1.5 * psi_eff / max(n, 1))
-        trees = F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree")
-        s = base.select("*", trees)
-        s = s.where(md5_uniform(F.concat_ws("#", "_k", F.col("tree").cast("string")), seed) < rate)
-    else:
-        buckets = n // psi
-        s = base.select("*", F.floor(md5_uniform("_k", seed) * buckets).cast("int").alias("tree")).where(
-            F.col("tree") < n_trees)
+    # one rule at every size: a row joins a tree when their md5 falls below 1.5 psi / n; the tree keeps its
+    # first psi rows in the order of a second md5
+    rate = min(1.0, 1.5 * psi_eff / max(n, 1))
+    joined = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
+                      lambda t: md5_uniform(F.concat_ws("#", F.col("_k"), t.cast("string")), seed) < rate)
+    s = base.select("*", F.explode(joined).alias("tree"))
     s = s.select("tree", "_v", md5_uniform(F.concat_ws("#", "_k", F.col("tree").cast("string")), seed + 1).alias("_u"))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:

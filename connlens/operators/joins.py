@@ -58,22 +58,24 @@ def join_class_weight(df: DataFrame, label: str, weight_col: str = "weight") ->
     """Attach the balanced class weight; one row per class, so broadcast is bounded
     by the number of classes."""
     w = class_weights(df, label).withColumnRenamed("weight", weight_col)
-    return df.join(F.broadcast(w), label)
+    w = w.withColumnRenamed(label, "_label")
+    return df.join(F.broadcast(w), F.col(label).eqNullSafe(F.col("_label"))).drop("_label")
 
 
 def manifest_diff(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Positional compare of two (pos, name) feature lists: one audit row with status
-    COMPATIBLE / INCOMPATIBLE (length differs) / DEVIATION_DETECTED (first mismatch)."""
+    DEVIATION_DETECTED (names differ at a position both lists have), else INCOMPATIBLE
+    (one list is longer), else COMPATIBLE."""
     j = expected.alias("e").join(actual.alias("a"), F.col("e.pos") == F.col("a.pos"), "full_outer")
     pos = F.coalesce(F.col("e.pos"), F.col("a.pos"))
-    mism = ~F.col("e.name").eqNullSafe(F.col("a.name"))
+    mism = F.col("e.pos").isNotNull() & F.col("a.pos").isNotNull() & ~F.col("e.name").eqNullSafe(F.col("a.name"))
     agg = j.agg(
         F.count(F.col("e.pos")).alias("expected_count"), F.count(F.col("a.pos")).alias("actual_count"),
         F.min(F.when(mism, pos)).alias("first_mismatch_pos"),
         F.min_by(F.col("e.name"), F.when(mism, pos)).alias("expected_name"),
         F.min_by(F.col("a.name"), F.when(mism, pos)).alias("actual_name"))
-    status = (F.when(F.col("expected_count") != F.col("actual_count"), "INCOMPATIBLE")
-              .when(F.col("first_mismatch_pos").isNotNull(), "DEVIATION_DETECTED").otherwise("COMPATIBLE"))
+    status = (F.when(F.col("first_mismatch_pos").isNotNull(), "DEVIATION_DETECTED")
+              .when(F.col("expected_count") != F.col("actual_count"), "INCOMPATIBLE").otherwise("COMPATIBLE"))
     return agg.select(F.col("expected_count").cast("long"), F.col("actual_count").cast("long"),
                       status.alias("status"), "first_mismatch_pos", "expected_name", "actual_name")
 

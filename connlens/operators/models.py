@@ -50,9 +50,13 @@ def gaussian_nb_fit(df: DataFrame, features: Sequence[Column | str], label: str,
     per = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"),
                                 *[F.avg(f).alias(f"m{i}") for i, f in enumerate(feats)],
                                 *[F.var_pop(f).alias(f"v{i}") for i, f in enumerate(feats)]).collect()
-    glob = df.agg(*[F.var_pop(f).alias(f"g{i}") for i, f in enumerate(feats)]).first()
-    eps = var_smoothing * max(glob[f"g{i}"] or 0.0 for i in range(k))
     n = sum(r["n"] for r in per)
+
+    def overall(i):  # variance of the feature over all classes, from the per-class moments
+        mean = sum(r["n"] * r[f"m{i}"] for r in per) / n
+        return sum(r["n"] * (r[f"v{i}"] + (r[f"m{i}"] - mean) ** 2) for r in per) / n
+
+    eps = var_smoothing * max((overall(i) for i in range(k)), default=0.0)
     classes = sorted(per, key=lambda r: r[label])
     return {"classes": [r[label] for r in classes],
             "prior": [r["n"] / n for r in classes],
@@ -62,17 +66,13 @@ def gaussian_nb_fit(df: DataFrame, features: Sequence[Column | str], label: str,
 
 def gaussian_nb_jll(model: dict, features: Sequence[Column | str]) -> Column:
     """Array of joint log-likelihoods, one per class (in ``model['classes']`` order)."""
-    feats = [F.col(f) if isinstance(f, str) else f for f in features]
+    x = F.array(*[(F.col(f) if isinstance(f, str) else f).cast("double") for f in features])
     out = []
-    for c in range(len(model["classes"])):
-        terms = [F.lit(math.log(model["prior"][c]))]
-        for i, f in enumerate(feats):
-            v, m = model["var"][c][i], model["mean"][c][i]
-            terms.append(F.lit(-0.5 * math.log(2 * math.pi * v)) - (f.cast("double") - F.lit(m)) ** 2 / F.lit(2 * v))
-        s = terms[0]
-        for t in terms[1:]:
-            s = s + t
-        out.append(s)
+    for prior, mean, var in zip(model["prior"], model["mean"], model["var"]):
+        start = math.log(prior) - 0.5 * sum(math.log(2 * math.pi * v) for v in var)
+        squares = F.zip_with(x, F.array(*[F.lit(m) for m in mean]), lambda a, m: (a - m) * (a - m))
+        terms = F.zip_with(squares, F.array(*[F.lit(2 * v) for v in var]), lambda d, v: d / v)
+        out.append(F.aggregate(terms, F.lit(start), lambda s, t: s - t))
     return F.array(*out)
 
 

@@ -2,17 +2,20 @@
 
 Design
 ------
-* The query side is never collected: it streams through ``mapInPandas`` in Arrow
-  batches, one Spark task per partition.
-* The reference side is broadcast only after an explicit size check
-  (rows x dims x 8 bytes <= ``max_broadcast_bytes``).  A larger reference side is cut
-  into chunks that each pass the check (md5 bucket of the id); every chunk yields at
-  most k candidates per query row and the candidates are merged with a grouped
-  top-k.  No (query, reference) pair is ever emitted as a row -- each task keeps only
-  the k best per query in memory.
+* A bounded number of pivots (reference rows drawn by md5) cuts the reference side into
+  cells: every row belongs to its nearest pivot.  Per cell only the row count, the radius
+  and the k smallest pivot distances are gathered (pivots x k numbers, whatever the data).
+* For a query row, distance-to-pivot plus those k smallest distances bound its k-th
+  neighbour distance from above; a cell whose pivot distance minus radius exceeds that
+  bound cannot hold a neighbour (triangle inequality).
+* Cells are gathered into blocks of bounded size; a cell larger than a block is split by
+  id hash.  A query row is sent to the blocks it still needs, in chunks of bounded size,
+  and one (block, chunk) pair is one task: neither side ever passes through the driver
+  and no pair of rows is emitted.  Each task returns the k best per query row of its
+  block; a grouped top-k merges them.
 * Inside a task distances are computed block-wise with NumPy (||q||^2 + ||r||^2 -
-  2 q.r), the best k + margin candidates are re-scored with exact differences, and
-  ties are broken by reference id.
+  2 q.r); every row within rounding error of the k-th distance is re-scored with exact
+  differences and ordered by (distance, reference id), so equal vectors are ranked by id.
 * LOF and SMOTE are joins/aggregations over the (query, neighbour, rank, dist) table,
   which has exactly k rows per query.
 """
@@ -23,17 +26,20 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from connlens.functions.core import md5_uniform
+from connlens.functions.core import md5_hex, md5_uniform
+from connlens.session import materialize, ship_package
 
 KNN_SCHEMA = T.StructType([
-    T.StructField("qid", T.LongType()), T.StructField("nid", T.LongType()),
-    T.StructField("rank", T.IntegerType()), T.StructField("dist", T.DoubleType())])
+    T.StructField("qid", T.LongType()), T.StructField("nid", T.LongType()), T.StructField("dist", T.DoubleType())])
 
-DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+PIVOTS = 64
+BLOCK_ROWS = 50_000
+CHUNK_ROWS = 100_000
+PAIRS_AT_ONCE = 500_000
 
 
 def _to_matrix(series: pd.Series) -> np.ndarray:
@@ -42,75 +48,111 @@ def _to_matrix(series: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in series.to_numpy()])
 
 
+def _sq_dist(q: np.ndarray, r: np.ndarray) -> np.ndarray:
+    return (q * q).sum(axis=1)[:, None] + (r * r).sum(axis=1)[None, :] - 2.0 * q @ r.T
+
+
 def _topk_block(q: np.ndarray, qids: np.ndarray, r: np.ndarray, rids: np.ndarray, k: int,
                 exclude_self: bool) -> pd.DataFrame:
-    out_q, out_n, out_r, out_d = [], [], [], []
-    if len(rids) == 0 or len(qids) == 0:
-        return pd.DataFrame({"qid": [], "nid": [], "rank": [], "dist": []})
-    rn = (r * r).sum(axis=1)
-    margin = min(len(rids), k + 8 + (1 if exclude_self else 0))
-    step = max(1, int(2_000_000 // max(1, len(rids))))
-    for s in range(0, len(qids), step):
+    """The k best rows of ``r`` per row of ``q`` by (distance, id)."""
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    step = max(1, PAIRS_AT_ONCE // max(1, len(rids)))
+    largest = float((r * r).sum(axis=1).max()) if len(rids) else 0.0
+    for s in range(0, len(qids) if len(rids) else 0, step):
         qb, ib = q[s:s + step], qids[s:s + step]
-        d2 = (qb * qb).sum(axis=1)[:, None] + rn[None, :] - 2.0 * qb @ r.T
+        d2 = _sq_dist(qb, r)
         if exclude_self:
             d2[ib[:, None] == rids[None, :]] = np.inf
-        cand = np.argpartition(d2, margin - 1, axis=1)[:, :margin] if margin < len(rids) else \
-            np.tile(np.arange(len(rids)), (len(ib), 1))
-        for row in range(len(ib)):
-            c = cand[row]
-            c = c[np.isfinite(d2[row, c])]
-            exact = np.sqrt(((r[c] - qb[row]) ** 2).sum(axis=1))
-            order = np.lexsort((rids[c], exact))[:k]
-            out_q += [ib[row]] * len(order)
-            out_n += list(rids[c][order])
-            out_r += list(range(1, len(order) + 1))
-            out_d += list(exact[order])
-    return pd.DataFrame({"qid": np.asarray(out_q, dtype=np.int64), "nid": np.asarray(out_n, dtype=np.int64),
-                         "rank": np.asarray(out_r, dtype=np.int32), "dist": np.asarray(out_d, dtype=np.float64)})
-
-
-def _knn_against(query: DataFrame, qid: str, qvec: str, ref_ids: np.ndarray, ref_mat: np.ndarray,
-                 k: int, exclude_self: bool) -> DataFrame:
-    sc = query.sparkSession.sparkContext
-    bc = sc.broadcast((ref_ids, ref_mat))
-
-    def run(batches):
-        rids, rmat = bc.value
-        for pdf in batches:
-            yield _topk_block(_to_matrix(pdf["v"]), pdf["id"].to_numpy(dtype=np.int64), rmat, rids, k, exclude_self)
-
-    return query.select(F.col(qid).cast("long").alias("id"), F.col(qvec).alias("v")).mapInPandas(run, KNN_SCHEMA)
+        kth = np.partition(d2, min(k, len(rids)) - 1, axis=1)[:, min(k, len(rids)) - 1]
+        slack = 1e-9 * ((qb * qb).sum(axis=1) + largest) + 1e-12
+        at, col = np.nonzero((d2 <= (kth + slack)[:, None]) & np.isfinite(d2))
+        exact = np.concatenate([np.zeros(0)] + [np.sqrt(((r[col[i:i + PAIRS_AT_ONCE]] - qb[at[i:i + PAIRS_AT_ONCE]]) ** 2).sum(axis=1))
+                                                for i in range(0, len(at), PAIRS_AT_ONCE)])
+        order = np.lexsort((rids[col], exact, at))
+        at, col, exact = at[order], col[order], exact[order]
+        place = np.arange(len(at)) - np.searchsorted(at, at, side="left")
+        keep = place < k
+        found.append((ib[at[keep]], rids[col[keep]], exact[keep]))
+    qid, nid, dist = (np.concatenate(x) for x in zip(*found))
+    return pd.DataFrame({"qid": qid, "nid": nid, "dist": dist})
+
+
+def _blocks(counts: np.ndarray, block_rows: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """First block and number of blocks of every cell; small neighbouring cells share one."""
+    first, parts, at, held = np.zeros(len(counts), np.int64), np.ones(len(counts), np.int64), 0, 0
+    for j, n in enumerate(counts):
+        if held and held + n > block_rows:
+            at, held = at + 1, 0
+        first[j], parts[j] = at, max(1, -(-int(n) // block_rows))
+        if parts[j] > 1:
+            at, held = at + int(parts[j]), 0
+        else:
+            held += int(n)
+    return first, parts, at + 1
 
 
 def knn_join(query: DataFrame, ref: DataFrame, k: int, qid: str = "id", qvec: str = "vec",
              rid: str | None = None, rvec: str | None = None, exclude_self: bool = False,
-             max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Exact Euclidean k nearest reference rows of every query row.
+             pivots: int = PIVOTS, block_rows: int = BLOCK_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Exact Euclidean k nearest reference rows of every query row (ids and vectors not null).
 
     Returns (qid, nid, rank, dist); rank 1 is the nearest; ties broken by id."""
     rid, rvec = rid or qid, rvec or qvec
-    stats = ref.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(rvec)).alias("d")).first()
-    n_ref, dims = int(stats["n"] or 0), int(stats["d"] or 0)
-    per_row = max(1, dims) * 8 + 8
-    n_chunks = max(1, -(-n_ref * per_row // max_broadcast_bytes))
+    spark = query.sparkSession
+    ship_package(spark)
     refk = ref.select(F.col(rid).cast("long").alias("id"), F.col(rvec).alias("v"))
-    parts = []
-    for ch in range(n_chunks):
-        piece = refk if n_chunks == 1 else refk.where(
-            F.floor(md5_uniform("id", 7) * n_chunks).cast("int") == ch)
-        pdf = piece.toPandas()  # size-checked above: <= max_broadcast_bytes
-        parts.append(_knn_against(query, qid, qvec, pdf["id"].to_numpy(dtype=np.int64), _to_matrix(pdf["v"]),
-                                  k, exclude_self))
-    if len(parts) == 1:
-        return parts[0]
-    # merge per-chunk candidates (<= k per query per chunk) into the global top-k
-    allc = parts[0]
-    for p in parts[1:]:
-        allc = allc.unionByName(p)
-    best = allc.groupBy("qid").agg(F.slice(F.array_sort(F.collect_list(F.struct("dist", "nid"))), 1, k).alias("b"))
-    return best.select("qid", F.posexplode("b").alias("pos", "c")).select(
-        "qid", F.col("c.nid").alias("nid"), (F.col("pos") + 1).cast("int").alias("rank"), F.col("c.dist").alias("dist"))
+    queryk = query.select(F.col(qid).cast("long").alias("id"), F.col(qvec).alias("v"))
+    chosen = refk.orderBy(md5_hex("id", 7), "id").limit(pivots).toPandas()  # at most ``pivots`` rows
+    if not len(chosen):
+        return spark.createDataFrame([], "qid long, nid long, rank int, dist double")
+    centre = _to_matrix(chosen["v"])
+
+    def assign(batches):
+        for pdf in batches:
+            if len(pdf):
+                d2 = np.maximum(_sq_dist(_to_matrix(pdf["v"]), centre), 0)
+                cell = d2.argmin(axis=1)
+                yield pd.DataFrame({"id": pdf["id"], "v": pdf["v"], "cell": cell.astype(np.int32), "d": np.sqrt(d2[np.arange(len(cell)), cell])})
+
+    celled = materialize(refk.mapInPandas(assign, "id long, v array<double>, cell int, d double"), "knn-cells")
+    wanted = k + 1 if exclude_self else k
+    near = celled.select("cell", "d", F.row_number().over(Window.partitionBy("cell").orderBy("d")).alias("r")).where(F.col("r") <= wanted).toPandas()
+    stats = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("radius")).toPandas()  # a row per pivot
+    counts, radius = np.zeros(len(centre), np.int64), np.full(len(centre), -np.inf)
+    counts[stats["cell"]], radius[stats["cell"]] = stats["n"], stats["radius"]
+    close = np.full((len(centre), wanted), np.inf)
+    close[near["cell"], near["r"] - 1] = near["d"]
+    total = int(counts.sum())
+    size = max(1, min(block_rows, -(-total // spark.sparkContext.defaultParallelism)))
+    first, parts, _ = _blocks(counts, size)
+    tol = 1e-6 * (1.0 + float(np.abs(centre).max()))
+
+    def route(batches):
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            d = np.sqrt(np.maximum(_sq_dist(_to_matrix(pdf["v"]), centre), 0))
+            bound = np.partition((d[:, :, None] + close[None]).reshape(len(d), -1), wanted - 1, axis=1)[:, wanted - 1]
+            row, cell = np.nonzero(d - radius[None, :] <= bound[:, None] + tol)
+            times = parts[cell]
+            row, block = np.repeat(row, times), np.repeat(first[cell], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            both = np.unique(np.stack([row, block], axis=1), axis=0)
+            yield pd.DataFrame({"id": pdf["id"].to_numpy()[both[:, 0]], "v": pdf["v"].to_numpy()[both[:, 0]], "block": both[:, 1]})
+
+    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return _topk_block(_to_matrix(right["v"]), right["id"].to_numpy(dtype=np.int64), _to_matrix(left["v"]),
+                           left["id"].to_numpy(dtype=np.int64), k, exclude_self)
+
+    chunks = max(1, -(-query.count() // chunk_rows))
+    cells = F.create_map(*[F.lit(x) for j in range(len(centre)) for x in (j, int(first[j]))])
+    split = F.create_map(*[F.lit(x) for j in range(len(centre)) for x in (j, int(parts[j]))])
+    home = F.element_at(cells, F.col("cell")) + F.pmod(F.xxhash64("id"), F.element_at(split, F.col("cell")).cast("long"))
+    left = celled.select("id", "v", home.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))).alias("chunk"))
+    right = (queryk.mapInPandas(route, "id long, v array<double>, block long")
+             .withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks))))
+    local = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInPandas(search, KNN_SCHEMA)
+    rank = F.row_number().over(Window.partitionBy("qid").orderBy("dist", "nid"))
+    return local.select("qid", "nid", rank.alias("rank"), "dist").where(F.col("rank") <= k)
 
 
 def knn_classify(nn: DataFrame, ref_labels: DataFrame, rid: str, label: str) -> DataFrame:
@@ -147,17 +189,16 @@ def lof_training_factor(ref_nn: DataFrame, fitted: DataFrame) -> DataFrame:
     return lof_score(ref_nn, fitted)
 
 
-def smote(minority: DataFrame, nn: DataFrame, id_col: str, vec_col: str, n_new_per_row: Column,
-          seed: int = 42) -> DataFrame:
-    """Synthetic rows x + u * (x_nn - x): ``minority`` must carry the replica plan
-    (rows exploded by ``n_new_per_row``), ``nn`` the within-class neighbours.
-    The neighbour rank and u are md5-derived from (id, replica)."""
-    k = nn.agg(F.max("rank")).scalar()
+def smote(minority: DataFrame, nn: DataFrame, id_col: str, vec_col: str, seed: int = 42) -> DataFrame:
+    """Synthetic rows x + u * (x_nn - x): ``minority`` must carry the replica plan,
+    ``nn`` the within-class neighbours.  The neighbour rank, among as many as the row
+    has, and u are md5-derived from (id, replica); a row without neighbours gets none."""
+    have = nn.groupBy(F.col("qid").alias("base_id")).agg(F.max("rank").alias("k"))
     syn_key = F.concat_ws("#", F.col(id_col).cast("string"), F.col("replica").cast("string"))
     base = minority.where(F.col("replica") > 0).select(
         F.col(id_col).cast("long").alias("base_id"), "replica", F.col(vec_col).alias("x"),
-        (F.floor(md5_uniform(syn_key, seed + 1) * k) + 1).cast("int").alias("nb_rank"),
-        md5_uniform(syn_key, seed + 2).alias("u"))
+        md5_uniform(syn_key, seed + 1).alias("pick"), md5_uniform(syn_key, seed + 2).alias("u"))
+    base = base.join(have, "base_id").withColumn("nb_rank", (F.floor(F.col("pick") * F.col("k")) + 1).cast("int")).drop("pick", "k")
     pairs = base.join(nn.select(F.col("qid").alias("base_id"), F.col("rank").alias("nb_rank"), "nid"),
                       ["base_id", "nb_rank"])
     vecs = minority.where(F.col("replica") == 0).select(F.col(id_col).cast("long").alias("nid"),
@@ -165,7 +206,3 @@ def smote(minority: DataFrame, nn: DataFrame, id_col: str, vec_col: str, n_new_p
     j = pairs.join(vecs, "nid")
     syn = F.zip_with("x", "xn", lambda a, b: a.cast("double") + F.col("u") * (b.cast("double") - a.cast("double")))
     return j.select("base_id", "replica", "nid", "u", syn.alias("synthetic"))
-
-
-def vector_prefix(c: str, dims: int) -> Column:
-    return F.slice(F.col(c), 1, dims)

@@ -15,11 +15,14 @@ hot key is one row and cannot overload a task.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from connlens.session import materialize
+
 
 def _parts(df: DataFrame, n: int | None) -> int:
     return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -44,6 +47,16 @@ def bucketize(df: DataFrame, order: Column, num_buckets: int, out: str = "_pid",
     return bk.transform(tmp).withColumn(out, F.col(out).cast("int")).drop("_ord")
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Broadcast join with a table of bounded size (one row per group, or group and
+    bucket); null keys match null keys, so no row of a null group is lost."""
+    renamed = right.select(*[F.col(c).alias(f"_k_{c}") if c in keys else F.col(c) for c in right.columns])
+    if not keys:
+        return left.crossJoin(F.broadcast(renamed))
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys]
+    return left.join(F.broadcast(renamed), functools.reduce(lambda a, b: a & b, same), how).drop(*[f"_k_{c}" for c in keys])
+
+
 def prefix_sums(df: DataFrame, order: Column, sum_cols: Sequence[str], group_cols: Sequence[str] = (),
                 prefix: str = "cum_", tiebreak: Sequence = (), num_buckets: int | None = None,
                 bounds: Sequence[float] | None = None) -> DataFrame:
@@ -65,7 +78,7 @@ def prefix_sums(df: DataFrame, order: Column, sum_cols: Sequence[str], group_col
     wo = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*group_cols, "_pid", *[
         F.coalesce(F.sum(f"_tot_{c}").over(wo), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
-    out = local.join(F.broadcast(offsets), [*group_cols, "_pid"])  # <= #groups x #buckets rows
+    out = join_null_safe(local, offsets, [*group_cols, "_pid"])  # <= #groups x #buckets rows
     return out.select(*df.columns, *[(F.col(f"_loc_{c}") + F.col(f"_off_{c}")).alias(f"{prefix}{c}")
                                      for c in sum_cols])
 
@@ -161,9 +174,8 @@ def rank_cutoffs(df: DataFrame, hash_col: str, group_cols: Sequence[str],
     candidates are ranked exactly.  md5 is uniform, so the candidate set shrinks by
     ~65536x per pass: one pass up to ~10^10 rows per group, two up to ~10^14.
 
-    The passes read only the narrow (group, hash) projection; it is persisted
-    (memory, spilling to disk) so an expensive input plan runs once for all passes.
-    A lost executor only recomputes its partitions from lineage.
+    The passes read only the narrow (group, hash) projection; it is written once to the
+    shared folder, so an expensive input plan runs once for all passes.
 
     ``quota`` is a table with one row per group and ``quota_col``, or a function of
     the group sizes (group..., n_c) returning that table -- then the sizes come from
@@ -171,22 +183,16 @@ def rank_cutoffs(df: DataFrame, hash_col: str, group_cols: Sequence[str],
     (group..., _cut), with ``_cut`` = "g" (all rows) when quota >= group size and ""
     when quota <= 0.
     """
-    from pyspark import StorageLevel
-
     group_cols = list(group_cols)
     spark = df.sparkSession
-    keys = df.select(*group_cols, F.col(hash_col).alias("_h")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _rank_cutoffs(spark, df, keys, group_cols, quota, quota_col)
-    finally:
-        keys.unpersist()
+    keys = materialize(df.select(*group_cols, F.col(hash_col).alias("_h")), "rank-keys")
+    return _rank_cutoffs(spark, df, keys, group_cols, quota, quota_col)
 
 
 def _rank_cutoffs(spark, df, keys, group_cols, quota, quota_col):
     sizes = keys.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n_c"))
     qdf = quota(sizes) if callable(quota) else quota
-    q = F.broadcast(qdf.select(*group_cols, quota_col))  # one row per group
-    plan = sizes.join(q, group_cols, "left") if group_cols else sizes.crossJoin(q)
+    plan = join_null_safe(sizes, qdf.select(*group_cols, quota_col), group_cols, "left")  # one row per group
     rows = plan.select(*group_cols, F.col("n_c").alias("_n"),
                        F.coalesce(F.col(quota_col), F.lit(0)).cast("long").alias("_q")).collect()
     fixed, open_ = [], []  # one row per group: bounded by the group count
@@ -206,7 +212,7 @@ def _rank_cutoffs(spark, df, keys, group_cols, quota, quota_col):
                       + (", " if group_cols else "") + "_prefix string, _need long")
         sel = spark.createDataFrame([(*g, p, k) for g, p, k, _ in open_], sel_schema)
         start = level * HEX_DIGITS_PER_PASS
-        cand = keys.join(F.broadcast(sel), group_cols) if group_cols else keys.crossJoin(F.broadcast(sel))
+        cand = join_null_safe(keys, sel, group_cols)
         cand = cand.where(F.substring("_h", 1, start) == F.col("_prefix")) if start else cand
         exact = [o for o in open_ if o[3] <= MAX_FINAL_CANDIDATES]
         if len(exact) == len(open_) or start + HEX_DIGITS_PER_PASS >= 32:
@@ -237,5 +243,5 @@ def first_in_hash_order(df: DataFrame, hash_col: str, group_cols: Sequence[str],
     if not group_cols:
         cut = cuts.first()["_cut"] if cuts.count() else NO_ROWS
         return df.withColumn(out, F.col(hash_col) <= F.lit(cut))
-    j = df.join(F.broadcast(cuts), list(group_cols), "left")
+    j = join_null_safe(df, cuts, group_cols, "left")
     return j.withColumn(out, F.coalesce(F.col(hash_col) <= F.col("_cut"), F.lit(False))).drop("_cut")

@@ -81,7 +81,8 @@ def random_oversample(df: DataFrame, key: Column, label: str, targets: dict,
             .select(label, "n_c", F.greatest(F.col("n_c"), F.coalesce("_target", "n_c")).alias("_goal")))
     plan = plan.withColumn("_m", F.col("_goal") - F.col("n_c")).withColumn("_rem", F.col("_m") % F.col("n_c"))
     ranked = first_in_hash_order(h, "_h", [label], plan, "_rem")  # the first (m mod n_c) rows get one more copy
-    j = ranked.join(F.broadcast(plan), label)  # one row per class
+    per = plan.withColumnRenamed(label, "_label")
+    j = ranked.join(F.broadcast(per), F.col(label).eqNullSafe(F.col("_label"))).drop("_label")  # one row per class
     copies = (F.floor(F.col("_m") / F.col("n_c")) + F.when(F.col("_in"), 1).otherwise(0)).cast("int")
     # each row fans out into 1 + copies rows; copies is bounded by target / n_c
     out = j.withColumn("replica", F.explode(F.sequence(F.lit(0), copies)))

@@ -102,12 +102,12 @@ def q_outlier_to_label(spark, sf_dir):
 @register("engineered_features", WC + f"""
 SELECT {KEYS}, {Q.r6("src_bytes / (dst_bytes + 1)")} AS bytes_ratio,
        {Q.r6("serror_rate + rerror_rate")} AS error_index,
-       {Q.r6("src_bytes / (duration + 1)")} AS payload_density FROM conn""")
+       {Q.r6("ln(src_bytes + 1) * logged_in")} AS payload_density FROM conn""")
 def q_engineered_features(spark, sf_dir):
     c = conn_view(spark, sf_dir)
     return c.select(*KEY, r6(F.col("src_bytes") / (F.col("dst_bytes") + 1)).alias("bytes_ratio"),
                     r6(F.col("serror_rate") + F.col("rerror_rate")).alias("error_index"),
-                    r6(F.col("src_bytes") / (F.col("duration") + 1)).alias("payload_density"))
+                    r6(F.log(F.col("src_bytes") + 1) * F.col("logged_in")).alias("payload_density"))
 
 
 # ---------------------------------------------------------------------------
@@ -136,36 +136,32 @@ def q_fn_math(spark, sf_dir):
                     r6(F.greatest(F.least(F.col("serror_rate") * 10, F.lit(0.5)), F.lit(0.1))).alias("clamped"))
 
 
-def _first5(e: str = "embedding"):
-    return F.slice(F.col(e), 1, 5)
+DIMS, LABELS = range(64), range(10)
 
 
 @register("fn_softmax", f"""
-SELECT vec_id, {", ".join(Q.r6(f"exp(e{i} - m) / s") + f" AS p{i}" for i in range(5))}
-FROM (SELECT *, {" + ".join(f"exp(e{i} - m)" for i in range(5))} AS s
-      FROM (SELECT *, greatest({", ".join(f"e{i}" for i in range(5))}) AS m
-            FROM (SELECT vec_id, {", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(5))}
+SELECT vec_id, {", ".join(Q.r6(f"exp(e{i} - m) / s") + f" AS p{i}" for i in DIMS)}
+FROM (SELECT *, {" + ".join(f"exp(e{i} - m)" for i in DIMS)} AS s
+      FROM (SELECT *, greatest({", ".join(f"e{i}" for i in DIMS)}) AS m
+            FROM (SELECT vec_id, {", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in DIMS)}
                   FROM embeddings)))""")
 def q_fn_softmax(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings").select("vec_id", A.softmax(_first5()).alias("p"))
-    return e.select("vec_id", *[r6(F.element_at("p", i + 1)).alias(f"p{i}") for i in range(5)])
+    e = table(spark, sf_dir, "embeddings").select("vec_id", A.softmax(F.col("embedding")).alias("p"))
+    return e.select("vec_id", *[r6(F.element_at("p", i + 1)).alias(f"p{i}") for i in DIMS])
 
 
-@register("fn_argmax", f"""
-SELECT vec_id, CAST(list_position(list_slice(embedding, 1, 5), list_max(list_slice(embedding, 1, 5))) - 1 AS INTEGER)
-       AS argmax FROM embeddings""")
+@register("fn_argmax", """
+SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS argmax FROM embeddings""")
 def q_fn_argmax(spark, sf_dir):
-    return table(spark, sf_dir, "embeddings").select("vec_id", A.argmax(_first5()).alias("argmax"))
+    return table(spark, sf_dir, "embeddings").select("vec_id", A.argmax(F.col("embedding")).alias("argmax"))
 
 
-@register("fn_onehot_array", """
-SELECT vec_id, label % 5 AS cls,
-       concat_ws(',', CASE WHEN label % 5 = 0 THEN 1 ELSE 0 END, CASE WHEN label % 5 = 1 THEN 1 ELSE 0 END,
-                 CASE WHEN label % 5 = 2 THEN 1 ELSE 0 END, CASE WHEN label % 5 = 3 THEN 1 ELSE 0 END,
-                 CASE WHEN label % 5 = 4 THEN 1 ELSE 0 END) AS onehot FROM embeddings""")
+@register("fn_onehot_array", f"""
+SELECT vec_id, label AS cls, concat_ws(',', {", ".join(f"CASE WHEN label = {i} THEN 1 ELSE 0 END" for i in LABELS)}) AS onehot
+FROM embeddings""")
 def q_fn_onehot_array(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings").select("vec_id", (F.col("label") % 5).alias("cls"))
-    oh = F.transform(A.onehot_array("cls", 5), lambda x: x.cast("int").cast("string"))
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("cls"))
+    oh = F.transform(A.onehot_array("cls", len(LABELS)), lambda x: x.cast("int").cast("string"))
     return e.select("vec_id", "cls", F.array_join(oh, ",").alias("onehot"))
 
 
@@ -247,14 +243,22 @@ def q_distinct_dedup(spark, sf_dir):
         "protocol_type", "service", "flag")
 
 
-@register("columns_except", WC + " UNION ALL ".join(
-    f"SELECT {i} AS pos, '{c}' AS name" for i, c in enumerate(config.RAW_COLUMNS)
-    if c not in {"protocol_type", "service", "flag", "duration", "src_bytes", "dst_bytes", "hot",
-                 "serror_rate", "rerror_rate", "logged_in", "num_outbound_cmds", "class"}))
+_SCALARS = ["protocol_type", "service", "flag", "duration", "src_bytes", "dst_bytes", "hot",
+            "serror_rate", "rerror_rate", "logged_in", "num_outbound_cmds", "class"]
+
+
+@register("columns_except", WC + f"""
+, n AS (SELECT {", ".join(f"count({c}) AS {c}" for c in _SCALARS)} FROM conn),
+filled AS (SELECT name FROM (UNPIVOT n ON COLUMNS(*) INTO NAME name VALUE k) WHERE k > 0)
+SELECT e.pos, e.name FROM (VALUES {", ".join(f"({i}, '{c}')" for i, c in enumerate(config.RAW_COLUMNS))}) e(pos, name)
+WHERE e.name NOT IN (SELECT name FROM filled)""")
 def q_columns_except(spark, sf_dir):
-    actual = J.names_table(spark, conn_view(spark, sf_dir).columns).select("name")
+    # the columns of the raw record that no row of the table fills
+    c = conn_view(spark, sf_dir)
+    counts = c.agg(*[F.count(n).alias(n) for n in _SCALARS])
+    filled = counts.unpivot([], _SCALARS, "name", "k").where("k > 0").select("name")
     expected = J.names_table(spark, config.RAW_COLUMNS)
-    return expected.join(actual, "name", "left_anti").select("pos", "name")
+    return expected.join(filled, "name", "left_anti").select("pos", "name")
 
 
 # ---------------------------------------------------------------------------
@@ -311,11 +315,11 @@ e AS (SELECT CAST(row_number() OVER (ORDER BY flag) - 1 AS INTEGER) AS pos, 'cat
 a AS (SELECT CAST(row_number() OVER (ORDER BY n DESC, flag) - 1 AS INTEGER) AS pos, 'cat__flag_' || flag AS name
       FROM cats),
 j AS (SELECT COALESCE(e.pos, a.pos) AS pos, e.pos AS ep, a.pos AS ap, e.name AS en, a.name AS an,
-             e.name IS DISTINCT FROM a.name AS mism FROM e FULL OUTER JOIN a ON e.pos = a.pos),
+             e.name <> a.name AS mism FROM e FULL OUTER JOIN a ON e.pos = a.pos),
 fm AS (SELECT min(pos) FILTER (WHERE mism) AS p FROM j)
 SELECT CAST(count(ep) AS BIGINT) AS expected_count, CAST(count(ap) AS BIGINT) AS actual_count,
-       CASE WHEN count(ep) <> count(ap) THEN 'INCOMPATIBLE'
-            WHEN max(fm.p) IS NOT NULL THEN 'DEVIATION_DETECTED' ELSE 'COMPATIBLE' END AS status,
+       CASE WHEN max(fm.p) IS NOT NULL THEN 'DEVIATION_DETECTED'
+            WHEN count(ep) <> count(ap) THEN 'INCOMPATIBLE' ELSE 'COMPATIBLE' END AS status,
        max(fm.p) AS first_mismatch_pos, max(en) FILTER (WHERE pos = fm.p) AS expected_name,
        max(an) FILTER (WHERE pos = fm.p) AS actual_name
 FROM j, fm""")

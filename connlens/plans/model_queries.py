@@ -122,13 +122,13 @@ def q_router_fallback(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# Gaussian naive Bayes on the first NB_DIMS embedding dimensions
+# Gaussian naive Bayes on all NB_DIMS embedding dimensions
 # ---------------------------------------------------------------------------
 
 from connlens.operators import models as MD  # noqa: E402
 from connlens.sources.tables import table  # noqa: E402
 
-NB_DIMS = 8
+NB_DIMS = 64
 
 
 def _nb_feats():
@@ -168,7 +168,7 @@ def q_fit_gaussian_nb(spark, sf_dir):
 from connlens.operators import anomaly as IF  # noqa: E402
 from connlens.operators import neighbors as N  # noqa: E402
 from connlens.functions.core import safe_div  # noqa: E402
-from connlens.session import checkpoint_dir  # noqa: E402
+from connlens.session import materialize  # noqa: E402
 from connlens.operators.ordered import exact_quantiles  # noqa: E402
 from pyspark.sql import DataFrame  # noqa: E402
 
@@ -217,10 +217,9 @@ def q_isolation_forest(spark, sf_dir):
 
 
 def _if_configs(a, scheme):
-    checkpoint_dir(a.sparkSession)
     train = a.where("split = 'train'") if scheme == "Entire Set" else a.where("split = 'train' AND y = 0")
     model = IF.fit(train, "vec_id", "vec", config.IF_TREES, config.IF_MAX_SAMPLES, config.RANDOM_STATE)
-    tr = IF.score(train, model, "vec_id", "vec").checkpoint()  # reused by every contamination offset
+    tr = materialize(IF.score(train, model, "vec_id", "vec"), "forest-scores")  # reused by every contamination offset
     test = a.where("split = 'test'")
     sc = IF.score(test, model, "vec_id", "vec").join(test.select("vec_id", "y", "segment"), "vec_id")
     offs = IF.offsets(tr, config.IF_CONTAMINATIONS)
@@ -228,12 +227,9 @@ def _if_configs(a, scheme):
 
 
 def _lof_configs(a, scheme, k):
-    checkpoint_dir(a.sparkSession)
     ref = a.where("split = 'train'") if scheme == "Entire Set" else a.where("split = 'train' AND y = 0")
-    from connlens.operators.sampling import uniform_subsample
-    ref = uniform_subsample(ref, F.col("vec_id"), config.LOF_MAX_REFERENCE)
     # the kNN table feeds k-distance, reachability and the training factor: write it once
-    ref_nn = N.knn_join(ref, ref, k, qid="vec_id", qvec="vec", exclude_self=True).checkpoint()
+    ref_nn = materialize(N.knn_join(ref, ref, k, qid="vec_id", qvec="vec", exclude_self=True), "lof-neighbours")
     fitted = N.lof_fit(ref_nn)
     nof = N.lof_training_factor(ref_nn, fitted)
     test = a.where("split = 'test'")
@@ -252,7 +248,7 @@ def _lof_configs(a, scheme, k):
 def q_report_anomaly_sweep(spark, sf_dir):
     a = anomaly_frame(spark, sf_dir)
     parts = []
-    # supervised generative champion: Gaussian NB on the first NB_DIMS dims, tau = 0.5
+    # supervised generative champion: Gaussian NB on all dims, tau = 0.5
     tr = a.where("split = 'train'").select("y", *[F.element_at("vec", i + 1).alias(f"e{i}") for i in range(NB_DIMS)])
     feats = [f"e{i}" for i in range(NB_DIMS)]
     nb = MD.gaussian_nb_fit(tr, feats, "y")

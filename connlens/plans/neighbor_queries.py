@@ -10,7 +10,7 @@ from connlens.operators.ordered import exact_quantiles
 from connlens.plans import sqlfrag as Q
 from connlens.plans.registry import register
 from connlens.plans.sampling_queries import knn_sql
-from connlens.session import checkpoint_dir
+from connlens.session import materialize
 from connlens.sources.tables import table, with_ctes
 
 K = 5
@@ -59,9 +59,8 @@ FROM sc, off"""
 def q_lof(spark, sf_dir):
     e = _emb(spark, sf_dir)
     ref = e.where("label <> 5")
-    checkpoint_dir(spark)
     # the kNN table feeds k-distance, reachability and the training factor: write it once
-    ref_nn = N.knn_join(ref, ref, LOF_K, qid="vec_id", qvec="embedding", exclude_self=True).checkpoint()
+    ref_nn = materialize(N.knn_join(ref, ref, LOF_K, qid="vec_id", qvec="embedding", exclude_self=True), "lof-neighbours")
     fitted = N.lof_fit(ref_nn)
     nof = N.lof_training_factor(ref_nn, fitted)
     offset = exact_quantiles(nof, ["score"], [0.1]).agg(F.first("value")).scalar()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import math
+
 from pyspark.sql import functions as F
 
 from connlens import config
@@ -11,13 +14,26 @@ from connlens.operators import neighbors as N
 from connlens.operators import sampling as S
 from connlens.plans import sqlfrag as Q
 from connlens.plans.registry import register
+from connlens.session import materialize
 from connlens.sources.tables import CONN_CTE, conn_view, table, with_ctes
 
 KEY = ["l_orderkey", "l_partkey", "dst_host", "l_linenumber", "count_"]
 KEYS = ", ".join(KEY)
 KEY_SQL = "concat_ws('|', l_orderkey, l_partkey, dst_host, l_linenumber, CAST(count_ AS BIGINT))"
-ROS_TARGETS = {5: 120, 3: 100}
-SMOTE_TARGET = {5: 120}
+#: Two balancing plans: the size a class is grown to, as a multiple of its own.
+PLANS = {"B": {3: 2.0, 5: 2.5}, "C": {3: 3.5, 5: 5.0}}
+
+
+def plan_targets(e, plan):
+    """Target row count of each grown class (one row per class comes back)."""
+    counts = dict(e.groupBy("label").count().collect())
+    return {c: math.ceil(counts.get(c, 0) * m) for c, m in PLANS[plan].items()}
+
+
+def both_plans(one):
+    """The rows of ``one(plan)`` for every plan, with the plan's name."""
+    frames = [one(p).withColumn("plan", F.lit(p)) for p in PLANS]
+    return functools.reduce(lambda a, b: a.unionByName(b), frames)
 
 
 def conn_keyed(spark, sf_dir):
@@ -58,9 +74,9 @@ def q_stratified_subsample(spark, sf_dir):
 
 
 @register("uniform_subsample", W + f"""
-SELECT {KEYS} FROM lab ORDER BY h LIMIT {config.LOF_MAX_REFERENCE}""")
+SELECT {KEYS} FROM lab ORDER BY h LIMIT {config.UNIFORM_SUBSAMPLE_SIZE}""")
 def q_uniform_subsample(spark, sf_dir):
-    return S.uniform_subsample(conn_keyed(spark, sf_dir), F.col("rkey"), config.LOF_MAX_REFERENCE).select(*KEY)
+    return S.uniform_subsample(conn_keyed(spark, sf_dir), F.col("rkey"), config.UNIFORM_SUBSAMPLE_SIZE).select(*KEY)
 
 
 @register("kfold_assign", W + f"""
@@ -73,34 +89,38 @@ def q_kfold_assign(spark, sf_dir):
 EMB_H = f"""emb AS (SELECT vec_id, label, embedding, {Q.md5_hex('vec_id')} AS h FROM embeddings)"""
 
 
-def _ros_sql(targets):
-    vals = ", ".join(f"({k}, {v})" for k, v in targets.items())
+def _ros_sql():
+    vals = ", ".join(f"('{p}', {k}, {v})" for p, t in PLANS.items() for k, v in t.items())
+    names = ", ".join(f"('{p}')" for p in PLANS)
     return with_ctes(EMB_H, f"""plan AS (
-  SELECT label, n_c, greatest(n_c, COALESCE(t.target, n_c)) - n_c AS m
-  FROM (SELECT label, count(*) AS n_c FROM embeddings GROUP BY label) c
-  LEFT JOIN (VALUES {vals}) t(lbl, target) ON c.label = t.lbl),
-ranked AS (SELECT e.vec_id, e.label, e.embedding, row_number() OVER (PARTITION BY e.label ORDER BY h) AS rk, p.n_c, p.m
+  SELECT n.plan, label, n_c, CAST(greatest(n_c, COALESCE(ceil(n_c * t.times), n_c)) - n_c AS BIGINT) AS m
+  FROM (SELECT label, count(*) AS n_c FROM embeddings GROUP BY label) c CROSS JOIN (VALUES {names}) n(plan)
+  LEFT JOIN (VALUES {vals}) t(plan, lbl, times) ON c.label = t.lbl AND n.plan = t.plan),
+ranked AS (SELECT p.plan, e.vec_id, e.label, e.embedding, row_number() OVER (PARTITION BY p.plan, e.label ORDER BY h) AS rk, p.n_c, p.m
            FROM emb e JOIN plan p ON e.label = p.label),
-rep AS (SELECT vec_id, label, embedding, CAST(r.replica AS INTEGER) AS replica FROM ranked,
+rep AS (SELECT plan, vec_id, label, embedding, CAST(r.replica AS INTEGER) AS replica FROM ranked,
         LATERAL (SELECT unnest(range(0, CAST(floor(m / n_c) + CASE WHEN rk <= m % n_c THEN 1 ELSE 0 END + 1 AS BIGINT)))
                  AS replica) r)""")
 
 
-@register("random_oversample", _ros_sql(ROS_TARGETS) + "SELECT vec_id, label, replica FROM rep")
+@register("random_oversample", _ros_sql() + "SELECT plan, vec_id, label, replica FROM rep")
 def q_random_oversample(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    out = S.random_oversample(e, F.col("vec_id"), "label", ROS_TARGETS)
-    return out.select("vec_id", "label", F.col("replica").cast("int").alias("replica"))
+    out = both_plans(lambda p: S.random_oversample(e, F.col("vec_id"), "label", plan_targets(e, p)))
+    return out.select("plan", "vec_id", "label", F.col("replica").cast("int").alias("replica"))
 
 
-@register("union_augmented", _ros_sql(ROS_TARGETS) + """
-SELECT label, CAST(count(*) AS BIGINT) AS n FROM (
-  SELECT vec_id, label FROM embeddings UNION ALL SELECT vec_id, label FROM rep WHERE replica > 0) GROUP BY label""")
+@register("union_augmented", _ros_sql() + f"""
+SELECT plan, label, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT n.plan, vec_id, label FROM embeddings, (VALUES {", ".join(f"('{p}')" for p in PLANS)}) n(plan)
+  UNION ALL SELECT plan, vec_id, label FROM rep WHERE replica > 0) GROUP BY plan, label""")
 def q_union_augmented(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    synth = S.random_oversample(e, F.col("vec_id"), "label", ROS_TARGETS).where("replica > 0")
-    both = e.select("vec_id", "label").unionByName(synth.select("vec_id", "label"))
-    return both.groupBy("label").agg(F.count(F.lit(1)).cast("long").alias("n"))
+
+    def one(plan):
+        synth = S.random_oversample(e, F.col("vec_id"), "label", plan_targets(e, plan)).where("replica > 0")
+        return e.select("vec_id", "label").unionByName(synth.select("vec_id", "label"))
+    return both_plans(one).groupBy("plan", "label").agg(F.count(F.lit(1)).cast("long").alias("n"))
 
 
 def knn_sql(k, where_q="TRUE", where_r="TRUE", exclude_self=True):
@@ -114,22 +134,32 @@ def knn_sql(k, where_q="TRUE", where_r="TRUE", exclude_self=True):
     WHERE {where_q.replace('@', 'a.')}) WHERE rk <= {k})"""
 
 
-@register("smote", _ros_sql(SMOTE_TARGET).replace("WITH ", "WITH " + knn_sql(5, "@label = 5", "@label = 5") + ",\n", 1) + f"""
-, base AS (SELECT vec_id AS base_id, replica, embedding AS x,
-                  CAST(floor({Q.md5_uniform("concat_ws('#', vec_id, replica)", 43)} * 5) + 1 AS INTEGER) AS nb_rank,
-                  {Q.md5_uniform("concat_ws('#', vec_id, replica)", 44)} AS u
-           FROM rep WHERE label = 5 AND replica > 0)
-SELECT base_id, replica, nn.nid, {Q.r6('u')} AS u,
-       {", ".join(Q.r6(f"CAST(x[{i + 1}] AS DOUBLE) + u * (CAST(e.embedding[{i + 1}] AS DOUBLE) - CAST(x[{i + 1}] AS DOUBLE))") + f" AS s{i}" for i in range(4))}
+_GROWN = sorted({c for t in PLANS.values() for c in t})
+
+
+@register("smote", _ros_sql().replace("WITH ", "WITH " + knn_sql(5, "TRUE", "@label = a.label") + ",\n", 1) + f"""
+, have AS (SELECT qid, count(*) AS k FROM nn GROUP BY qid),
+base AS (SELECT plan, label, vec_id AS base_id, replica, embedding AS x,
+                CAST(floor({Q.md5_uniform("concat_ws('#', vec_id, replica)", 43)} * k) + 1 AS INTEGER) AS nb_rank,
+                {Q.md5_uniform("concat_ws('#', vec_id, replica)", 44)} AS u
+         FROM rep JOIN have ON have.qid = vec_id WHERE replica > 0)
+SELECT plan, base.label, base_id, replica, nn.nid, {Q.r6('u')} AS u,
+       {", ".join(Q.r6(f"CAST(x[{i + 1}] AS DOUBLE) + u * (CAST(e.embedding[{i + 1}] AS DOUBLE) - CAST(x[{i + 1}] AS DOUBLE))") + f" AS s{i}" for i in range(64))}
 FROM base JOIN nn ON base.base_id = nn.qid AND base.nb_rank = nn.rank JOIN embeddings e ON e.vec_id = nn.nid""")
 def q_smote(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    plan = S.random_oversample(e.where("label = 5"), F.col("vec_id"), "label", SMOTE_TARGET)
-    minority = e.where("label = 5")
-    nn = N.knn_join(minority, minority, 5, qid="vec_id", qvec="embedding", exclude_self=True)
-    syn = N.smote(plan, nn, "vec_id", "embedding", None, seed=42)
-    return syn.select("base_id", F.col("replica").cast("int").alias("replica"), "nid", r6("u").alias("u"),
-                      *[r6(F.element_at("synthetic", i + 1)).alias(f"s{i}") for i in range(4)])
+    nearest = {c: materialize(N.knn_join(e.where(F.col("label") == c), e.where(F.col("label") == c), 5, qid="vec_id",
+                                         qvec="embedding", exclude_self=True), "class-neighbours") for c in _GROWN}
+
+    def one(plan):
+        targets, out = plan_targets(e, plan), []
+        for c in PLANS[plan]:
+            grown = S.random_oversample(e.where(F.col("label") == c), F.col("vec_id"), "label", targets)
+            out.append(N.smote(grown, nearest[c], "vec_id", "embedding", seed=42).withColumn("label", F.lit(c)))
+        return functools.reduce(lambda a, b: a.unionByName(b), out)
+    made = materialize(both_plans(one), "synthetic")  # else the vector is computed once per output column
+    return made.select("plan", "label", "base_id", F.col("replica").cast("int").alias("replica"), "nid", r6("u").alias("u"),
+                                  *[r6(F.element_at("synthetic", i + 1)).alias(f"s{i}") for i in range(64)])
 
 
 @register("split_rank", W + f"""
