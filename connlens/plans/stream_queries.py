@@ -22,19 +22,15 @@ def _err():
     return F.col("event_type") == "error"
 
 
-def _closed(window_end_sql: str, delay_hours: int = 1) -> str:
-    return f"{window_end_sql} <= (SELECT max(ts) FROM events) - INTERVAL {delay_hours} HOUR"
-
-
 @register("stream_tumbling", f"""
 SELECT window_start, window_end, event_type, CAST(n AS BIGINT) AS n, CAST(errors AS BIGINT) AS errors FROM (
   SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
          event_type, count(*) AS n, sum(CAST(event_type = 'error' AS INTEGER)) AS errors
-  FROM events GROUP BY 1, 2, 3) WHERE {_closed('window_end')}""")
+  FROM events GROUP BY 1, 2, 3)""")
 def q_stream_tumbling(spark, sf_dir):
     out, _ = S.run_to_table(S.tumbling_counts(S.event_stream(spark, sf_dir), "event_type", "1 day", DELAY, _err()),
-                            "tumbling")
-    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).withColumn(
+                            "tumbling", mode="complete")
+    return out.drop("batch").withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).withColumn(
         "window_end", F.col("window_end").cast("timestamp_ntz"))
 
 
@@ -44,10 +40,10 @@ WITH b AS (SELECT ts, event_type, CAST(event_type = 'error' AS DOUBLE) AS e,
 w AS (SELECT b0 - INTERVAL (6 * k) HOUR AS window_start, event_type, e FROM b, range(0, 4) r(k))
 SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, event_type, CAST(count(*) AS BIGINT) AS n,
        {Q.r6('avg(e)')} AS error_rate
-FROM w GROUP BY window_start, event_type HAVING {_closed('window_start + INTERVAL 1 DAY')}""")
+FROM w GROUP BY window_start, event_type""")
 def q_stream_sliding(spark, sf_dir):
     s = S.sliding_counts(S.event_stream(spark, sf_dir), "event_type", "1 day", "6 hours", DELAY, _err())
-    out, _ = S.run_to_table(s, "sliding")
+    out, _ = S.run_to_table(s, "sliding", mode="complete")
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type", "n",
                       r6("error_rate").alias("error_rate"))
@@ -59,57 +55,60 @@ g AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts - prev >= INTERVAL 30 MINUTE TH
                 OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e)
 SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, CAST(count(*) AS BIGINT) AS n_events,
        {Q.r6('sum(value)')} AS total_value
-FROM g GROUP BY user_id, sid HAVING {_closed('max(ts) + INTERVAL 30 MINUTE')}""")
+FROM g GROUP BY user_id, sid""")
 def q_stream_session(spark, sf_dir):
-    out, _ = S.run_to_table(S.sessions(S.event_stream(spark, sf_dir), "user_id", "30 minutes", DELAY), "sessions")
+    out, _ = S.run_to_table(S.sessions(S.event_stream(spark, sf_dir), "user_id", "30 minutes", DELAY), "sessions",
+                            mode="complete")
     return out.select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
                       F.col("session_end").cast("timestamp_ntz").alias("session_end"), "n_events",
                       r6("total_value").alias("total_value"))
 
 
-@register("stream_dedup")
+@register("stream_dedup", """
+SELECT event_id, user_id, event_type, ts FROM (
+  SELECT *, lag(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS prev FROM events)
+WHERE prev IS NULL OR ts - prev >= INTERVAL 1 HOUR""")
 def q_stream_dedup(spark, sf_dir):
-    out, _ = S.run_to_table(S.dedup(S.event_stream(spark, sf_dir), ["user_id", "event_type"], DELAY), "dedup")
+    s = S.dedup(S.event_stream(spark, sf_dir), ["user_id", "event_type"], "1 hour", DELAY)
+    out, _ = S.run_to_table(s, "dedup", mode="complete")
     return out.select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
-@register("stream_late")
+@register("stream_late", """
+WITH b AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS cut, max(ts) - INTERVAL 10 MINUTE AS mark FROM events),
+r AS (SELECT CASE WHEN ts >= cut THEN 0 ELSE 1 END AS batch_id, ts < cut AND ts < mark AS late FROM events, b)
+SELECT CAST(batch_id AS BIGINT) AS batch_id, CAST(count(*) AS BIGINT) AS input_rows,
+       CAST(count(*) FILTER (WHERE NOT late) AS BIGINT) AS accepted_rows, CAST(count(*) FILTER (WHERE late) AS BIGINT) AS late_rows
+FROM r GROUP BY batch_id""")
 def q_stream_late(spark, sf_dir):
-    """Bounded-lateness policy.  The events are replayed as two files, the later half of
-    the timeline first, one file per micro-batch.  Each micro-batch compares its rows to
-    the watermark (max event time of earlier batches minus the allowed delay -- one
-    number kept on the driver): rows behind it go to a late sink, the rest to the
-    accepted sink.  Returns per-batch input / accepted / late counts."""
-    import datetime as dt
-
+    """Bounded-lateness policy.  The later half of the timeline is replayed first; then
+    the query is restarted from its checkpoint with the earlier half added.  Each
+    micro-batch compares its rows to the watermark (max event time of the earlier
+    batches, read back from their reports, minus the allowed delay): rows behind it go
+    to a late sink, the rest to the accepted sink.  Returns per-batch input / accepted /
+    late counts."""
     from connlens.sources import io as IO
     ev = table(spark, sf_dir, "events")
-    cut = ev.agg(F.percentile_approx("ts", 0.5)).scalar()
-    root = IO.scratch(spark, "late_replay")
-    ev.where(F.col("ts") >= cut).coalesce(1).write.mode("append").parquet(root)
-    ev.where(F.col("ts") < cut).coalesce(1).write.mode("append").parquet(root)
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(root)
-    delay = dt.timedelta(minutes=10)
-    mark = {"wm": None}
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    cut = F.lit(lo + (hi - lo) / 2)
+    source, root = IO.scratch(spark, "late_replay"), IO.scratch(spark, "late_run")
 
     def per_batch(batch, epoch, out_root):
-        wm = mark["wm"]
-        late = F.lit(False) if wm is None else (F.col("ts") < F.lit(wm))
+        folder = os.path.join(out_root, "report")
+        before = S.read_if_exists(spark, folder)
+        seen = before.where(F.col("batch") < epoch).agg(F.max("max_ts")).scalar() if before is not None else None
+        late = F.lit(False) if seen is None else F.col("ts") < F.lit(seen) - F.expr("INTERVAL 10 MINUTE")
         tagged = batch.withColumn("late", late)
-        tagged.where("late").write.mode("append").parquet(os.path.join(out_root, "late"))
-        tagged.where("NOT late").write.mode("append").parquet(os.path.join(out_root, "accepted"))
-        mx = batch.agg(F.max("ts")).first()[0]
-        if mx is not None:
-            cand = mx - delay
-            mark["wm"] = cand if wm is None or cand > wm else wm
-        tagged.groupBy().agg(F.lit(epoch).cast("long").alias("batch_id"),
-                             F.count(F.lit(1)).cast("long").alias("input_rows"),
-                             F.count_if(~F.col("late")).cast("long").alias("accepted_rows"),
-                             F.count_if(F.col("late")).cast("long").alias("late_rows")
-                             ).write.mode("append").parquet(os.path.join(out_root, "report"))
-
-    _, stats = S.run_to_table(stream, "late", per_batch=per_batch)
-    return S.read_if_exists(spark, os.path.join(stats["root"], "report"))
+        S.write_batch(tagged.where("late"), os.path.join(out_root, "late"), epoch)
+        S.write_batch(tagged.where("NOT late"), os.path.join(out_root, "accepted"), epoch)
+        S.write_batch(tagged.agg(F.count(F.lit(1)).alias("input_rows"), F.count_if(~F.col("late")).alias("accepted_rows"),
+                                 F.count_if("late").alias("late_rows"), F.max("ts").alias("max_ts")), folder, epoch)
+
+    for half in (F.col("ts") >= cut, F.col("ts") < cut):
+        ev.where(half).write.mode("append").parquet(source)
+        S.run_to_table(spark.readStream.schema(ev.schema).parquet(source), "late", per_batch=per_batch, root=root)
+    report = S.read_if_exists(spark, os.path.join(root, "report"))
+    return report.select(F.col("batch").cast("long").alias("batch_id"), "input_rows", "accepted_rows", "late_rows")
 
 
 def _staged_stream(s):
@@ -138,7 +137,7 @@ def q_stream_score(spark, sf_dir):
     r = st.select("row_id", H.serve("s1_anomaly", "s2_pred", "d1", "probs", None).alias("r"))
     out, _ = S.run_to_table(r.select("row_id", "r.is_attack", "r.attack_family", r6("r.confidence").alias("confidence"),
                                      r6("r.stage1_score").alias("stage1_score")), "score")
-    return out
+    return out.drop("batch")
 
 
 def _truncated(props, event_id):
@@ -159,12 +158,11 @@ def q_stream_rejects(spark, sf_dir):
 
     def per_batch(batch, epoch, root):
         batch = batch.withColumn("rejected", F.col("j").isNull() | F.col("j.k").isNull())
-        batch.where("rejected").select("event_id", "raw").write.mode("append").parquet(os.path.join(root, "rejects"))
-        batch.where("NOT rejected").select("event_id", "raw", F.col("j.k").alias("k")).write.mode("append").parquet(
-            os.path.join(root, "accepted"))
+        S.write_batch(batch.where("rejected").select("event_id", "raw"), os.path.join(root, "rejects"), epoch)
+        S.write_batch(batch.where("NOT rejected").select("event_id", "raw", F.col("j.k").alias("k")), os.path.join(root, "accepted"), epoch)
 
     _, stats = S.run_to_table(parsed, "rejects", per_batch=per_batch)
-    acc = S.read_if_exists(spark, os.path.join(stats["root"], "accepted")).withColumn("rejected", F.lit(False))
+    acc = S.read_if_exists(spark, os.path.join(stats["root"], "accepted")).drop("batch").withColumn("rejected", F.lit(False))
     rej = S.read_if_exists(spark, os.path.join(stats["root"], "rejects"))
     if rej is None:
         return acc
@@ -180,7 +178,7 @@ def q_stream_alert_rollup(spark, sf_dir):
     dec = st.select(L.family_name(H.decide("s1_anomaly", "s2_pred", "d1", None)).alias("attack_family"))
     agg = dec.groupBy("attack_family").agg(F.count(F.lit(1)).cast("long").alias("n_alerts"))  # <= 5 keys of state
     out, _ = S.run_to_table(agg, "alerts", mode="complete")
-    return out
+    return out.drop("batch")
 
 
 @register("stream_recent", """
@@ -189,8 +187,7 @@ SELECT user_id, CAST(rk AS INTEGER) AS rank, event_id, ts, event_type FROM (
 def q_stream_recent(spark, sf_dir):
     s = S.event_stream(spark, sf_dir).select("user_id", "event_id", "ts", "event_type")
     out, _ = S.run_to_table(S.last_n_per_key(s, "user_id", 5, ["event_type"]), "recent", mode="update")
-    # one emission per key per micro-batch: keep the latest batch's list for each key
-    return out.select("user_id", "rank", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type")
+    return S.latest_per_key(out, "user_id").select("user_id", "rank", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type")
 
 
 @register("stream_host_window", f"""
@@ -221,7 +218,7 @@ d AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, e.event_type, valu
       FROM events e LEFT JOIN seen s ON e.event_type = s.event_type)
 SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, CAST(count(*) AS BIGINT) AS n,
        {Q.r6('avg(unseen)')} AS unseen_share, {Q.r6('(avg(value) - max(mu)) / max(sd)')} AS mean_shift_z
-FROM d, base GROUP BY window_start HAVING {_closed('window_start + INTERVAL 1 DAY')}""")
+FROM d, base GROUP BY window_start""")
 def q_drift_monitor(spark, sf_dir):
     """Daily windows of the stream joined to a static baseline computed from the table
     (categories seen on the first day; mean and std of value)."""
@@ -230,27 +227,31 @@ def q_drift_monitor(spark, sf_dir):
     seen = ev.where(F.col("ts") < first + F.expr("INTERVAL 1 DAY")).select("event_type").distinct().withColumn(
         "_seen", F.lit(1))
     base = ev.agg(F.avg("value").alias("mu"), F.stddev_samp("value").alias("sd"))
-    s = S.event_stream(spark, sf_dir).join(F.broadcast(seen), "event_type", "left")  # stream-static join
+    s = S.event_stream(spark, sf_dir).join(seen, "event_type", "left")  # stream-static join; Spark sizes the static side
     agg = (s.withWatermark("ts", DELAY).groupBy(F.window("ts", "1 day").alias("w"))
            .agg(F.count(F.lit(1)).alias("n"), F.avg(F.when(F.col("_seen").isNull(), 1.0).otherwise(0.0)).alias("u"),
                 F.avg("value").alias("m")))
-    out, _ = S.run_to_table(agg, "drift")
+    out, _ = S.run_to_table(agg, "drift", mode="complete")
     b = base.first()  # two numbers
     return out.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                       F.col("w.end").cast("timestamp_ntz").alias("window_end"), F.col("n").cast("long").alias("n"),
                       r6("u").alias("unseen_share"), r6((F.col("m") - F.lit(b["mu"])) / F.lit(b["sd"])).alias("mean_shift_z"))
 
 
-@register("foreach_report")
+@register("foreach_report", (
+    "WITH " + _serve_sql()[len("WITH "):].split("SELECT row_id, (", 1)[0] + """
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(sum(CASE WHEN pred <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS attacks
+FROM (SELECT CASE WHEN NOT s1_anomaly THEN 0 WHEN s2_pred <> 0 THEN s2_pred ELSE 3 END AS pred FROM st)"""))
 def q_foreach_report(spark, sf_dir):
-    """Per micro-batch report rows written by foreachBatch (batch id, rows, attacks)."""
+    """Report rows written by foreachBatch, one file a micro-batch; totals over them
+    (how the rows fall into batches is up to the file source)."""
     st = _staged_stream(S.event_stream(spark, sf_dir, max_files=1))
     dec = st.select("row_id", H.decide("s1_anomaly", "s2_pred", "d1", None).alias("pred"))
 
     def per_batch(batch, epoch, root):
-        batch.agg(F.lit(epoch).cast("long").alias("batch_id"), F.count(F.lit(1)).cast("long").alias("rows"),
-                  F.sum((F.col("pred") != 0).cast("long")).alias("attacks")).write.mode("append").parquet(
-            os.path.join(root, "report"))
+        report = batch.agg(F.count(F.lit(1)).cast("long").alias("rows"), F.sum((F.col("pred") != 0).cast("long")).alias("attacks"))
+        S.write_batch(report, os.path.join(root, "report"), epoch)
 
     _, stats = S.run_to_table(dec, "foreach_report", per_batch=per_batch)
-    return S.read_if_exists(spark, os.path.join(stats["root"], "report"))
+    report = S.read_if_exists(spark, os.path.join(stats["root"], "report"))
+    return report.agg(F.sum("rows").alias("rows"), F.sum("attacks").alias("attacks"))

@@ -1,16 +1,17 @@
 """Structured Streaming jobs over a file source of connection events.
 
-Sources are file streams with an explicit schema (never inferred); sinks write
-through ``foreachBatch`` into parquet under the cluster's checkpoint folder
-(``spark.checkpoint.dir``), together with the query's own checkpoint, so a restarted
-or retried query resumes exactly once.  Nothing is collected on the driver: the
-memory sink is not used.
+Sources are file streams over the table's own path (a file or a folder) with an
+explicit schema (never inferred).  Sinks write through ``foreachBatch`` into one
+folder per micro-batch id, with overwrite, so a retried batch replaces its own rows;
+the query's checkpoint lies beside them.  A caller that passes ``root`` can restart
+the query there and it resumes after the last committed batch.  Nothing is collected
+on the driver: the memory sink is not used.
 
 Operators
   tumbling / sliding windows     withWatermark + window()           append
   sessions                       session_window()                   append
-  dedup                          dropDuplicatesWithinWatermark      append
-  late-data policy               per-batch watermark (one number on the driver); late rows to their own sink
+  dedup                          first event of each session window per key
+  late-data policy               per-batch watermark, read back from the batch reports; late rows to their own sink
   scoring / rejects              stateless projection; two sinks per micro-batch
   alert rollup                   stateful groupBy over a bounded key space (families)
   last-N per key                 applyInPandasWithState, list state capped at N
@@ -34,12 +35,12 @@ from connlens.session import checkpoint_dir
 def event_stream(spark: SparkSession, sf_dir: str, name: str = "events", max_files: int | None = None) -> DataFrame:
     """File stream over one table's parquet file(s) with the batch schema; ``ts`` as
     TIMESTAMP (watermarks need a zone-aware timestamp)."""
-    path = sf_dir.rstrip("/")
-    schema = spark.read.parquet(f"{path}/{name}.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    s = r.parquet(path + "/")
+    s = r.parquet(f"{sf_dir.rstrip('/')}/{{{name}}}.parquet")  # as a pattern it may name a file or a folder
     if "ts" in s.columns:
         s = s.withColumn("ts", F.col("ts").cast("timestamp"))
     return s
@@ -49,21 +50,28 @@ def _run_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def write_batch(rows: DataFrame, folder: str, epoch: int) -> None:
+    """Write a micro-batch's rows under its id; a retry replaces them."""
+    rows.write.mode("overwrite").parquet(f"{folder}/batch={epoch}")
+
+
 def run_to_table(stream: DataFrame, name: str, mode: str = "append",
-                 per_batch: Callable[[DataFrame, int, str], None] | None = None) -> tuple[DataFrame, dict]:
+                 per_batch: Callable[[DataFrame, int, str], None] | None = None,
+                 root: str | None = None) -> tuple[DataFrame, dict]:
     """Run ``stream`` with Trigger.AvailableNow into parquet; return (result, stats).
 
-    ``mode``: 'append' / 'update' append every micro-batch; 'complete' overwrites with
-    the full result of each batch."""
+    The result has the sink's rows with their ``batch`` id: all batches' rows in
+    'append' and 'update' mode, those of the last batch in 'complete' mode.  ``root``
+    holds the sink and the checkpoint; pass an earlier one to resume."""
     spark = stream.sparkSession
-    root = _run_dir(spark, name)
+    root = root or _run_dir(spark, name)
     out = os.path.join(root, "out")
 
     def sink(batch: DataFrame, epoch: int) -> None:
         if per_batch is not None:
             per_batch(batch, epoch, root)
-            return
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(out)
+        else:
+            write_batch(batch, out, epoch)
 
     q = (stream.writeStream.outputMode(mode).foreachBatch(sink)
          .option("checkpointLocation", os.path.join(root, "checkpoint"))
@@ -77,7 +85,10 @@ def run_to_table(stream: DataFrame, name: str, mode: str = "append",
         "batches": len(progress),
         "root": root,
     }
-    return (read_if_exists(spark, out) if per_batch is None else None), stats
+    found = read_if_exists(spark, out) if per_batch is None else None
+    if found is not None and mode == "complete":
+        found = found.where(F.col("batch") == found.agg(F.max("batch")).scalar())
+    return found, stats
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
@@ -116,38 +127,81 @@ def sessions(events: DataFrame, key: str, gap: str, delay: str) -> DataFrame:
                     F.col("n_events").cast("long").alias("n_events"), "total_value"))
 
 
-def dedup(events: DataFrame, keys: list[str], delay: str) -> DataFrame:
-    return events.withWatermark("ts", delay).dropDuplicatesWithinWatermark(keys)
+def dedup(events: DataFrame, keys: list[str], gap: str, delay: str) -> DataFrame:
+    """The first event of each run of events per key that follow one another by less
+    than ``gap``: a repeat within the gap of the event before is a duplicate.  The
+    result does not depend on how the events are split into micro-batches."""
+    first = F.min(F.struct("ts", "event_id")).alias("first")
+    return (events.withWatermark("ts", delay).groupBy(F.session_window("ts", gap).alias("s"), *keys).agg(first)
+            .select(*keys, F.col("first.ts").alias("ts"), F.col("first.event_id").alias("event_id")))
 
 
 # ---------------------------------------------------------------------------
-# stateful last-N per key (bounded list state)
+# stateful last-N per key (bounded list state, one typed array per column)
 # ---------------------------------------------------------------------------
 
-def last_n_per_key(events: DataFrame, key: str, n: int, value_cols: list[str]) -> DataFrame:
+#: How far rows may come behind the newest event, and how long a key without rows keeps its state.
+IDLE_DAYS = 60
+
+
+def _expire(state: GroupState, newest: pd.Timestamp, idle_days: int) -> None:
+    due = int((newest + pd.Timedelta(days=idle_days)).timestamp() * 1000)
+    state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+
+
+def _state_schema(events: DataFrame, cols: list[str]) -> str:
+    return ", ".join(f"{c} array<{'long' if t == 'timestamp' else t}>" for c, t in _types(events, cols))
+
+
+def _saved(frame: pd.DataFrame, cols: list[str]) -> tuple:
+    return tuple((frame[c].astype("datetime64[us]").astype("int64") if c == "ts" else frame[c]).tolist() for c in cols)
+
+
+def _loaded(state: GroupState, like: pd.DataFrame, cols: list[str]) -> pd.DataFrame:
+    """The rows in the state, with the column types of the new rows."""
+    if not state.exists:
+        return like.iloc[0:0]
+    columns = {c: pd.Series(list(v)) for c, v in zip(cols, state.get)}
+    columns["ts"] = columns["ts"].astype("int64").astype("datetime64[us]")
+    return pd.DataFrame({c: columns[c].astype(like[c].dtype) for c in cols})
+
+
+def last_n_per_key(events: DataFrame, key: str, n: int, value_cols: list[str], idle_days: int = IDLE_DAYS) -> DataFrame:
     """The latest ``n`` rows per key by (ts, event_id).  The state per key holds at most
-    ``n`` rows; every micro-batch emits the current last-n of the keys it touched."""
+    ``n`` rows; every micro-batch emits the current last-n of the keys it touched
+    (``latest_per_key`` keeps the last emission).  Each chunk of a key's new rows is cut
+    to ``n`` as it arrives, so a hot key never has all its rows in memory."""
     cols = ["event_id", "ts", *value_cols]
-    state_schema = "rows string"
-    out_schema = f"{key} long, rank int, event_id long, ts timestamp, " + ", ".join(
-        f"{c} {t}" for c, t in _types(events, value_cols))
+    out_schema = ", ".join([f"{key} long, rank int, event_id long, ts timestamp", *[f"{c} {t}" for c, t in _types(events, value_cols)]])
 
     def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        parts = [p[cols] for p in pdfs]
-        if state.exists:
-            parts.insert(0, pd.read_json(state.get[0], orient="split", convert_dates=["ts"]))
-        allr = pd.concat(parts, ignore_index=True).sort_values(["ts", "event_id"]).tail(n)
-        state.update((allr.to_json(orient="split", date_format="iso", date_unit="us"),))
-        out = allr.iloc[::-1].reset_index(drop=True)
+        if state.hasTimedOut:
+            state.remove()
+            return
+        held = None
+        for new in pdfs:
+            held = _loaded(state, new[cols], cols) if held is None else held
+            held = pd.concat([held, new[cols]], ignore_index=True).sort_values(["ts", "event_id"]).tail(n)
+        state.update(_saved(held, cols))
+        _expire(state, held["ts"].max(), idle_days)
+        out = held.iloc[::-1].reset_index(drop=True)
         out.insert(0, "rank", range(1, len(out) + 1))
         out.insert(0, key, k[0])
         yield out
 
-    return events.groupBy(key).applyInPandasWithState(fn, out_schema, state_schema, "update",
-                                                      GroupStateTimeout.NoTimeout)
+    late = events.withWatermark("ts", f"{idle_days} days")
+    return late.groupBy(key).applyInPandasWithState(fn, out_schema, _state_schema(events, cols), "update",
+                                                    GroupStateTimeout.EventTimeTimeout)
+
 
+def latest_per_key(emitted: DataFrame, key: str) -> DataFrame:
+    """Of an update-mode sink's rows, those of each key's last micro-batch."""
+    last = emitted.groupBy(F.col(key).alias("_key")).agg(F.max("batch").alias("_last"))
+    return emitted.join(last, F.col(key).eqNullSafe(F.col("_key")) & (F.col("batch") == F.col("_last"))).drop("_key", "_last")
 
-def host_window_online(events: DataFrame, dest: str, service: str, n: int, serror: str, rerror: str) -> DataFrame:
+
+def host_window_online(events: DataFrame, dest: str, service: str, n: int, serror: str, rerror: str,
+                       idle_days: int = IDLE_DAYS) -> DataFrame:
     """Online last-N destination features: per destination the state keeps the previous
     n-1 connections; each new connection is scored against them in arrival order."""
     cols = ["event_id", "ts", service, serror, rerror]
@@ -155,8 +209,11 @@ def host_window_online(events: DataFrame, dest: str, service: str, n: int, serro
                   f"dst_host_rerror_rate double")
 
     def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         new = pd.concat([p[cols] for p in pdfs], ignore_index=True).sort_values(["ts", "event_id"])
-        prev = pd.read_json(state.get[0], orient="split", convert_dates=["ts"]) if state.exists else new.iloc[0:0]
+        prev = _loaded(state, new, cols)
         allr = pd.concat([prev, new], ignore_index=True)
         k0 = len(prev)
         # vectorised over the batch: rolling counts over the last n rows, and for the
@@ -176,11 +233,13 @@ def host_window_online(events: DataFrame, dest: str, service: str, n: int, serro
                             "dst_host_count": cnt[sel].astype("int64"), "dst_host_srv_count": same[sel],
                             "dst_host_serror_rate": ((se[pos + 1] - se[lo]) / cnt)[sel],
                             "dst_host_rerror_rate": ((re[pos + 1] - re[lo]) / cnt)[sel]})
-        state.update((allr.tail(n - 1).to_json(orient="split", date_format="iso", date_unit="us"),))
+        state.update(_saved(allr.tail(n - 1), cols))
+        _expire(state, allr["ts"].max(), idle_days)
         yield res
 
-    return events.groupBy(dest).applyInPandasWithState(fn, out_schema, "rows string", "append",
-                                                       GroupStateTimeout.NoTimeout)
+    late = events.withWatermark("ts", f"{idle_days} days")
+    return late.groupBy(dest).applyInPandasWithState(fn, out_schema, _state_schema(events, cols), "append",
+                                                     GroupStateTimeout.EventTimeTimeout)
 
 
 def _types(df: DataFrame, cols: list[str]):

@@ -95,24 +95,64 @@ def _vec_frame(spark, n=60, d=4, seed=3):
     return spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(n)], "id long, vec array<double>"), x
 
 
-def test_knn_join_matches_brute_force_and_chunking(spark):
+def test_knn_join_matches_brute_force_in_any_blocks(spark):
     df, x = _vec_frame(spark)
     d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
     np.fill_diagonal(d, np.inf)
     exp = {i: list(np.lexsort((np.arange(len(x)), d[i]))[:3]) for i in range(len(x))}
-    for max_bytes in (10 ** 9, 500):  # one broadcast vs. several chunks merged
-        nn = N.knn_join(df, df, 3, qid="id", qvec="vec", exclude_self=True, max_broadcast_bytes=max_bytes)
+    for cut in ({}, {"pivots": 5, "block_rows": 7, "chunk_rows": 11}, {"pivots": 1, "block_rows": 13}):
+        nn = N.knn_join(df, df, 3, qid="id", qvec="vec", exclude_self=True, **cut)
         got = nn.toPandas().sort_values(["qid", "rank"]).groupby("qid")["nid"].apply(list).to_dict()
         assert got == exp
 
 
+def test_knn_join_ranks_equal_vectors_by_id(spark):
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(40)] + [(100, [5.0, 5.0])], "id long, vec array<double>")
+    nn = N.knn_join(same.where("id = 100"), same, 3, qid="id", qvec="vec", exclude_self=True, pivots=4, block_rows=9)
+    assert [(r["rank"], r.nid) for r in nn.orderBy("rank").collect()] == [(1, 0), (2, 1), (3, 2)]
+    assert N.knn_join(same, same.limit(0), 3, qid="id", qvec="vec").count() == 0
+
+
+def test_null_labels_keep_their_rows(spark):
+    from connlens.operators import joins as J
+    from connlens.operators import sampling as S
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else i % 2) for i in range(50)], "id long, label int")
+    key = F.col("id")
+    split = S.stratified_split(df, key, "label", 0.8)
+    assert split.where("label IS NULL").groupBy("split").count().orderBy("split").collect() == [("train", 8), ("val", 2)]
+    assert S.kfold_assign(df, key, "label").count() == 50
+    assert S.random_oversample(df, key, "label", {1: 30}).count() == 60
+    assert J.join_class_weight(df, "label").count() == 50
+
+
+def test_manifest_status(spark):
+    from connlens.operators import joins as J
+
+    def status(expected, actual):
+        r = J.manifest_diff(J.names_table(spark, expected), J.names_table(spark, actual)).first()
+        return r.status, r.first_mismatch_pos, r.expected_name, r.actual_name
+    assert status(["a", "b", "c"], ["x", "b"]) == ("DEVIATION_DETECTED", 0, "a", "x")
+    assert status(["a", "b", "c"], ["a", "b"]) == ("INCOMPATIBLE", None, None, None)
+    assert status(["a", "b"], ["a", "b"]) == ("COMPATIBLE", None, None, None)
+    assert status(["a", "b"], ["b", "a"]) == ("DEVIATION_DETECTED", 0, "a", "b")
+
+
+def test_smote_uses_each_rows_own_neighbours(spark):
+    from connlens.operators import sampling as S
+    df, _ = _vec_frame(spark, 6, 2)
+    df = df.withColumn("label", F.lit(1))
+    plan = S.random_oversample(df, F.col("id"), "label", {1: 60})
+    nn = N.knn_join(df, df, 5, qid="id", qvec="vec", exclude_self=True).where("qid <> 2 OR rank <= 1")
+    assert N.smote(plan, nn, "id", "vec").count() == 54
+
+
 def test_smote_points_lie_between_parents(spark):
     from connlens.operators import sampling as S
     df, x = _vec_frame(spark, 20, 3)
     df = df.withColumn("label", F.lit(1))
     plan = S.random_oversample(df, F.col("id"), "label", {1: 50})
     nn = N.knn_join(df, df, 5, qid="id", qvec="vec", exclude_self=True)
-    syn = N.smote(plan, nn, "id", "vec", None).toPandas()
+    syn = N.smote(plan, nn, "id", "vec").toPandas()
     assert len(syn) == 30
     for _, r in syn.iterrows():
         a, b, s = x[r.base_id], x[r.nid], np.asarray(r.synthetic)
