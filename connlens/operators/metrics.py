@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from connlens.functions.core import col, r6, safe_div
+from connlens.session import materialize
 from connlens.operators.ordered import prefix_sums
 
 
@@ -119,38 +120,33 @@ def score_counts(df: DataFrame, y: str | Column, score: str | Column) -> DataFra
     return df.groupBy(col(score).cast("double").alias("score")).agg(_cnt(yy).alias("pos"), _cnt(~yy).alias("neg"))
 
 
-def cumulative_desc(df: DataFrame, y: str | Column, score: str | Column) -> DataFrame:
-    """(score, pos, neg, cum_pos, cum_neg) with cum_* = counts at score >= this score."""
-    sc = score_counts(df, y, score)
-    return prefix_sums(sc, -F.col("score"), ["pos", "neg"])
-
-
-def _totals(df: DataFrame, y: str | Column) -> tuple[Column, Column]:
-    yy = col(y).cast("int") == 1
-    return df.agg(_cnt(yy)).scalar(), df.agg(_cnt(~yy)).scalar()
+def cumulative_desc(df: DataFrame, y: str | Column, score: str | Column) -> tuple[DataFrame, Column, Column]:
+    """(score, pos, neg, cum_pos, cum_neg) with cum_* = counts at score >= this score, and
+    the totals of positives and negatives.  The input is read once: its score histogram
+    (one row per distinct score) is written, and everything else comes from that."""
+    sc = materialize(score_counts(df, y, score), "score-counts")
+    total = sc.agg(F.coalesce(F.sum("pos"), F.lit(0)), F.coalesce(F.sum("neg"), F.lit(0))).first()
+    return prefix_sums(sc, -F.col("score"), ["pos", "neg"]), F.lit(total[0]), F.lit(total[1])
 
 
 def roc_points(df: DataFrame, y: str | Column, score: str | Column) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score (no intermediate point dropped)."""
-    P, N = _totals(df, y)
-    c = cumulative_desc(df, y, score)
+    c, P, N = cumulative_desc(df, y, score)
     return c.select(F.col("score").alias("threshold"), r6(safe_div("cum_neg", N)).alias("fpr"),
                     r6(safe_div("cum_pos", P)).alias("tpr"))
 
 
 def roc_auc(df: DataFrame, y: str | Column, score: str | Column) -> DataFrame:
     """Exact tie-aware ROC AUC (trapezoid over distinct scores); 0.5 if one class."""
-    P, N = _totals(df, y)
-    c = cumulative_desc(df, y, score)
+    c, P, N = cumulative_desc(df, y, score)
     area = F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") + F.col("pos") / 2.0))
-    return c.agg(F.when((P > 0) & (N > 0), area / (P * N)).otherwise(F.lit(0.5)).alias("roc_auc"))
+    return c.agg(F.when((P > 0) & (N > 0), F.try_divide(area, P * N)).otherwise(F.lit(0.5)).alias("roc_auc"))
 
 
 def pr_points(df: DataFrame, y: str | Column, score: str | Column) -> DataFrame:
     """(threshold, precision, recall) at every distinct score plus the terminal
     (precision 1, recall 0) point with a null threshold."""
-    P, _ = _totals(df, y)
-    c = cumulative_desc(df, y, score)
+    c, P, _ = cumulative_desc(df, y, score)
     pts = c.select(F.col("score").alias("threshold"),
                    r6(safe_div("cum_pos", F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
                    r6(safe_div("cum_pos", P)).alias("recall"))
@@ -161,30 +157,26 @@ def pr_points(df: DataFrame, y: str | Column, score: str | Column) -> DataFrame:
 
 def average_precision(df: DataFrame, y: str | Column, score: str | Column) -> DataFrame:
     """AP = sum_n (R_n - R_{n-1}) P_n over thresholds (step rule, not trapezoid)."""
-    P, _ = _totals(df, y)
-    c = cumulative_desc(df, y, score)
-    term = (F.col("pos") / P) * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")))
+    c, P, _ = cumulative_desc(df, y, score)
+    term = F.try_divide(F.col("pos"), P) * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")))
     return c.agg(F.when(P > 0, F.sum(term)).otherwise(F.lit(0.0)).alias("average_precision"))
 
 
 def roc_auc_ovr(df: DataFrame, y: str, probs: str, classes: Sequence[int]) -> DataFrame:
-    """Macro one-vs-rest AUC: explode (class, is_class, p_class), AUC per class, mean.
-    The exploded table has len(classes) rows per input row."""
+    """Macro one-vs-rest AUC: one row per (class, is_class, p_class), all classes'
+    AUCs in one grouped pass, mean.  The exploded table has len(classes) rows per input
+    row before the partial aggregate."""
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("cls"), (F.col(y) == c).cast("int").alias("yy"),
                  F.element_at(probs, c + 1).cast("double").alias("pp")) for c in classes])).alias("e")).select("e.*")
-    aucs = [roc_auc(long.where(F.col("cls") == c), "yy", "pp").withColumn("cls", F.lit(c)) for c in classes]
-    u = aucs[0]
-    for a in aucs[1:]:
-        u = u.unionByName(a)
-    return u.agg(r6(F.avg("roc_auc")).alias("roc_auc_macro"))
+    return roc_auc_by(long, ["cls"], "yy", "pp").agg(r6(F.avg("roc_auc")).alias("roc_auc_macro"))
 
 
 def roc_auc_by(df: DataFrame, keys: Sequence[str], y: str, score: str) -> DataFrame:
     """Exact AUC per group (few groups: the offsets table is #groups x #buckets)."""
     yy = col(y).cast("int") == 1
     sc = df.groupBy(*keys, col(score).cast("double").alias("score")).agg(_cnt(yy).alias("pos"), _cnt(~yy).alias("neg"))
-    c = prefix_sums(sc, -F.col("score"), ["pos", "neg"], keys)
+    c = prefix_sums(materialize(sc, "score-counts"), -F.col("score"), ["pos", "neg"], keys)
     g = c.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"),
                              F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") + F.col("pos") / 2.0)).alias("A"))
     return g.select(*keys, F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("A") / (F.col("P") * F.col("N")))
