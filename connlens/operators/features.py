@@ -8,11 +8,12 @@ a single ``select`` of built-in expressions.  Transforming never shuffles.
 
 from __future__ import annotations
 
+import dataclasses
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from connlens import config
@@ -108,7 +109,7 @@ class OneHot:
 
 def log1p_expr(c: str | Column, name: str | None = None) -> Column:
     x = F.col(c) if isinstance(c, str) else c
-    out = F.when(x < 0, F.raise_error(F.lit("Log1pTransformer encountered negative values in the numerical matrix."))
+    out = F.when(x < 0, F.raise_error(F.lit("log1p needs counts of zero or more: negative values in the input"))
                  ).otherwise(F.log1p(x.cast("double")))
     return out.alias(name or (c if isinstance(c, str) else "log1p"))
 
@@ -205,3 +206,19 @@ class Preprocessor:
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """ONE projection: undeclared columns are dropped (remainder = drop)."""
         return df.select(*keep, *self.exprs())
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write the fitted state and the ordered output names as one JSON line (any
+        Hadoop filesystem)."""
+        state = dataclasses.asdict(self) | {"feature_names": self.feature_names()}
+        spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1).write.text(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Preprocessor:
+        state = json.loads(spark.read.text(path).first()[0])
+        names = state.pop("feature_names")
+        parts = {"freq": FrequencyEncoder, "onehot": OneHot, "log_scaler": RobustScaler, "robust_scaler": RobustScaler}
+        out = cls(**{k: parts[k](**v) if k in parts and v is not None else v for k, v in state.items()})
+        if out.feature_names() != names:
+            raise ValueError(f"the state in {path} does not give the feature names saved with it")
+        return out

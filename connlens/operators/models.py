@@ -244,7 +244,7 @@ def adaboost_predict(model: dict, df: DataFrame, keep: Sequence[str] = ()) -> Da
                     outputCols=[f"_bin_{f}" for f in feats], handleInvalid="keep")
     d = bk.transform(df).withColumn("_bins", F.array(*[F.col(f"_bin_{f}").cast("int") for f in feats]))
     if not stumps:
-        return d.select(*keep, F.lit(0).alias("pred"))
+        return d.select(*keep, F.lit(0).alias("pred"), F.lit(0.0).alias("score"))
     fidx = F.array(*[F.lit(feats.index(st["feature"])) for st in stumps])
     cuts = F.array(*[F.lit(st["cut"]) for st in stumps])
     lefts = F.array(*[F.lit(st["left"]) for st in stumps])
@@ -260,7 +260,8 @@ def adaboost_predict(model: dict, df: DataFrame, keep: Sequence[str] = ()) -> Da
         return lambda acc, i: acc + F.element_at(alphas, i) * (stump(i) == k).cast("double")
 
     votes = F.array(*[F.aggregate(idx, F.lit(0.0), vote_for(k)) for k in range(model["classes"])])
-    return d.select(*keep, argmax(votes).alias("pred"))
+    share = F.element_at("_votes", 2) / F.aggregate("_votes", F.lit(0.0), lambda s, v: s + v)
+    return d.withColumn("_votes", votes).select(*keep, argmax("_votes").alias("pred"), share.alias("score"))
 
 
 def soft_vote(*prob_cols: str) -> tuple[Column, Column]:

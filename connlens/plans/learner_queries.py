@@ -7,10 +7,12 @@ row(s) on the validation part.
 
 from __future__ import annotations
 
+import functools
 import os
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from connlens import config
 from connlens.functions.core import md5_uniform, r6
@@ -20,7 +22,9 @@ from connlens.operators import metrics as M
 from connlens.operators import models as MD
 from connlens.operators import sampling as S
 from connlens.plans.registry import register
-from connlens.session import checkpoint_dir
+from connlens.session import materialize
+from connlens.sources import io as IO
+from connlens.sources import schemas
 from connlens.sources.tables import conn_view
 
 FEATS = ["f_duration", "f_src", "f_dst", "count_", "hot", "serror_rate", "rerror_rate", "logged_in"]
@@ -39,12 +43,11 @@ def learn_frame(spark, sf_dir):
 
 
 def learn_split(spark, sf_dir):
-    """Train / validation frames, each written once to the checkpoint folder: MLlib
-    makes many passes over its input, and a checkpointed frame is read back instead of
-    re-running the three-table join (lineage cut; survives executor loss)."""
-    checkpoint_dir(spark)
-    d = learn_frame(spark, sf_dir)
-    return d.where("split = 'train'").checkpoint(), d.where("split = 'val'").checkpoint()
+    """Train / validation rows of one table written to the checkpoint folder: MLlib makes
+    many passes over its input, which then read the table instead of re-running the
+    three-table join (lineage cut; survives executor loss)."""
+    d = materialize(learn_frame(spark, sf_dir), "learn-frame")
+    return d.where("split = 'train'"), d.where("split = 'val'")
 
 
 def _binary_report(pred, name, score_col="p1"):
@@ -114,7 +117,7 @@ def q_fit_adaboost(spark, sf_dir):
     tr, va = learn_split(spark, sf_dir)
     model = MD.fit_adaboost(tr, FEATS, "y", 100, 2)
     p = MD.adaboost_predict(model, va, keep=["y"])
-    p = p.withColumn("prediction", F.col("pred").cast("double")).withColumn("p1", F.col("pred").cast("double"))
+    p = p.withColumn("prediction", F.col("pred").cast("double")).withColumn("p1", F.col("score"))
     return _binary_report(p, "adaboost")
 
 
@@ -125,11 +128,10 @@ def q_vote_soft(spark, sf_dir):
     nb = MD.gaussian_nb_fit(tr, FEATS, "y")
     rf = MD.fit_random_forest(tr, "y", 100, 10)
     lr = MD.fit_logistic(tr, "y")
-    v = va.select("rkey", "y", "features", *FEATS)
-    p_nb = MD.gaussian_nb_predict(v, nb, FEATS, keep=["rkey"]).select("rkey", F.col("probability").alias("p_nb"))
-    p_rf = rf.transform(v).select("rkey", vector_to_array("probability").alias("p_rf"))
-    p_lr = lr.transform(v).select("rkey", vector_to_array("probability").alias("p_lr"))
-    j = v.select("rkey", "y").join(p_nb, "rkey").join(p_rf, "rkey").join(p_lr, "rkey")
+    # every model scores the same row: the transforms are chained, nothing is joined
+    j = MD.gaussian_nb_predict(va, nb, FEATS, keep=["y", "features"]).withColumnRenamed("probability", "p_nb").drop("pred")
+    for name, model in (("p_rf", rf), ("p_lr", lr)):
+        j = model.transform(j).withColumn(name, vector_to_array("probability")).drop("rawPrediction", "probability", "prediction")
     prob, pred = MD.soft_vote("p_nb", "p_rf", "p_lr")
     out = j.select("y", pred.cast("double").alias("prediction"), F.element_at(prob, 2).alias("p1"))
     return _binary_report(out, "voting_nb_rf_lr")
@@ -139,42 +141,43 @@ def q_vote_soft(spark, sf_dir):
 def q_stack(spark, sf_dir):
     """5-fold out-of-fold probabilities of two base learners (NB, LR) -> stacking LR."""
     tr, va = learn_split(spark, sf_dir)
-    folded = S.kfold_assign(tr, F.col("rkey"), "y", 5)
-    oof = None
+    folded = materialize(S.kfold_assign(tr, F.col("rkey"), "y", 5), "folds")
+
+    def base_scores(rows, nb, lr):
+        a = MD.gaussian_nb_predict(rows, nb, FEATS, keep=["y", "features"]).withColumn("s_nb", F.element_at("probability", 2))
+        return lr.transform(a.drop("probability", "pred")).select("y", "s_nb", vector_to_array("probability")[1].alias("s_lr"))
+
+    oof = []
     for k in range(5):
         fit_part, hold = folded.where(F.col("fold") != k), folded.where(F.col("fold") == k)
-        nb = MD.gaussian_nb_fit(fit_part, FEATS, "y")
-        lr = MD.fit_logistic(fit_part, "y")
-        a = MD.gaussian_nb_predict(hold, nb, FEATS, keep=["rkey", "y"]).select("rkey", "y", F.element_at("probability", 2).alias("s_nb"))
-        b = lr.transform(hold).select("rkey", vector_to_array("probability")[1].alias("s_lr"))
-        part = a.join(b, "rkey")
-        oof = part if oof is None else oof.unionByName(part)
-    oof = oof.checkpoint()
+        oof.append(base_scores(hold, MD.gaussian_nb_fit(fit_part, FEATS, "y"), MD.fit_logistic(fit_part, "y")))
+    oof = materialize(functools.reduce(lambda a, b: a.unionByName(b), oof), "out-of-fold")
     meta = MD.fit_logistic(MD.assemble(oof, ["s_nb", "s_lr"]), "y")
-    nb_all, lr_all = MD.gaussian_nb_fit(tr, FEATS, "y"), MD.fit_logistic(tr, "y")
-    a = MD.gaussian_nb_predict(va, nb_all, FEATS, keep=["rkey", "y"]).select("rkey", "y", F.element_at("probability", 2).alias("s_nb"))
-    b = lr_all.transform(va).select("rkey", vector_to_array("probability")[1].alias("s_lr"))
-    stacked = _p1(meta.transform(MD.assemble(a.join(b, "rkey"), ["s_nb", "s_lr"])))
+    scored = base_scores(va, MD.gaussian_nb_fit(tr, FEATS, "y"), MD.fit_logistic(tr, "y"))
+    stacked = _p1(meta.transform(MD.assemble(scored, ["s_nb", "s_lr"])))
     return _binary_report(stacked, "stacking_nb_lr")
 
 
 @register("model_store")
 def q_model_store(spark, sf_dir):
-    """Save a fitted pipeline under <checkpoint dir>/models/<target>/<name>, append a
-    manifest row, load it back and score the validation rows with the loaded copy."""
+    """Save a fitted pipeline under a folder of this run, models/<target>/<name>, write a
+    manifest row, load it back, score the validation rows with the loaded copy and count
+    the rows on which it differs from the saved model."""
     from pyspark.ml import PipelineModel
     from pyspark.ml.classification import LogisticRegression
     tr, va = learn_split(spark, sf_dir)
     model = MD.pipeline_fit([LogisticRegression(featuresCol="features", labelCol="y", maxIter=100)], tr)
-    root = os.path.join(checkpoint_dir(spark), "models")
+    root = IO.scratch(spark, "models")
     path = os.path.join(root, "binary", "logistic_regression")
-    model.write().overwrite().save(path)
+    model.write().save(path)
     manifest = spark.range(1).select(F.lit("logistic_regression").alias("model_name"), F.lit("binary").alias("target"),
                                      F.lit(path).alias("path"), F.lit(len(FEATS)).alias("n_features"),
                                      F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"))
     manifest.write.mode("append").parquet(os.path.join(root, "manifest"))
-    loaded = PipelineModel.load(path)
-    return _binary_report(_p1(loaded.transform(va)), "logistic_regression_loaded")
+    own = _p1(model.transform(va)).select("*", F.col("p1").alias("own_p1")).drop("p1", "rawPrediction", "probability", "prediction")
+    both = _p1(PipelineModel.load(path).transform(own))
+    differ = both.agg(F.count_if(~F.col("p1").eqNullSafe(F.col("own_p1")))).scalar()
+    return _binary_report(both, "logistic_regression_loaded").withColumn("mismatches", differ)
 
 
 @register("coef_importance")
@@ -191,7 +194,7 @@ def q_coef_importance(spark, sf_dir):
 def q_kfold_oof(spark, sf_dir):
     """Out-of-fold naive-Bayes probabilities over 5 stratified folds (R7 alone)."""
     tr, _ = learn_split(spark, sf_dir)
-    folded = S.kfold_assign(tr, F.col("rkey"), "y", 5)
+    folded = materialize(S.kfold_assign(tr, F.col("rkey"), "y", 5), "folds")
     parts = []
     for k in range(5):
         nb = MD.gaussian_nb_fit(folded.where(F.col("fold") != k), FEATS, "y")
@@ -204,22 +207,52 @@ def q_kfold_oof(spark, sf_dir):
     return out
 
 
+def request_records(spark, sf_dir):
+    """Validation rows as JSON request lines with the 41 fields (those the tables do not
+    carry are 0); every 50th or so lacks two required fields, another is cut short."""
+    c = conn_view(spark, sf_dir)
+    key = F.concat_ws("|", "l_orderkey", "l_partkey", "dst_host", "l_linenumber", F.col("count_").cast("long"))
+    have = {"count": "count_"}
+    fields = []
+    for f in schemas.REQUEST.fields:
+        name = have.get(f.name, f.name)
+        fields.append((F.col(name) if name in c.columns else F.lit(0)).cast(f.dataType).alias(f.name))
+    rows = c.withColumn("rkey", key).where(md5_uniform("l_orderkey", 9) >= config.TRAIN_RATIO)
+    rows = rows.select("rkey", md5_uniform("rkey", 77).alias("u"), F.struct(*fields).alias("r"))
+    whole = F.to_json(F.struct("rkey", "r.*"))
+    short = F.to_json(F.struct("rkey", F.col("r").dropFields("duration", "src_bytes").alias("q")))
+    short = F.regexp_replace(F.regexp_replace(short, '"q":[{]', ""), "[}][}]$", "}")
+    return rows.select(F.when(F.col("u") < 0.02, short).when(F.col("u") < 0.03, F.substr(whole, F.lit(1), F.length(whole) - 1)).otherwise(whole).alias("value"))
+
+
 @register("score_records")
 def q_score_records(spark, sf_dir):
-    """Batch scoring of request records with a saved pipeline: the JSON contract splits
-    out incomplete records, the loaded model scores the rest."""
+    """Batch scoring of JSON request records: the 41-field contract splits out incomplete
+    and malformed lines; the others go through the saved and reloaded preprocessor and
+    model.  Rejected lines come back with a null score."""
     from pyspark.ml import PipelineModel
     from pyspark.ml.classification import LogisticRegression
-    tr, va = learn_split(spark, sf_dir)
-    path = os.path.join(checkpoint_dir(spark), "models", "binary", "records_lr")
-    MD.pipeline_fit([LogisticRegression(featuresCol="features", labelCol="y", maxIter=100)], tr).write().overwrite().save(path)
-    model = PipelineModel.load(path)
-    recs = va.select("rkey", *FEATS).withColumn("valid", F.lit(True))
-    for c in FEATS:
-        recs = recs.withColumn("valid", F.col("valid") & F.col(c).isNotNull())
-    scored = model.transform(MD.assemble(recs.where("valid"), FEATS))
-    return scored.select("rkey", F.col("prediction").cast("int").alias("is_attack"),
+
+    from connlens.operators import features as FE
+    from connlens.plans.feature_queries import BIN, CAT, LOG, RATE, THRESH
+    root = IO.scratch(spark, "scoring")
+    robust = ["count", "hot", "serror_rate"]
+    train = conn_view(spark, sf_dir).withColumnRenamed("count_", "count").withColumn("y", L.binary_label().cast("double"))
+    train = materialize(train.where(md5_uniform("l_orderkey", 9) < config.TRAIN_RATIO), "score-train")
+    FE.Preprocessor(CAT, LOG, robust, RATE, BIN, threshold=THRESH).fit(train).save(spark, os.path.join(root, "preprocessor"))
+    pre = FE.Preprocessor.load(spark, os.path.join(root, "preprocessor"))
+    names = pre.feature_names()
+    fitted = MD.pipeline_fit([LogisticRegression(featuresCol="features", labelCol="y", maxIter=100)], MD.assemble(pre.transform(train, keep=["y"]), names))
+    fitted.write().save(os.path.join(root, "model"))
+    model = PipelineModel.load(os.path.join(root, "model"))
+    request_records(spark, sf_dir).write.text(os.path.join(root, "requests"))
+    contract = T.StructType([T.StructField("rkey", T.StringType()), *schemas.REQUEST.fields])
+    recs = IO.read_json_records(spark, os.path.join(root, "requests"), contract, schemas.REQUEST.names)
+    scored = model.transform(MD.assemble(pre.transform(recs.where("valid"), keep=["rkey"]), names))
+    good = scored.select("rkey", F.lit(True).alias("valid"), F.col("prediction").cast("int").alias("is_attack"),
                          r6(vector_to_array("probability")[1]).alias("confidence"))
+    bad = recs.where("NOT valid").select("rkey", "valid", F.lit(None).cast("int").alias("is_attack"), F.lit(None).cast("double").alias("confidence"))
+    return good.unionByName(bad)
 
 
 @register("build_features")
@@ -230,7 +263,6 @@ def q_build_features(spark, sf_dir):
     from connlens.operators import quality as QL
     from connlens.plans.feature_queries import BIN, CAT, LOG, RATE, ROB, THRESH, conn_split
     from connlens.plans.quality_queries import CONN_COLS
-    from connlens.sources import io as IO
     audit = QL.validate(conn_view(spark, sf_dir), CONN_COLS, "class", CAT)
     df = conn_split(spark, sf_dir)
     pre = FE.Preprocessor(CAT, LOG, ROB, RATE, BIN, threshold=THRESH).fit(df.where("split = 'train'"))
