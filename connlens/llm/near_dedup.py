@@ -40,7 +40,7 @@ from connlens.session import materialize, ship_package
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
 BLOCK = 256
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 
 _INSIDE = np.ones(256, bool)
 _INSIDE[[32, *range(9, 14)]] = False

@@ -135,8 +135,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS) -> NoisyOr:
-    """Learn from ``labels`` (id, toxic 0/1; null labels are none).  Tasks hash the texts; the driver gets the
-    hashed words of ``train_rows`` documents at most, and the descent runs there."""
+    """Learn from ``labels`` (id, toxic 0/1; null labels are none).  Tasks hash the texts; one task gets the hashed
+    words of ``train_rows`` documents at most and runs the descent; the driver gets the weights that are not 0."""
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,20 +151,28 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                                                   pa.array([(s - s[:1]).astype("<i4").tobytes() if len(s) else b"" for s in inner], pa.binary()), batch.column(1)],
                                                  ["feature", "sentence", "toxic"])
 
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((f, s, y) for batch in batches for f, s, y in zip(*(c.to_pylist() for c in batch.columns)))
+        feature, sentence, document, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        for k, (f, s, _) in enumerate(rows):  # in a fixed order, so that the sums and with them the model repeat exactly
+            own = np.frombuffer(s, "<i4").astype(np.int64)
+            count = int(own[-1]) + 1 if len(own) else 0
+            feature.append(np.frombuffer(f, "<i4").astype(np.int64))
+            sentence.append(own + at)
+            document.append(np.full(count, k))
+            at += count
+        label = np.array([y > 0 for *_, y in rows], bool)
+        model = train(np.concatenate(feature), np.concatenate(sentence), np.concatenate(document), label)
+        known = np.flatnonzero(model.weights)
+        yield pa.RecordBatch.from_pydict({"known": [known.astype("<i4").tobytes()], "weight": [model.weights[known].astype("<f8").tobytes()],
+                                          "bias": [model.bias], "constant": pa.array([model.constant], pa.float64())})
+
     rows = training_rows(docs, labels, id_col, text_col, train_rows)
-    got = rows.select("text", F.col("toxic").cast("int")).mapInArrow(run, "feature binary, sentence binary, toxic int").toArrow()
-    order = np.argsort(np.array([bytes(x) for x in got["feature"].to_pylist()], object), kind="stable") if got.num_rows else []
-    feature, sentence, document, label, at = [], [], [], [], 0
-    for k, i in enumerate(order):  # a fixed order, so that the sums and with them the model repeat exactly
-        f, s = (np.frombuffer(got[c][int(i)].as_py(), "<i4").astype(np.int64) for c in ("feature", "sentence"))
-        count = int(s[-1]) + 1 if len(s) else 0
-        feature.append(f)
-        sentence.append(s + at)
-        document.append(np.full(count, k))
-        label.append(got["toxic"][int(i)].as_py() > 0)
-        at += count
-    cat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-    return train(cat(feature), cat(sentence), cat(document), np.array(label, bool))
+    hashed = rows.select("text", F.col("toxic").cast("int")).mapInArrow(run, "feature binary, sentence binary, toxic int")
+    out = hashed.repartition(1).mapInArrow(learn, "known binary, weight binary, bias double, constant double").first()
+    weights = np.zeros(1 << BITS)
+    weights[np.frombuffer(out["known"], "<i4")] = np.frombuffer(out["weight"], "<f8")
+    return NoisyOr(weights, out["bias"], out["constant"])
 
 
 def score(docs: DataFrame, model: NoisyOr, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
