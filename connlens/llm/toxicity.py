@@ -10,8 +10,8 @@ the only sampling here.  Scoring covers every whole text.
 
 Defined results: a null or empty text, or one without words, has no sentence and the score 0; a null id is held
 out; repeated rows score alike; a null label is no label, of several labels of one id the largest counts; with
-labels of one class only, or none, the score is the share of toxic labels plus one in two more; an empty table
-gives an empty result; labels, ids and other columns are no inputs of a score.
+labels of one class only, or none, every text has the score k / (n + 1), k of the n labels being toxic (so nothing
+is toxic without labels); an empty table gives an empty result; labels, ids and other columns are no inputs of a score.
 """
 
 from __future__ import annotations
@@ -92,7 +92,7 @@ def train(feature: np.ndarray, sentence: np.ndarray, document: np.ndarray, label
     sentence; ``label``: of each document."""
     n = len(label)
     if not label.any() or label.all():
-        return NoisyOr(np.zeros(1 << BITS), 0.0, (float(label.sum()) + 1) / (n + 2))
+        return NoisyOr(np.zeros(1 << BITS), 0.0, float(label.sum()) / (n + 1))
     pairs = np.unique(document[sentence] << BITS | feature)
     known = np.flatnonzero(np.bincount(pairs & ((1 << BITS) - 1), minlength=1 << BITS) >= LEAST_DOCUMENTS)
     positive, count = label[document] > 0, len(document)
@@ -171,6 +171,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     hashed = rows.select("text", F.col("toxic").cast("int")).mapInArrow(run, "feature binary, sentence binary, toxic int")
     out = hashed.repartition(1).mapInArrow(learn, "known binary, weight binary, bias double, constant double").first()
     weights = np.zeros(1 << BITS)
+    if out is None:  # no rows, no task
+        return NoisyOr(weights, 0.0, 0.0)
     weights[np.frombuffer(out["known"], "<i4")] = np.frombuffer(out["weight"], "<f8")
     return NoisyOr(weights, out["bias"], out["constant"])
 
