@@ -107,34 +107,88 @@ def unpivot_numeric(df: DataFrame, cols: Sequence[str], name: str = "column",
     ).select(f"_kv.{name}", f"_kv.{value}")
 
 
+QUANTILE_BUCKETS = 1024      # histogram rows per open rank and pass
+QUANTILE_CANDIDATES = 10_000  # rows of a rank's last bucket that are looked at one by one
+
+
+def _spread(x: Column) -> Column:
+    """A monotone scale that keeps apart values of very different size."""
+    return F.asinh(x * 1e6)
+
+
+def _in_intervals(df: DataFrame, open_: list[dict]) -> DataFrame:
+    """(t, x) for every value of a column that lies in the interval of open rank t."""
+    each = F.array(*[F.struct(F.lit(t).alias("t"), F.when(F.col(o["column"]).between(o["lo"], o["hi"]), F.col(o["column"])).alias("x"))
+                     for t, o in enumerate(open_)])
+    return df.select(F.explode(each).alias("e")).select("e.*").where(F.col("x").isNotNull())
+
+
+def _bucket(open_: list[dict]) -> Column:
+    """The bucket of (t, x): equal widths on a linear scale for narrow intervals, else on the spread scale."""
+    out = F.lit(0)
+    for t, o in enumerate(open_):
+        lo, hi = o["lo"], o["hi"]
+        narrow = hi - lo <= 1e-3 * max(abs(lo), abs(hi))
+        x, a, b = (F.col("x"), F.lit(lo), F.lit(hi)) if narrow else (_spread(F.col("x")), _spread(F.lit(lo)), _spread(F.lit(hi)))
+        share = F.coalesce(F.try_divide(x - a, b - a), F.lit(0.0))
+        out = F.when(F.col("t") == t, F.least(F.floor(share * QUANTILE_BUCKETS).cast("int"), F.lit(QUANTILE_BUCKETS - 1))).otherwise(out)
+    return out
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Exact linearly-interpolated quantiles (numpy / pandas / DuckDB ``quantile_cont``)
-    of several numeric columns, nulls ignored, without holding a column in one task.
-
-    Returns (column, q, value)."""
-    from connlens.session import materialize
-
-    kv = unpivot_numeric(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    # (column, distinct value, count) is read four times below (bucket bounds, local
-    # sums, bucket totals, sizes): written once as a table in the shared checkpoint folder
-    dist = materialize(kv.groupBy("column", "value").agg(F.count(F.lit(1)).alias("c")), "quantile-values")
-    cum = prefix_sums(dist, F.col("value"), ["c"], ["column"])  # cum_c inclusive
-    n = dist.groupBy("column").agg(F.sum("c").alias("n"))
-    # #columns x #probs rows: bounded by the caller's lists
-    pos = (n.select("column", "n", F.explode(F.array(*[F.lit(float(q)) for q in probs])).alias("q"))
-           .select("column", "q", "n", (F.col("q") * (F.col("n") - 1)).alias("h"))
-           .select("column", "q", "n", F.floor("h").cast("long").alias("lo"),
-                   (F.col("h") - F.floor("h")).alias("frac")))
-    hits = cum.join(F.broadcast(pos), "column").where(
-        (F.col("cum_c") - F.col("c") <= F.least(F.col("lo") + 1, F.col("n") - 1)) & (F.col("cum_c") > F.col("lo")))
-    contains_lo = (F.col("cum_c") - F.col("c") <= F.col("lo")) & (F.col("cum_c") > F.col("lo"))
-    hi_pos = F.least(F.col("lo") + 1, F.col("n") - 1)
-    contains_hi = (F.col("cum_c") - F.col("c") <= hi_pos) & (F.col("cum_c") > hi_pos)
-    agg = hits.groupBy("column", "q").agg(
-        F.max(F.when(contains_lo, F.col("value"))).alias("x_lo"),
-        F.max(F.when(contains_hi, F.col("value"))).alias("x_hi"),
-        F.first("frac").alias("frac"))
-    return agg.select("column", "q", (F.col("x_lo") + F.col("frac") * (F.col("x_hi") - F.col("x_lo"))).alias("value"))
+    of several numeric columns, nulls and NaN ignored.
+
+    No row is shuffled.  The wanted ranks of all columns are found together by histogram
+    refinement: each pass counts values per bucket of the interval that holds a rank (a
+    partial aggregate of at most #ranks x 1024 rows a task) and goes on with the bucket
+    that holds it, between that bucket's least and largest value.  A rank is settled when
+    these are equal, or from the distinct values of a bucket of few rows.  The columns are
+    written once, so the input plan runs once.
+
+    Returns (column, q, value); a column without values has no rows."""
+    spark = df.sparkSession
+    numeric = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in cols]
+    kept = materialize(df.select(*numeric), "quantile-columns")
+    ends = kept.agg(*[f(F.col(c)).alias(f"{k}_{i}") for i, c in enumerate(cols) for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
+    found: dict[tuple[str, int], float] = {}
+    open_, spots = [], []
+    for i, c in enumerate(cols):
+        n = ends[f"n_{i}"]
+        for q in probs if n else ():
+            h = float(q) * (n - 1)
+            lo = min(int(h), n - 1)
+            spots.append((c, float(q), lo, min(lo + 1, n - 1), h - lo))
+        for rank in sorted({r for s in spots if s[0] == c for r in s[2:4]}):
+            open_.append({"column": c, "rank": rank, "before": 0, "n": n, "lo": ends[f"lo_{i}"], "hi": ends[f"hi_{i}"]})
+    while True:
+        found |= {(o["column"], o["rank"]): o["lo"] for o in open_ if o["lo"] == o["hi"]}
+        open_ = [o for o in open_ if o["lo"] < o["hi"]]
+        few = [o for o in open_ if o["n"] <= QUANTILE_CANDIDATES]
+        if len(few) == len(open_):
+            break
+        open_ = [o for o in open_ if o["n"] > QUANTILE_CANDIDATES] + few
+        wide = len(open_) - len(few)
+        hist = (_in_intervals(kept, open_[:wide]).groupBy("t", _bucket(open_[:wide]).alias("b"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect())
+        for t, o in enumerate(open_[:wide]):
+            before = o["before"]
+            for r in sorted((r for r in hist if r["t"] == t), key=lambda r: r["b"]):
+                if before + r["n"] > o["rank"]:
+                    o |= {"before": before, "n": r["n"], "lo": r["lo"], "hi": r["hi"]}
+                    break
+                before += r["n"]
+    if open_:
+        values = _in_intervals(kept, open_).groupBy("t", "x").agg(F.count(F.lit(1)).alias("n")).collect()
+        for t, o in enumerate(open_):
+            before = o["before"]
+            for r in sorted((r for r in values if r["t"] == t), key=lambda r: r["x"]):
+                before += r["n"]
+                if before > o["rank"]:
+                    found[o["column"], o["rank"]] = r["x"]
+                    break
+    rows = [(c, q, found[c, lo] + frac * (found[c, hi] - found[c, lo])) for c, q, lo, hi, frac in spots]
+    return spark.createDataFrame(rows, "`column` string, q double, value double")
 
 
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
