@@ -248,7 +248,8 @@ def q_rank_within_task(spark, sf_dir):
 
 @register("report_leaderboard", REC + """
 SELECT model_name, target_type, rank, rank = 1 AS is_best,
-       upper(target_type) AS task, replace(model_name, '_', ' ') AS display_name,
+       upper(target_type) AS task,
+       array_to_string(list_transform(string_split(model_name, '_'), lambda x: upper(x[1]) || lower(x[2:])), ' ') AS display_name,
        printf('%.4f%%', recall * 100) AS recall_pct, printf('%.2fs', fit_time) AS fit_time_s
 FROM (SELECT *, CAST(row_number() OVER (PARTITION BY target_type ORDER BY recall DESC, f1 DESC, roc_auc DESC,
              accuracy DESC, model_name) AS INTEGER) AS rank FROM records WHERE split = 'val')""")
@@ -256,7 +257,7 @@ def q_report_leaderboard(spark, sf_dir):
     lb = R.leaderboard(_val(spark, sf_dir), ["target_type"])
     return lb.select("model_name", "target_type", "rank", (F.col("rank") == 1).alias("is_best"),
                      F.upper("target_type").alias("task"),
-                     F.replace(F.col("model_name"), F.lit("_"), F.lit(" ")).alias("display_name"),
+                     F.initcap(F.replace(F.col("model_name"), F.lit("_"), F.lit(" "))).alias("display_name"),
                      F.format_string("%.4f%%", F.col("recall") * 100).alias("recall_pct"),
                      F.format_string("%.2fs", F.col("fit_time")).alias("fit_time_s"))
 
@@ -266,15 +267,14 @@ GAP_METRICS = ["recall", "f1", "accuracy"]
 
 def _gap(spark, sf_dir):
     rec = records(spark, sf_dir)
-    # the validation leaderboard has no multiclass svm row -> its validation values count as 0
-    val = rec.where("split = 'val' AND NOT (model_name = 'svm' AND target_type = 'multiclass')")
+    val = rec.where("split = 'val'")  # a holdout record without a validation record counts as 0 there
     hold = rec.where("split = 'holdout'").select("model_name", "target_type", *GAP_METRICS, "precision", "roc_auc",
                                                   "seen_recall", "novel_recall")
     return R.holdout_gap(val, hold, ["model_name", "target_type"], GAP_METRICS)
 
 
 GAP_SQL = REC + """
-, v AS (SELECT * FROM records WHERE split = 'val' AND NOT (model_name = 'svm' AND target_type = 'multiclass')),
+, v AS (SELECT * FROM records WHERE split = 'val'),
 h AS (SELECT * FROM records WHERE split = 'holdout'),
 g AS (SELECT h.model_name, h.target_type, h.recall AS test_recall, h.f1 AS test_f1, h.accuracy AS test_accuracy,
              h.precision, h.roc_auc, h.seen_recall, h.novel_recall,
@@ -420,15 +420,15 @@ def q_cross_threshold_sweep(spark, sf_dir):
 @register("score_probability_fallback", REC.split("bin AS (")[0].rstrip().rstrip(",") + f"""
 SELECT row_id, model_name,
        {Q.r6("COALESCE(CASE WHEN model_name = 'svm' THEN NULL ELSE sm END, "
-             "CASE WHEN model_name = 'knn' THEN NULL ELSE 1.0 / (1.0 + exp(-(sm - 0.5) * 4)) END, pb)")} AS score,
+             "CASE WHEN model_name = 'knn' THEN NULL ELSE (sm - 0.5) * 4 END, pb)")} AS score,
        CASE WHEN model_name = 'svm' THEN 'decision_function' ELSE 'predict_proba' END AS source
 FROM me""")
 def q_score_probability_fallback(spark, sf_dir):
-    """Probability if the model has one, else a squashed decision value, else the
-    hard label (svm: no probability; knn: no decision function)."""
+    """Probability if the model has one, else its raw decision value, else the hard
+    label (svm: no probability; knn: no decision function)."""
     me = model_eval(spark, sf_dir)
     proba = F.when(F.col("model_name") == "svm", F.lit(None)).otherwise(F.col("sm"))
     decision = F.when(F.col("model_name") == "knn", F.lit(None)).otherwise(
-        1.0 / (1.0 + F.exp(-(F.col("sm") - 0.5) * 4)))
+        (F.col("sm") - 0.5) * 4)
     return me.select("row_id", "model_name", r6(F.coalesce(proba, decision, F.col("pb").cast("double"))).alias("score"),
                      F.when(F.col("model_name") == "svm", "decision_function").otherwise("predict_proba").alias("source"))

@@ -10,7 +10,7 @@ from connlens.plans.registry import register
 from connlens.sources.tables import table
 
 T_SECONDS = 86400   # 2 s is empty at the fixture's event density; one day is not
-LAST_N = 20
+LAST_N = 100
 
 
 def _err():
