@@ -2,8 +2,6 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
-from pyspark.sql import functions as F
-
 from connlens.llm import near_dedup as N
 from connlens.llm.components import components
 
@@ -69,36 +67,42 @@ def variant(rng, words, changes):
 
 
 def test_table_matches_brute_force(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     check(docs, [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
 
 
-def test_edge_rows(frame):
-    long = " ".join(f"w{i}" for i in range(40000))
-    rows = [(1, None), (2, ""), (3, "  "), (4, "a b"), (5, "a  b"), (6, "a b c"), (None, "x y z q r s"), (None, "x y z q r s"), (8, "x y z q r s"),
-            (9, long), (10, long + " extra"), (11, "same " * 300), (12, "same " * 400), (12, "same " * 400), (13, "same " * 900)]
-    check(frame(rows), rows)
-    kept = N.kept_rows(frame(rows))
-    assert kept.columns == ["doc_id", "text", "id", "__row", "group"] and kept.count() == len(brute(rows))
-    assert N.classes(frame([])).count() == 0 and N.kept_rows(frame([])).count() == 0
+LONG = " ".join(f"w{i}" for i in range(40000))
+EDGES = [(1, None), (2, ""), (3, "  "), (4, "a b"), (5, "a  b"), (6, "a b c"), (None, "x y z q r s"), (None, "x y z q r s"), (8, "x y z q r s"),
+         (9, LONG), (10, LONG + " extra"), (11, "same " * 300), (12, "same " * 400), (12, "same " * 400), (13, "same " * 900)]
 
 
-def test_large_families_and_shared_passages(frame):
+def families():
+    """A large family of near copies, texts that share a passage only, a chain, and families behind one passage."""
     rng = random.Random(4)
-    family = [f"f{i}" for i in range(120)]
-    passage = [f"p{i}" for i in range(60)]
-    rows = [(i, variant(rng, family, rng.choice([0, 1, 2, 3]))) for i in range(400)]
-    rows += [(1000 + i, " ".join(passage + [f"u{i}_{j}" for j in range(rng.randrange(5, 40))])) for i in range(200)]
+    family, passage, other = ([f"{k}{i}" for i in range(n)] for k, n in (("f", 120), ("p", 60), ("o", 80)))
+    rows = [(100 + i, variant(rng, family, rng.choice([0, 1, 2, 3]))) for i in range(400)]
+    rows += [(1000 + i, " ".join(passage + [f"u{i}_{j}" for j in range(rng.randrange(5, 40))])) for i in range(150)]
+    rows += [(2000 + i, " ".join(f"c{j}" for j in range(5 * i, 5 * i + 100))) for i in range(20)]
+    rows += [(3000 + i, " ".join(other + [f"g{i // 4}_{j}" for j in range(15)] + [f"v{i}_{j}" for j in range(rng.randrange(0, 9))])) for i in range(80)]
     rng.shuffle(rows)
-    check(frame(rows), rows)
+    return rows
 
 
-def test_chain_through_a_middle_text(frame):
-    base = [f"w{i}" for i in range(200)]
-    rows = [(i, " ".join(base[5 * i:5 * i + 100])) for i in range(20)]
+def test_edge_rows_families_chains_and_shared_passages(frame, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 30)
+    rows = EDGES + families()
     check(frame(rows), rows)
 
 
+def test_kept_rows(frame):
+    kept = N.kept_rows(frame(EDGES))
+    assert kept.columns == ["doc_id", "text", "id", "__row", "group"] and kept.count() == len(brute(EDGES))
+
+
+def test_empty_table(frame):
+    assert N.classes(frame([])).count() == 0 and N.kept_rows(frame([])).count() == 0
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = random.Random(2)
     words = [f"w{i}" for i in range(300)]
@@ -131,12 +135,3 @@ def test_components(spark):
         top[y] = x
     assert got == {x: root(x) for x in {v for e in edges if e[0] != e[1] for v in e}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
-
-
-def test_finish_compares_across_blocks(spark, frame, monkeypatch):
-    monkeypatch.setattr(N, "BLOCK", 7)
-    rng = random.Random(9)
-    passage = [f"p{i}" for i in range(80)]
-    rows = [(i, " ".join(passage + [f"g{i // 4}_{j}" for j in range(15)] + [f"u{i}_{j}" for j in range(rng.randrange(0, 9))])) for i in range(80)]
-    check(frame(rows), rows)
-    assert N.classes(frame(rows)).select(F.count("*")).first()[0] == 80
