@@ -17,6 +17,10 @@ they are; equal rows give equal results; further columns do not matter; an empty
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
+import gc
 import json
 from array import array
 from collections.abc import Iterator
@@ -180,10 +184,26 @@ def slices(batch: pa.RecordBatch, column: int, most: int = BATCH_BYTES) -> Itera
         yield batch.slice(start)
 
 
+def tidy(run):
+    """A task function that, when its input ends, gives freed memory back to the system: Python workers live on
+    from task to task, and what one stage's peak left in the allocators would count against the next."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # no glibc
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return wrapped
+
+
 def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_tokens and ids (binary: little-endian unsigned 32-bit) of every row's whole text."""
     ship_package(df.sparkSession)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for whole in batches:

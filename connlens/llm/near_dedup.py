@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from connlens.llm.bpe import slices
+from connlens.llm.bpe import slices, tidy
 from connlens.llm.bytetext import joined, mixed, span_hashes, words
 from connlens.llm.common import field, lookup_skew_safe, packed
 from connlens.llm.components import components
@@ -39,7 +39,7 @@ from connlens.session import materialize, ship_package
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
-BLOCK = 256
+BLOCK = 128
 BATCH_BYTES = 1 << 20
 
 _INSIDE = np.ones(256, bool)
@@ -136,6 +136,7 @@ def _lists(value: np.ndarray, owner: np.ndarray, texts: int) -> pa.ListArray:
 def signatures(rows: DataFrame) -> DataFrame:
     """``rows`` (id, text): id, digest (binary) and bands (array of longs, empty for a text without words)."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 1, BATCH_BYTES):
@@ -158,6 +159,7 @@ def shingle_sets(rows: DataFrame) -> DataFrame:
     """``rows`` (row, text): row and units, the hashes of the text's units of weight, whose plain Jaccard
     similarity is the weighted one of the texts."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 1, BATCH_BYTES):

@@ -25,13 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from connlens.llm.bpe import slices
+from connlens.llm.bpe import slices, tidy
 from connlens.llm.word_bpe import codec
 from connlens.session import materialize, ship_package
 
 SEQUENCE_TOKENS = 4096
 END_ID = 1
 GROUP_ROWS = 20_000
+BATCH_BYTES = 2 << 20
 #: Weights of tokens, documents and attention cost, each as a share of its capacity.
 WEIGHTS = (1.0, 0.02, 0.02)
 PIECES = "piece int, start long, length long, ids_crc32 long, ids binary"
@@ -44,10 +45,11 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     ship_package(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for whole in batches:
-            for batch in slices(whole, 1):
+            for batch in slices(whole, 1, BATCH_BYTES):
                 row, cols = [], ([], [], [], [], [])
                 for i, ids in enumerate(own.encode_all([t or "" for t in batch.column(1).to_pylist()])):
                     ids += end

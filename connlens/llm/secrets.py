@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from connlens.llm.bpe import slices
+from connlens.llm.bpe import slices, tidy
 from connlens.session import materialize, ship_package
 
 KINDS = ["assign", "access", "hex", "random"]
@@ -145,6 +145,7 @@ def scan(docs: DataFrame, id_col: str | None = "doc_id", text_col: str = "text")
     span = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
     maybe = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("log_p", pa.float64())]))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 1):
@@ -227,6 +228,7 @@ def redact(docs: DataFrame, text_col: str = "text", fdr: float = FDR, mark: str
     def kept(c: tuple[int, int, float]) -> bool:
         return math.ceil((c[2] + math.log((c[1] - c[0]) * scale)) / BIN) * BIN > bound
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, at):

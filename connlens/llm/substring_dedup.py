@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from connlens.llm.bpe import slices
+from connlens.llm.bpe import slices, tidy
 from connlens.llm.bytetext import mixed
 from connlens.llm.common import lookup_skew_safe
 from connlens.session import materialize, ship_package
@@ -92,6 +92,7 @@ def chunks(rows: DataFrame) -> DataFrame:
     """``rows`` (row, id, text), one row per chunk, written: row, id, at, start, end, words, high, low, again."""
     ship_package(rows.sparkSession)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 2, BATCH_BYTES):

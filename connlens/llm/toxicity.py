@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from connlens.llm.bpe import slices
+from connlens.llm.bpe import slices, tidy
 from connlens.llm.bytetext import joined, span_hashes, words
 from connlens.session import ship_package
 
@@ -139,6 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     words of ``train_rows`` documents at most and runs the descent; the driver gets the weights that are not 0."""
     ship_package(docs.sparkSession)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 0, BATCH_BYTES):
@@ -151,6 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                                                   pa.array([(s - s[:1]).astype("<i4").tobytes() if len(s) else b"" for s in inner], pa.binary()), batch.column(1)],
                                                  ["feature", "sentence", "toxic"])
 
+    @tidy
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((f, s, y) for batch in batches for f, s, y in zip(*(c.to_pylist() for c in batch.columns)))
         feature, sentence, document, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
@@ -184,6 +186,7 @@ def score(docs: DataFrame, model: NoisyOr, id_col: str = "doc_id", text_col: str
     ship_package(spark)
     shared = spark.sparkContext.broadcast(model)  # 2**BITS weights
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for whole in batches:
@@ -219,6 +222,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col, train_rows))
     at = docs.columns.index(text_col)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, at, BATCH_BYTES):

@@ -17,7 +17,7 @@ import regex
 
 from connlens.llm.bpe import FAR, byte_alphabet
 
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS = 150_000
 NONE = np.int32(2**31 - 1)
 
 
