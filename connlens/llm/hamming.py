@@ -141,6 +141,8 @@ def search(index: DataFrame, queries: DataFrame, k: int = K, block_rows: int = B
                 distance += far.tolist()
         return pa.table({"code": pa.array(code, pa.binary()), "neighbor_id": pa.array(ids, pa.int64()), "distance": pa.array(distance, pa.int32())})
 
+    tasks = min(10_000, 3 * blocks * pieces)  # a set number, else these small partitions are merged into one task
+    left, right = (side.repartition(tasks, "block", "piece") for side in (left, right))
     local = left.groupBy("block", "piece").cogroup(right.groupBy("block", "piece")).applyInArrow(run, "code binary, neighbor_id long, distance int")
     best = Window.partitionBy("code").orderBy("distance", F.col("neighbor_id").asc_nulls_last())
     top = local.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
