@@ -3,8 +3,8 @@
 Writing.  Each page is one WARC/1.1 record.  Of pages with equal payloads of ``REVISIT_LEAST`` bytes or more the
 one with the smallest id is a ``response`` and the others are ``revisit`` records that name it and have no
 payload; smaller payloads are always responses.  Spark's text sink writes the archives (a record's closing blank
-lines are its line separator), so they are committed like any other output; a file holds a bounded number of
-records.
+lines are its line separator), so they are committed like any other output.  Pages are written by classes of size,
+with so many records a file that no file exceeds ``FILE_BYTES`` by more than headers, or else holds one record.
 
 Index.  Reading an archive gives its captures as a run sorted by URL key and time.  All runs together are cut
 into ranges of the sort key (URL key, time, id, place), so a hot URL spreads over several ranges by time; each
@@ -32,7 +32,9 @@ from connlens.llm.common import lookup_skew_safe
 from connlens.session import checkpoint_dir, materialize, run_folder, ship_package
 
 REVISIT_LEAST = 100
-RECORDS_PER_FILE = 10_000
+FILE_BYTES = 64 << 20
+#: Upper bounds of the classes of payload size; a last class has the larger ones.
+SIZE_CLASSES = [4 << 10, 64 << 10, 1 << 20, 16 << 20]
 #: The capture time of a page without one: its id in seconds after this moment.
 EPOCH = 1_700_000_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -43,7 +45,7 @@ def _crlf(*lines) -> Column:
 
 
 def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", time: Column | None = None) -> DataFrame:
-    """One column ``value``: each page's WARC record without its closing blank lines."""
+    """``value``, each page's WARC record without its closing blank lines, and ``size``, its payload's bytes."""
     body = F.coalesce(F.col(f"`{payload_col}`"), F.lit(""))
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{url_col}`").alias("url"), body.alias("body"),
                         (time if time is not None else F.timestamp_seconds(F.lit(EPOCH) + F.pmod(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(0)), F.lit(10**9)))).alias("time"))
@@ -64,14 +66,21 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
                  text("WARC-Date: ", F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss'Z'")), text("WARC-Target-URI: ", uri), text("WARC-Payload-Digest: sha256:", F.col("digest")),
                  F.when(again, text("WARC-Refers-To: ", urn("first"))), F.when(again, text("WARC-Profile: ", F.lit(PROFILE))),
                  F.lit("Content-Type: application/http;msgtype=response"), text("Content-Length: ", F.octet_length(block)), F.lit(""), F.lit(""))
-    return known.select(F.concat(head, block).alias("value"))
+    return known.select(F.concat(head, block).alias("value"), "size")
 
 
 def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", time: Column | None = None,
-          records_per_file: int = RECORDS_PER_FILE) -> None:
-    """Write the pages as uncompressed archives into the new folder ``path``."""
+          records_per_file: int | None = None) -> None:
+    """Write the pages as uncompressed archives into the new folder ``path``.  ``records_per_file`` lowers the
+    number of records in a file further."""
     out = records(pages, id_col, url_col, payload_col, time)
-    out.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records_per_file).text(path)
+    bounds = [-1, *SIZE_CLASSES, 1 << 31]
+    sizes = pages.select(F.octet_length(F.coalesce(F.col(f"`{payload_col}`"), F.lit(""))).alias("size"))
+    kind = sum((F.when(F.col("size") > b, 1).otherwise(0) for b in bounds[1:-1]), F.lit(0)).alias("k")
+    for k in sorted(r.k for r in sizes.select(kind).distinct().collect()) or [0]:
+        most = max(1, FILE_BYTES // bounds[k + 1])
+        part = out.where(F.col("size").between(bounds[k] + 1, bounds[k + 1])).select("value")
+        part.write.mode("append").option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", min(most, records_per_file or most)).text(path)
 
 
 def url_key(url: str | None) -> str:
@@ -221,7 +230,7 @@ def merge(runs: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def report(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", time: Column | None = None,
-           records_per_file: int = RECORDS_PER_FILE, path: str | None = None) -> DataFrame:
+           records_per_file: int | None = None, path: str | None = None) -> DataFrame:
     """Write the pages into archives, read these back and merge their indexes.  One row per page: id, payload_bytes,
     payload_digest, record_type, refers_to, url_key, position, archive, place and length."""
     spark = pages.sparkSession
