@@ -12,7 +12,7 @@ from connlens.sources.tables import table
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.spans(table(spark, sf_dir, "documents"))
+    return substring_dedup.spans(table(spark, sf_dir, "documents"), passage=substring_dedup.PASSAGE)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
