@@ -40,6 +40,22 @@ def test_a_passage_whose_halves_were_met_apart_is_found(spark, tmp_path):
     assert all(r.shared_words >= 18 and shared_words(texts[r.doc_id], texts[r.first_doc_id]) >= 18 for r in got)
 
 
+def test_every_passage_of_51_words_is_found(spark, tmp_path):
+    rng, rows = random.Random(12), []
+    for k in range(400):
+        p, (least, most) = " ".join(plain(rng, 51 + k % 10, *rng.choice([(1, 9), (3, 6), (6, 12)]))), rng.choice([("", ""), ("“", "”"), ("(x", "é).")])
+        rows += [(2 * k, f"{' '.join(plain(rng, rng.randrange(40)))} {p} {' '.join(plain(rng, rng.randrange(40)))}"),
+                 (2 * k + 1, f"{' '.join(plain(rng, rng.randrange(40)))} {least}{p}{most} {' '.join(plain(rng, rng.randrange(40)))}")]
+    got = found(spark, tmp_path, rows)
+    texts = dict(rows)
+    want = {(i, i - 1) for i in range(1, 800, 2)}
+    assert all(shared_words(texts[i], texts[j]) >= 49 for i, j in want)
+    assert {(r.doc_id, r.first_doc_id) for r in got} == want
+    for r in got:
+        span = texts[r.doc_id][r.start:r.end]
+        assert r.words >= r.shared_words >= 18 and span in texts[r.first_doc_id]
+
+
 def test_windows_match_a_plain_computation():
     rng = random.Random(13)
     texts = ["", "one two", " ".join(plain(rng, 300)), "same " * 300, "a b c d e " * 60, " ".join(plain(rng, 49)), "é\t" + "  ".join(plain(rng, 90)), " ".join(plain(rng, 48))]
