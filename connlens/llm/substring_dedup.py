@@ -6,7 +6,7 @@ bytes; chunks over ``MOST`` bytes are cut at that length.  A cut depends on noth
 it, so an insertion moves only the chunks it touches, and a passage that occurs in two texts is cut alike in
 both but for its edges.  A chunk's digest (128 bits) is counted over the whole corpus.  The first text in
 reading order that has a chunk keeps it; in the others it is a repeat.  Adjacent repeats are one span; a span of
-which some earlier text keeps at least ``words`` words is reported, with that text, and can be removed.
+which some earlier text keeps at least ``words`` words, or ``WORD_BYTES`` times as many bytes of chunks, is reported, with that text, and can be removed.
 
 Chunks alone can miss a passage: one cut into few whole chunks, or one whose chunks were first met in different
 earlier texts, none of which keeps ``words`` words.  So with ``passage`` each text also gives windows of ``words``
@@ -16,6 +16,9 @@ once; so every text that shares it with an earlier one has a window in common wi
 the window keeps ``words`` words by itself.  This holds for every such passage, whatever its cuts.  Windows of a
 short period that follow each other closely are thinned out, but never so that a passage has none.
 
+Words are what stands between ASCII white space; text without it (Chinese, Japanese, Thai, long encoded lines) has
+few, is found by the bytes of its chunks, and has no windows, so only its chunks' runs count.
+
 Defined results: a null or empty text has no chunk; every row is a text of its own, whatever its id, so of
 repeated rows and of rows with null ids all but the first are repeats; text that only repeats a short period is
 cut at phases of its own, so only its windows are found; an empty table gives an empty result; other columns are ignored (``spans``) or carried (``remove``).
@@ -38,6 +41,8 @@ from connlens.session import materialize, ship_package
 
 WINDOW, CUT_BITS, LEAST, MOST = 16, 5, 16, 256
 WORDS = 18
+#: Bytes that count as a word, for text without blanks.
+WORD_BYTES = 12
 #: Passages of so many words are found without exception where ``passage`` is given so.
 PASSAGE = 51
 BATCH_BYTES = 4 << 20
@@ -49,7 +54,7 @@ _SPACE[[32, *range(9, 14)]] = True
 
 def chunk_texts(texts: list[str]) -> dict[str, np.ndarray]:
     """All chunks of the texts in order: text (its number), at (number in the text), start and end (code points),
-    before and words (that begin before and in it), high and low (the digest), again (whether the text has had the
+    before and words (that begin before and in it), bytes, high and low (the digest), again (whether the text has had the
     digest before)."""
     raw = [t.encode() for t in texts]
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
@@ -89,11 +94,11 @@ def chunk_texts(texts: list[str]) -> dict[str, np.ndarray]:
     first = np.searchsorted(text, text, side="left")
     zero = points[begin[text]]
     return {"text": text, "at": np.arange(len(text)) - first, "start": points[starts] - zero, "end": points[ends] - zero,
-            "before": begun[starts] - begun[begin[text]], "words": begun[ends] - begun[starts], "high": digest[:, 0], "low": digest[:, 1], "again": again}
+            "before": begun[starts] - begun[begin[text]], "words": begun[ends] - begun[starts], "bytes": ends - starts, "high": digest[:, 0], "low": digest[:, 1], "again": again}
 
 
 def window_texts(texts: list[str], words: int, passage: int) -> dict[str, np.ndarray]:
-    """The chosen windows of ``words`` words, with the columns of ``chunk_texts``; at is -1, -2, ... in a text."""
+    """The chosen windows of ``words`` words, with the columns of ``chunk_texts``; at is -1, -2, ... in a text, and bytes 0."""
     run = passage - 1 - words
     if run < 1:
         raise ValueError("a passage must be at least two words longer than a window")
@@ -139,7 +144,7 @@ def window_texts(texts: list[str], words: int, passage: int) -> dict[str, np.nda
     a, b = order[1:], order[:-1]
     again[a] = (text[a] == text[b]) & (digest[a] == digest[b]).all(1)
     return {"text": text, "at": np.searchsorted(text, text, side="left") - np.arange(len(text)) - 1, "start": points[starts] - zero, "end": points[ends] - zero,
-            "before": pick - np.searchsorted(owner, text, side="left"), "words": np.full(len(text), words), "high": digest[:, 0], "low": digest[:, 1], "again": again}
+            "before": pick - np.searchsorted(owner, text, side="left"), "words": np.full(len(text), words), "bytes": np.zeros(len(text), int), "high": digest[:, 0], "low": digest[:, 1], "again": again}
 
 
 def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -148,7 +153,7 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def chunks(rows: DataFrame, words: int = WORDS, passage: int | None = None) -> DataFrame:
     """``rows`` (row, id, text), one row per chunk and, with ``passage``, per window, written: row, id (of chunk 0,
-    else null), at, start, end, before, words, digest, again."""
+    else null), at, start, end, before, words, bytes, digest, again."""
     ship_package(rows.sparkSession)
 
     @tidy
@@ -159,38 +164,38 @@ def chunks(rows: DataFrame, words: int = WORDS, passage: int | None = None) -> D
                 for got in [chunk_texts(texts)] + ([window_texts(texts, words, passage)] if passage else []):
                     owner, at = pa.array(got["text"]), got["at"]
                     digest = pa.Array.from_buffers(pa.binary(16), len(at), [None, pa.py_buffer(np.stack([got["high"], got["low"]], 1).astype("<i8").tobytes())])
-                    kinds = {"at": pa.int32(), "start": pa.int32(), "end": pa.int32(), "before": pa.int32(), "words": pa.int32()}
+                    kinds = {"at": pa.int32(), "start": pa.int32(), "end": pa.int32(), "before": pa.int32(), "words": pa.int32(), "bytes": pa.int32()}
                     named = batch.column(1).take(pa.array(got["text"], mask=at != 0))
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(owner), named, *(pa.array(got[k], t) for k, t in kinds.items()), digest.cast(pa.binary()), pa.array(got["again"])],
                                                      ["row", "id", *kinds, "digest", "again"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return materialize(rows.mapInArrow(run, f"row long, id {kind}, at int, start int, end int, before int, words int, digest binary, again boolean"), "chunks")
+    return materialize(rows.mapInArrow(run, f"row long, id {kind}, at int, start int, end int, before int, words int, bytes int, digest binary, again boolean"), "chunks")
 
 
 def row_spans(cut: DataFrame, words: int = WORDS, within: bool = False) -> DataFrame:
     """One row per repeated span of the ``chunks``: row, start, end (code points), words, and keepers, an array of
-    the rows (``first``) that keep chunks or windows of it and the number of words of these (``words`` or more).  A
+    the rows (``first``) that keep chunks or windows of it and the number of words and chunk bytes of these (``words`` words or ``WORD_BYTES`` times as many bytes, or more).  A
     text's own repetitions count only with ``within``."""
     met = cut.groupBy("digest").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1")
     met = materialize(met, "repeated-chunks")
     found = lookup_skew_safe(cut, "digest", met, ["first"], "n", F.concat_ws(":", F.lit("hot"), "row", "at").cast("binary"), keep="inner")
     repeats = found.where(F.col("row") != F.col("first") if not within else (F.col("row") != F.col("first")) | F.col("again"))
-    repeats = repeats.select("row", "start", "end", "before", (F.col("before") + F.col("words")).alias("after"), "first")
+    repeats = repeats.select("row", "start", "end", "before", (F.col("before") + F.col("words")).alias("after"), "bytes", "first")
     past = Window.partitionBy("row").orderBy("start", "end", "first")
     apart = F.col("start") > F.coalesce(F.max("end").over(past.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1))
     runs = repeats.withColumn("apart", apart.cast("int")).withColumn("run", F.sum("apart").over(past.rowsBetween(Window.unboundedPreceding, 0)))
     met_before = F.max("after").over(Window.partitionBy("row", "run", "first").orderBy("before", "after").rowsBetween(Window.unboundedPreceding, -1))
     fresh = F.greatest(F.lit(0), F.col("after") - F.greatest(F.col("before"), F.coalesce(met_before, F.lit(0))))  # words that no earlier piece counted
     each = (runs.withColumn("fresh", fresh).groupBy("row", "run", "first")
-            .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("before").alias("before"), F.max("after").alias("after"), F.sum("fresh").alias("words")))
+            .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("before").alias("before"), F.max("after").alias("after"), F.sum("fresh").alias("words"), F.sum("bytes").alias("bytes")))
     whole = each.groupBy("row", "run").agg(F.min("start").cast("long").alias("start"), F.max("end").cast("long").alias("end"), (F.max("after") - F.min("before")).cast("long").alias("words"),
-                                           F.array_sort(F.collect_list(F.struct("first", "words"))).alias("keepers"))
-    return whole.withColumn("keepers", F.filter("keepers", lambda k: k["words"] >= words)).where(F.size("keepers") > 0).drop("run")
+                                           F.array_sort(F.collect_list(F.struct("first", "words", "bytes"))).alias("keepers"))
+    return whole.withColumn("keepers", F.filter("keepers", lambda k: (k["words"] >= words) | (k["bytes"] >= words * WORD_BYTES))).where(F.size("keepers") > 0).drop("run")
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, within: bool = False, passage: int | None = None) -> DataFrame:
-    """One row per repeated span and earlier text that keeps ``words`` words of it or more: id, start, end, words,
+    """One row per repeated span and earlier text that keeps enough of it (see ``row_spans``): id, start, end, words,
     first_<id> and shared_words.  Without ``passage`` by chunks alone."""
     cut = chunks(_numbered(docs, id_col, text_col), words, passage)
     each = row_spans(cut, words, within).withColumn("k", F.explode("keepers")).select(F.col("row").alias("own"), "start", "end", "words", F.col("k.first").alias("row"), F.col("k.words").alias("shared_words"))

@@ -69,3 +69,11 @@ def test_windows_match_a_plain_computation():
         for lo in range(len(words) - 48):  # each passage of 49 whole words has a window
             assert any(lo <= j <= lo + 31 for j in at)
         assert len(set(got["at"][own])) == len(at) <= max(0, len(words) - 48) // 6 + 2
+
+
+def test_copies_of_text_without_blanks_are_found(spark, tmp_path):
+    rng = random.Random(14)
+    chinese, encoded, other = ("".join(rng.choices([chr(c) for c in range(0x4E00, 0x4F00)], k=400)), "".join(rng.choices(LETTERS, k=900)), "".join(rng.choices(LETTERS, k=900)))
+    got = found(spark, tmp_path, [(0, chinese), (1, encoded), (2, other), (3, f"{chinese}。"), (4, encoded)])
+    assert {(r.doc_id, r.first_doc_id) for r in got} == {(3, 0), (4, 1)}
+    assert all(r.end - r.start >= 300 for r in got)
