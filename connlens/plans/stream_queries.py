@@ -204,7 +204,8 @@ def q_stream_host_window(spark, sf_dir):
     s = S.event_stream(spark, sf_dir).select(
         "event_id", "ts", "user_id", "event_type", (F.col("event_type") == "error").cast("int").alias("se"),
         (F.col("value") > 400).cast("int").alias("re"))
-    out, _ = S.run_to_table(S.host_window_online(s, "user_id", "event_type", 20, "se", "re"), "hostwin")
+    _, stats = S.run_to_table(s, "hostwin", per_batch=S.host_window_online("user_id", "event_type", 20, "se", "re"))
+    out = S.read_if_exists(spark, os.path.join(stats["root"], "out"))
     return out.select("event_id", "dst_host_count", "dst_host_srv_count",
                       r6("dst_host_serror_rate").alias("dst_host_serror_rate"),
                       r6("dst_host_rerror_rate").alias("dst_host_rerror_rate"))

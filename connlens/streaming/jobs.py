@@ -15,6 +15,7 @@ Operators
   scoring / rejects              stateless projection; two sinks per micro-batch
   alert rollup                   stateful groupBy over a bounded key space (families)
   last-N per key                 applyInPandasWithState, list state capped at N
+  last-N host features           batch windows per micro-batch, last N-1 rows per host kept between them
   drift monitor                  windowed aggregate joined to a static baseline
 """
 
@@ -25,10 +26,11 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from connlens.operators.traffic import last_n_sums
 from connlens.session import checkpoint_dir
 
 
@@ -200,46 +202,51 @@ def latest_per_key(emitted: DataFrame, key: str) -> DataFrame:
     return emitted.join(last, F.col(key).eqNullSafe(F.col("_key")) & (F.col("batch") == F.col("_last"))).drop("_key", "_last")
 
 
-def host_window_online(events: DataFrame, dest: str, service: str, n: int, serror: str, rerror: str,
-                       idle_days: int = IDLE_DAYS) -> DataFrame:
-    """Online last-N destination features: per destination the state keeps the previous
-    n-1 connections; each new connection is scored against them in arrival order."""
-    cols = ["event_id", "ts", service, serror, rerror]
-    out_schema = (f"event_id long, dst_host_count long, dst_host_srv_count long, dst_host_serror_rate double, "
-                  f"dst_host_rerror_rate double")
-
-    def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        new = pd.concat([p[cols] for p in pdfs], ignore_index=True).sort_values(["ts", "event_id"])
-        prev = _loaded(state, new, cols)
-        allr = pd.concat([prev, new], ignore_index=True)
-        k0 = len(prev)
-        # vectorised over the batch: rolling counts over the last n rows, and for the
-        # same-service count the position of each row inside its service's row list
-        import numpy as np
-        pos = np.arange(len(allr))
-        lo = np.maximum(pos - n + 1, 0)
-        cnt = pos - lo + 1
-        se = np.concatenate([[0.0], np.cumsum(allr[serror].to_numpy(dtype=float))])
-        re = np.concatenate([[0.0], np.cumsum(allr[rerror].to_numpy(dtype=float))])
-        same = np.zeros(len(allr), dtype=np.int64)
-        for _, idx in allr.groupby(service).indices.items():
-            idx = np.sort(idx)
-            same[idx] = np.arange(len(idx)) - np.searchsorted(idx, lo[idx]) + 1
-        sel = slice(k0, len(allr))
-        res = pd.DataFrame({"event_id": allr["event_id"].to_numpy()[sel].astype("int64"),
-                            "dst_host_count": cnt[sel].astype("int64"), "dst_host_srv_count": same[sel],
-                            "dst_host_serror_rate": ((se[pos + 1] - se[lo]) / cnt)[sel],
-                            "dst_host_rerror_rate": ((re[pos + 1] - re[lo]) / cnt)[sel]})
-        state.update(_saved(allr.tail(n - 1), cols))
-        _expire(state, allr["ts"].max(), idle_days)
-        yield res
-
-    late = events.withWatermark("ts", f"{idle_days} days")
-    return late.groupBy(dest).applyInPandasWithState(fn, out_schema, _state_schema(events, cols), "append",
-                                                     GroupStateTimeout.EventTimeTimeout)
+def host_window_online(dest: str, service: str, n: int, serror: str, rerror: str,
+                       idle_days: int = IDLE_DAYS) -> Callable[[DataFrame, int, str], None]:
+    """Online last-N destination features, as a ``per_batch`` of ``run_to_table``: per destination the previous n-1
+    connections are kept from batch to batch (folder ``state``); each new connection is scored against them in
+    arrival order, those of one batch by (ts, event_id).  Ranks come from (destination, hour) partitions and sums
+    from blocks of n ranks, so no task holds all rows of a hot destination.  Rows over ``idle_days`` behind the
+    newest event of earlier batches are dropped; a destination without rows for so long again loses its state."""
+    cols = [dest, "event_id", "ts", service, serror, rerror]
+    idle = F.expr(f"INTERVAL {int(idle_days)} DAYS")
+
+    def per_batch(batch: DataFrame, epoch: int, root: str) -> None:
+        spark = batch.sparkSession
+        prev = read_if_exists(spark, f"{root}/state/batch={epoch - 1}")
+        new = batch.select(*cols)
+        mark = prev.agg(F.max("_newest")).first()[0] if prev is not None else None
+        if mark is not None:
+            new = new.where(F.col("ts").isNull() | (F.col("ts") > F.lit(mark) - idle))
+        hour = F.floor(F.unix_micros("ts") / 3_600_000_000)
+        new = new.withColumn("_h", hour).withColumn("_local", F.row_number().over(Window.partitionBy(dest, "_h").orderBy("ts", "event_id")))
+        per = new.groupBy(dest, "_h").agg(F.count(F.lit(1)).alias("_n"), F.max("ts").alias("_last"))
+        if prev is not None:  # a destination's state counts as one more hour, without ranks above 0
+            held = prev.groupBy(dest).agg(F.lit(None).cast("long").alias("_h"), F.lit(0).cast("long").alias("_n"), F.max("_newest").alias("_last"))
+            per = per.unionByName(held.withColumn("_held", F.lit(1)), allowMissingColumns=True)
+        else:
+            per = per.withColumn("_held", F.lit(None).cast("int"))
+        earlier = Window.partitionBy(dest).orderBy(F.col("_held").desc_nulls_last(), F.col("_h").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+        all_of = Window.partitionBy(dest)
+        per = per.select(F.col(dest).alias("_dest"), F.col("_h").alias("_hour"), "_held", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"),
+                         F.sum("_n").over(all_of).alias("_total"), F.max("_last").over(all_of).alias("_newest"))
+        own = F.col(dest).eqNullSafe(F.col("_dest"))
+        rows = new.join(per.where(F.col("_held").isNull()), own & F.col("_h").eqNullSafe(F.col("_hour")))
+        rows = rows.select(*cols, (F.col("_local") + F.col("_off")).cast("long").alias("_rank"), "_total", "_newest")
+        if prev is not None:
+            rows = rows.unionByName(prev.drop("_newest").join(per.where(F.col("_held") == 1), own).select(*cols, "_rank", "_total", "_newest"))
+        d = last_n_sums(rows, [dest], "_rank", n, {"se": F.col(serror), "re": F.col(rerror)}, "d_")
+        ds = last_n_sums(d, [dest, service], "_rank", n, {}, "ds_").where(F.col("_rank") > 0)
+        write_batch(ds.select("event_id", F.col("d_count").alias("dst_host_count"), F.col("ds_count").alias("dst_host_srv_count"),
+                              (F.col("d_se") / F.col("d_count")).alias("dst_host_serror_rate"), (F.col("d_re") / F.col("d_count")).alias("dst_host_rerror_rate")),
+                    os.path.join(root, "out"), epoch)
+        last = rows.where(F.col("_rank") > F.col("_total") - (n - 1)).withColumn("_rank", F.col("_rank") - F.col("_total"))
+        if mark is not None:
+            last = last.where(F.col("_newest") + idle > F.lit(mark) - idle)
+        write_batch(last.drop("_total"), os.path.join(root, "state"), epoch)
+
+    return per_batch
 
 
 def _types(df: DataFrame, cols: list[str]):
