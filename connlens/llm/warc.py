@@ -51,8 +51,10 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
                         (time if time is not None else F.timestamp_seconds(F.lit(EPOCH) + F.pmod(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(0)), F.lit(10**9)))).alias("time"))
     rows = rows.withColumn("digest", F.sha2("body", 256)).withColumn("size", F.octet_length("body"))
     shared = rows.where(F.col("size") >= REVISIT_LEAST).groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where((F.col("n") > 1) & F.col("first").isNotNull())
-    shared = materialize(shared, "shared-payloads")
-    known = lookup_skew_safe(rows, "digest", shared, ["first"], "n", F.concat_ws(":", F.lit("hot"), "id", F.spark_partition_id()))
+    shared = materialize(shared.withColumnRenamed("digest", "key"), "shared-payloads")
+    alone = F.concat_ws(":", F.lit("alone"), F.monotonically_increasing_id())
+    keyed = rows.withColumn("key", F.when(F.col("size") >= REVISIT_LEAST, F.col("digest")).otherwise(alone))  # equal small payloads are not in the lookup
+    known = lookup_skew_safe(keyed, "key", shared, ["first"], "n", F.concat_ws(":", F.lit("hot"), F.monotonically_increasing_id()))
     again = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     uri = F.regexp_replace(F.regexp_replace("url", " ", "%20"), r"[\x00-\x1f\x7f]", "%09")
 
