@@ -122,11 +122,11 @@ def score_counts(df: DataFrame, y: str | Column, score: str | Column) -> DataFra
 
 def cumulative_desc(df: DataFrame, y: str | Column, score: str | Column) -> tuple[DataFrame, Column, Column]:
     """(score, pos, neg, cum_pos, cum_neg) with cum_* = counts at score >= this score, and
-    the totals of positives and negatives.  The input is read once: its score histogram
+    the totals of positives and negatives (doubles: their product passes 2**31 soon).  The input is read once: its score histogram
     (one row per distinct score) is written, and everything else comes from that."""
     sc = materialize(score_counts(df, y, score), "score-counts")
     total = sc.agg(F.coalesce(F.sum("pos"), F.lit(0)), F.coalesce(F.sum("neg"), F.lit(0))).first()
-    return prefix_sums(sc, -F.col("score"), ["pos", "neg"]), F.lit(total[0]), F.lit(total[1])
+    return prefix_sums(sc, -F.col("score"), ["pos", "neg"]), F.lit(float(total[0])), F.lit(float(total[1]))
 
 
 def roc_points(df: DataFrame, y: str | Column, score: str | Column) -> DataFrame:
@@ -179,7 +179,7 @@ def roc_auc_by(df: DataFrame, keys: Sequence[str], y: str, score: str) -> DataFr
     c = prefix_sums(materialize(sc, "score-counts"), -F.col("score"), ["pos", "neg"], keys)
     g = c.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"),
                              F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") + F.col("pos") / 2.0)).alias("A"))
-    return g.select(*keys, F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("A") / (F.col("P") * F.col("N")))
+    return g.select(*keys, F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("A") / (F.col("P").cast("double") * F.col("N")))
                     .otherwise(F.lit(0.5)).alias("roc_auc"))
 
 

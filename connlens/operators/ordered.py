@@ -16,6 +16,7 @@ hot key is one row and cannot overload a task.
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -107,32 +108,37 @@ def unpivot_numeric(df: DataFrame, cols: Sequence[str], name: str = "column",
     ).select(f"_kv.{name}", f"_kv.{value}")
 
 
-QUANTILE_BUCKETS = 1024      # histogram rows per open rank and pass
-QUANTILE_CANDIDATES = 10_000  # rows of a rank's last bucket that are looked at one by one
+QUANTILE_BUCKETS = 1024    # histogram rows per open interval and pass
+QUANTILE_CANDIDATES = 2_000  # distinct values of an interval that are looked at one by one
 
 
-def _spread(x: Column) -> Column:
-    """A monotone scale that keeps apart values of very different size."""
-    return F.asinh(x * 1e6)
+def _place(x: Column, lo: float, hi: float) -> Column:
+    """The bucket of a value between ``lo`` < ``hi``: the ends have their own, so every pass makes an interval
+    smaller.  Widths are equal on a linear scale for narrow intervals, else on one that keeps apart values of
+    very different size."""
+    a, b = max(lo, -1e300), min(hi, 1e300)
+    if b - a <= 1e-3 * max(abs(a), abs(b)):
+        share = F.try_divide(x - F.lit(a), F.lit(b - a))
+    else:
+        unit = max(abs(a), abs(b)) * 1e-12
+        base, top = (math.copysign(math.log1p(abs(e) / unit), e) for e in (a, b))
+        share = F.try_divide(F.signum(x) * F.log1p(F.abs(x) / unit) - F.lit(base), F.lit(top - base))
+    inner = F.least(F.greatest(F.coalesce(share, F.lit(0.0)), F.lit(0.0)), F.lit(1.0)) * (QUANTILE_BUCKETS - 3)
+    return F.when(x == lo, 0).when(x == hi, QUANTILE_BUCKETS - 1).otherwise(1 + F.floor(inner).cast("int"))
 
 
-def _in_intervals(df: DataFrame, open_: list[dict]) -> DataFrame:
-    """(t, x) for every value of a column that lies in the interval of open rank t."""
-    each = F.array(*[F.struct(F.lit(t).alias("t"), F.when(F.col(o["column"]).between(o["lo"], o["hi"]), F.col(o["column"])).alias("x"))
-                     for t, o in enumerate(open_)])
-    return df.select(F.explode(each).alias("e")).select("e.*").where(F.col("x").isNotNull())
-
-
-def _bucket(open_: list[dict]) -> Column:
-    """The bucket of (t, x): equal widths on a linear scale for narrow intervals, else on the spread scale."""
-    out = F.lit(0)
-    for t, o in enumerate(open_):
-        lo, hi = o["lo"], o["hi"]
-        narrow = hi - lo <= 1e-3 * max(abs(lo), abs(hi))
-        x, a, b = (F.col("x"), F.lit(lo), F.lit(hi)) if narrow else (_spread(F.col("x")), _spread(F.lit(lo)), _spread(F.lit(hi)))
-        share = F.coalesce(F.try_divide(x - a, b - a), F.lit(0.0))
-        out = F.when(F.col("t") == t, F.least(F.floor(share * QUANTILE_BUCKETS).cast("int"), F.lit(QUANTILE_BUCKETS - 1))).otherwise(out)
-    return out
+def _interval_values(df: DataFrame, open_: list[dict], place) -> DataFrame:
+    """(t, b, x) for every value of a column that lies in its open interval t; ``place`` gives its bucket b.  The
+    intervals of a column do not overlap, so a row yields at most one entry per column."""
+    entries = []
+    for c in dict.fromkeys(o["column"] for o in open_):
+        x, entry = F.col(f"`{c}`"), F.lit(None)
+        for t, o in enumerate(open_):
+            if o["column"] == c:
+                inside = F.struct(F.lit(t).alias("t"), place(x, o).alias("b"), x.alias("x"))
+                entry = F.when(x.between(o["lo"], o["hi"]), inside).otherwise(entry)
+        entries.append(entry)
+    return df.select(F.explode(F.array(*entries)).alias("e")).where("e is not null").select("e.*")
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
@@ -140,17 +146,17 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     of several numeric columns, nulls and NaN ignored.
 
     No row is shuffled.  The wanted ranks of all columns are found together by histogram
-    refinement: each pass counts values per bucket of the interval that holds a rank (a
-    partial aggregate of at most #ranks x 1024 rows a task) and goes on with the bucket
-    that holds it, between that bucket's least and largest value.  A rank is settled when
-    these are equal, or from the distinct values of a bucket of few rows.  The columns are
-    written once, so the input plan runs once.
+    refinement: each pass counts values per bucket of the intervals that hold a rank (a
+    partial aggregate of at most #intervals x 1024 rows a task; ranks of one interval share
+    its histogram) and goes on with the buckets that hold one, between their least and
+    largest value.  A rank is settled when these are equal, or from the distinct values of
+    an interval of few rows.  The columns are written once, so the input plan runs once.
 
     Returns (column, q, value); a column without values has no rows."""
     spark = df.sparkSession
     numeric = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in cols]
     kept = materialize(df.select(*numeric), "quantile-columns")
-    ends = kept.agg(*[f(F.col(c)).alias(f"{k}_{i}") for i, c in enumerate(cols) for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
+    ends = kept.agg(*[f(F.col(f"`{c}`")).alias(f"{k}_{i}") for i, c in enumerate(cols) for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
     found: dict[tuple[str, int], float] = {}
     open_, spots = [], []
     for i, c in enumerate(cols):
@@ -159,38 +165,40 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
             h = float(q) * (n - 1)
             lo = min(int(h), n - 1)
             spots.append((c, float(q), lo, min(lo + 1, n - 1), h - lo))
-        for rank in sorted({r for s in spots if s[0] == c for r in s[2:4]}):
-            open_.append({"column": c, "rank": rank, "before": 0, "n": n, "lo": ends[f"lo_{i}"], "hi": ends[f"hi_{i}"]})
-    while True:
-        found |= {(o["column"], o["rank"]): o["lo"] for o in open_ if o["lo"] == o["hi"]}
+        ranks = sorted({r for s in spots if s[0] == c for r in s[2:4]})
+        if ranks:
+            open_.append({"column": c, "ranks": ranks, "before": 0, "n": n, "lo": ends[f"lo_{i}"], "hi": ends[f"hi_{i}"]})
+    while open_:
+        found |= {(o["column"], r): o["lo"] for o in open_ if o["lo"] == o["hi"] for r in o["ranks"]}
         open_ = [o for o in open_ if o["lo"] < o["hi"]]
+        wide = [o for o in open_ if o["n"] > QUANTILE_CANDIDATES]
         few = [o for o in open_ if o["n"] <= QUANTILE_CANDIDATES]
-        if len(few) == len(open_):
+        if not wide:
             break
-        open_ = [o for o in open_ if o["n"] > QUANTILE_CANDIDATES] + few
-        wide = len(open_) - len(few)
-        hist = (_in_intervals(kept, open_[:wide]).groupBy("t", _bucket(open_[:wide]).alias("b"))
+        hist = (_interval_values(kept, wide, lambda x, o: _place(x, o["lo"], o["hi"])).groupBy("t", "b")
                 .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect())
-        for t, o in enumerate(open_[:wide]):
-            before = o["before"]
-            for r in sorted((r for r in hist if r["t"] == t), key=lambda r: r["b"]):
-                if before + r["n"] > o["rank"]:
-                    o |= {"before": before, "n": r["n"], "lo": r["lo"], "hi": r["hi"]}
-                    break
-                before += r["n"]
+        open_ = few + [part for t, o in enumerate(wide) for part in _holding(o, sorted((r for r in hist if r["t"] == t), key=lambda r: r["b"]))]
     if open_:
-        values = _in_intervals(kept, open_).groupBy("t", "x").agg(F.count(F.lit(1)).alias("n")).collect()
+        values = (_interval_values(kept, open_, lambda x, o: F.lit(0)).groupBy("t", "x").agg(F.count(F.lit(1)).alias("n"))
+                  .select("t", F.col("x").alias("lo"), F.col("x").alias("hi"), "n").collect())
         for t, o in enumerate(open_):
-            before = o["before"]
-            for r in sorted((r for r in values if r["t"] == t), key=lambda r: r["x"]):
-                before += r["n"]
-                if before > o["rank"]:
-                    found[o["column"], o["rank"]] = r["x"]
-                    break
-    rows = [(c, q, found[c, lo] + frac * (found[c, hi] - found[c, lo])) for c, q, lo, hi, frac in spots]
+            for part in _holding(o, sorted((r for r in values if r["t"] == t), key=lambda r: r["lo"])):
+                found |= {(o["column"], r): part["lo"] for r in part["ranks"]}
+    rows = [(c, q, found[c, lo] + frac * (found[c, hi] - found[c, lo]) if frac else found[c, lo]) for c, q, lo, hi, frac in spots]
     return spark.createDataFrame(rows, "`column` string, q double, value double")
 
 
+def _holding(interval: dict, buckets: list) -> list[dict]:
+    """The buckets (in order, with n, lo and hi) of an interval that hold one of its ranks."""
+    out, before = [], interval["before"]
+    for b in buckets:
+        ranks = [r for r in interval["ranks"] if before <= r < before + b["n"]]
+        if ranks:
+            out.append({"column": interval["column"], "ranks": ranks, "before": before, "n": b["n"], "lo": b["lo"], "hi": b["hi"]})
+        before += b["n"]
+    return out
+
+
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                    exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """(column, q, value); ``exact=False`` uses one ``percentile_approx`` pass instead."""

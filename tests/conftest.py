@@ -22,6 +22,3 @@ def spark():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="connlens-test-ckpt-"))
     yield s
     s.stop()
-
-
-SF_SMALL = "/root/testdata/sf0.001"

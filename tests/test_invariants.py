@@ -33,6 +33,28 @@ def test_exact_quantiles_match_numpy(spark):
         assert v == pytest.approx(np.quantile(x, q))
 
 
+def test_exact_quantiles_over_ties_magnitudes_and_infinities(spark):
+    rng = np.random.default_rng(5)
+    n = 30_000
+    cols = {"tied": rng.integers(0, 7, n).astype(float), "wide": 10.0 ** rng.uniform(-200, 200, n) * rng.choice([-1, 1], n),
+            "near": 1e9 + rng.integers(0, 50_000, n) * 1e-5, "ends": np.r_[[-np.inf] * 3, rng.normal(size=n - 6), [np.inf] * 3], "one": np.ones(n)}
+    df = spark.createDataFrame(pd.DataFrame(cols)).withColumn("none", F.lit(None).cast("double"))
+    probs = [0.0, 0.001, 0.25, 0.5, 0.5001, 0.9, 1.0]
+    got = {(r["column"], r["q"]): r["value"] for r in O.exact_quantiles(df, [*cols, "none"], probs).collect()}
+    assert len(got) == len(cols) * len(probs)
+    for c, x in cols.items():
+        for q in probs:
+            want = np.quantile(x, q) if c != "ends" else np.quantile(np.clip(x, -1e9, 1e9), q)
+            assert got[c, q] == pytest.approx(want if abs(want) < 1e9 or c != "ends" else np.sign(want) * np.inf, rel=1e-12)
+
+
+def test_roc_auc_beyond_the_range_of_int(spark):
+    df = spark.range(140_000).select((F.col("id") % 2).alias("y"), (F.col("id") / 7).alias("p"))
+    assert 70_000**2 > 2**31
+    assert M.roc_auc(df, "y", "p").first()[0] == pytest.approx(0.5, abs=1e-4)
+    assert M.roc_auc(df, "y", F.col("y") + 0.5).first()[0] == 1.0
+
+
 @pytest.mark.parametrize("limit", [5, 200_000])
 def test_rank_cutoffs_match_sorted_ranks(spark, monkeypatch, limit):
     # limit=5 forces the histogram-refinement passes; the default ranks directly

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as E
 from connlens.sources.tables import TABLES
 
-from conftest import SF_SMALL
+from fixture_paths import SF_SMALL
 
 ORACLE = E.oracle_sql()
 
