@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from connlens.llm import bpe, exact_dedup, hamming, near_dedup, packing, secrets, sharding, substring_dedup, toxicity, warc
+from connlens.llm import bpe, exact_dedup, hamming, near_dedup, packing, secrets, sharding, substring_dedup, token_counts, toxicity, warc
 from connlens.session import materialize
 from connlens.sources.tables import table
 
@@ -54,6 +54,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -65,6 +69,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_secrets": op10_secrets,
+    "op11_token_counts": op11_token_counts,
 }
 
 ORACLE_SQL = {
