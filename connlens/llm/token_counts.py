@@ -1,6 +1,7 @@
 """Token counts of whole texts, huge ones by overlapping chunks that are resynchronised.
 
-A text of at most two chunks goes through the tokenizers library whole.  A longer one is cut into chunks of
+A text of at most two chunks is encoded whole (a word-level file's by this package's codec, whose ids are the
+library's).  A longer one is cut into chunks of
 ``chunk`` characters, each followed by ``overlap`` characters of the next, which are encoded with offsets wherever
 Spark puts them.  Neighbours are spliced where both have a boundary in the overlap that is proven stable:
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from connlens.llm.bpe import slices, tidy
+from connlens.llm.word_bpe import codec
 from connlens.session import materialize, ship_package
 
 CHUNK, OVERLAP, LIMIT = 16_384, 512, 2048
@@ -77,16 +80,19 @@ class Counter:
             raise ValueError("no stable cuts are proven for this kind of tokenizer file")
         if any(len(cuts(t["content"])) or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"]):
             raise ValueError("a special string spans a cut")
+        self.path, self.by_word = path, bool(by_word)
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
 
     def counts(self, texts: list[str]) -> list[int]:
+        if self.by_word:
+            return codec(self.path).count_all(texts)
         return [len(e) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def boundaries(self, text: str) -> tuple[int, np.ndarray, np.ndarray]:
         """The number of tokens, the cuts that are token boundaries, and how many tokens begin before each."""
-        offsets = np.array(self.library.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
+        offsets = np.fromiter(chain.from_iterable(self.library.encode(text, add_special_tokens=False).offsets), np.int64).reshape(-1, 2)
         at = cuts(text)
         before = np.searchsorted(offsets[:, 0], at)
         ends = np.concatenate(([0], np.maximum.accumulate(offsets[:, 1])))

@@ -11,13 +11,15 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from itertools import filterfalse
 
 import numpy as np
 import regex
 
 from connlens.llm.bpe import FAR, byte_alphabet
 
-CACHED_CHUNKS = 150_000
+CACHE_BYTES = 64 << 20  # of each of the cache's two generations, about
+ENTRY_BYTES = 150  # of an entry beside its characters and ids
 NONE = np.int32(2**31 - 1)
 
 
@@ -49,9 +51,12 @@ class WordCodec:
                 at = (at + 1) & ((1 << self.bits) - 1)
             self.slots[at], self.slot_rank[at] = key, rank
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.words = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
+        self.words = regex.compile(r"\n|" + pattern.replace(r"\s", r"\p{White_Space}"))
         self.odd = [t["content"] for t in spec["added_tokens"]] + list("\x1c\x1d\x1e\x1f")
-        self.cache: dict[str, bytes] = {}
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.word_ids: dict[str, bytes] = {}
+        self.held = 0
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -107,20 +112,27 @@ class WordCodec:
 
     def _learn(self, chunks: list[str]) -> None:
         """Put the ids of chunks without white space into the cache."""
-        lists = []
-        far = [c for c in chunks if FAR.search(c)]
-        if far:
-            self.cache.update((c, self._library_ids(c)) for c in far)
-            chunks = [c for c in chunks if c not in self.cache]
-        for c in chunks:
-            if not c.isascii():
-                c = unicodedata.normalize("NFC", c)
-                if "Σ" in c:  # each character on its own: no final sigma
-                    c = "".join([x.lower() for x in c])
-            lists.append(self.words.findall(c.lower()))
-        distinct = list(dict.fromkeys([w for ws in lists for w in ws]))
-        ids = dict(zip(distinct, self._merge([w.encode() for w in distinct]))) if distinct else {}
-        self.cache.update(zip(chunks, [ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws]) for ws in lists]))
+        whole = "\n".join(chunks)
+        if FAR.search(whole):
+            far = {c: self._library_ids(c) for c in chunks if FAR.search(c)}
+            self.new.update(far)
+            chunks = [c for c in chunks if c not in far]
+            whole = "\n".join(chunks)
+        if not whole.isascii():
+            if "Σ" in (whole := unicodedata.normalize("NFC", whole)):  # each character on its own: no final sigma
+                whole = "".join([x.lower() for x in whole])
+        found = self.words.findall(whole.lower())  # the words, and a newline between chunks
+        ids = self.word_ids
+        distinct = [w for w in dict.fromkeys(filterfalse(ids.__contains__, found)) if w != "\n"]
+        if distinct:
+            ids.update(zip(distinct, self._merge([w.encode() for w in distinct])))
+            self.held += ENTRY_BYTES // 2 * len(distinct)
+        if len(found) == 2 * len(chunks) - 1 and "\n" not in found[::2]:  # a word a chunk
+            self.new.update(zip(chunks, [ids[w] for w in found[::2]]))
+            return
+        ends = [i for i, w in enumerate(found) if w == "\n"]
+        for chunk, at, end in zip(chunks, [0, *[e + 1 for e in ends]], [*ends, len(found)]):
+            self.new[chunk] = ids[found[at]] if end == at + 1 else b"".join([ids[w] for w in found[at:end]])
 
     def _library_ids(self, text: str) -> bytes:
         if self.library is None:
@@ -131,15 +143,32 @@ class WordCodec:
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         split = [None if any(x in t for x in self.odd) else t.split() for t in texts]
-        if len(self.cache) > CACHED_CHUNKS:
-            self.cache.clear()
-        known = self.cache
-        new = {w for words in split if words for w in words if w not in known}
-        if new:
-            self._learn(list(new))
-        get = known.__getitem__
+        self._know(split)
+        get = self.new.__getitem__
         return [self._library_ids(t) if words is None else b"".join(map(get, words)) for t, words in zip(texts, split)]
 
+    def count_all(self, texts: list[str]) -> list[int]:
+        """How many ids each text has."""
+        split = [None if any(x in t for x in self.odd) else t.split() for t in texts]
+        self._know(split)
+        get = self.new.__getitem__
+        return [(len(self._library_ids(t)) if words is None else sum(map(len, map(get, words)))) // 4 for t, words in zip(texts, split)]
+
+    def _know(self, split: list[list[str] | None]) -> None:
+        """Have all chunks in the new generation of the cache.  A full generation becomes the old one, whose
+        chunks come back as they are met again, so common chunks are never merged anew."""
+        if self.held > CACHE_BYTES:
+            self.old, self.new, self.word_ids, self.held = self.new, {}, {}, 0
+        known = self.new.__contains__
+        missing = {w for words in split if words for w in filterfalse(known, words)}
+        self.held += ENTRY_BYTES * len(missing) + 2 * sum(map(len, missing))
+        if missing and self.old:
+            again = missing.intersection(self.old)
+            self.new.update((c, self.old[c]) for c in again)
+            missing -= again
+        if missing:
+            self._learn(list(missing))
+
 
 _CODECS: dict[str, WordCodec] = {}
 
