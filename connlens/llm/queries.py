@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from connlens.llm import bpe, conversation_repair, exact_dedup, hamming, near_dedup, packing, secrets, sharding, substring_dedup, token_counts, toxicity, warc
+from connlens.llm import (bpe, conversation_repair, exact_dedup, hamming, hard_negatives, near_dedup, packing, secrets, sharding,
+                          substring_dedup, token_counts, toxicity, warc)
 from connlens.session import materialize
 from connlens.sources.tables import table
 
@@ -58,6 +59,10 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.report(table(spark, sf_dir, "embeddings"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.report(table(spark, sf_dir, "conversations"))
 
@@ -74,6 +79,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_secrets": op10_secrets,
     "op11_token_counts": op11_token_counts,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
@@ -82,5 +88,6 @@ ORACLE_SQL = {
     "op3_warc": warc.REPORT_SQL,
     "op4_hamming_topk": hamming.SEARCH_SQL,
     "op6_sharding": sharding.placement_sql("documents", "doc_id"),
+    "op12_hard_negatives": hard_negatives.REPORT_SQL,
     "op13_conversation_repair": conversation_repair.REPORT_SQL,
 }
