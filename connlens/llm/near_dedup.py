@@ -11,10 +11,11 @@ the earliest at each coordinate.  So the work is one hash an element and a few h
 large the text, and two texts agree at a coordinate with the probability of their similarity.
 
 Joining.  Coordinates are banded by ``ROWS``; at similarity 0.8 a pair shares no band with probability
-(1 - 0.8**4)**24 < 4e-6.  Copies of a text are one node.  Within a bucket every text is compared with the
-bucket's least, so a bucket of n near copies costs n comparisons.  Buckets whose texts are then still in
-several components are finished exactly: the texts outside the least one's component against all, in blocks
-of bounded size spread over tasks; within a block, components already linked are not compared again.  Every
+(1 - 0.8**4)**24 < 4e-6.  Copies of a text are one node.  Every text is compared with the least text of all its
+buckets, so n near copies cost n comparisons, whatever buckets they share; then with the least texts of those
+buckets in which it is still in another component.  Buckets whose texts are then still in several components are
+finished exactly: the texts outside the least one's component against all, in blocks of bounded size spread over
+tasks; within a block, components already linked are not linked again.  Every
 comparison is exact, on the shingles themselves.  Classes are the connected components of the links.
 
 Defined results: a null text counts as empty; texts without words form a class with their exact copies only;
@@ -39,7 +40,8 @@ from connlens.session import materialize, ship_package
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
-BLOCK = 128
+BLOCK = 250_000  # units of a block of rows in the exact finish
+CENTER_ROWS = 512
 BATCH_BYTES = 1 << 20
 
 _INSIDE = np.ones(256, bool)
@@ -171,34 +173,102 @@ def shingle_sets(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "row long, units array<long>")
 
 
-def _similar(a, b, least: float):
-    both = F.size(F.array_intersect(a, b))
-    return both >= F.lit(least) * (F.size(a) + F.size(b) - both)
+def _shared(units: np.ndarray, lists: pa.Array) -> np.ndarray:
+    """How many of ``units`` (sorted) each list of distinct numbers holds."""
+    flat, cuts = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+    at = np.searchsorted(units, flat)
+    hit = np.concatenate(([0], np.cumsum(units[np.minimum(at, len(units) - 1)] == flat))) if len(units) else np.zeros(len(flat) + 1, int)
+    cuts = cuts - cuts[0]
+    return hit[cuts[1:]] - hit[cuts[:-1]]
+
+
+def _close(units: int, sizes: np.ndarray, both: np.ndarray, least: float) -> np.ndarray:
+    return (both > 0) & (both >= least * (units + sizes - both))
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs (a: center, b: row) of ``pairs`` (row, center) whose texts are similar.  A center's set is sent once to
+    every ``CENTER_ROWS`` of its rows, a row's set once a pair; a task holds one center's set and a batch of rows."""
+    counts = materialize(pairs.groupBy(F.col("center").cast("string").alias("k")).agg(F.count("*").alias("n")), "center-sizes")
+    chunks = F.ceil(F.col("n") / CENTER_ROWS).alias("chunks")
+    dealt = lookup_skew_safe(pairs.withColumn("k", F.col("center").cast("string")), "k", counts, ["n"], "n", F.concat_ws(":", F.lit("hot"), "row", "center"))
+    members = dealt.select("center", "row", F.pmod(F.xxhash64("row"), chunks).alias("chunk")).join(sets, "row").withColumn("member", F.lit(True))
+    heads = counts.select(F.col("k").cast("long").alias("center"), chunks).join(sets.withColumnRenamed("row", "center"), "center")
+    heads = heads.select("center", F.col("center").alias("row"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "units", F.lit(False).alias("member"))
+    both = members.select("center", "row", "chunk", "units", "member").unionByName(heads)
+    ready = both.repartition("center", "chunk").sortWithinPartitions("center", "chunk", "member")
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = None
+        for whole in batches:
+            center, member, row = (whole.column(c).to_numpy(zero_copy_only=False) for c in (0, 4, 1))
+            starts = np.flatnonzero(~member)  # every head begins its own group
+            a, b = [], []
+            for at, end in zip([0, *starts], [*starts, len(row)]):
+                if at < end and not member[at]:
+                    units, at = np.sort(whole.column(3)[int(at)].values.to_numpy()), at + 1
+                if at < end:
+                    lists = whole.column(3).slice(int(at), int(end - at))
+                    hit = _close(len(units), np.diff(lists.offsets.to_numpy()), _shared(units, lists), least)
+                    a.append(center[at:end][hit])
+                    b.append(row[at:end][hit])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (a, b)], ["a", "b"])
+
+    return ready.select("center", "row", "chunk", "units", "member").mapInArrow(run, "a long, b long")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (row, center) whose texts lie in different components."""
+    centers = pairs.groupBy("center").agg(F.count("*").alias("n")).join(roots, F.col("center") == F.col("node"), "left")
+    centers = materialize(centers.select(F.col("center").cast("string").alias("k"), "n", F.coalesce("root", "center").alias("its")), "center-roots")
+    own = pairs.join(roots, F.col("row") == F.col("node"), "left").select("row", "center", F.coalesce("root", "row").alias("own"), F.col("center").cast("string").alias("k"))
+    named = lookup_skew_safe(own, "k", centers, ["its"], "n", F.concat_ws(":", F.lit("hot"), "row", "center"))
+    return named.where("own <> its").select("row", "center")
 
 
 def _finish(inside: DataFrame, roots: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Links (a, b) between different components within buckets: ``inside`` has bucket, row, center and n."""
     named = inside.where("n > 2").join(roots, F.col("row") == F.col("node"), "left").withColumn("label", F.coalesce("root", "row")).select("bucket", "row", "center", "label")
+    named = materialize(named, "labelled-buckets")
     per = (named.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"),
                                        F.max(F.when(F.col("row") == F.col("center"), F.col("label"))).alias("main"),
                                        F.bit_xor(F.xxhash64("row")).alias("x"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("y")).where("lo < hi"))
-    one = per.groupBy("n", "x", "y").agg(F.min(F.struct("bucket", "main")).alias("b")).select("b.bucket", "b.main")  # equal buckets count once
-    left = materialize(named.join(one, "bucket"), "open-buckets")
-    sizes = left.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("of_all"), F.ceil(F.sum((F.col("label") != F.col("main")).cast("int")) / BLOCK).alias("of_out"))
-    rows = materialize(left.join(sizes, "bucket").join(sets, "row"), "open-rows")
+    one = per.groupBy("n", "x", "y").agg(F.min(F.struct("bucket", "main")).alias("b")).select("b.bucket", "b.main", "n")  # equal buckets count once
+    one = materialize(one.withColumn("k", F.col("bucket").cast("string")).drop("bucket"), "open-buckets")
+    if one.isEmpty():
+        return inside.sparkSession.createDataFrame([], "a long, b long")
+    spread = F.concat_ws(":", F.lit("hot"), "row", "bucket")
+    left = lookup_skew_safe(named.withColumn("k", F.col("bucket").cast("string")), "k", one, ["main"], "n", spread, keep="inner")
+    left = materialize(left.join(sets.select("row", F.size("units").alias("size")), "row"), "open-bucket-rows")
+    # blocks of about BLOCK units, however many rows that is
+    weight = F.sum("size")
+    sizes = left.groupBy("k").agg(F.count("*").alias("n"), F.ceil(weight / BLOCK).alias("of_all"), F.ceil(F.sum(F.when(F.col("label") != F.col("main"), F.col("size")).otherwise(0)) / BLOCK).alias("of_out"))
+    rows = lookup_skew_safe(left, "k", materialize(sizes, "open-sizes"), ["of_all", "of_out"], "n", spread).drop("k")
+
     def block(of: str):
         return F.pmod(F.xxhash64("row"), F.col(of))
 
     def every(of: str):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
 
+    # a row's set joins once per row; the copies are made after that
+    places = rows.where("of_out > 0").select("row", F.struct("bucket", "label", "main", "of_all", "of_out").alias("p"))
+    placed = places.join(sets, "row").select("row", "units", "p.*")
     same = ["bucket", "row", "label", "units"]
-    alls = rows.select(*same, F.lit(False).alias("out"), block("of_all").alias("i"), every("of_out").alias("j"))
-    outs = rows.where("label <> main").select(*same, F.lit(True).alias("out"), every("of_all").alias("i"), block("of_out").alias("j"))
+    alls = placed.select(*same, F.lit(False).alias("out"), block("of_all").alias("i"), every("of_out").alias("j"))
+    outs = placed.where("label <> main").select(*same, F.lit(True).alias("out"), every("of_all").alias("i"), block("of_out").alias("j"))
 
     def run(table: pa.Table) -> pa.Table:
-        row, label, out = (table[c].to_pylist() for c in ("row", "label", "out"))
-        units = [x.values.to_numpy() for x in table["units"]]
+        table = table.combine_chunks()
+        row, label, out = (table[c].to_numpy() for c in ("row", "label", "out"))
+        units = table["units"].chunk(0)
+        sizes = np.diff(units.offsets.to_numpy())
+        values, place = np.unique(units.flatten().to_numpy(), return_inverse=True)
+        begin = np.concatenate(([0], np.cumsum(sizes)))
+        other = np.flatnonzero(~out)
+        flat = np.concatenate([place[begin[k]:begin[k + 1]] for k in other]) if len(other) else place[:0]
+        cuts = np.concatenate(([0], np.cumsum(sizes[other])))
         top: dict[int, int] = {}
 
         def root(x: int) -> int:
@@ -207,19 +277,17 @@ def _finish(inside: DataFrame, roots: DataFrame, sets: DataFrame, least: float)
             return x
 
         a, b = [], []
-        others = [i for i, o in enumerate(out) if not o]
-        for i in (i for i, o in enumerate(out) if o):
-            for j in others:
-                if root(label[i]) == root(label[j]):
-                    continue
-                small, large = sorted((len(units[i]), len(units[j])))
-                if small < least * large:
-                    continue
-                both = len(np.intersect1d(units[i], units[j], assume_unique=True))
-                if both >= least * (small + large - both):
-                    a.append(row[i])
-                    b.append(row[j])
-                    top[root(label[i])] = root(label[j])
+        mark = np.zeros(len(values), np.int64)
+        for k in np.flatnonzero(out):
+            own = place[begin[k]:begin[k + 1]]
+            mark[own] = 1
+            held = np.concatenate(([0], np.cumsum(mark[flat])))
+            mark[own] = 0
+            for m in other[_close(sizes[k], sizes[other], held[cuts[1:]] - held[cuts[:-1]], least)]:
+                if root(label[k]) != root(label[m]):
+                    a.append(row[k])
+                    b.append(row[m])
+                    top[root(label[k])] = root(label[m])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return alls.unionByName(outs).groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long")
@@ -247,10 +315,13 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, least: float) -> tuple
     chosen = (texts.withColumn("digest", _digest(F.col("text"))).alias("t").join(wanted.alias("w"), keys[0] & keys[1])
               .select("w.row", "t.text").dropDuplicates(["row"]))
     sets = materialize(shingle_sets(chosen), "shingles")
-    checked = (pairs.join(sets.select(F.col("row").alias("a"), F.col("units").alias("ua")), "a")
-               .join(sets.select(F.col("row").alias("b"), F.col("units").alias("ub")), "b"))
-    links = materialize(checked.where(_similar(F.col("ua"), F.col("ub"), least)).select("a", "b"), "links")
-    roots = components(links)
+    nearest = pairs.groupBy(F.col("b").alias("row")).agg(F.min("a").alias("center"))
+    links = materialize(_linked(materialize(nearest, "least-centers"), sets, least), "links")
+    roots = materialize(components(links), "roots")
+    apart = materialize(_apart(pairs.select(F.col("b").alias("row"), F.col("a").alias("center")), roots), "pairs-apart")
+    if not apart.isEmpty():
+        links = materialize(links.unionByName(_linked(apart, sets, least)), "links")
+        roots = materialize(components(links), "roots")
     more = materialize(_finish(inside, roots, sets, least), "more-links")
     if not more.isEmpty():
         roots = components(links.unionByName(more))

@@ -89,7 +89,8 @@ def families():
 
 
 def test_edge_rows_families_chains_and_shared_passages(frame, monkeypatch):
-    monkeypatch.setattr(N, "BLOCK", 30)
+    monkeypatch.setattr(N, "BLOCK", 3000)
+    monkeypatch.setattr(N, "CENTER_ROWS", 16)
     rows = EDGES + families()
     check(frame(rows), rows)
 
