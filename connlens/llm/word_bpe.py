@@ -142,25 +142,25 @@ class WordCodec:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [None if any(x in t for x in self.odd) else t.split() for t in texts]
-        self._know(split)
-        get = self.new.__getitem__
-        return [self._library_ids(t) if words is None else b"".join(map(get, words)) for t, words in zip(texts, split)]
+        return [self._library_ids(t) if parts is None else b"".join(parts) for t, parts in zip(texts, self._parts(texts))]
 
     def count_all(self, texts: list[str]) -> list[int]:
         """How many ids each text has."""
-        split = [None if any(x in t for x in self.odd) else t.split() for t in texts]
-        self._know(split)
-        get = self.new.__getitem__
-        return [(len(self._library_ids(t)) if words is None else sum(map(len, map(get, words)))) // 4 for t, words in zip(texts, split)]
+        return [(len(self._library_ids(t)) if parts is None else sum(map(len, parts))) // 4 for t, parts in zip(texts, self._parts(texts))]
 
-    def _know(self, split: list[list[str] | None]) -> None:
-        """Have all chunks in the new generation of the cache.  A full generation becomes the old one, whose
-        chunks come back as they are met again, so common chunks are never merged anew."""
+    def _parts(self, texts: list[str]) -> list[list[bytes] | None]:
+        """The ids of each text's chunks; None for a text that goes through the library.
+
+        Every chunk is looked up once in the new generation of the cache, and again only if it is missing there.
+        A full generation becomes the old one, whose chunks come back as they are met again, so common chunks
+        are never merged anew."""
         if self.held > CACHE_BYTES:
             self.old, self.new, self.word_ids, self.held = self.new, {}, {}, 0
-        known = self.new.__contains__
-        missing = {w for words in split if words for w in filterfalse(known, words)}
+        split = [None if any(x in t for x in self.odd) else t.split() for t in texts]
+        get = self.new.get
+        parts = [None if words is None else list(map(get, words)) for words in split]
+        gaps = [[] if p is None or None not in p else [i for i, x in enumerate(p) if x is None] for p in parts]
+        missing = {words[i] for words, own in zip(split, gaps) for i in own}
         self.held += ENTRY_BYTES * len(missing) + 2 * sum(map(len, missing))
         if missing and self.old:
             again = missing.intersection(self.old)
@@ -168,6 +168,10 @@ class WordCodec:
             missing -= again
         if missing:
             self._learn(list(missing))
+        for words, p, own in zip(split, parts, gaps):
+            for i in own:
+                p[i] = get(words[i])
+        return parts
 
 
 _CODECS: dict[str, WordCodec] = {}
