@@ -3,15 +3,16 @@
 A plain ``Window.partitionBy(service)`` would put every connection of a popular
 service into one task.  Both operators bound their window partitions instead:
 
-* time window [ts - T, ts]: rows are bucketed by floor(ts / T); each row is also
-  emitted once as a *ghost* into the next bucket.  A window partitioned by
-  (key, bucket) then sees exactly the rows of [ts - T, ts] (they live in the
-  current or the previous bucket); ghosts contribute to the sums but are dropped.
-  Partition size is bounded by one key's traffic in 2T.
+* time window [ts - T, ts]: time is cut into slices much shorter than T.  Every row
+  asks for two running totals of its key, up to ts and up to just before ts - T; each
+  is the total of the earlier slices (prefix sums of the slice table) plus a running
+  sum inside one slice.  A window partition holds one key's traffic in one slice.
 * last-N window: every row gets its rank within the destination (computed per
   (destination, coarse time bucket) plus the prefix of earlier buckets), rows are
-  grouped into blocks of N ranks with the same ghost copy into the next block, and
-  windows run over RANGE of ranks.  Partition size <= 2N rows.
+  grouped into blocks of N ranks, each row also emitted once as a *ghost* into the next
+  block, and windows run over RANGE of ranks.  Partition size <= 2N rows.  Distinct
+  counts come from the rank of a value's previous occurrence: a row counts from the
+  rank at which that occurrence has left the window until it leaves itself.
 """
 
 from __future__ import annotations
@@ -30,33 +31,58 @@ def _ghosted(df: DataFrame, bucket: Column) -> DataFrame:
     return real.unionByName(ghost)
 
 
-def time_window_sums(df: DataFrame, keys: Sequence[str], ts_us: str, seconds: int,
-                     measures: dict[str, Column], prefix: str) -> DataFrame:
-    """For each row: count and sums of ``measures`` over rows with the same ``keys`` and
-    ts in [ts - seconds, ts] (RANGE semantics, peers included)."""
-    span = int(seconds) * 1_000_000
-    g = _ghosted(df, F.floor(F.col(ts_us) / span))
-    w = (Window.partitionBy(*keys, "_b").orderBy(F.col(ts_us)).rangeBetween(-span, 0))
-    out = g.select("*", F.count(F.lit(1)).over(w).alias(f"{prefix}count"),
-                   *[F.sum(m).over(w).alias(f"{prefix}{k}") for k, m in measures.items()])
-    return out.where(~F.col("_ghost")).drop("_b", "_ghost")
+NO_TIME = -(2**60)      # rows without a time are peers of one another
+SLICES_PER_BLOCK = 4096  # slices of a key whose prefix sums one task computes
+
+
+def _named(*columns: Column) -> Column:
+    """An unambiguous string of a key's columns; nulls have their own."""
+    parts = [F.coalesce(F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string")), F.lit("-")) for c in columns]
+    return F.concat_ws("|", *parts)
+
+
+def time_window_totals(rows: DataFrame, keys: dict[str, list[str]], at: str, width: int, measures: Sequence[str],
+                       row_id: str, slices: int = 64) -> DataFrame:
+    """For each row (``row_id`` is unique) and each named key: the sums of the long columns ``measures`` over rows of
+    the same key with ``at`` (long, any unit) in [at - width, at], as columns <key>_<measure>.
+
+    Time slices are width / ``slices`` long.  One shuffle brings rows and the probes at the window's start to their
+    (key, slice), one joins the prefix sums of the slice table, one adds up a row's totals."""
+    length = max(1, width // slices)
+    time = F.coalesce(F.col(at), F.lit(NO_TIME))
+    asked = []
+    for name, columns in keys.items():
+        key = F.concat(F.lit(f"{name}="), _named(*[F.col(c) for c in columns]))
+        for sign, when, order in ((1, time, 2 * time + 1), (-1, time - width, 2 * (time - width))):
+            held = [(F.col(m).cast("long") if sign > 0 else F.lit(0).cast("long")).alias(m) for m in measures]
+            asked.append(F.struct(F.lit(name).alias("_name"), key.alias("_key"), F.lit(sign).alias("_sign"),
+                                  F.floor(when / length).cast("long").alias("_slice"), order.alias("_order"), *held))
+    probes = rows.select(row_id, F.explode(F.array(*asked)).alias("a")).select(row_id, "a.*")
+    inside = Window.partitionBy("_key", "_slice").orderBy("_order").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    local = probes.select(row_id, "_name", "_key", "_sign", "_slice", *[F.sum(m).over(inside).alias(m) for m in measures])
+    # the slice table: at most two rows a row and key, prefix-summed in blocks of slices
+    table = probes.groupBy("_key", "_slice").agg(*[F.sum(m).alias(m) for m in measures]).withColumn("_block", F.floor(F.col("_slice") / SLICES_PER_BLOCK))
+    before = Window.partitionBy("_key", "_block").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = table.groupBy("_key", "_block").agg(*[F.sum(m).alias(m) for m in measures])
+    earlier = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select("_key", "_block", *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_far_{m}") for m in measures])
+    prefix = (table.select("_key", "_slice", "_block", *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_near_{m}") for m in measures])
+              .join(offsets, ["_key", "_block"]).drop("_block"))
+    found = local.join(prefix, ["_key", "_slice"])
+    return found.groupBy(row_id).agg(*[
+        F.sum(F.when(F.col("_name") == name, F.col("_sign") * (F.col(m) + F.col(f"_near_{m}") + F.col(f"_far_{m}")))).alias(f"{name}_{m}")
+        for name in keys for m in measures])
 
 
 def traffic_time_window(events: DataFrame, row_id: str, ts: str, host: str, service: str,
-                        serror: Column, rerror: Column, seconds: int) -> DataFrame:
+                        serror: Column, rerror: Column, seconds: float, slices: int = 64) -> DataFrame:
     """count, srv_count and the seven rate features over the last ``seconds``."""
-    base = events.select(row_id, host, service, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"),
-                         serror.cast("int").alias("_se"), rerror.cast("int").alias("_re"))
-    m = {"se": F.col("_se"), "re": F.col("_re")}
-    h = time_window_sums(base, [host], "_us", seconds, m, "h_")
-    s = time_window_sums(base.select(row_id, service, "_us", "_se", "_re"), [service], "_us", seconds, m, "s_")
-    hs = time_window_sums(base.select(row_id, host, service, "_us", "_se", "_re"), [host, service], "_us", seconds,
-                          {}, "hs_")
-    j = (h.join(s.select(row_id, "s_count", "s_se", "s_re"), row_id)
-         .join(hs.select(row_id, "hs_count"), row_id))
+    base = events.select(row_id, host, service, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"), F.lit(1).cast("long").alias("count"),
+                         F.coalesce(serror.cast("long"), F.lit(0)).alias("se"), F.coalesce(rerror.cast("long"), F.lit(0)).alias("re"))
+    j = time_window_totals(base, {"h": [host], "s": [service], "hs": [host, service]}, "_us", int(seconds * 1_000_000), ["count", "se", "re"], row_id, slices)
     same = safe_div("hs_count", "h_count")
     return j.select(
-        row_id, F.col("h_count").cast("long").alias("count"), F.col("s_count").cast("long").alias("srv_count"),
+        row_id, F.col("h_count").alias("count"), F.col("s_count").alias("srv_count"),
         r6(safe_div("h_se", "h_count")).alias("serror_rate"), r6(safe_div("s_se", "s_count")).alias("srv_serror_rate"),
         r6(safe_div("h_re", "h_count")).alias("rerror_rate"), r6(safe_div("s_re", "s_count")).alias("srv_rerror_rate"),
         r6(same).alias("same_srv_rate"), r6(F.lit(1.0) - same).alias("diff_srv_rate"),
@@ -74,7 +100,9 @@ def rank_within_key(df: DataFrame, key: str, ts_us: str, tiebreak: str, bucket_s
     # one row per (key, bucket): the window below runs over the bucket table
     off = per.select(key, "_tb", F.coalesce(F.sum("_n").over(
         Window.partitionBy(key).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return local.join(off, [key, "_tb"]).withColumn("_rank", F.col("_lr") + F.col("_off")).drop("_tb", "_lr", "_off")
+    off = off.select(F.col(key).alias("_k"), F.col("_tb").alias("_t"), "_off")
+    found = local.join(off, F.col(key).eqNullSafe(F.col("_k")) & F.col("_tb").eqNullSafe(F.col("_t")))
+    return found.withColumn("_rank", F.col("_lr") + F.col("_off")).drop("_tb", "_lr", "_off", "_k", "_t")
 
 
 def last_n_sums(df: DataFrame, keys: Sequence[str], rank: str, n: int, measures: dict[str, Column],
@@ -87,21 +115,46 @@ def last_n_sums(df: DataFrame, keys: Sequence[str], rank: str, n: int, measures:
     return out.where(~F.col("_ghost")).drop("_b", "_ghost")
 
 
-def traffic_host_window(events: DataFrame, row_id: str, ts: str, dest: str, service: str,
+def last_n_distinct(df: DataFrame, keys: Sequence[str], value: str, row_id: str, rank: str, n: int, name: str) -> DataFrame:
+    """(row_id, name): distinct values, null being one, among rows of the same ``keys`` whose rank lies in (rank - n, rank].
+
+    A row counts in the windows that end at a rank from ``since`` (its own, or n past its value's previous one) to its
+    own + n - 1; so a running sum of +1 at ``since`` and -1 at own + n, in blocks of n ranks, gives the count."""
+    block = F.floor((F.col(rank) - 1) / n)
+    same = _ghosted(df.select(*keys, value, row_id, rank), block)
+    back = Window.partitionBy(*keys, value, "_b").orderBy(F.col(rank)).rangeBetween(-(n - 1), -1)
+    known = same.withColumn("_before", F.max(rank).over(back)).where(~F.col("_ghost")).drop("_b", "_ghost")
+    since = F.coalesce(F.col("_before") + n, F.col(rank))
+    marks = F.array(F.struct(since.alias("at"), F.lit(1).alias("d"), F.lit(False).alias("asks")),
+                    F.struct((F.col(rank) + n).alias("at"), F.lit(-1).alias("d"), F.lit(False).alias("asks")),
+                    F.struct(F.col(rank).alias("at"), F.lit(0).alias("d"), F.lit(True).alias("asks")))
+    events = _ghosted(known, block).select(*keys, row_id, "_b", "_ghost", F.explode(marks).alias("e"))
+    running = Window.partitionBy(*keys, "_b").orderBy("e.at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = events.select(row_id, "_ghost", "e.asks", F.sum("e.d").over(running).alias(name))
+    return counted.where(F.col("asks") & ~F.col("_ghost")).select(row_id, name)
+
+
+def traffic_host_window(events: DataFrame, row_id: str, ts: str, dest: str, service: str, src_host: str, src_port: str,
                         serror: Column, rerror: Column, n: int = 100, bucket_seconds: int = 3600) -> DataFrame:
-    """dst_host_* features over the last ``n`` connections to the same destination."""
-    base = events.select(row_id, dest, service, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"),
-                         serror.cast("int").alias("_se"), rerror.cast("int").alias("_re"))
+    """The ten dst_host_* features over the last ``n`` connections to the same destination; those of the same service
+    among them make the srv family.  ``dst_host_same_src_port_rate`` is the share that come from the row's own source
+    port, ``dst_host_srv_diff_host_rate`` the number of distinct source hosts over the number of connections."""
+    base = events.select(row_id, dest, service, F.col(src_host).alias("_host"), F.col(src_port).alias("_port"),
+                         F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"), serror.cast("int").alias("_se"), rerror.cast("int").alias("_re"))
     ranked = rank_within_key(base, dest, "_us", row_id, bucket_seconds)
     m = {"se": F.col("_se"), "re": F.col("_re")}
     d = last_n_sums(ranked, [dest], "_rank", n, m, "d_")
     ds = last_n_sums(ranked, [dest, service], "_rank", n, m, "ds_")
-    j = d.join(ds.select(row_id, "ds_count", "ds_se", "ds_re"), row_id)
+    dp = last_n_sums(ranked, [dest, "_port"], "_rank", n, {}, "dp_")
+    hosts = last_n_distinct(ranked, [dest, service], "_host", row_id, "_rank", n, "hosts")
+    j = d.join(ds.select(row_id, "ds_count", "ds_se", "ds_re"), row_id).join(dp.select(row_id, "dp_count"), row_id).join(hosts, row_id)
     same = safe_div("ds_count", "d_count")
     return j.select(
         row_id, F.col("d_count").cast("long").alias("dst_host_count"),
         F.col("ds_count").cast("long").alias("dst_host_srv_count"),
         r6(same).alias("dst_host_same_srv_rate"), r6(F.lit(1.0) - same).alias("dst_host_diff_srv_rate"),
+        r6(safe_div("dp_count", "d_count")).alias("dst_host_same_src_port_rate"),
+        r6(safe_div("hosts", "ds_count")).alias("dst_host_srv_diff_host_rate"),
         r6(safe_div("d_se", "d_count")).alias("dst_host_serror_rate"),
         r6(safe_div("ds_se", "ds_count")).alias("dst_host_srv_serror_rate"),
         r6(safe_div("d_re", "d_count")).alias("dst_host_rerror_rate"),

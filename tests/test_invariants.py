@@ -192,35 +192,74 @@ def test_isolation_forest_scores_and_contamination(spark):
     assert 0.08 <= frac <= 0.12
 
 
-def test_time_window_matches_brute_force(spark):
-    rng = np.random.default_rng(4)
-    n = 200
-    pdf = pd.DataFrame({"id": np.arange(n), "host": rng.integers(0, 3, n), "svc": rng.choice(["a", "b"], n),
-                        "ts": pd.to_datetime("2024-01-01") + pd.to_timedelta(rng.integers(0, 3600, n), unit="s"),
-                        "err": rng.integers(0, 2, n)})
-    df = spark.createDataFrame(pdf)
-    got = TR.traffic_time_window(df, "id", "ts", "host", "svc", F.col("err") == 1, F.col("err") == 0, 300).toPandas()
-    got = got.set_index("id")
-    for _, r in pdf.sample(40, random_state=1).iterrows():
-        w = pdf[(pdf.host == r.host) & (pdf.ts <= r.ts) & (pdf.ts >= r.ts - pd.Timedelta(seconds=300))]
-        s = pdf[(pdf.svc == r.svc) & (pdf.ts <= r.ts) & (pdf.ts >= r.ts - pd.Timedelta(seconds=300))]
-        assert got.loc[r.id, "count"] == len(w) and got.loc[r.id, "srv_count"] == len(s)
-        assert got.loc[r.id, "serror_rate"] == pytest.approx(round(w.err.mean(), 6), abs=1e-6)
+def _traffic(seed, n, span):
+    rng = np.random.default_rng(seed)
+    pick = lambda values: [None if rng.random() < 0.05 else values[int(k)] for k in rng.integers(0, len(values), n)]
+    at = rng.integers(0, span, n)
+    return [(i, h, s, None if rng.random() < 0.03 else int(t), int(e), o, p)
+            for i, h, s, t, e, o, p in zip(range(n), pick([0, 0, 0, 1, 2]), pick(["a", "b"]), at, rng.integers(0, 2, n), pick([7, 8, 9, 10]), pick([80, 443]))]
+
+
+def _traffic_frame(spark, rows):
+    df = spark.createDataFrame(rows, "id long, host long, svc string, t long, err int, src long, port long")
+    return df.withColumn("ts", F.timestamp_micros(F.col("t") * 100_000))
+
+
+@pytest.mark.parametrize("seconds,slices", [(2, 64), (300, 64), (300, 1), (0.1, 7)])
+def test_time_window_matches_brute_force(spark, seconds, slices):
+    rows = _traffic(4, 400, 36_000 if seconds > 2 else 900)
+    df = _traffic_frame(spark, rows)
+    got = {r["id"]: r for r in TR.traffic_time_window(df, "id", "ts", "host", "svc", F.col("err") == 1, F.col("err") == 0, seconds, slices).collect()}
+    assert len(got) == len(rows)
+    inside = lambda a, b: a is None and b is None or a is not None and b is not None and b - 10 * seconds <= a <= b
+    for i, h, s, t, *_ in rows:
+        own = [r for r in rows if inside(r[3], t)]
+        w, v = [r for r in own if r[1] == h], [r for r in own if r[2] == s]
+        r = got[i]
+        assert (r["count"], r["srv_count"]) == (len(w), len(v))
+        assert r["serror_rate"] == pytest.approx(sum(x[4] for x in w) / len(w), abs=1e-6) and r["srv_rerror_rate"] == pytest.approx(sum(1 - x[4] for x in v) / len(v), abs=1e-6)
+        assert r["same_srv_rate"] == pytest.approx(sum(x[2] == s for x in w) / len(w), abs=1e-6)
+
+
+def test_a_hot_service_is_dealt_over_many_window_partitions(spark, monkeypatch):
+    """Half of all rows are one service within one window: no (key, slice) holds more than a small part of them."""
+    rows = [(k, k % 50, "hot" if k % 2 else f"s{k % 9}", k * 5, 0, 1, 1) for k in range(6000)]
+    df = _traffic_frame(spark, rows)
+    sizes = []
+    plain = TR.Window.partitionBy
+
+    class Spied(TR.Window):
+        @staticmethod
+        def partitionBy(*cols):
+            sizes.append(cols)
+            return plain(*cols)
+
+    monkeypatch.setattr(TR, "Window", Spied)
+    got = TR.traffic_time_window(df, "id", "ts", "host", "svc", F.col("err") == 1, F.col("err") == 0, 3000).where("id = 5999").first()
+    assert got["srv_count"] == 3000 and ("_key", "_slice") in sizes and all("_key" in c[0] or "_block" in c for c in sizes)
+    per = df.where("svc = 'hot'").groupBy(F.floor(F.col("t") * 100_000 / (3000 * 1_000_000 // 64))).count().agg(F.max("count")).first()[0]
+    assert per < 60
 
 
 def test_last_n_window_matches_brute_force(spark):
-    rng = np.random.default_rng(5)
-    n = 150
-    pdf = pd.DataFrame({"id": np.arange(n), "dest": rng.integers(0, 2, n), "svc": rng.choice(["a", "b", "c"], n),
-                        "ts": pd.to_datetime("2024-01-01") + pd.to_timedelta(rng.integers(0, 7200, n), unit="s"),
-                        "err": rng.integers(0, 2, n)})
-    df = spark.createDataFrame(pdf)
-    got = TR.traffic_host_window(df, "id", "ts", "dest", "svc", F.col("err") == 1, F.col("err") == 0, 10,
-                                 bucket_seconds=600).toPandas().set_index("id")
-    for d, g in pdf.sort_values(["ts", "id"]).groupby("dest"):
-        g = g.reset_index(drop=True)
-        for i in range(len(g)):
-            w = g.iloc[max(0, i - 9): i + 1]
-            r = got.loc[g.loc[i, "id"]]
-            assert r.dst_host_count == len(w)
-            assert r.dst_host_srv_count == (w.svc == g.loc[i, "svc"]).sum()
+    rows = [r for r in _traffic(5, 500, 72_000) if r[3] is not None]
+    got = {r["id"]: r for r in TR.traffic_host_window(_traffic_frame(spark, rows), "id", "ts", "host", "svc", "src", "port", F.col("err") == 1,
+                                                      F.col("err") == 0, 10, bucket_seconds=600).collect()}
+    assert len(got) == len(rows)
+    for dest in {r[1] for r in rows}:
+        own = sorted((r for r in rows if r[1] == dest), key=lambda r: (r[3], r[0]))
+        for k, r in enumerate(own):
+            w = own[max(0, k - 9):k + 1]
+            v = [x for x in w if x[2] == r[2]]
+            f = got[r[0]]
+            assert (f["dst_host_count"], f["dst_host_srv_count"]) == (len(w), len(v))
+            assert f["dst_host_serror_rate"] == pytest.approx(sum(x[4] for x in w) / len(w), abs=1e-6)
+            assert f["dst_host_same_src_port_rate"] == pytest.approx(sum(x[6] == r[6] for x in w) / len(w), abs=1e-6)
+            assert f["dst_host_srv_diff_host_rate"] == pytest.approx(len({x[5] for x in v}) / len(v), abs=1e-6)
+
+
+def test_traffic_windows_of_an_empty_table(spark):
+    df = _traffic_frame(spark, [])
+    yes = F.lit(True)
+    assert TR.traffic_time_window(df, "id", "ts", "host", "svc", yes, yes, 2).collect() == []
+    assert TR.traffic_host_window(df, "id", "ts", "host", "svc", "src", "port", yes, yes).collect() == []
