@@ -32,7 +32,7 @@ from connlens.session import materialize, ship_package
 SEQUENCE_TOKENS = 4096
 END_ID = 1
 GROUP_ROWS = 20_000
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 4 << 20
 #: Weights of tokens, documents and attention cost, each as a share of its capacity.
 WEIGHTS = (1.0, 0.02, 0.02)
 PIECES = "piece int, start long, length long, ids_crc32 long, ids binary"
@@ -51,7 +51,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         for whole in batches:
             for batch in slices(whole, 1, BATCH_BYTES):
                 row, cols = [], ([], [], [], [], [])
-                for i, ids in enumerate(own.encode_all([t or "" for t in batch.column(1).to_pylist()])):
+                for i, ids in enumerate(own.encode_all(batch.column(1))):
                     ids += end
                     for k in range(0, len(ids), 4 * most):
                         part = ids[k:k + 4 * most]

@@ -14,6 +14,8 @@ import unicodedata
 from itertools import filterfalse
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 from connlens.llm.bpe import FAR, byte_alphabet
@@ -52,8 +54,8 @@ class WordCodec:
             self.slots[at], self.slot_rank[at] = key, rank
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(r"\n|" + pattern.replace(r"\s", r"\p{White_Space}"))
-        self.odd = [t["content"] for t in spec["added_tokens"]] + list("\x1c\x1d\x1e\x1f")
-        self.new: dict[str, bytes] = {}
+        self.odd = "|".join([*(regex.escape(t["content"]) for t in spec["added_tokens"]), "[\x1c-\x1f]"])
+        self.new: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         self.word_ids: dict[str, bytes] = {}
         self.held = 0
@@ -140,27 +142,52 @@ class WordCodec:
             self.library = Tokenizer.from_file(self.path)
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        return [self._library_ids(t) if parts is None else b"".join(parts) for t, parts in zip(texts, self._parts(texts))]
-
-    def count_all(self, texts: list[str]) -> list[int]:
+    def encode_all(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """The ids of each text (null: empty) as little-endian unsigned 32-bit integers."""
+        counts, parts, words, odd = self._words(texts)
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        flat, ends = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(lengths)
+        size = lengths[words]
+        at = np.concatenate(([0], np.cumsum(size)))
+        ids = flat[np.repeat((ends - lengths)[words] - at[:-1], size) + np.arange(at[-1])]
+        cuts = np.concatenate(([0], np.cumsum(counts)))
+        return [odd[i] if i in odd else ids[a:b].tobytes() for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist()))]
+
+    def count_all(self, texts: pa.Array | list[str | None]) -> list[int]:
         """How many ids each text has."""
-        return [(len(self._library_ids(t)) if parts is None else sum(map(len, parts))) // 4 for t, parts in zip(texts, self._parts(texts))]
-
-    def _parts(self, texts: list[str]) -> list[list[bytes] | None]:
-        """The ids of each text's chunks; None for a text that goes through the library.
-
-        Every chunk is looked up once in the new generation of the cache, and again only if it is missing there.
-        A full generation becomes the old one, whose chunks come back as they are met again, so common chunks
-        are never merged anew."""
+        counts, _, _, odd = self._words(texts)
+        counts = counts.tolist()
+        for i, ids in odd.items():
+            counts[i] = len(ids) // 4
+        return counts
+
+    def _words(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, list[bytes], np.ndarray, dict[int, bytes]]:
+        """The number of ids of each text, the ids of the batch's distinct chunks, the chunks of all texts as numbers of
+        those, and the ids of the texts that go through the library (which have no chunks)."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        strange = pc.match_substring_regex(texts, self.odd)
+        odd = {}
+        if pc.any(strange).as_py():
+            odd = {i: self._library_ids(texts[i].as_py()) for i in np.flatnonzero(strange.to_numpy(zero_copy_only=False)).tolist()}
+            texts = pc.if_else(strange, "", texts)
+        split = pc.utf8_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        parts = self._ids(coded.dictionary.to_pylist())
+        words = coded.indices.to_numpy()
+        before = np.concatenate(([0], np.cumsum((np.fromiter(map(len, parts), np.int64, len(parts)) // 4)[words])))
+        offsets = split.offsets.to_numpy()
+        offsets = offsets - offsets[0]
+        return before[offsets[1:]] - before[offsets[:-1]], parts, words, odd
+
+    def _ids(self, chunks: list[str]) -> list[bytes]:
+        """The ids of distinct chunks.  A full generation of the cache becomes the old one, whose chunks come back as
+        they are met again, so common chunks are never merged anew."""
         if self.held > CACHE_BYTES:
-            self.old, self.new, self.word_ids, self.held = self.new, {}, {}, 0
-        split = [None if any(x in t for x in self.odd) else t.split() for t in texts]
+            self.old, self.new, self.word_ids, self.held = self.new, {"": b""}, {}, 0
         get = self.new.get
-        parts = [None if words is None else list(map(get, words)) for words in split]
-        gaps = [[] if p is None or None not in p else [i for i, x in enumerate(p) if x is None] for p in parts]
-        missing = {words[i] for words, own in zip(split, gaps) for i in own}
+        parts = list(map(get, chunks))
+        gaps = [i for i, x in enumerate(parts) if x is None]
+        missing = {chunks[i] for i in gaps}
         self.held += ENTRY_BYTES * len(missing) + 2 * sum(map(len, missing))
         if missing and self.old:
             again = missing.intersection(self.old)
@@ -168,9 +195,8 @@ class WordCodec:
             missing -= again
         if missing:
             self._learn(list(missing))
-        for words, p, own in zip(split, parts, gaps):
-            for i in own:
-                p[i] = get(words[i])
+        for i in gaps:
+            parts[i] = get(chunks[i])
         return parts
 
 
