@@ -142,11 +142,16 @@ def traffic_host_window(events: DataFrame, row_id: str, ts: str, dest: str, serv
     base = events.select(row_id, dest, service, F.col(src_host).alias("_host"), F.col(src_port).alias("_port"),
                          F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"), serror.cast("int").alias("_se"), rerror.cast("int").alias("_re"))
     ranked = rank_within_key(base, dest, "_us", row_id, bucket_seconds)
-    m = {"se": F.col("_se"), "re": F.col("_re")}
-    d = last_n_sums(ranked, [dest], "_rank", n, m, "d_")
-    ds = last_n_sums(ranked, [dest, service], "_rank", n, m, "ds_")
-    dp = last_n_sums(ranked, [dest, "_port"], "_rank", n, {}, "dp_")
-    hosts = last_n_distinct(ranked, [dest, service], "_host", row_id, "_rank", n, "hosts")
+    return host_features(ranked, row_id, dest, service, "_host", "_port", F.col("_se"), F.col("_re"), n)
+
+
+def host_features(rows: DataFrame, row_id: str, dest: str, service: str, src_host: str, src_port: str, serror: Column, rerror: Column, n: int) -> DataFrame:
+    """The ten features of rows that have their rank within ``dest`` in ``_rank`` (any consecutive numbers)."""
+    m = {"se": serror, "re": rerror}
+    d = last_n_sums(rows, [dest], "_rank", n, m, "d_")
+    ds = last_n_sums(rows, [dest, service], "_rank", n, m, "ds_")
+    dp = last_n_sums(rows, [dest, src_port], "_rank", n, {}, "dp_")
+    hosts = last_n_distinct(rows, [dest, service], src_host, row_id, "_rank", n, "hosts")
     j = d.join(ds.select(row_id, "ds_count", "ds_se", "ds_re"), row_id).join(dp.select(row_id, "dp_count"), row_id).join(hosts, row_id)
     same = safe_div("ds_count", "d_count")
     return j.select(

@@ -12,6 +12,7 @@ from connlens.functions.core import md5_uniform, r6
 from connlens.operators import hybrid as H
 from connlens.operators import labels as L
 from connlens.plans import sqlfrag as Q
+from connlens.plans import traffic_queries as TQ
 from connlens.plans.metric_queries import multi_pred
 from connlens.plans.registry import register
 from connlens.sources.tables import table
@@ -29,8 +30,8 @@ SELECT window_start, window_end, event_type, CAST(n AS BIGINT) AS n, CAST(errors
   FROM events GROUP BY 1, 2, 3)""")
 def q_stream_tumbling(spark, sf_dir):
     out, _ = S.run_to_table(S.tumbling_counts(S.event_stream(spark, sf_dir), "event_type", "1 day", DELAY, _err()),
-                            "tumbling", mode="complete")
-    return out.drop("batch").withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).withColumn(
+                            "tumbling", mode="update")
+    return S.last_emissions(out, ["window_start", "window_end", "event_type"]).withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).withColumn(
         "window_end", F.col("window_end").cast("timestamp_ntz"))
 
 
@@ -43,8 +44,8 @@ SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, event_type, CA
 FROM w GROUP BY window_start, event_type""")
 def q_stream_sliding(spark, sf_dir):
     s = S.sliding_counts(S.event_stream(spark, sf_dir), "event_type", "1 day", "6 hours", DELAY, _err())
-    out, _ = S.run_to_table(s, "sliding", mode="complete")
-    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+    out, _ = S.run_to_table(s, "sliding", mode="update")
+    return S.last_emissions(out, ["window_start", "window_end", "event_type"]).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type", "n",
                       r6("error_rate").alias("error_rate"))
 
@@ -55,22 +56,25 @@ g AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts - prev >= INTERVAL 30 MINUTE TH
                 OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e)
 SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, CAST(count(*) AS BIGINT) AS n_events,
        {Q.r6('sum(value)')} AS total_value
-FROM g GROUP BY user_id, sid""")
+FROM g GROUP BY user_id, sid
+HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
 def q_stream_session(spark, sf_dir):
-    out, _ = S.run_to_table(S.sessions(S.event_stream(spark, sf_dir), "user_id", "30 minutes", DELAY), "sessions",
-                            mode="complete")
+    """A session is emitted when the watermark has passed its end; those still open when the data end are not."""
+    out, _ = S.run_to_table(S.sessions(S.event_stream(spark, sf_dir), "user_id", "30 minutes", DELAY), "sessions")
     return out.select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
                       F.col("session_end").cast("timestamp_ntz").alias("session_end"), "n_events",
                       r6("total_value").alias("total_value"))
 
 
-@register("stream_dedup", """
-SELECT event_id, user_id, event_type, ts FROM (
-  SELECT *, lag(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS prev FROM events)
-WHERE prev IS NULL OR ts - prev >= INTERVAL 1 HOUR""")
+REPEATED = "substr(md5(concat_ws('|', '60', cast(event_id as string))), 1, 1) IN ('0', '1')"
+
+
+@register("stream_dedup", "SELECT event_id, user_id, event_type, ts FROM events")
 def q_stream_dedup(spark, sf_dir):
-    s = S.dedup(S.event_stream(spark, sf_dir), ["user_id", "event_type"], "1 hour", DELAY)
-    out, _ = S.run_to_table(s, "dedup", mode="complete")
+    """The stream delivers one event in eight twice; each comes out once."""
+    s = S.event_stream(spark, sf_dir)
+    twice = s.withColumn("again", F.explode(F.when(F.expr(REPEATED), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    out, _ = S.run_to_table(S.dedup(twice, ["event_id"], DELAY), "dedup")
     return out.select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
@@ -81,34 +85,22 @@ SELECT CAST(batch_id AS BIGINT) AS batch_id, CAST(count(*) AS BIGINT) AS input_r
        CAST(count(*) FILTER (WHERE NOT late) AS BIGINT) AS accepted_rows, CAST(count(*) FILTER (WHERE late) AS BIGINT) AS late_rows
 FROM r GROUP BY batch_id""")
 def q_stream_late(spark, sf_dir):
-    """Bounded-lateness policy.  The later half of the timeline is replayed first; then
-    the query is restarted from its checkpoint with the earlier half added.  Each
-    micro-batch compares its rows to the watermark (max event time of the earlier
-    batches, read back from their reports, minus the allowed delay): rows behind it go
-    to a late sink, the rest to the accepted sink.  Returns per-batch input / accepted /
-    late counts."""
+    """Bounded lateness.  The later half of the timeline is replayed first; then the query is restarted from its
+    checkpoint with the earlier half added.  Rows behind the watermark (10 minutes) are dropped by Spark; per batch with
+    rows, the counts come from the query's progress (read, late) and an observed metric (accepted)."""
     from connlens.sources import io as IO
     ev = table(spark, sf_dir, "events")
     lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
     cut = F.lit(lo + (hi - lo) / 2)
     source, root = IO.scratch(spark, "late_replay"), IO.scratch(spark, "late_run")
-
-    def per_batch(batch, epoch, out_root):
-        folder = os.path.join(out_root, "report")
-        before = S.read_if_exists(spark, folder)
-        seen = before.where(F.col("batch") < epoch).agg(F.max("max_ts")).scalar() if before is not None else None
-        late = F.lit(False) if seen is None else F.col("ts") < F.lit(seen) - F.expr("INTERVAL 10 MINUTE")
-        tagged = batch.withColumn("late", late)
-        S.write_batch(tagged.where("late"), os.path.join(out_root, "late"), epoch)
-        S.write_batch(tagged.where("NOT late"), os.path.join(out_root, "accepted"), epoch)
-        S.write_batch(tagged.agg(F.count(F.lit(1)).alias("input_rows"), F.count_if(~F.col("late")).alias("accepted_rows"),
-                                 F.count_if("late").alias("late_rows"), F.max("ts").alias("max_ts")), folder, epoch)
-
+    batches = []
     for half in (F.col("ts") >= cut, F.col("ts") < cut):
         ev.where(half).write.mode("append").parquet(source)
-        S.run_to_table(spark.readStream.schema(ev.schema).parquet(source), "late", per_batch=per_batch, root=root)
-    report = S.read_if_exists(spark, os.path.join(root, "report"))
-    return report.select(F.col("batch").cast("long").alias("batch_id"), "input_rows", "accepted_rows", "late_rows")
+        stream = spark.readStream.schema(ev.schema).parquet(source).withColumn("ts", F.col("ts").cast("timestamp"))
+        _, stats = S.run_to_table(S.late_counts(stream, "event_id", "10 minutes"), "late", root=root)
+        batches += [p for p in stats["progress"] if p["input"]]
+    rows = [(k, p["input"], p["observed"]["accepted"]["n"], p["late"]) for k, p in enumerate(batches)]  # one a micro-batch
+    return spark.createDataFrame(rows, "batch_id long, input_rows long, accepted_rows long, late_rows long")
 
 
 def _staged_stream(s):
@@ -190,25 +182,14 @@ def q_stream_recent(spark, sf_dir):
     return S.latest_per_key(out, "user_id").select("user_id", "rank", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type")
 
 
-@register("stream_host_window", f"""
-WITH e AS (SELECT event_id, ts, user_id, event_type, CAST(event_type = 'error' AS INTEGER) AS se,
-                  CAST(value > 400 AS INTEGER) AS re FROM events)
-SELECT event_id,
-  CAST(count(*) OVER w AS BIGINT) AS dst_host_count,
-  CAST(count(*) OVER ws AS BIGINT) AS dst_host_srv_count,
-  {Q.r6('avg(se) OVER w')} AS dst_host_serror_rate, {Q.r6('avg(re) OVER w')} AS dst_host_rerror_rate
-FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rk FROM e)
-WINDOW w AS (PARTITION BY user_id ORDER BY rk RANGE BETWEEN 19 PRECEDING AND CURRENT ROW),
-       ws AS (PARTITION BY user_id, event_type ORDER BY rk RANGE BETWEEN 19 PRECEDING AND CURRENT ROW)""")
+@register("stream_host_window", TQ.HOST_SQL)
 def q_stream_host_window(spark, sf_dir):
-    s = S.event_stream(spark, sf_dir).select(
-        "event_id", "ts", "user_id", "event_type", (F.col("event_type") == "error").cast("int").alias("se"),
-        (F.col("value") > 400).cast("int").alias("re"))
-    _, stats = S.run_to_table(s, "hostwin", per_batch=S.host_window_online("user_id", "event_type", 20, "se", "re"))
-    out = S.read_if_exists(spark, os.path.join(stats["root"], "out"))
-    return out.select("event_id", "dst_host_count", "dst_host_srv_count",
-                      r6("dst_host_serror_rate").alias("dst_host_serror_rate"),
-                      r6("dst_host_rerror_rate").alias("dst_host_rerror_rate"))
+    se, re = TQ._err()
+    s = TQ.with_source(S.event_stream(spark, sf_dir)).select(
+        "event_id", "ts", "user_id", "event_type", "src_host", "src_port", se.cast("int").alias("se"), re.cast("int").alias("re"))
+    online = S.host_window_online("user_id", "event_type", "src_host", "src_port", TQ.LAST_N, "se", "re")
+    _, stats = S.run_to_table(s, "hostwin", per_batch=online)
+    return S.read_if_exists(spark, os.path.join(stats["root"], "out")).drop("batch")
 
 
 @register("drift_monitor", f"""
@@ -232,7 +213,8 @@ def q_drift_monitor(spark, sf_dir):
     agg = (s.withWatermark("ts", DELAY).groupBy(F.window("ts", "1 day").alias("w"))
            .agg(F.count(F.lit(1)).alias("n"), F.avg(F.when(F.col("_seen").isNull(), 1.0).otherwise(0.0)).alias("u"),
                 F.avg("value").alias("m")))
-    out, _ = S.run_to_table(agg, "drift", mode="complete")
+    out, _ = S.run_to_table(agg, "drift", mode="update")
+    out = S.last_emissions(out, ["w"])
     b = base.first()  # two numbers
     return out.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                       F.col("w.end").cast("timestamp_ntz").alias("window_end"), F.col("n").cast("long").alias("n"),

@@ -59,7 +59,7 @@ def q_traffic_time_window_2s(spark, sf_dir):
     return _time_window(spark, sf_dir, T_SECONDS)
 
 
-@register("traffic_host_window", f"""
+HOST_SQL = f"""
 WITH e AS (SELECT event_id, ts, user_id, event_type, {ERR_SQL}, {SOURCE_SQL},
                   row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rk FROM events),
 w AS (SELECT event_id,
@@ -81,9 +81,15 @@ SELECT event_id, CAST(dc AS BIGINT) AS dst_host_count, CAST(sc AS BIGINT) AS dst
        {Q.r6(Q.sdiv('pc', 'dc'))} AS dst_host_same_src_port_rate, {Q.r6(Q.sdiv('hosts', 'sc'))} AS dst_host_srv_diff_host_rate,
        {Q.r6(Q.sdiv('dse', 'dc'))} AS dst_host_serror_rate, {Q.r6(Q.sdiv('sse', 'sc'))} AS dst_host_srv_serror_rate,
        {Q.r6(Q.sdiv('dre', 'dc'))} AS dst_host_rerror_rate, {Q.r6(Q.sdiv('sre', 'sc'))} AS dst_host_srv_rerror_rate
-FROM w""")
+FROM w"""
+
+
+def with_source(events):
+    return events.withColumn("src_host", F.get_json_object("props", "$.k").cast("int")).withColumn("src_port", F.floor(F.col("value") / 100))
+
+
+@register("traffic_host_window", HOST_SQL)
 def q_traffic_host_window(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
+    e = with_source(table(spark, sf_dir, "events"))
     se, re = _err()
-    e = e.withColumn("src_host", F.get_json_object("props", "$.k").cast("int")).withColumn("src_port", F.floor(F.col("value") / 100))
     return TR.traffic_host_window(e, "event_id", "ts", "user_id", "event_type", "src_host", "src_port", se, re, LAST_N)

@@ -8,15 +8,15 @@ the query there and it resumes after the last committed batch.  Nothing is colle
 on the driver: the memory sink is not used.
 
 Operators
-  tumbling / sliding windows     withWatermark + window()           append
-  sessions                       session_window()                   append
-  dedup                          first event of each session window per key
-  late-data policy               per-batch watermark, read back from the batch reports; late rows to their own sink
+  tumbling / sliding windows     withWatermark + window()           update, each window's last emission counts
+  sessions                       session_window()                   append, a session once it is over
+  dedup                          dropDuplicatesWithinWatermark      append
+  late-data policy               rows behind Spark's own watermark, from the queries' progress and observed metrics
   scoring / rejects              stateless projection; two sinks per micro-batch
   alert rollup                   stateful groupBy over a bounded key space (families)
   last-N per key                 applyInPandasWithState, list state capped at N
   last-N host features           batch windows per micro-batch, last N-1 rows per host kept between them
-  drift monitor                  windowed aggregate joined to a static baseline
+  drift monitor                  windowed aggregate joined to a static baseline   update
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from connlens.operators.traffic import last_n_sums
-from connlens.session import checkpoint_dir
+from connlens.operators.traffic import host_features
+from connlens.session import checkpoint_dir, materialize
 
 
 def event_stream(spark: SparkSession, sf_dir: str, name: str = "events", max_files: int | None = None) -> DataFrame:
@@ -85,6 +85,7 @@ def run_to_table(stream: DataFrame, name: str, mode: str = "append",
         "dropped_by_watermark": sum(sum(s.get("numRowsDroppedByWatermark", 0) for s in p.get("stateOperators", []))
                                     for p in progress),
         "batches": len(progress),
+        "progress": [_progress(p) for p in progress],
         "root": root,
     }
     found = read_if_exists(spark, out) if per_batch is None else None
@@ -93,6 +94,19 @@ def run_to_table(stream: DataFrame, name: str, mode: str = "append",
     return found, stats
 
 
+def _progress(p) -> dict:
+    """Of a micro-batch: its id, rows read, rows behind the watermark, rows in the state, and observed metrics."""
+    operators = p.get("stateOperators", [])
+    return {"batch": p.get("batchId"), "input": p.get("numInputRows", 0), "late": sum(o.get("numRowsDroppedByWatermark", 0) for o in operators),
+            "state": sum(o.get("numRowsTotal", 0) for o in operators), "observed": {k: dict(v if isinstance(v, dict) else v.asDict()) for k, v in p.get("observedMetrics", {}).items()}}
+
+
+def last_emissions(emitted: DataFrame, keys: list[str]) -> DataFrame:
+    """Of an update-mode sink's rows, each key's last one (one row a key and micro-batch)."""
+    rest = F.struct(*[c for c in emitted.columns if c not in keys])
+    return emitted.groupBy(*keys).agg(F.max_by(rest, "batch").alias("_e")).select(*keys, "_e.*").drop("batch")
+
+
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     """Parquet at ``path`` (any Hadoop filesystem), or None if nothing was written."""
     jvm = spark.sparkContext._jvm
@@ -129,13 +143,17 @@ def sessions(events: DataFrame, key: str, gap: str, delay: str) -> DataFrame:
                     F.col("n_events").cast("long").alias("n_events"), "total_value"))
 
 
-def dedup(events: DataFrame, keys: list[str], gap: str, delay: str) -> DataFrame:
-    """The first event of each run of events per key that follow one another by less
-    than ``gap``: a repeat within the gap of the event before is a duplicate.  The
-    result does not depend on how the events are split into micro-batches."""
-    first = F.min(F.struct("ts", "event_id")).alias("first")
-    return (events.withWatermark("ts", delay).groupBy(F.session_window("ts", gap).alias("s"), *keys).agg(first)
-            .select(*keys, F.col("first.ts").alias("ts"), F.col("first.event_id").alias("event_id")))
+def dedup(events: DataFrame, keys: list[str], delay: str) -> DataFrame:
+    """Each key's first row, repeats dropped that come within ``delay`` of it in event time (append).  A key leaves the
+    state when the watermark has passed its first row by ``delay``."""
+    return events.withWatermark("ts", delay).dropDuplicatesWithinWatermark(keys)
+
+
+def late_counts(events: DataFrame, key: str, delay: str) -> DataFrame:
+    """Distinct rows by ``key``; what comes behind Spark's watermark is dropped and counted by its late-row metric, what
+    stays by the observed metric ``accepted``."""
+    kept = events.withWatermark("ts", delay).dropDuplicatesWithinWatermark([key])
+    return kept.observe("accepted", F.count(F.lit(1)).alias("n"))
 
 
 # ---------------------------------------------------------------------------
@@ -202,14 +220,15 @@ def latest_per_key(emitted: DataFrame, key: str) -> DataFrame:
     return emitted.join(last, F.col(key).eqNullSafe(F.col("_key")) & (F.col("batch") == F.col("_last"))).drop("_key", "_last")
 
 
-def host_window_online(dest: str, service: str, n: int, serror: str, rerror: str,
+def host_window_online(dest: str, service: str, src_host: str, src_port: str, n: int, serror: str, rerror: str,
                        idle_days: int = IDLE_DAYS) -> Callable[[DataFrame, int, str], None]:
-    """Online last-N destination features, as a ``per_batch`` of ``run_to_table``: per destination the previous n-1
-    connections are kept from batch to batch (folder ``state``); each new connection is scored against them in
+    """Online last-N destination features (the ten of ``traffic_host_window``), as a ``per_batch`` of ``run_to_table``:
+    per destination the previous n-1 connections are kept from batch to batch (folder ``state``, of which the two last
+    batches' stay, so that a retried batch finds its predecessor's); each new connection is scored against them in
     arrival order, those of one batch by (ts, event_id).  Ranks come from (destination, hour) partitions and sums
     from blocks of n ranks, so no task holds all rows of a hot destination.  Rows over ``idle_days`` behind the
     newest event of earlier batches are dropped; a destination without rows for so long again loses its state."""
-    cols = [dest, "event_id", "ts", service, serror, rerror]
+    cols = [dest, "event_id", "ts", service, src_host, src_port, serror, rerror]
     idle = F.expr(f"INTERVAL {int(idle_days)} DAYS")
 
     def per_batch(batch: DataFrame, epoch: int, root: str) -> None:
@@ -236,18 +255,22 @@ def host_window_online(dest: str, service: str, n: int, serror: str, rerror: str
         rows = rows.select(*cols, (F.col("_local") + F.col("_off")).cast("long").alias("_rank"), "_total", "_newest")
         if prev is not None:
             rows = rows.unionByName(prev.drop("_newest").join(per.where(F.col("_held") == 1), own).select(*cols, "_rank", "_total", "_newest"))
-        d = last_n_sums(rows, [dest], "_rank", n, {"se": F.col(serror), "re": F.col(rerror)}, "d_")
-        ds = last_n_sums(d, [dest, service], "_rank", n, {}, "ds_").where(F.col("_rank") > 0)
-        write_batch(ds.select("event_id", F.col("d_count").alias("dst_host_count"), F.col("ds_count").alias("dst_host_srv_count"),
-                              (F.col("d_se") / F.col("d_count")).alias("dst_host_serror_rate"), (F.col("d_re") / F.col("d_count")).alias("dst_host_rerror_rate")),
-                    os.path.join(root, "out"), epoch)
+        rows = materialize(rows, "ranked-connections")  # read by the features and by the next state
+        features = host_features(rows, "event_id", dest, service, src_host, src_port, F.col(serror), F.col(rerror), n)
+        write_batch(features.join(rows.where("_rank > 0").select("event_id"), "event_id", "left_semi"), os.path.join(root, "out"), epoch)
         last = rows.where(F.col("_rank") > F.col("_total") - (n - 1)).withColumn("_rank", F.col("_rank") - F.col("_total"))
         if mark is not None:
             last = last.where(F.col("_newest") + idle > F.lit(mark) - idle)
         write_batch(last.drop("_total"), os.path.join(root, "state"), epoch)
+        _delete(spark, f"{root}/state/batch={epoch - 2}")
 
     return per_batch
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _types(df: DataFrame, cols: list[str]):
     return [(c, df.schema[c].dataType.simpleString()) for c in cols]

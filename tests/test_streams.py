@@ -61,3 +61,54 @@ def test_text_columns_keep_their_type_in_state(spark, tmp_path):
         spark.range(5 * k, 5 * k + 5).select(F.col("id").alias("event_id"), F.timestamp_seconds("id").alias("ts"), F.lit(1).cast("long").alias("user_id"), F.lit("080").alias("port")).write.mode("append").parquet(source)
         out, _ = jobs.run_to_table(jobs.last_n_per_key(spark.readStream.schema(schema).parquet(source), "user_id", 7, ["port"]), "text", "update", root=root)
     assert {r.port for r in jobs.latest_per_key(out, "user_id").collect()} == {"080"}
+
+
+def _hours(spark, source, batches):
+    """One file a micro-batch of (event_id, hour)."""
+    schema = "event_id long, ts timestamp"
+    for rows in batches:
+        df = spark.createDataFrame(rows, "event_id long, h double").select("event_id", F.timestamp_seconds(F.col("h") * 3600 + 999_997_200).alias("ts"))
+        df.coalesce(1).write.mode("append").parquet(source)
+        yield spark.readStream.schema(schema).parquet(source)
+
+
+def test_dedup_state_falls_behind_the_watermark(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "run")
+    batches = [[(k, 0.0) for k in range(100)] + [(5, 0.1)], [(7, 0.5), (200, 0.6), (None, 0.6), (None, 0.7)], [(300, 9.0)], [(8, 8.9), (9, 1.0)], []]
+    states, late = [], []
+    for stream in _hours(spark, source, batches):
+        out, stats = jobs.run_to_table(jobs.dedup(stream, ["event_id"], "1 hour"), "dedup", root=root)
+        states += [p["state"] for p in stats["progress"]]
+        late += [p["late"] for p in stats["progress"]]
+    got = Counter(r.event_id for r in out.collect())
+    # 8 comes again after its state has gone, 9 behind the watermark
+    assert got == Counter([*range(100), 200, None, 300, 8])
+    assert max(states) >= 102 and states[-1] <= 2 and sum(late) == 1
+
+
+def test_late_rows_are_counted_where_spark_drops_them(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "run")
+    seen = []
+    for stream in _hours(spark, source, [[(1, 10.0), (2, 0.0)], [(3, 9.99), (4, 5.0), (5, 1.0), (6, 12.0)], [(7, 11.0)]]):
+        _, stats = jobs.run_to_table(jobs.late_counts(stream, "event_id", "10 minutes"), "late", root=root)
+        seen += [(p["input"], p["observed"]["accepted"]["n"], p["late"]) for p in stats["progress"] if p["input"]]
+    assert seen == [(2, 2, 0), (4, 2, 2), (1, 0, 1)]
+
+
+@pytest.mark.parametrize("kind", ["tumbling", "sessions"])
+def test_window_state_is_bounded_by_the_watermark(spark, tmp_path, kind):
+    source, root = str(tmp_path / "in"), str(tmp_path / "run")
+    states = []
+    for stream in _hours(spark, source, [[(k, 24.0 * d + k / 10) for k in range(20)] for d in range(6)]):
+        keyed = stream.withColumn("key", F.lit(1)).withColumn("value", F.lit(1.0))
+        if kind == "tumbling":
+            out, stats = jobs.run_to_table(jobs.tumbling_counts(keyed, "key", "1 hour", "1 hour", F.lit(False)), kind, mode="update", root=root)
+        else:
+            out, stats = jobs.run_to_table(jobs.sessions(keyed, "key", "30 minutes", "1 hour"), kind, root=root)
+        states.append(stats["progress"][-1]["state"])
+    assert max(states) <= 2
+    if kind == "tumbling":
+        rows = jobs.last_emissions(out, ["window_start", "window_end", "key"]).collect()
+        assert len(rows) == 12 and {r["n"] for r in rows} == {10}
+    else:
+        assert [r["n_events"] for r in out.collect()] == [20] * 5  # the sixth is still open
