@@ -42,26 +42,80 @@ def router_choice(available: DataFrame, preference: Sequence[str]) -> DataFrame:
 # Gaussian naive Bayes (closed form)
 # ---------------------------------------------------------------------------
 
-def gaussian_nb_fit(df: DataFrame, features: Sequence[Column | str], label: str,
-                    var_smoothing: float = 1e-9) -> dict:
-    """Per-class prior, means and variances (+ epsilon = smoothing * max feature variance)."""
+def gaussian_nb_moments(df: DataFrame, features: Sequence[Column | str], label: str, keys: Sequence[str] = ()) -> list[dict]:
+    """Of each class (and each value of ``keys``): its key columns, n, means and population variances; one grouped pass."""
     feats = [F.col(f) if isinstance(f, str) else f for f in features]
     k = len(feats)
-    per = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"),
-                                *[F.avg(f).alias(f"m{i}") for i, f in enumerate(feats)],
-                                *[F.var_pop(f).alias(f"v{i}") for i, f in enumerate(feats)]).collect()
-    n = sum(r["n"] for r in per)
-
-    def overall(i):  # variance of the feature over all classes, from the per-class moments
-        mean = sum(r["n"] * r[f"m{i}"] for r in per) / n
-        return sum(r["n"] * (r[f"v{i}"] + (r[f"m{i}"] - mean) ** 2) for r in per) / n
-
-    eps = var_smoothing * max((overall(i) for i in range(k)), default=0.0)
-    classes = sorted(per, key=lambda r: r[label])
-    return {"classes": [r[label] for r in classes],
-            "prior": [r["n"] / n for r in classes],
-            "mean": [[r[f"m{i}"] for i in range(k)] for r in classes],
-            "var": [[r[f"v{i}"] + eps for i in range(k)] for r in classes]}
+    per = df.groupBy(*keys, label).agg(F.count(F.lit(1)).alias("n"),
+                                       *[F.avg(f).alias(f"m{i}") for i, f in enumerate(feats)],
+                                       *[F.var_pop(f).alias(f"v{i}") for i, f in enumerate(feats)]).collect()
+    return [{**{c: r[c] for c in keys}, "class": r[label], "n": r["n"], "mean": [r[f"m{i}"] for i in range(k)], "var": [r[f"v{i}"] for i in range(k)]} for r in per]
+
+
+def merged_moments(parts: Sequence[dict]) -> dict:
+    """The moments of the union of disjoint parts of one class."""
+    n = sum(p["n"] for p in parts)
+    mean = [sum(p["n"] * x for p, x in zip(parts, xs)) / n for xs in zip(*(p["mean"] for p in parts))]
+    var = [sum(p["n"] * (p["var"][i] + (p["mean"][i] - m) ** 2) for p in parts) / n for i, m in enumerate(mean)]
+    return {"class": parts[0]["class"], "n": n, "mean": mean, "var": var}
+
+
+def without_moments(whole: dict, part: dict | None) -> dict | None:
+    """The moments of the rows of ``whole`` outside ``part``, by difference; None if no row is left."""
+    if part is None:
+        return whole
+    n = whole["n"] - part["n"]
+    if not n:
+        return None
+    mean = [(whole["n"] * w - part["n"] * p) / n for w, p in zip(whole["mean"], part["mean"])]
+    rest = [whole["n"] * wv - part["n"] * pv - (m - pm) ** 2 * n * part["n"] / whole["n"]
+            for wv, pv, m, pm in zip(whole["var"], part["var"], mean, part["mean"])]
+    return {"class": whole["class"], "n": n, "mean": mean, "var": [max(r, 0.0) / n for r in rest]}
+
+
+def gaussian_nb_model(per: Sequence[dict], var_smoothing: float = 1e-9) -> dict:
+    """Per-class prior, means and variances (+ epsilon = smoothing * max feature variance) from the classes' moments."""
+    n = sum(p["n"] for p in per)
+    whole = merged_moments(per) if per else {"var": []}
+    eps = var_smoothing * max(whole["var"], default=0.0)
+    classes = sorted(per, key=lambda p: p["class"])
+    return {"classes": [p["class"] for p in classes], "prior": [p["n"] / n for p in classes], "mean": [p["mean"] for p in classes],
+            "var": [[v + eps for v in p["var"]] for p in classes]}
+
+
+def gaussian_nb_fit(df: DataFrame, features: Sequence[Column | str], label: str, var_smoothing: float = 1e-9) -> dict:
+    return gaussian_nb_model(gaussian_nb_moments(df, features, label), var_smoothing)
+
+
+def gaussian_nb_fit_leaving_out(df: DataFrame, features: Sequence[Column | str], label: str, fold: str, var_smoothing: float = 1e-9) -> dict:
+    """fold -> the model fitted without that fold's rows.  All of them come from one grouped pass: the moments per
+    (fold, class) are merged, and each fold's are taken away again."""
+    parts = gaussian_nb_moments(df, features, label, [fold])
+    by_class: dict = {}
+    for p in parts:
+        by_class.setdefault(p["class"], {})[p[fold]] = p
+    out = {}
+    for k in sorted({p[fold] for p in parts}):
+        rest = [without_moments(merged_moments(list(folds.values())), folds.get(k)) for folds in by_class.values()]
+        out[k] = gaussian_nb_model([r for r in rest if r is not None], var_smoothing)
+    return out
+
+
+def gaussian_nb_probability(model: dict, features: Sequence[Column | str], cls) -> Column:
+    """The probability of class ``cls`` (0 if the model has not seen it)."""
+    if cls not in model["classes"]:
+        return F.lit(0.0)
+    jll = gaussian_nb_jll(model, features)
+    own = F.element_at(jll, model["classes"].index(cls) + 1)
+    return 1.0 / F.aggregate(jll, F.lit(0.0), lambda s, x: s + F.exp(x - own))
+
+
+def gaussian_nb_held_out(models: dict, features: Sequence[Column | str], fold: str, cls) -> Column:
+    """The probability of ``cls`` by the model that has not seen the row's fold."""
+    out = F.lit(None).cast("double")
+    for k, model in models.items():
+        out = F.when(F.col(fold) == k, gaussian_nb_probability(model, features, cls)).otherwise(out)
+    return out
 
 
 def gaussian_nb_jll(model: dict, features: Sequence[Column | str]) -> Column:

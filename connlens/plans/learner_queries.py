@@ -21,11 +21,12 @@ from connlens.operators import labels as L
 from connlens.operators import metrics as M
 from connlens.operators import models as MD
 from connlens.operators import sampling as S
+from connlens.plans import sqlfrag as Q
 from connlens.plans.registry import register
 from connlens.session import materialize
 from connlens.sources import io as IO
 from connlens.sources import schemas
-from connlens.sources.tables import conn_view
+from connlens.sources.tables import CONN_CTE, conn_view, with_ctes
 
 FEATS = ["f_duration", "f_src", "f_dst", "count_", "hot", "serror_rate", "rerror_rate", "logged_in"]
 
@@ -144,16 +145,16 @@ def q_stack(spark, sf_dir):
     folded = materialize(S.kfold_assign(tr, F.col("rkey"), "y", 5), "folds")
 
     def base_scores(rows, nb, lr):
-        a = MD.gaussian_nb_predict(rows, nb, FEATS, keep=["y", "features"]).withColumn("s_nb", F.element_at("probability", 2))
-        return lr.transform(a.drop("probability", "pred")).select("y", "s_nb", vector_to_array("probability")[1].alias("s_lr"))
+        return lr.transform(rows.select("y", "features", nb.alias("s_nb"))).select("y", "s_nb", vector_to_array("probability")[1].alias("s_lr"))
 
+    held_out = MD.gaussian_nb_held_out(MD.gaussian_nb_fit_leaving_out(folded, FEATS, "y", "fold"), FEATS, "fold", 1.0)
     oof = []
     for k in range(5):
         fit_part, hold = folded.where(F.col("fold") != k), folded.where(F.col("fold") == k)
-        oof.append(base_scores(hold, MD.gaussian_nb_fit(fit_part, FEATS, "y"), MD.fit_logistic(fit_part, "y")))
+        oof.append(base_scores(hold, held_out, MD.fit_logistic(fit_part, "y")))
     oof = materialize(functools.reduce(lambda a, b: a.unionByName(b), oof), "out-of-fold")
     meta = MD.fit_logistic(MD.assemble(oof, ["s_nb", "s_lr"]), "y")
-    scored = base_scores(va, MD.gaussian_nb_fit(tr, FEATS, "y"), MD.fit_logistic(tr, "y"))
+    scored = base_scores(va, MD.gaussian_nb_probability(MD.gaussian_nb_fit(tr, FEATS, "y"), FEATS, 1.0), MD.fit_logistic(tr, "y"))
     stacked = _p1(meta.transform(MD.assemble(scored, ["s_nb", "s_lr"])))
     return _binary_report(stacked, "stacking_nb_lr")
 
@@ -190,21 +191,35 @@ def q_coef_importance(spark, sf_dir):
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.col("importance").desc())
 
 
-@register("kfold_oof")
+def _learn_sql():
+    key = "concat_ws('|', l_orderkey, l_partkey, dst_host, l_linenumber, CAST(count_ AS BIGINT))"
+    return f"""lf AS (SELECT {key} AS rkey, ln(1 + duration) AS f_duration, ln(1 + src_bytes) AS f_src, ln(1 + dst_bytes) AS f_dst, count_, hot,
+  serror_rate, rerror_rate, CAST(logged_in AS DOUBLE) AS logged_in, CAST({Q.binary_label()} AS DOUBLE) AS y,
+  {Q.md5_uniform('l_orderkey', 9)} < {config.TRAIN_RATIO} AS train FROM conn)"""
+
+
+def _oof_sql():
+    stats = ", ".join(f"avg({f}) AS m_{f}, var_pop({f}) AS v_{f}" for f in FEATS)
+    eps = ", ".join(f"var_pop({f})" for f in FEATS)
+    jll = " - ".join(["ln(prior)", *[f"0.5 * ln(2 * pi() * (v_{f} + eps)) - (folded.{f} - m_{f}) ^ 2 / (2 * (v_{f} + eps))" for f in FEATS]])
+    return with_ctes(CONN_CTE, _learn_sql(), f"""
+folded AS (SELECT *, CAST((row_number() OVER (PARTITION BY y ORDER BY {Q.md5_hex('rkey')}) - 1) % 5 AS INTEGER) AS fold FROM lf WHERE train),
+k AS (SELECT DISTINCT fold AS k FROM folded),
+eps AS (SELECT k, count(*) AS n, 1e-9 * greatest({eps}) AS eps FROM k JOIN folded ON fold <> k GROUP BY k),
+st AS (SELECT k, y AS cls, count(*) AS nc, {stats} FROM k JOIN folded ON fold <> k GROUP BY k, y),
+model AS (SELECT st.*, nc * 1.0 / n AS prior, eps FROM st JOIN eps USING (k)),
+j AS (SELECT rkey, folded.y, fold, cls, {jll} AS jll FROM folded JOIN model ON k = fold)""") + f"""
+SELECT a.rkey, a.y, a.fold, {Q.r6('1.0 / sum(exp(b.jll - a.jll))')} AS oof_p1
+FROM j a JOIN j b USING (rkey) WHERE a.cls = 1 GROUP BY a.rkey, a.y, a.fold, a.jll"""
+
+
+@register("kfold_oof", _oof_sql())
 def q_kfold_oof(spark, sf_dir):
-    """Out-of-fold naive-Bayes probabilities over 5 stratified folds (R7 alone)."""
+    """Out-of-fold naive-Bayes probabilities over 5 stratified folds: one pass for all five fits, one for the scores."""
     tr, _ = learn_split(spark, sf_dir)
     folded = materialize(S.kfold_assign(tr, F.col("rkey"), "y", 5), "folds")
-    parts = []
-    for k in range(5):
-        nb = MD.gaussian_nb_fit(folded.where(F.col("fold") != k), FEATS, "y")
-        hold = folded.where(F.col("fold") == k)
-        parts.append(MD.gaussian_nb_predict(hold, nb, FEATS, keep=["rkey", "y", "fold"]).select(
-            "rkey", "y", "fold", r6(F.element_at("probability", 2)).alias("oof_p1")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    models = MD.gaussian_nb_fit_leaving_out(folded, FEATS, "y", "fold")
+    return folded.select("rkey", "y", "fold", r6(MD.gaussian_nb_held_out(models, FEATS, "fold", 1.0)).alias("oof_p1"))
 
 
 def request_records(spark, sf_dir):

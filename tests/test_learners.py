@@ -126,3 +126,23 @@ def test_isolation_forest_query_and_hybrid_cover_the_test_rows(spark):
     assert {r.vec_id for r in forest} == {r.vec_id for r in hybrid}
     assert all(-1 < r.score < 0 and r.is_anomaly == (r.decision < 0) for r in forest)
     assert {r.pred for r in hybrid} <= set(range(5))
+
+
+def test_leaving_a_fold_out_equals_a_fit_without_it(spark):
+    rng = np.random.default_rng(9)
+    rows = [(int(k), float(y), *(rng.normal(5 * y, 1 + y, 2) * [1, 1e4]).tolist()) for k, y in zip(rng.integers(0, 4, 400), rng.integers(0, 3, 400))]
+    rows += [(7, 9.0, 1.0, 2.0), (7, 9.0, 1.5, 2.5)]  # a class that only one fold has
+    df = spark.createDataFrame(rows, "fold int, y double, a double, b double")
+    models = MD.gaussian_nb_fit_leaving_out(df, ["a", "b"], "y", "fold")
+    assert sorted(models) == [0, 1, 2, 3, 7]
+    for k, model in models.items():
+        plain = MD.gaussian_nb_fit(df.where(F.col("fold") != k), ["a", "b"], "y")
+        assert model["classes"] == plain["classes"] and (9.0 in model["classes"]) == (k != 7)
+        for part in ("prior", "mean", "var"):
+            assert np.allclose(model[part], plain[part], rtol=1e-9)
+    held = df.select("fold", "y", "a", "b", MD.gaussian_nb_held_out(models, ["a", "b"], "fold", 1.0).alias("p"))
+    for k in models:
+        plain = MD.gaussian_nb_fit(df.where(F.col("fold") != k), ["a", "b"], "y")
+        want = MD.gaussian_nb_predict(df.where(F.col("fold") == k), plain, ["a", "b"], keep=["a"]).select("a", F.element_at("probability", 2).alias("p"))
+        assert np.allclose(sorted(tuple(r) for r in want.collect()), sorted((r.a, r.p) for r in held.where(F.col("fold") == k).collect()), rtol=1e-9)
+    assert MD.gaussian_nb_fit_leaving_out(df.where("y > 100"), ["a", "b"], "y", "fold") == {}
