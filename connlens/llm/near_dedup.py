@@ -41,7 +41,7 @@ from connlens.session import materialize, ship_package
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
 BLOCK = 250_000  # units of a block of rows in the exact finish
-CENTER_ROWS = 512
+CENTER_ROWS = 256
 BATCH_BYTES = 1 << 20
 
 _INSIDE = np.ones(256, bool)
@@ -316,15 +316,15 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, least: float) -> tuple
               .select("w.row", "t.text").dropDuplicates(["row"]))
     sets = materialize(shingle_sets(chosen), "shingles")
     nearest = pairs.groupBy(F.col("b").alias("row")).agg(F.min("a").alias("center"))
-    links = materialize(_linked(materialize(nearest, "least-centers"), sets, least), "links")
+    links = materialize(_linked(materialize(nearest, "least-centers"), sets, least), "center-links")
     roots = materialize(components(links), "roots")
     apart = materialize(_apart(pairs.select(F.col("b").alias("row"), F.col("a").alias("center")), roots), "pairs-apart")
     if not apart.isEmpty():
-        links = materialize(links.unionByName(_linked(apart, sets, least)), "links")
+        links = materialize(links.unionByName(_linked(apart, sets, least)), "center-links")
         roots = materialize(components(links), "roots")
     more = materialize(_finish(inside, roots, sets, least), "more-links")
     if not more.isEmpty():
-        roots = components(links.unionByName(more))
+        roots = materialize(components(links.unionByName(more)), "roots")
     of = materialize(reps.join(roots, F.col("rep") == F.col("node"), "left").withColumn("root", F.coalesce("root", "rep")).select("digest", "rep", "id", "n", "root"), "text-classes")
     best = of.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", F.col("rep").alias("row"))).alias("m"), F.sum("n").alias("size"), F.count("*").alias("texts"))
     best = materialize(best.select(F.col("root").cast("string").alias("k"), F.col("m.id").alias("class"), F.col("m.row").alias("first"), "size", "texts"), "classes")

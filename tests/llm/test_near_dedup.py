@@ -2,6 +2,8 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
+from connlens.llm import components as C
 from connlens.llm import near_dedup as N
 from connlens.llm.components import components
 
@@ -120,7 +122,9 @@ def test_signatures_estimate_weighted_similarity():
     assert rng is not None
 
 
-def test_components(spark):
+@pytest.mark.parametrize("one_task", [0, 10**6])
+def test_components(spark, monkeypatch, one_task):
+    monkeypatch.setattr(C, "ONE_TASK", one_task)
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 60)] + [(rng.randrange(100, 400), rng.randrange(100, 400)) for _ in range(200)] + [(1000, i) for i in range(1001, 1200)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
