@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from connlens import config
+from connlens import config, ml as ML
 from connlens.functions.core import r6
 from connlens.operators import features as FE
 from connlens.operators import labels as L
@@ -33,8 +34,8 @@ def _freq_sql(col, thresh, src="conn"):
 SELECT {KEYS}, CASE WHEN service IN {_freq_sql('service', THRESH)} THEN service ELSE 'other' END AS service FROM conn""")
 def q_freq_consolidate(spark, sf_dir):
     c = conn_view(spark, sf_dir)
-    enc = FE.FrequencyEncoder(THRESH).fit(c, ["service"])
-    return c.select(*KEY, enc.expr("service").alias("service"))
+    model = ML.RareCategories(inputCols=["service"], threshold=THRESH).fit(c)
+    return model.transform(c).select(*KEY, "service")
 
 
 @register("frequency_fit", WC + f"""
@@ -60,9 +61,8 @@ SELECT 'cat__' || col || '_' || v AS feature, CAST(pos AS INTEGER) AS pos, CAST(
 @register("one_hot", _onehot_sql())
 def q_one_hot(spark, sf_dir):
     c = conn_view(spark, sf_dir)
-    enc = FE.FrequencyEncoder(THRESH).fit(c, CAT)
-    cons = enc.transform(c.select(*CAT), CAT)
-    oh = FE.OneHot().fit(cons, CAT)
+    cons = ML.RareCategories(inputCols=CAT, threshold=THRESH).fit(c).transform(c.select(*CAT))
+    oh = ML.OneHotColumns(inputCols=CAT).fit(cons)
     names = oh.names()
     one = oh.transform(cons).agg(*[F.sum(F.col(f"`{n}`")).cast("long").alias(f"c{i}") for i, n in enumerate(names)])
     return one.select(F.explode(F.array(*[
@@ -74,7 +74,8 @@ def q_one_hot(spark, sf_dir):
 SELECT {KEYS}, {", ".join(Q.r6(f"ln(1 + {c})") + f" AS log__{c}" for c in LOG)} FROM conn""")
 def q_log1p_transform(spark, sf_dir):
     c = conn_view(spark, sf_dir)
-    return c.select(*KEY, *[r6(FE.log1p_expr(x)).alias(f"log__{x}") for x in LOG])
+    named = [f"log__{x}" for x in LOG]
+    return ML.Log1pColumns(inputCols=LOG, outputCols=named).transform(c).select(*KEY, *[r6(x).alias(x) for x in named])
 
 
 def _robust_sql(cols, expr="{c}"):
@@ -88,8 +89,9 @@ def _robust_sql(cols, expr="{c}"):
 @register("robust_scale", _robust_sql(ROB))
 def q_robust_scale(spark, sf_dir):
     c = conn_view(spark, sf_dir)
-    sc = FE.RobustScaler().fit(c, ROB)
-    return c.select(*KEY, *[r6(sc.expr(x)).alias(f"robust__{x}") for x in ROB])
+    named = [f"robust__{x}" for x in ROB]
+    scaled = ML.RobustScaling(inputCols=ROB, outputCols=named).fit(c).transform(c)
+    return scaled.select(*KEY, *[r6(x).alias(x) for x in named])
 
 
 @register("log_robust", _robust_sql(["src_bytes"], "ln(1 + {c})").replace("robust__src_bytes", "log__src_bytes"))
@@ -177,10 +179,10 @@ UNION ALL SELECT feature, CAST(m + k AS INTEGER), {Q.r6('mean')} FROM numf, ncat
 
 @register("preprocess_all", _preprocess_sql())
 def q_preprocess_all(spark, sf_dir):
-    df, pre = fitted_preprocessor(spark, sf_dir)
-    names = pre.feature_names()
-    out = pre.transform(df)
-    one = out.agg(*[F.avg(F.col(f"`{n}`")).alias(f"c{i}") for i, n in enumerate(names)])
+    df = conn_split(spark, sf_dir)
+    model = Pipeline(stages=ML.record_stages(CAT, LOG, ROB, RATE, BIN, THRESH)).fit(df.where("split = 'train'"))
+    names = ML.feature_names(model.stages)
+    one = model.transform(df).agg(*[F.avg(F.col(f"`{n}`")).alias(f"c{i}") for i, n in enumerate(names)])
     return one.select(F.explode(F.array(*[
         F.struct(F.lit(n).alias("feature"), F.lit(i).alias("pos"), r6(F.col(f"c{i}")).alias("mean"))
         for i, n in enumerate(names)])).alias("e")).select("e.feature", "e.pos", "e.mean")

@@ -243,27 +243,34 @@ def request_records(spark, sf_dir):
 @register("score_records")
 def q_score_records(spark, sf_dir):
     """Batch scoring of JSON request records: the 41-field contract splits out incomplete
-    and malformed lines; the others go through the saved and reloaded preprocessor and
-    model.  Rejected lines come back with a null score."""
+    and malformed lines; the others go through one saved and reloaded pipeline of
+    preprocessor and model.  Rejected lines come back with a null score."""
     from pyspark.ml import PipelineModel
+    root = IO.scratch(spark, "scoring")
+    scoring_pipeline(spark, sf_dir).write().save(os.path.join(root, "model"))
+    request_records(spark, sf_dir).write.text(os.path.join(root, "requests"))
+    recs = IO.read_json_records(spark, os.path.join(root, "requests"), REQUESTS, schemas.REQUEST.names)
+    return scored_requests(recs, PipelineModel.load(os.path.join(root, "model")))
+
+
+REQUESTS = T.StructType([T.StructField("rkey", T.StringType()), *schemas.REQUEST.fields])
+
+
+def scoring_pipeline(spark, sf_dir, max_iter=100):
+    """Preprocessor and logistic regression, fitted to the training records, as one PipelineModel."""
     from pyspark.ml.classification import LogisticRegression
 
-    from connlens.operators import features as FE
+    from connlens import ml
     from connlens.plans.feature_queries import BIN, CAT, LOG, RATE, THRESH
-    root = IO.scratch(spark, "scoring")
-    robust = ["count", "hot", "serror_rate"]
     train = conn_view(spark, sf_dir).withColumnRenamed("count_", "count").withColumn("y", L.binary_label().cast("double"))
     train = materialize(train.where(md5_uniform("l_orderkey", 9) < config.TRAIN_RATIO), "score-train")
-    FE.Preprocessor(CAT, LOG, robust, RATE, BIN, threshold=THRESH).fit(train).save(spark, os.path.join(root, "preprocessor"))
-    pre = FE.Preprocessor.load(spark, os.path.join(root, "preprocessor"))
-    names = pre.feature_names()
-    fitted = MD.pipeline_fit([LogisticRegression(featuresCol="features", labelCol="y", maxIter=100)], MD.assemble(pre.transform(train, keep=["y"]), names))
-    fitted.write().save(os.path.join(root, "model"))
-    model = PipelineModel.load(os.path.join(root, "model"))
-    request_records(spark, sf_dir).write.text(os.path.join(root, "requests"))
-    contract = T.StructType([T.StructField("rkey", T.StringType()), *schemas.REQUEST.fields])
-    recs = IO.read_json_records(spark, os.path.join(root, "requests"), contract, schemas.REQUEST.names)
-    scored = model.transform(MD.assemble(pre.transform(recs.where("valid"), keep=["rkey"]), names))
+    stages = ml.record_stages(CAT, LOG, ["count", "hot", "serror_rate"], RATE, BIN, THRESH)
+    return ml.fit_pipeline(train, stages, LogisticRegression(featuresCol="features", labelCol="y", maxIter=max_iter))
+
+
+def scored_requests(recs, model):
+    """rkey, valid, is_attack and confidence of checked request records; those of invalid ones are null."""
+    scored = model.transform(recs.where("valid"))
     good = scored.select("rkey", F.lit(True).alias("valid"), F.col("prediction").cast("int").alias("is_attack"),
                          r6(vector_to_array("probability")[1]).alias("confidence"))
     bad = recs.where("NOT valid").select("rkey", "valid", F.lit(None).cast("int").alias("is_attack"), F.lit(None).cast("double").alias("confidence"))

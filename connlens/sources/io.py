@@ -43,7 +43,7 @@ def read_report_csv(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 def read_json_records(spark: SparkSession, path: str, schema: T.StructType, required: list[str]) -> DataFrame:
     """JSON lines with a required-field contract: adds ``valid`` (all required fields
     present and the line parsed) and keeps malformed lines in ``_corrupt``."""
-    full = schema.add(T.StructField("_corrupt", T.StringType()))
+    full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     df = (spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
           .json(path))
     ok = F.col("_corrupt").isNull()
