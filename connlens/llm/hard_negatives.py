@@ -266,9 +266,10 @@ def search(searches: DataFrame, blocks: DataFrame, dims: int, same: bool, k: int
     def by_search(name: str) -> Column:
         return F.transform("lo", lambda x, j: F.try_element_at("m", j.cast("long")).getField(name))
 
-    known = materialize(known.select("row", "label", "vec", "lo", "hi", by_search("t").alias("least"), by_search("i").alias("least_id"), by_search("block").alias("had")), "searches")
+    above = F.transform("lo", lambda x, j: F.greatest(x, F.try_element_at("m", j.cast("long")).getField("t")))  # rows below the k-th are not wanted
+    known = materialize(known.select("row", "label", "vec", above.alias("lo"), "hi", by_search("t").alias("least"), by_search("i").alias("least_id"), by_search("block").alias("had")), "searches")
     more = materialize(_chosen(known, zones, dims, same, sizes, False).select("row", "block"), "more-blocks")
-    rest = _read(more, searches, blocks, dims, same, k)
+    rest = _read(more, known, blocks, dims, same, k)
     return _best(seen.unionByName(rest).dropDuplicates(["row", "j", "other"]), k).select("row", "j", "rank", "score", "id", "other")
 
 
