@@ -277,6 +277,24 @@ def scored_requests(recs, model):
     return good.unionByName(bad)
 
 
+@register("stream_score_records")
+def q_stream_score_records(spark, sf_dir):
+    """Request lines as a stream: the first half scored by one published model, the second by its successor, which is
+    picked up between micro-batches.  Rejected lines come from their own sink with a null score."""
+    from connlens.streaming import jobs as SJ
+    root, models = IO.scratch(spark, "stream_scoring"), IO.scratch(spark, "models")
+    lines = materialize(request_records(spark, sf_dir), "request-lines")
+    online = SJ.score_online(models, lambda b: IO.json_records(b, REQUESTS, schemas.REQUEST.names), lambda rows, model: scored_requests(rows, model))
+    for version, max_iter, half in (("v1", 5, 0), ("v2", 100, 1)):
+        SJ.publish_model(scoring_pipeline(spark, sf_dir, max_iter), models, version)
+        lines.where(F.pmod(F.xxhash64("value"), F.lit(2)) == half).write.mode("append").text(os.path.join(root, "requests"))
+        stream = spark.readStream.schema("value string").text(os.path.join(root, "requests"))
+        SJ.run_to_table(stream, "score_records", per_batch=online, root=root)
+    good = SJ.read_if_exists(spark, os.path.join(root, "out")).drop("batch")
+    bad = SJ.read_if_exists(spark, os.path.join(root, "rejects"))
+    return good.unionByName(bad.select("rkey", "valid", F.lit(None).cast("int").alias("is_attack"), F.lit(None).cast("double").alias("confidence"), "model_version"))
+
+
 @register("build_features")
 def q_build_features(spark, sf_dir):
     """End to end: read -> validate -> label -> split -> fit on train -> transform ->

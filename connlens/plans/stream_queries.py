@@ -17,6 +17,7 @@ from connlens.plans.metric_queries import multi_pred
 from connlens.plans.registry import register
 from connlens.sources.tables import table
 from connlens.streaming import jobs as S
+from connlens.streaming import sink as SINK
 
 DELAY = "1 hour"
 def _err():
@@ -226,15 +227,16 @@ def q_drift_monitor(spark, sf_dir):
 SELECT CAST(count(*) AS BIGINT) AS rows, CAST(sum(CASE WHEN pred <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS attacks
 FROM (SELECT CASE WHEN NOT s1_anomaly THEN 0 WHEN s2_pred <> 0 THEN s2_pred ELSE 3 END AS pred FROM st)"""))
 def q_foreach_report(spark, sf_dir):
-    """Report rows written by foreachBatch, one file a micro-batch; totals over them
-    (how the rows fall into batches is up to the file source)."""
+    """Decisions written by the committing sink, whose failed micro-batches leave nothing visible; totals over them."""
+    from connlens.session import ship_package
+    from connlens.sources import io as IO
+    ship_package(spark)
+    spark.dataSource.register(SINK.CommittedParquet)
+    root = IO.scratch(spark, "foreach_report")
     st = _staged_stream(S.event_stream(spark, sf_dir, max_files=1))
     dec = st.select("row_id", H.decide("s1_anomaly", "s2_pred", "d1", None).alias("pred"))
-
-    def per_batch(batch, epoch, root):
-        report = batch.agg(F.count(F.lit(1)).cast("long").alias("rows"), F.sum((F.col("pred") != 0).cast("long")).alias("attacks"))
-        S.write_batch(report, os.path.join(root, "report"), epoch)
-
-    _, stats = S.run_to_table(dec, "foreach_report", per_batch=per_batch)
-    report = S.read_if_exists(spark, os.path.join(stats["root"], "report"))
-    return report.agg(F.sum("rows").alias("rows"), F.sum("attacks").alias("attacks"))
+    q = (dec.writeStream.format("committed_parquet").option("path", os.path.join(root, "sink"))
+         .option("checkpointLocation", os.path.join(root, "checkpoint")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = SINK.committed(spark, os.path.join(root, "sink"), dec.schema)
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum((F.col("pred") != 0).cast("long")), F.lit(0)).alias("attacks"))

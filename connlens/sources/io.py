@@ -43,9 +43,14 @@ def read_report_csv(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 def read_json_records(spark: SparkSession, path: str, schema: T.StructType, required: list[str]) -> DataFrame:
     """JSON lines with a required-field contract: adds ``valid`` (all required fields
     present and the line parsed) and keeps malformed lines in ``_corrupt``."""
+    return json_records(spark.read.text(path), schema, required)
+
+
+def json_records(lines: DataFrame, schema: T.StructType, required: list[str]) -> DataFrame:
+    """The same for a table or stream of lines in column ``value``."""
     full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    df = (spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
-          .json(path))
+    parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    df = lines.where("trim(value) <> ''").select(parsed.alias("r")).select("r.*")
     ok = F.col("_corrupt").isNull()
     for c in required:
         ok = ok & F.col(c).isNotNull()

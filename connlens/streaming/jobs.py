@@ -22,6 +22,7 @@ Operators
 from __future__ import annotations
 
 import os
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -107,12 +108,12 @@ def last_emissions(emitted: DataFrame, keys: list[str]) -> DataFrame:
     return emitted.groupBy(*keys).agg(F.max_by(rest, "batch").alias("_e")).select(*keys, "_e.*").drop("batch")
 
 
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    """Parquet at ``path`` (any Hadoop filesystem), or None if nothing was written."""
+def read_if_exists(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame | None:
+    """Parquet (or another ``kind``) at ``path`` (any Hadoop filesystem), or None if nothing was written."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return spark.read.parquet(path) if fs.exists(p) else None
+    return spark.read.format(kind).load(path) if fs.exists(p) else None
 
 
 # ---------------------------------------------------------------------------
@@ -272,5 +273,46 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+# ---------------------------------------------------------------------------
+# scoring with a model that changes between micro-batches
+# ---------------------------------------------------------------------------
+
+def publish_model(model, root: str, version: str) -> None:
+    """Save a fitted PipelineModel as ``version`` below ``root`` and point to it (the pointer is written last)."""
+    spark = SparkSession.active()
+    model.write().overwrite().save(f"{root}/versions/{version}")
+    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("append").text(f"{root}/pointer/{int(time.time() * 1000):015d}")
+
+
+def current_version(spark: SparkSession, root: str) -> str:
+    """The version that was published last."""
+    found = spark.read.text(f"{root}/pointer/*").select("value", F.input_file_name().alias("f"))
+    return found.agg(F.max_by("value", "f")).first()[0]  # one row a publication
+
+
+def score_online(models: str, parse: Callable[[DataFrame], DataFrame], score: Callable[[DataFrame, object], DataFrame],
+                 reject: str = "NOT valid") -> Callable[[DataFrame, int, str], None]:
+    """Scoring as a ``per_batch`` of ``run_to_table``: each micro-batch is parsed, its rejects go to their own sink, and the
+    rest are scored by the model that is current when the batch first runs.  The version is kept under the batch's id
+    before anything else is written, so a batch that runs again uses the same model; rows carry it."""
+    from pyspark.ml import PipelineModel
+
+    held: dict = {}
+
+    def per_batch(batch: DataFrame, epoch: int, root: str) -> None:
+        spark = batch.sparkSession
+        chosen = read_if_exists(spark, f"{root}/version/batch={epoch}")
+        version = chosen.first()["version"] if chosen is not None else current_version(spark, models)
+        if chosen is None:
+            write_batch(spark.createDataFrame([(version,)], "version string").coalesce(1), f"{root}/version", epoch)
+        if held.get("version") != version:
+            held.update(version=version, model=PipelineModel.load(f"{models}/versions/{version}"))
+        rows = parse(batch)
+        write_batch(rows.where(reject).withColumn("model_version", F.lit(version)), f"{root}/rejects", epoch)
+        write_batch(score(rows.where(f"NOT ({reject})"), held["model"]).withColumn("model_version", F.lit(version)), f"{root}/out", epoch)
+
+    return per_batch
+
+
 def _types(df: DataFrame, cols: list[str]):
     return [(c, df.schema[c].dataType.simpleString()) for c in cols]
