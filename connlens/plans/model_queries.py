@@ -104,23 +104,6 @@ def q_cross_hybrid_sweep(spark, sf_dir):
     return H.prediction_counts(staged(spark, sf_dir), config.T_STRICT_SWEEP)
 
 
-@register("router_fallback", with_ctes(SCORED_CTE, EVAL_CTE) + f"""
-, avail AS (SELECT DISTINCT 'naive_bayes' AS model_name FROM ev WHERE score >= 0
-            UNION SELECT 'logistic_regression_cs_cost_sensitive' FROM ev WHERE score > 2)
-SELECT model_name, CAST(pos AS INTEGER) AS priority FROM avail JOIN
-  (VALUES {", ".join(f"({i}, '{n}')" for i, n in enumerate(config.ROUTER_PREFERENCE))}) p(pos, name)
-  ON avail.model_name = p.name ORDER BY pos LIMIT 1""")
-def q_router_fallback(spark, sf_dir):
-    # the registry holds the models that were trained on this data: naive_bayes always
-    # (the scored view exists), the cost-sensitive LR only if some score exceeds 2
-    from connlens.operators.models import router_choice
-    ev = evaluated(spark, sf_dir)
-    avail = (ev.where("score >= 0").select(F.lit("naive_bayes").alias("model_name"))
-             .union(ev.where("score > 2").select(F.lit("logistic_regression_cs_cost_sensitive").alias("model_name")))
-             .distinct())
-    return router_choice(avail, config.ROUTER_PREFERENCE)
-
-
 # ---------------------------------------------------------------------------
 # Gaussian naive Bayes on all NB_DIMS embedding dimensions
 # ---------------------------------------------------------------------------

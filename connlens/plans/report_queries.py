@@ -85,34 +85,25 @@ def q_top1_operating_point(spark, sf_dir):
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from connlens.functions.core import md5_uniform, r6, safe_div  # noqa: E402
+from connlens.functions.core import r6, safe_div  # noqa: E402
 from connlens.operators import metrics as M  # noqa: E402
 from connlens.operators import reports as R  # noqa: E402
 from connlens.operators.sweep import _cnt  # noqa: E402
-from connlens.plans.metric_queries import EVAL_CTE, MULTI_PRED_SQL, evaluated, multi_pred  # noqa: E402
-
-MODELS = ["logistic_regression", "decision_tree", "knn", "naive_bayes", "svm"]
-
+from connlens.plans import fitted as FIT  # noqa: E402
+from connlens.plans.metric_queries import EVAL_CTE  # noqa: E402
 
 def model_eval(spark, sf_dir):
-    """Per (row, model): a model-specific score, its binary and 5-class predictions and
-    the validation/holdout split.  Five fixed scoring rules -> 5 rows per event."""
-    ev = evaluated(spark, sf_dir)
-    m = F.explode(F.array(*[F.struct(F.lit(i).alias("midx"), F.lit(n).alias("model_name"))
-                            for i, n in enumerate(MODELS)])).alias("m")
-    long = ev.select("row_id", "y", "y_multi", "segment", "score", m).select(
-        "row_id", "y", "y_multi", "segment", "score", "m.midx", "m.model_name")
-    noise = md5_uniform(F.concat_ws("#", F.col("row_id").cast("string"), F.col("midx").cast("string")), 100)
-    sm = (F.col("score") + 0.1 * F.col("midx") * noise) / (1 + 0.1 * F.col("midx"))
-    split = F.when(md5_uniform("row_id", 7) < 0.5, "val").otherwise("holdout")
-    return long.select("*", sm.alias("sm"), split.alias("split")).select(
-        "*", (F.col("sm") >= 0.5).cast("int").alias("pb"), multi_pred("sm").alias("pm"))
+    """Per validation or holdout row and learner fitted to the training rows: its probability, its binary and its
+    5-class prediction."""
+    from connlens.session import materialize
+    rows = materialize(FIT.learner_rows(spark, sf_dir), "learner-rows")
+    return FIT.scored(rows, FIT.fit(rows))
 
 
 def records(spark, sf_dir):
     from connlens.session import materialize
     # five metric families (binary, 5-class, macro, AUC bounds, AUC sums) read the
-    # per-(row, rule) table: written once as a table in the shared checkpoint folder,
+    # per-(row, learner) table: written once as a table in the shared checkpoint folder,
     # not recomputed (hashes included) once per family
     me = materialize(model_eval(spark, sf_dir), "model-eval")
     keys = ["model_name", "midx", "split"]
@@ -162,12 +153,7 @@ def _sdiv_cnt(cond, among):
     return Q.sdiv(f"count(*) FILTER (WHERE ({cond}) AND ({among}))", f"count(*) FILTER (WHERE {among})")
 
 
-ME_CTE = f"""me0 AS (
-  SELECT ev.row_id, y, y_multi, segment, score, m.midx, m.model_name,
-         (score + 0.1 * m.midx * {Q.md5_uniform("concat_ws('#', ev.row_id, m.midx)", 100)}) / (1 + 0.1 * m.midx) AS sm,
-         CASE WHEN {Q.md5_uniform('ev.row_id', 7)} < 0.5 THEN 'val' ELSE 'holdout' END AS split
-  FROM ev, (VALUES {", ".join(f"({i}, '{n}')" for i, n in enumerate(MODELS))}) m(midx, model_name)),
-me AS (SELECT *, CAST(sm >= 0.5 AS INTEGER) AS pb, {MULTI_PRED_SQL.replace('score', 'sm')} AS pm FROM me0),
+ME_CTE = f"""{FIT.ME_SQL},
 bin AS (SELECT model_name, midx, split, count(*) AS n,
    {Q.sdiv("count(*) FILTER (WHERE y = pb)", "count(*)")} AS accuracy,
    {Q.sdiv("count(*) FILTER (WHERE y = 1 AND pb = 1)", "count(*) FILTER (WHERE pb = 1)")} AS precision,
@@ -417,18 +403,31 @@ def q_cross_threshold_sweep(spark, sf_dir):
     return one.select(rows).select("x.threshold", "x.pred", "x.n").where("n > 0")
 
 
-@register("score_probability_fallback", REC.split("bin AS (")[0].rstrip().rstrip(",") + f"""
+@register("score_probability_fallback", with_ctes(SCORED_CTE, _EV, FIT.ME_SQL) + f"""
 SELECT row_id, model_name,
-       {Q.r6("COALESCE(CASE WHEN model_name = 'svm' THEN NULL ELSE sm END, "
-             "CASE WHEN model_name = 'knn' THEN NULL ELSE (sm - 0.5) * 4 END, pb)")} AS score,
-       CASE WHEN model_name = 'svm' THEN 'decision_function' ELSE 'predict_proba' END AS source
+       {Q.r6("COALESCE(CASE WHEN model_name <> 'nearest_centroid' THEN sm END, CASE WHEN model_name <> 'decision_tree' THEN margin END, pb)")} AS score,
+       CASE WHEN model_name = 'nearest_centroid' THEN 'decision_function' ELSE 'predict_proba' END AS source
 FROM me""")
 def q_score_probability_fallback(spark, sf_dir):
-    """Probability if the model has one, else its raw decision value, else the hard
-    label (svm: no probability; knn: no decision function)."""
+    """Probability if the learner has one, else its raw decision value, else the hard label (the nearest centroid has no
+    probability, the tree no decision value)."""
     me = model_eval(spark, sf_dir)
-    proba = F.when(F.col("model_name") == "svm", F.lit(None)).otherwise(F.col("sm"))
-    decision = F.when(F.col("model_name") == "knn", F.lit(None)).otherwise(
-        (F.col("sm") - 0.5) * 4)
+    proba = F.when(F.col("model_name") != "nearest_centroid", F.col("sm"))
+    decision = F.when(F.col("model_name") != "decision_tree", F.col("margin"))
     return me.select("row_id", "model_name", r6(F.coalesce(proba, decision, F.col("pb").cast("double"))).alias("score"),
-                     F.when(F.col("model_name") == "svm", "decision_function").otherwise("predict_proba").alias("source"))
+                     F.when(F.col("model_name") == "nearest_centroid", "decision_function").otherwise("predict_proba").alias("source"))
+
+
+@register("router_fallback", REC + f"""
+, avail AS (SELECT DISTINCT CASE model_name WHEN 'naive_bayes_cost_sensitive' THEN 'logistic_regression_cs_cost_sensitive' ELSE model_name END AS model_name
+            FROM records WHERE split = 'val' AND target_type = 'binary' AND roc_auc >= 0.5)
+SELECT model_name, CAST(pos AS INTEGER) AS priority FROM avail JOIN
+  (VALUES {", ".join(f"({i}, '{n}')" for i, n in enumerate(config.ROUTER_PREFERENCE))}) p(pos, name)
+  ON avail.model_name = p.name ORDER BY pos LIMIT 1""")
+def q_router_fallback(spark, sf_dir):
+    """The first model in order of preference that was fitted here and ranks validation rows no worse than chance; the
+    cost-sensitive learner holds the place of the cost-sensitive regression."""
+    from connlens.operators.models import router_choice
+    good = records(spark, sf_dir).where("split = 'val' AND target_type = 'binary' AND roc_auc >= 0.5")
+    name = F.when(F.col("model_name") == "naive_bayes_cost_sensitive", "logistic_regression_cs_cost_sensitive").otherwise(F.col("model_name"))
+    return router_choice(good.select(name.alias("model_name")).distinct(), config.ROUTER_PREFERENCE)
