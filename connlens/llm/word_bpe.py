@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from itertools import filterfalse
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -123,17 +124,18 @@ class WordCodec:
         if not whole.isascii():
             if "Σ" in (whole := unicodedata.normalize("NFC", whole)):  # each character on its own: no final sigma
                 whole = "".join([x.lower() for x in whole])
-        found = self.words.findall(whole.lower())  # the words, and a newline between chunks
+        lowered = whole.lower().split("\n")
+        plain = list(map(str.isalpha, lowered))  # a chunk of letters is one word
+        odd = list(map(not_, plain))
+        found = self.words.findall("\n".join(compress(lowered, odd)))  # the words of the others, and a newline between chunks
         ids = self.word_ids
-        distinct = [w for w in dict.fromkeys(filterfalse(ids.__contains__, found)) if w != "\n"]
+        distinct = list(({*compress(lowered, plain), *found} - {"\n"}).difference(ids))
         if distinct:
             ids.update(zip(distinct, self._merge([w.encode() for w in distinct])))
             self.held += ENTRY_BYTES // 2 * len(distinct)
-        if len(found) == 2 * len(chunks) - 1 and "\n" not in found[::2]:  # a word a chunk
-            self.new.update(zip(chunks, [ids[w] for w in found[::2]]))
-            return
+        self.new.update(zip(compress(chunks, plain), map(ids.__getitem__, compress(lowered, plain))))
         ends = [i for i, w in enumerate(found) if w == "\n"]
-        for chunk, at, end in zip(chunks, [0, *[e + 1 for e in ends]], [*ends, len(found)]):
+        for chunk, at, end in zip(compress(chunks, odd), [0, *[e + 1 for e in ends]], [*ends, len(found)]):
             self.new[chunk] = ids[found[at]] if end == at + 1 else b"".join([ids[w] for w in found[at:end]])
 
     def _library_ids(self, text: str) -> bytes:
@@ -172,7 +174,7 @@ class WordCodec:
             texts = pc.if_else(strange, "", texts)
         split = pc.utf8_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
-        parts = self._ids(coded.dictionary.to_pylist())
+        parts = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         words = coded.indices.to_numpy()
         before = np.concatenate(([0], np.cumsum((np.fromiter(map(len, parts), np.int64, len(parts)) // 4)[words])))
         offsets = split.offsets.to_numpy()
@@ -184,19 +186,22 @@ class WordCodec:
         they are met again, so common chunks are never merged anew."""
         if self.held > CACHE_BYTES:
             self.old, self.new, self.word_ids, self.held = self.new, {"": b""}, {}, 0
-        get = self.new.get
-        parts = list(map(get, chunks))
-        gaps = [i for i, x in enumerate(parts) if x is None]
-        missing = {chunks[i] for i in gaps}
-        self.held += ENTRY_BYTES * len(missing) + 2 * sum(map(len, missing))
-        if missing and self.old:
-            again = missing.intersection(self.old)
-            self.new.update((c, self.old[c]) for c in again)
-            missing -= again
+        new, old, missing = self.new, self.old.get, []
+        parts = list(map(new.get, chunks))
+        for i in [i for i, x in enumerate(parts) if x is None]:
+            chunk = chunks[i]
+            parts[i] = ids = old(chunk)
+            if ids is None:
+                missing.append(i)
+            else:
+                new[chunk] = ids
+                self.held += ENTRY_BYTES + 2 * len(chunk)
         if missing:
-            self._learn(list(missing))
-        for i in gaps:
-            parts[i] = get(chunks[i])
+            fresh = [chunks[i] for i in missing]
+            self.held += ENTRY_BYTES * len(fresh) + 2 * sum(map(len, fresh))
+            self._learn(fresh)
+            for i, chunk in zip(missing, fresh):
+                parts[i] = new[chunk]
         return parts
 
 
