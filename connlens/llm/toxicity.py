@@ -5,6 +5,10 @@ hashed), and a document's is the noisy-or of its sentences' scores: 1 - prod(1 -
 from document labels alone, by descending the noisy-or likelihood; so single sentences come out as the reason
 for a document's score, and are reported.
 
+Every sentence, the most harmless too, has a score above 0, so the plain noisy-or of a text grows with its length
+alone.  Sentences below 0.5 therefore count as ``MOST_SENTENCES`` at most: in a text of n > MOST_SENTENCES their
+factors (1 - p) are taken to the power MOST_SENTENCES / n.  Offending sentences, of 0.5 or more, count in full.
+
 Training uses at most ``train_rows`` labelled documents (those with the smallest md5 of the id): the bound is
 the only sampling here.  Scoring covers every whole text.
 
@@ -34,6 +38,7 @@ TRAIN_ROWS = 8000
 LEAST_DOCUMENTS = 3
 STEPS, RATE, DECAY = 150, 0.1, 1.0
 BATCH_BYTES = 2 << 20
+MOST_SENTENCES = 500
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
@@ -76,7 +81,8 @@ class NoisyOr:
         """The score of each text, and its sentences as (first byte, end, score)."""
         feature, sentence, text, start, end = featurise(texts)
         z = self.sentence_logits(feature, sentence, len(text))
-        score = -np.expm1(-np.bincount(text, softplus(z), len(texts)))
+        share = np.minimum(1.0, MOST_SENTENCES / np.maximum(np.bincount(text, minlength=len(texts)), 1))[text]
+        score = -np.expm1(-np.bincount(text, softplus(z) * np.where(z < 0, share, 1.0), len(texts)))
         sentences: list[list[tuple[int, int, float]]] = [[] for _ in texts]
         for i, s, e, p in zip(text.tolist(), start.tolist(), end.tolist(), np.exp(-softplus(-z)).tolist()):
             sentences[i].append((s, e, p))

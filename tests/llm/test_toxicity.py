@@ -85,3 +85,18 @@ def test_held_out_accuracy_on_the_table(spark):
     got = queries.op8_toxicity(spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
     n, right = got.agg(F.count("*"), F.sum((F.col("predicted") == F.col("toxic")).cast("int"))).first()
     assert n > 500 and right >= 0.93 * n
+
+
+def test_long_clean_texts_stay_and_an_offending_sentence_in_them_is_found(spark, frame):
+    docs, labels = corpus(800, 3)
+    rng = random.Random(9)
+    clean = [" ".join(rng.choices(WORDS, k=8)) for _ in range(30_000)]
+    long = [(5000 + n, ". ".join(clean[:n]) + ".") for n in (400, 3000, 10_000, 30_000)]
+    toxic = [(6000 + n, ". ".join([*clean[:n // 2], clean[0] + " vile foul", *clean[n // 2:n]]) + ".") for n in (400, 10_000)]
+    model = T.fit(frame(docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = {r.doc_id: r for r in T.score(frame(long + toxic), model).collect()}
+    assert [got[i].predicted for i, _ in long] == [0] * 4
+    assert [got[i].predicted for i, _ in toxic] == [1] * 2 and all("vile foul" in t[got[i].worst_start:got[i].worst_end] for i, t in toxic)
+    assert got[35_000].score == got[15_000].score or abs(got[35_000].score - got[15_000].score) < 0.02  # length alone adds nothing
+    kept = T.drop_toxic(frame(long + toxic + docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert {i for i, _ in long} <= {r.doc_id for r in kept.select("doc_id").collect()}
