@@ -4,8 +4,9 @@ Each text is cut where a gear hash of its last 16 bytes says so (the hash shifts
 byte's random number, so that older bytes fall out), unless another such place lies within the last ``LEAST``
 bytes; chunks over ``MOST`` bytes are cut at that length.  A cut depends on nothing but the bytes just before
 it, so an insertion moves only the chunks it touches, and a passage that occurs in two texts is cut alike in
-both but for its edges.  A chunk's digest (128 bits) is counted over the whole corpus.  The first text in
-reading order that has a chunk keeps it; in the others it is a repeat.  Adjacent repeats are one span; a span of
+both but for its edges.  A chunk's digest (128 bits) is counted over the whole corpus.  Of the texts
+that have a chunk, the one with the least id keeps it (without distinct whole-number ids, the first in reading
+order, which then stands for "earlier" below); in the others it is a repeat.  Adjacent repeats are one span; a span of
 which some earlier text keeps at least ``words`` words, or ``WORD_BYTES`` times as many bytes of chunks, is reported, with that text, and can be removed.
 
 Chunks alone can miss a passage: one cut into few whole chunks, or one whose chunks were first met in different
@@ -31,7 +32,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from connlens.llm.bpe import slices, tidy
@@ -147,8 +148,19 @@ def window_texts(texts: list[str], words: int, passage: int) -> dict[str, np.nda
             "before": pick - np.searchsorted(owner, text, side="left"), "words": np.full(len(text), words), "bytes": np.zeros(len(text), int), "high": digest[:, 0], "low": digest[:, 1], "again": again}
 
 
+def _row(docs: DataFrame, id_col: str) -> Column:
+    """The number of a row, by which the first of equal passages is chosen: the id where ids are distinct whole numbers (so
+    the choice does not depend on the files' layout), else the row's place in the input."""
+    if docs.schema[id_col].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint"):
+        ids = docs.select(F.col(f"`{id_col}`").alias("id"))
+        rows, some = ids.agg(F.count("*"), F.count("id")).first()
+        if rows == some == ids.distinct().count():
+            return F.col(f"`{id_col}`").cast("long")
+    return F.monotonically_increasing_id()
+
+
 def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    return docs.select(_row(docs, id_col).alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
 
 
 def chunks(rows: DataFrame, words: int = WORDS, passage: int | None = None) -> DataFrame:
@@ -207,7 +219,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, within: bool = False,
            passage: int | None = PASSAGE) -> DataFrame:
     """The input rows, all columns, without the repeated spans in their text."""
-    numbered = materialize(docs.select(F.monotonically_increasing_id().alias("__row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc")), "numbered")
+    numbered = materialize(docs.select(_row(docs, id_col).alias("__row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc")), "numbered")
     cut = chunks(numbered.select(F.col("__row").alias("row"), F.col("__doc").getField(id_col).alias("id"), F.col("__doc").getField(text_col).alias("text")), words, passage)
     gone = row_spans(cut, words, within).groupBy(F.col("row").alias("__row")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__gone"))
     joined = numbered.join(gone, "__row", "left")
