@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from connlens.llm.bpe import slices, tidy
 from connlens.llm.word_bpe import codec
@@ -66,8 +67,6 @@ class Counter:
     """The library's tokenizer for a .json file whose words the cuts respect."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         before = spec["pre_tokenizer"]
@@ -80,14 +79,19 @@ class Counter:
             raise ValueError("no stable cuts are proven for this kind of tokenizer file")
         if any(len(cuts(t["content"])) or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"]):
             raise ValueError("a special string spans a cut")
-        self.path, self.by_word = path, bool(by_word)
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.codec = codec(path) if by_word else None
+        self.own = None if by_word else Tokenizer.from_file(path)
+        if self.own is not None:
+            self.own.no_truncation()
+            self.own.no_padding()
+
+    @property
+    def library(self) -> Tokenizer:
+        return self.own if self.codec is None else self.codec.whole_library()
 
     def counts(self, texts: list[str]) -> list[int]:
-        if self.by_word:
-            return codec(self.path).count_all(texts)
+        if self.codec is not None:
+            return self.codec.count_all(texts)
         return [len(e) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def boundaries(self, text: str) -> tuple[int, np.ndarray, np.ndarray]:

@@ -21,8 +21,8 @@ import regex
 
 from connlens.llm.bpe import FAR, byte_alphabet
 
-CACHE_BYTES = 64 << 20  # of each of the cache's two generations, about
-ENTRY_BYTES = 150  # of an entry beside its characters and ids
+CACHE_BYTES = 48 << 20  # of each of the cache's two generations, about
+ENTRY_BYTES = 200  # of an entry beside its characters and ids
 NONE = np.int32(2**31 - 1)
 
 
@@ -138,11 +138,17 @@ class WordCodec:
         for chunk, at, end in zip(compress(chunks, odd), [0, *[e + 1 for e in ends]], [*ends, len(found)]):
             self.new[chunk] = ids[found[at]] if end == at + 1 else b"".join([ids[w] for w in found[at:end]])
 
-    def _library_ids(self, text: str) -> bytes:
+    def whole_library(self):
+        """The file in the tokenizers library, loaded when first needed."""
         if self.library is None:
             from tokenizers import Tokenizer
             self.library = Tokenizer.from_file(self.path)
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            self.library.no_truncation()
+            self.library.no_padding()
+        return self.library
+
+    def _library_ids(self, text: str) -> bytes:
+        return np.array(self.whole_library().encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode_all(self, texts: pa.Array | list[str | None]) -> list[bytes]:
         """The ids of each text (null: empty) as little-endian unsigned 32-bit integers."""
