@@ -206,6 +206,12 @@ def fit_linear_svm(train: DataFrame, label: str, max_iter: int = 100):
     return svm, platt
 
 
+def fit_linear_svm_ovr(train: DataFrame, label: str, max_iter: int = 100):
+    """One linear SVM per class against the others; the class with the largest decision value is predicted."""
+    svm = LinearSVC(featuresCol="features", maxIter=max_iter, standardization=True)
+    return OneVsRest(classifier=svm, featuresCol="features", labelCol=label, rawPredictionCol="rawPrediction", parallelism=4).fit(train)
+
+
 def svm_probability(svm, platt, df: DataFrame) -> DataFrame:
     m = svm.transform(df).withColumn("_margin", vector_to_array("rawPrediction")[1])
     m = VectorAssembler(inputCols=["_margin"], outputCol="_mf").transform(m.drop("rawPrediction", "prediction"))

@@ -3,16 +3,19 @@
 Design
 ------
 * A bounded number of pivots (reference rows drawn by md5) cuts the reference side into
-  cells: every row belongs to its nearest pivot.  Per cell only the row count, the radius
-  and the k smallest pivot distances are gathered (pivots x k numbers, whatever the data).
-* For a query row, distance-to-pivot plus those k smallest distances bound its k-th
-  neighbour distance from above; a cell whose pivot distance minus radius exceeds that
-  bound cannot hold a neighbour (triangle inequality).
-* Cells are gathered into blocks of bounded size; a cell larger than a block is split by
-  id hash.  A query row is sent to the blocks it still needs, in chunks of bounded size,
-  and one (block, chunk) pair is one task: neither side ever passes through the driver
-  and no pair of rows is emitted.  Each task returns the k best per query row of its
-  block; a grouped top-k merges them.
+  cells: every row belongs to its nearest pivot.  Per cell only the row count, the least
+  and the largest pivot distance, the k smallest ones, and the bounding box along the
+  pivots' principal axes are gathered (numbers per pivot, whatever the data).
+* Cells, in order along the first axis, are gathered into blocks of bounded size; a cell
+  larger than a block is split by id hash.
+* A query row first searches one block of its own cell.  The k-th distance found there
+  (or, with fewer rows, the k smallest pivot distances) bounds its k-th neighbour's from
+  above; a cell whose ring around its pivot (triangle inequality) or whose box (a rotation
+  keeps distances, leaving axes out only shortens them) lies further away cannot hold a
+  neighbour.  The row is then sent to the blocks of the remaining cells.
+* Query rows travel in chunks of bounded size, and one (block, chunk) pair is one task:
+  neither side ever passes through the driver and no pair of rows is emitted.  Each task
+  returns the k best per query row of its block; a grouped top-k merges them.
 * Inside a task distances are computed block-wise with NumPy (||q||^2 + ||r||^2 -
   2 q.r); every row within rounding error of the k-th distance is re-scored with exact
   differences and ordered by (distance, reference id), so equal vectors are ranked by id.
@@ -23,6 +26,7 @@ Design
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -36,7 +40,8 @@ from connlens.session import materialize, ship_package
 KNN_SCHEMA = T.StructType([
     T.StructField("qid", T.LongType()), T.StructField("nid", T.LongType()), T.StructField("dist", T.DoubleType())])
 
-PIVOTS = 64
+PIVOTS = 128
+AXES = 8
 BLOCK_ROWS = 50_000
 CHUNK_ROWS = 100_000
 PAIRS_AT_ONCE = 500_000
@@ -91,68 +96,134 @@ def _blocks(counts: np.ndarray, block_rows: int) -> tuple[np.ndarray, np.ndarray
     return first, parts, at + 1
 
 
+@dataclass
+class Cells:
+    """What is known of the reference side: arrays over the pivots."""
+
+    centre: np.ndarray  # pivots x dims
+    mean: np.ndarray
+    axes: np.ndarray    # dims x AXES, orthonormal
+    counts: np.ndarray
+    inner: np.ndarray   # least and largest distance of a cell's rows from its pivot
+    outer: np.ndarray
+    close: np.ndarray   # pivots x wanted: the smallest of them
+    low: np.ndarray     # pivots x AXES: the bounding box of a cell's rows along the axes
+    high: np.ndarray
+    first: np.ndarray   # a cell's first block and number of blocks
+    parts: np.ndarray
+    tolerance: float
+
+    def distances(self, v: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum(_sq_dist(v, self.centre), 0))
+
+    def home(self, v: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """One block of the nearest cell that has rows."""
+        cell = np.where(self.counts > 0, self.distances(v), np.inf).argmin(axis=1)
+        return self.first[cell] + ids % self.parts[cell]
+
+    def wanted(self, v: np.ndarray, kth: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, block) of the further blocks that can hold one of the k nearest rows."""
+        d, y = self.distances(v), (v - self.mean) @ self.axes
+        bound = kth.copy()
+        loose = np.flatnonzero(~np.isfinite(bound))
+        if len(loose):
+            k = self.close.shape[1]
+            bound[loose] = np.partition((d[loose][:, :, None] + self.close[None]).reshape(len(loose), -1), k - 1, axis=1)[:, k - 1]
+        gap = np.maximum(np.maximum(self.low[None] - y[:, None], y[:, None] - self.high[None]), 0)
+        least = np.maximum(np.maximum(d - self.outer[None], self.inner[None] - d), np.sqrt((gap * gap).sum(axis=2)))
+        row, cell = np.nonzero((least <= bound[:, None] + self.tolerance) & (self.counts > 0)[None])
+        times = self.parts[cell]
+        row, block = np.repeat(row, times), np.repeat(self.first[cell], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        both = np.unique(np.stack([row, block], axis=1), axis=0)
+        both = both[both[:, 1] != home[both[:, 0]]]
+        return both[:, 0], both[:, 1]
+
+
+def _cells(refk: DataFrame, chosen: np.ndarray, wanted: int, block_rows: int) -> tuple[Cells, DataFrame]:
+    """The cells around the ``chosen`` pivots, and the reference rows (id, v, cell), written."""
+    mean = chosen.mean(axis=0)
+    axes = np.linalg.svd(chosen - mean, full_matrices=False)[2][:AXES].T
+    centre = chosen[np.argsort((chosen - mean) @ axes[:, 0], kind="stable")] if axes.shape[1] else chosen
+    names = [f"y{i}" for i in range(axes.shape[1])]
+
+    def assign(batches):
+        for pdf in batches:
+            if len(pdf):
+                v = _to_matrix(pdf["v"])
+                d2 = np.maximum(_sq_dist(v, centre), 0)
+                cell = d2.argmin(axis=1)
+                y = (v - mean) @ axes
+                yield pd.DataFrame({"id": pdf["id"], "v": pdf["v"], "cell": cell.astype(np.int32), "d": np.sqrt(d2[np.arange(len(cell)), cell])} | {n: y[:, i] for i, n in enumerate(names)})
+
+    celled = materialize(refk.mapInPandas(assign, ", ".join(["id long, v array<double>, cell int, d double", *[f"{n} double" for n in names]])), "knn-cells")
+    near = celled.select("cell", "d", F.row_number().over(Window.partitionBy("cell").orderBy("d")).alias("r")).where(F.col("r") <= wanted).toPandas()
+    ends = [f(n).alias(f"{k}_{n}") for n in names for k, f in (("lo", F.min), ("hi", F.max))]
+    stats = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("d").alias("inner"), F.max("d").alias("outer"), *ends).toPandas()  # a row per pivot
+    n, at = len(centre), stats["cell"].to_numpy()
+    counts, inner, outer, close = np.zeros(n, np.int64), np.full(n, np.inf), np.full(n, -np.inf), np.full((n, wanted), np.inf)
+    counts[at], inner[at], outer[at] = stats["n"], stats["inner"], stats["outer"]
+    close[near["cell"], near["r"] - 1] = near["d"]
+    low, high = np.full((n, len(names)), np.inf), np.full((n, len(names)), -np.inf)
+    for i, name in enumerate(names):
+        low[at, i], high[at, i] = stats[f"lo_{name}"], stats[f"hi_{name}"]
+    low[counts == 0], high[counts == 0] = 0.0, 0.0  # never asked for
+    size = max(1, min(block_rows, -(-int(counts.sum()) // refk.sparkSession.sparkContext.defaultParallelism)))
+    first, parts, _ = _blocks(counts, size)
+    tolerance = 1e-6 * (1.0 + float(np.abs(centre).max(initial=0.0)))
+    return Cells(centre, mean, axes, counts, inner, outer, close, low, high, first, parts, tolerance), celled.select("id", "v", "cell")
+
+
 def knn_join(query: DataFrame, ref: DataFrame, k: int, qid: str = "id", qvec: str = "vec",
              rid: str | None = None, rvec: str | None = None, exclude_self: bool = False,
-             pivots: int = PIVOTS, block_rows: int = BLOCK_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Exact Euclidean k nearest reference rows of every query row (ids and vectors not null).
+             pivots: int = PIVOTS, block_rows: int = BLOCK_ROWS, chunk_rows: int = CHUNK_ROWS, counts: dict | None = None) -> DataFrame:
+    """Exact Euclidean k nearest reference rows of every query row (ids and vectors not null; query ids distinct).
 
-    Returns (qid, nid, rank, dist); rank 1 is the nearest; ties broken by id."""
+    Returns (qid, nid, rank, dist); rank 1 is the nearest; ties broken by id.  ``counts``, if given, gets the number of
+    distances that are computed (at the price of another job)."""
     rid, rvec = rid or qid, rvec or qvec
     spark = query.sparkSession
     ship_package(spark)
-    refk = ref.select(F.col(rid).cast("long").alias("id"), F.col(rvec).alias("v"))
-    queryk = query.select(F.col(qid).cast("long").alias("id"), F.col(qvec).alias("v"))
+    refk = ref.select(F.col(rid).cast("long").alias("id"), F.col(rvec).cast("array<double>").alias("v"))
+    queryk = query.select(F.col(qid).cast("long").alias("id"), F.col(qvec).cast("array<double>").alias("v"))
     chosen = refk.orderBy(md5_hex("id", 7), "id").limit(pivots).toPandas()  # at most ``pivots`` rows
     if not len(chosen):
         return spark.createDataFrame([], "qid long, nid long, rank int, dist double")
-    centre = _to_matrix(chosen["v"])
+    cells, celled = _cells(refk, _to_matrix(chosen["v"]), k + 1 if exclude_self else k, block_rows)
+    chunks = max(1, -(-query.count() // chunk_rows))
+    place = [F.create_map(*[F.lit(x) for j in range(len(cells.centre)) for x in (j, int(of[j]))]) for of in (cells.first, cells.parts)]
+    block = F.element_at(place[0], F.col("cell")) + F.pmod(F.xxhash64("id"), F.element_at(place[1], F.col("cell")).cast("long"))
+    blocks = materialize(celled.select("id", "v", block.alias("block")), "knn-blocks")
 
-    def assign(batches):
+    def at_home(batches):
         for pdf in batches:
             if len(pdf):
-                d2 = np.maximum(_sq_dist(_to_matrix(pdf["v"]), centre), 0)
-                cell = d2.argmin(axis=1)
-                yield pd.DataFrame({"id": pdf["id"], "v": pdf["v"], "cell": cell.astype(np.int32), "d": np.sqrt(d2[np.arange(len(cell)), cell])})
+                yield pdf.assign(block=cells.home(_to_matrix(pdf["v"]), pdf["id"].to_numpy()))
 
-    celled = materialize(refk.mapInPandas(assign, "id long, v array<double>, cell int, d double"), "knn-cells")
-    wanted = k + 1 if exclude_self else k
-    near = celled.select("cell", "d", F.row_number().over(Window.partitionBy("cell").orderBy("d")).alias("r")).where(F.col("r") <= wanted).toPandas()
-    stats = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("radius")).toPandas()  # a row per pivot
-    counts, radius = np.zeros(len(centre), np.int64), np.full(len(centre), -np.inf)
-    counts[stats["cell"]], radius[stats["cell"]] = stats["n"], stats["radius"]
-    close = np.full((len(centre), wanted), np.inf)
-    close[near["cell"], near["r"] - 1] = near["d"]
-    total = int(counts.sum())
-    size = max(1, min(block_rows, -(-total // spark.sparkContext.defaultParallelism)))
-    first, parts, _ = _blocks(counts, size)
-    tol = 1e-6 * (1.0 + float(np.abs(centre).max()))
-
-    def route(batches):
+    def further(batches):
         for pdf in batches:
-            if not len(pdf):
-                continue
-            d = np.sqrt(np.maximum(_sq_dist(_to_matrix(pdf["v"]), centre), 0))
-            bound = np.partition((d[:, :, None] + close[None]).reshape(len(d), -1), wanted - 1, axis=1)[:, wanted - 1]
-            row, cell = np.nonzero(d - radius[None, :] <= bound[:, None] + tol)
-            times = parts[cell]
-            row, block = np.repeat(row, times), np.repeat(first[cell], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            both = np.unique(np.stack([row, block], axis=1), axis=0)
-            yield pd.DataFrame({"id": pdf["id"].to_numpy()[both[:, 0]], "v": pdf["v"].to_numpy()[both[:, 0]], "block": both[:, 1]})
+            for part in (pdf.iloc[i:i + 1000] for i in range(0, len(pdf), 1000)):
+                row, to = cells.wanted(_to_matrix(part["v"]), part["kth"].to_numpy(dtype=float), part["block"].to_numpy())
+                yield pd.DataFrame({"id": part["id"].to_numpy()[row], "v": part["v"].to_numpy()[row], "block": to})
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return _topk_block(_to_matrix(right["v"]), right["id"].to_numpy(dtype=np.int64), _to_matrix(left["v"]),
                            left["id"].to_numpy(dtype=np.int64), k, exclude_self)
 
-    chunks = max(1, -(-query.count() // chunk_rows))
-    cells = F.create_map(*[F.lit(x) for j in range(len(centre)) for x in (j, int(first[j]))])
-    split = F.create_map(*[F.lit(x) for j in range(len(centre)) for x in (j, int(parts[j]))])
-    home = F.element_at(cells, F.col("cell")) + F.pmod(F.xxhash64("id"), F.element_at(split, F.col("cell")).cast("long"))
-    left = celled.select("id", "v", home.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))).alias("chunk"))
-    right = (queryk.mapInPandas(route, "id long, v array<double>, block long")
-             .withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks))))
-    local = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInPandas(search, KNN_SCHEMA)
+    def searched(rows: DataFrame) -> DataFrame:
+        if counts is not None:
+            sizes = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
+            counts["distances"] = counts.get("distances", 0) + (rows.join(sizes, "block").agg(F.sum("n")).first()[0] or 0)
+        left = blocks.select("id", "v", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))).alias("chunk"))
+        right = rows.select("id", "v", "block", F.pmod(F.xxhash64("id"), F.lit(chunks)).alias("chunk"))
+        return left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInPandas(search, KNN_SCHEMA)
+
+    own = materialize(queryk.mapInPandas(at_home, "id long, v array<double>, block long"), "knn-queries")
+    found = materialize(searched(own), "knn-first")
+    kth = found.groupBy(F.col("qid").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("d"))
+    known = own.join(kth, "id", "left").select("id", "v", "block", F.when(F.col("n") >= k, F.col("d")).otherwise(F.lit(float("inf"))).alias("kth"))
+    rest = materialize(known.mapInPandas(further, "id long, v array<double>, block long"), "knn-further")
     rank = F.row_number().over(Window.partitionBy("qid").orderBy("dist", "nid"))
-    return local.select("qid", "nid", rank.alias("rank"), "dist").where(F.col("rank") <= k)
+    return found.unionByName(searched(rest)).select("qid", "nid", rank.alias("rank"), "dist").where(F.col("rank") <= k)
 
 
 def knn_classify(nn: DataFrame, ref_labels: DataFrame, rid: str, label: str) -> DataFrame:

@@ -134,12 +134,28 @@ def fitted_preprocessor(spark, sf_dir):
     return df, pre
 
 
-def _preprocess_sql():
+def split_cte():
+    """The CTE sp of conn_split."""
     from connlens.plans.sampling_queries import KEY_SQL
-    split = f"""sp AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY tl ORDER BY h)
+    return f"""sp AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY tl ORDER BY h)
                  <= floor(count(*) OVER (PARTITION BY tl) * {config.TRAIN_RATIO} + 0.5) THEN 'train' ELSE 'val' END
-                 AS split FROM (SELECT *, {Q.binary_label()} AS tl, {Q.md5_hex(KEY_SQL)} AS h FROM conn)),
-tr AS (SELECT * FROM sp WHERE split = 'train')"""
+                 AS split FROM (SELECT *, {Q.binary_label()} AS tl, {Q.md5_hex(KEY_SQL)} AS h FROM conn))"""
+
+
+def names_ctes(part: str, split: str, out: str) -> str:
+    """CTEs of a preprocessor's feature names (pos, name) in ``out``, fitted to the rows ``part`` of a split."""
+    cats = " UNION ALL ".join(
+        f"SELECT {i} AS ci, '{c}' AS col, v FROM (SELECT DISTINCT CASE WHEN {c} IN {_freq_sql(c, THRESH, part)} THEN CAST({c} AS VARCHAR) ELSE 'other' END AS v FROM {part})"
+        for i, c in enumerate(CAT))
+    rest = [*(f"log__{c}" for c in LOG), *(f"robust__{c}" for c in ROB), *(f"rate__{c}" for c in RATE), *(f"binary__{c}" for c in BIN)]
+    return f"""{part} AS (SELECT * FROM sp WHERE split = '{split}'),
+{out}_cats AS ({cats}),
+{out} AS (SELECT CAST(row_number() OVER (ORDER BY ci, v) - 1 AS INTEGER) AS pos, 'cat__' || col || '_' || v AS name FROM {out}_cats
+          UNION ALL SELECT CAST((SELECT count(*) FROM {out}_cats) + k AS INTEGER), n FROM (VALUES {", ".join(f"({k}, '{n}')" for k, n in enumerate(rest))}) r(k, n))"""
+
+
+def _preprocess_sql():
+    split = split_cte() + ",\ntr AS (SELECT * FROM sp WHERE split = 'train')"
     cat_cases = {}
     for c in CAT:
         cat_cases[c] = f"CASE WHEN {c} IN {_freq_sql(c, THRESH, 'tr')} THEN CAST({c} AS VARCHAR) ELSE 'other' END"

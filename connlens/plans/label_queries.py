@@ -309,12 +309,7 @@ def q_join_class_weight(spark, sf_dir):
     return out.select("doc_id", "toxic", r6("weight").alias("weight"))
 
 
-@register("manifest_diff", WC + """
-, cats AS (SELECT flag, count(*) AS n FROM conn GROUP BY flag),
-e AS (SELECT CAST(row_number() OVER (ORDER BY flag) - 1 AS INTEGER) AS pos, 'cat__flag_' || flag AS name FROM cats),
-a AS (SELECT CAST(row_number() OVER (ORDER BY n DESC, flag) - 1 AS INTEGER) AS pos, 'cat__flag_' || flag AS name
-      FROM cats),
-j AS (SELECT COALESCE(e.pos, a.pos) AS pos, e.pos AS ep, a.pos AS ap, e.name AS en, a.name AS an,
+DIFF_SQL = """j AS (SELECT COALESCE(e.pos, a.pos) AS pos, e.pos AS ep, a.pos AS ap, e.name AS en, a.name AS an,
              e.name <> a.name AS mism FROM e FULL OUTER JOIN a ON e.pos = a.pos),
 fm AS (SELECT min(pos) FILTER (WHERE mism) AS p FROM j)
 SELECT CAST(count(ep) AS BIGINT) AS expected_count, CAST(count(ap) AS BIGINT) AS actual_count,
@@ -322,7 +317,15 @@ SELECT CAST(count(ep) AS BIGINT) AS expected_count, CAST(count(ap) AS BIGINT) AS
             WHEN count(ep) <> count(ap) THEN 'INCOMPATIBLE' ELSE 'COMPATIBLE' END AS status,
        max(fm.p) AS first_mismatch_pos, max(en) FILTER (WHERE pos = fm.p) AS expected_name,
        max(an) FILTER (WHERE pos = fm.p) AS actual_name
-FROM j, fm""")
+FROM j, fm"""  # of the name lists e (expected) and a (actual)
+
+
+@register("manifest_diff", WC + """
+, cats AS (SELECT flag, count(*) AS n FROM conn GROUP BY flag),
+e AS (SELECT CAST(row_number() OVER (ORDER BY flag) - 1 AS INTEGER) AS pos, 'cat__flag_' || flag AS name FROM cats),
+a AS (SELECT CAST(row_number() OVER (ORDER BY n DESC, flag) - 1 AS INTEGER) AS pos, 'cat__flag_' || flag AS name
+      FROM cats),
+""" + DIFF_SQL)
 def q_manifest_diff(spark, sf_dir):
     # the manifests are derived from the data: expected = sorted flag categories, actual = the
     # same list re-ordered by frequency, so the first deviation is data-dependent

@@ -21,7 +21,10 @@ from connlens.operators import labels as L
 from connlens.operators import metrics as M
 from connlens.operators import models as MD
 from connlens.operators import sampling as S
+from connlens.plans import feature_queries as FQ
 from connlens.plans import sqlfrag as Q
+from connlens.plans.label_queries import DIFF_SQL
+from connlens.plans.quality_queries import CONN_COLS
 from connlens.plans.registry import register
 from connlens.session import materialize
 from connlens.sources import io as IO
@@ -122,6 +125,25 @@ def q_fit_adaboost(spark, sf_dir):
     return _binary_report(p, "adaboost")
 
 
+@register("fit_random_forest_multi")
+def q_fit_random_forest_multi(spark, sf_dir):
+    tr, va = learn_split(spark, sf_dir)
+    return _multi_report(MD.fit_random_forest(tr, "y_multi", 100, 10).transform(va), "random_forest")
+
+
+@register("fit_linear_svm_multi")
+def q_fit_linear_svm_multi(spark, sf_dir):
+    tr, va = learn_split(spark, sf_dir)
+    return _multi_report(MD.fit_linear_svm_ovr(tr, "y_multi").transform(va), "svm")
+
+
+@register("fit_adaboost_multi")
+def q_fit_adaboost_multi(spark, sf_dir):
+    tr, va = learn_split(spark, sf_dir)
+    p = MD.adaboost_predict(MD.fit_adaboost(tr, FEATS, "y_multi", 100, 5), va, keep=["y_multi"])
+    return _multi_report(p.withColumn("prediction", F.col("pred").cast("double")), "adaboost")
+
+
 @register("vote_soft")
 def q_vote_soft(spark, sf_dir):
     """Mean of naive-Bayes, random-forest and logistic probabilities, argmax."""
@@ -295,14 +317,18 @@ def q_stream_score_records(spark, sf_dir):
     return good.unionByName(bad.select("rkey", "valid", F.lit(None).cast("int").alias("is_attack"), F.lit(None).cast("double").alias("confidence"), "model_version"))
 
 
-@register("build_features")
+@register("build_features", with_ctes(CONN_CTE, FQ.split_cte(), FQ.names_ctes("tr", "train", "names")) + f"""
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE split = 'train') AS train_rows, count(*) FILTER (WHERE split = 'val') AS val_rows,
+       count(*) FILTER (WHERE tl = 0) AS benign, count(*) FILTER (WHERE tl = 1) AS anomaly, {len(CONN_COLS)} AS features_before,
+       (SELECT CAST(count(*) AS INTEGER) FROM names) AS features_after,
+       (SELECT CAST(COALESCE(sum(c - 1), 0) AS BIGINT) FROM (SELECT count(*) AS c FROM conn GROUP BY {", ".join(c for c in CONN_COLS if c != "class")})) AS duplicate_count,
+       'COMPATIBLE' AS compat_status FROM sp""")
 def q_build_features(spark, sf_dir):
     """End to end: read -> validate -> label -> split -> fit on train -> transform ->
     write the splits (partitioned) -> JSON manifest -> feature-order audit."""
     from connlens.operators import features as FE
     from connlens.operators import quality as QL
     from connlens.plans.feature_queries import BIN, CAT, LOG, RATE, ROB, THRESH, conn_split
-    from connlens.plans.quality_queries import CONN_COLS
     audit = QL.validate(conn_view(spark, sf_dir), CONN_COLS, "class", CAT)
     df = conn_split(spark, sf_dir)
     pre = FE.Preprocessor(CAT, LOG, ROB, RATE, BIN, threshold=THRESH).fit(df.where("split = 'train'"))
@@ -323,7 +349,7 @@ def q_build_features(spark, sf_dir):
     return manifest
 
 
-@register("report_compat_audit")
+@register("report_compat_audit", with_ctes(CONN_CTE, FQ.split_cte(), FQ.names_ctes("tr", "train", "e"), FQ.names_ctes("va", "val", "a")) + ", " + DIFF_SQL)
 def q_report_compat_audit(spark, sf_dir):
     """Feature-order audit: the manifest of a preprocessor fitted on the train split
     (expected) against one fitted on the validation split (actual)."""

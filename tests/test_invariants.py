@@ -135,6 +135,22 @@ def test_knn_join_ranks_equal_vectors_by_id(spark):
     assert N.knn_join(same, same.limit(0), 3, qid="id", qvec="vec").count() == 0
 
 
+def test_knn_join_prunes_clustered_vectors_of_64_dimensions(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(25, 64))
+    x = centres[rng.integers(0, 25, 3000)] + 0.15 * rng.normal(size=(3000, 64))
+    x[40:60] = x[40]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>")
+    counts = {}
+    got = N.knn_join(df, df, 5, qid="id", qvec="vec", exclude_self=True, block_rows=100, counts=counts).toPandas()
+    got = got.sort_values(["qid", "rank"]).groupby("qid")["nid"].apply(list)
+    d = ((x[:, None, :] - x[None, :500, :]) ** 2).sum(-1).T
+    for i in range(500):
+        d[i, i] = np.inf
+        assert got[i] == list(np.lexsort((np.arange(3000), d[i].round(12)))[:5])
+    assert counts["distances"] < 0.2 * 3000**2
+
+
 def test_null_labels_keep_their_rows(spark):
     from connlens.operators import joins as J
     from connlens.operators import sampling as S

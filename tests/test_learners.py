@@ -146,3 +146,20 @@ def test_leaving_a_fold_out_equals_a_fit_without_it(spark):
         want = MD.gaussian_nb_predict(df.where(F.col("fold") == k), plain, ["a", "b"], keep=["a"]).select("a", F.element_at("probability", 2).alias("p"))
         assert np.allclose(sorted(tuple(r) for r in want.collect()), sorted((r.a, r.p) for r in held.where(F.col("fold") == k).collect()), rtol=1e-9)
     assert MD.gaussian_nb_fit_leaving_out(df.where("y > 100"), ["a", "b"], "y", "fold") == {}
+
+
+@pytest.mark.parametrize("kind", ["forest", "svm", "adaboost"])
+def test_family_learners_learn_five_classes(spark, kind):
+    rng = np.random.default_rng(4)
+    y = rng.integers(0, 5, 1500)
+    x = np.c_[y // 2 * 3 + rng.normal(size=1500), y % 2 * 4 + rng.normal(size=1500), rng.normal(size=1500)]
+    df = MD.assemble(spark.createDataFrame([(float(a), *map(float, b)) for a, b in zip(y, x)], "y double, a double, b double, c double"), ["a", "b", "c"])
+    train, held = df.limit(1000).cache(), df.offset(1000).cache()
+    if kind == "forest":
+        out = MD.fit_random_forest(train, "y", 30, 6).transform(held)
+    elif kind == "svm":
+        out = MD.fit_linear_svm_ovr(train, "y", 50).transform(held)
+    else:
+        out = MD.adaboost_predict(MD.fit_adaboost(train, ["a", "b", "c"], "y", 60, 5), held, keep=["y"]).withColumn("prediction", F.col("pred").cast("double"))
+    share = out.agg(F.avg((F.col("prediction") == F.col("y")).cast("double"))).first()[0]
+    assert share > (0.45 if kind == "svm" else 0.7) and out.select("prediction").distinct().count() >= 4
