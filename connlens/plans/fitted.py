@@ -114,6 +114,12 @@ def scored(rows: DataFrame, fitted: dict) -> DataFrame:
                        (F.col("m.margin") >= 0).cast("int").alias("pb"), "m.pm")
 
 
+def probabilities(rows: DataFrame, fitted: dict) -> DataFrame:
+    """row_id, y and each learner's probability of class 1 (p0, p1, ...) of the validation and holdout rows."""
+    each = scored(rows, fitted).groupBy("row_id", "y")
+    return each.agg(*[F.max(F.when(F.col("midx") == i, F.col("sm"))).alias(f"p{i}") for i in range(len(MODELS))])
+
+
 def _sql() -> str:
     gauss = " + ".join(f"(x{i} - m{i}) * (x{i} - m{i}) / (2 * (v{i} + eps))" for i in range(3))
     logs = " + ".join(f"ln(2 * pi() * (v{i} + eps))" for i in range(3))
@@ -151,3 +157,4 @@ me AS (
 
 
 ME_SQL = _sql()
+WIDE_SQL = "wd AS (SELECT row_id, y, " + ", ".join(f"max(sm) FILTER (WHERE midx = {i}) AS p{i}" for i in range(len(MODELS))) + " FROM me GROUP BY row_id, y)"

@@ -144,8 +144,8 @@ def q_fit_adaboost_multi(spark, sf_dir):
     return _multi_report(p.withColumn("prediction", F.col("pred").cast("double")), "adaboost")
 
 
-@register("vote_soft")
-def q_vote_soft(spark, sf_dir):
+@register("vote_soft_mllib")
+def q_vote_soft_mllib(spark, sf_dir):
     """Mean of naive-Bayes, random-forest and logistic probabilities, argmax."""
     tr, va = learn_split(spark, sf_dir)
     nb = MD.gaussian_nb_fit(tr, FEATS, "y")

@@ -69,7 +69,8 @@ def q_confusion_matrix(spark, sf_dir):
     return M.confusion_matrix(evaluated(spark, sf_dir), "y_multi", "pred_multi", CLASSES)
 
 
-@register("binary_metrics", W + _curve_cte() + f"""
+#: Of a table ev with y, pred and score.
+BINARY_SQL = _curve_cte() + f"""
 , k AS (SELECT count(*) AS n, sum(CASE WHEN y = 1 AND pred = 1 THEN 1 ELSE 0 END) AS tp,
                sum(CASE WHEN y = 0 AND pred = 1 THEN 1 ELSE 0 END) AS fp,
                sum(CASE WHEN y = 1 AND pred = 0 THEN 1 ELSE 0 END) AS fn,
@@ -78,7 +79,10 @@ a AS (SELECT CASE WHEN P > 0 AND N > 0 THEN sum(neg * (cpos - pos + pos / 2.0))
       FROM c, tot GROUP BY P, N)
 SELECT {Q.r6(Q.sdiv('tp + tn', 'n'))} AS accuracy, {Q.r6(Q.sdiv('tp', 'tp + fp'))} AS precision,
        {Q.r6(Q.sdiv('tp', 'tp + fn'))} AS recall, {Q.r6(Q.sdiv('2 * tp', '2 * tp + fp + fn'))} AS f1,
-       {Q.r6(Q.sdiv('fp', 'fp + tn'))} AS fpr, {Q.r6('auc')} AS roc_auc FROM k, a""")
+       {Q.r6(Q.sdiv('fp', 'fp + tn'))} AS fpr, {Q.r6('auc')} AS roc_auc FROM k, a"""
+
+
+@register("binary_metrics", W + BINARY_SQL)
 def q_binary_metrics(spark, sf_dir):
     return M.binary_metrics(evaluated(spark, sf_dir), "y", "pred", "score")
 

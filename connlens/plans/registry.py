@@ -33,5 +33,5 @@ def load_all() -> None:
     from connlens.plans import (  # noqa: F401
         quality_queries, label_queries, feature_queries, sampling_queries, metric_queries,
         report_queries, neighbor_queries, model_queries, traffic_queries, stream_queries, learner_queries, io_queries,
-        sketch_queries,
+        sketch_queries, vote_queries,
     )

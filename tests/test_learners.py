@@ -55,7 +55,7 @@ def test_balanced_weights_raise_minority_recall(separable, name):
     assert recall(scored(name, weighted, "weight")) >= recall(scored(name, separable))
 
 
-@pytest.mark.parametrize("name", ["vote_soft", "stack"])
+@pytest.mark.parametrize("name", ["vote_soft_mllib", "stack"])
 def test_ensembles_report_one_row(spark, name):
     (r,) = run(spark, name)
     assert 0 <= r.roc_auc <= 1 and 0.5 < r.accuracy <= 1
