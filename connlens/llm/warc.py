@@ -8,7 +8,7 @@ with so many records a file that no file exceeds ``FILE_BYTES`` by more than hea
 
 Index.  Reading an archive gives its captures as a run sorted by URL key and time.  All runs together are cut
 into ranges of the sort key (URL key, time, id, place), so a hot URL spreads over several ranges by time; each
-range is one task that merges its part of the k runs with a loser tree.  Ranges and rows in them are in global
+range, of about ``RANGE_ROWS`` captures at most, is one task that merges its part of the k runs with a loser tree.  Ranges and rows in them are in global
 order: the capture history of every URL.
 
 Defined results: a null payload counts as empty; equal rows (same id, same payload) are all responses if the id is
@@ -33,6 +33,8 @@ from connlens.session import checkpoint_dir, materialize, run_folder, ship_packa
 
 REVISIT_LEAST = 100
 FILE_BYTES = 64 << 20
+#: About the most captures of a range, which one task merges.
+RANGE_ROWS = 100_000
 #: Upper bounds of the classes of payload size; a last class has the larger ones.
 SIZE_CLASSES = [4 << 10, 64 << 10, 1 << 20, 16 << 20]
 #: The capture time of a page without one: its id in seconds after this moment.
@@ -198,7 +200,7 @@ def merge(runs: DataFrame, partitions: int | None = None) -> DataFrame:
     The result is written; its partitions follow one another in order."""
     spark = runs.sparkSession
     ship_package(spark)
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-runs.count() // RANGE_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by: dict[str, list[tuple]] = {}
