@@ -149,7 +149,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = K, block_rows: int = B
     listed = top.groupBy("code").agg(F.array_sort(F.collect_list(F.struct("rank", "neighbor_id", "distance"))).alias("top"))
     listed = materialize(listed.join(asked, "code").select(F.hex("code").alias("key"), "top", "n"), "nearest")
     answered = lookup_skew_safe(queries.select(F.col("id").alias("query_id"), F.hex("code").alias("key")), "key", listed, ["top"], "n",
-                                F.concat(F.lit("hot:"), F.coalesce(F.col("query_id").cast("string"), F.lit(""))), keep="inner")
+                                F.concat_ws(":", F.lit("hot"), F.monotonically_increasing_id()), keep="inner")
     return answered.select("query_id", F.explode("top").alias("t")).select("query_id", "t.rank", "t.neighbor_id", "t.distance")
 
 
