@@ -43,14 +43,17 @@ def learn_frame(spark, sf_dir):
                  F.col("logged_in").cast("double").alias("logged_in"),
                  L.binary_label().cast("double").alias("y"), L.family_label().cast("double").alias("y_multi"),
                  F.when(md5_uniform("l_orderkey", 9) < config.TRAIN_RATIO, "train").otherwise("val").alias("split"))
-    return MD.assemble(d, FEATS)
+    return d
 
 
 def learn_split(spark, sf_dir):
     """Train / validation rows of one table written to the checkpoint folder: MLlib makes
     many passes over its input, which then read the table instead of re-running the
-    three-table join (lineage cut; survives executor loss)."""
-    d = materialize(learn_frame(spark, sf_dir), "learn-frame")
+    three-table join (lineage cut; survives executor loss).  The rows are dealt evenly over
+    several files a core: a learner's tasks follow the files, and where the join ran beside
+    the scan of one row group, one task had all the rows in every pass."""
+    files = 4 * spark.sparkContext.defaultParallelism
+    d = MD.assemble(materialize(learn_frame(spark, sf_dir).repartition(files, "rkey"), "learn-frame"), FEATS)
     return d.where("split = 'train'"), d.where("split = 'val'")
 
 

@@ -163,3 +163,9 @@ def test_family_learners_learn_five_classes(spark, kind):
         out = MD.adaboost_predict(MD.fit_adaboost(train, ["a", "b", "c"], "y", 60, 5), held, keep=["y"]).withColumn("prediction", F.col("pred").cast("double"))
     share = out.agg(F.avg((F.col("prediction") == F.col("y")).cast("double"))).first()[0]
     assert share > (0.45 if kind == "svm" else 0.7) and out.select("prediction").distinct().count() >= 4
+
+
+def test_training_rows_are_dealt_evenly_over_the_tasks(spark):
+    for rows in LQ.learn_split(spark, SF):  # the lineitem file has one row group
+        sizes = [r["n"] for r in rows.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert len(sizes) >= spark.sparkContext.defaultParallelism and max(sizes) <= 2 * sum(sizes) / len(sizes)
