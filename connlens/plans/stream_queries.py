@@ -24,6 +24,10 @@ def _err():
     return F.col("event_type") == "error"
 
 
+def _newest(spark, sf_dir):
+    return table(spark, sf_dir, "events").agg(F.max("ts").alias("ts"))
+
+
 @register("stream_tumbling", f"""
 SELECT window_start, window_end, event_type, CAST(n AS BIGINT) AS n, CAST(errors AS BIGINT) AS errors FROM (
   SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
@@ -57,11 +61,12 @@ g AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts - prev >= INTERVAL 30 MINUTE TH
                 OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e)
 SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, CAST(count(*) AS BIGINT) AS n_events,
        {Q.r6('sum(value)')} AS total_value
-FROM g GROUP BY user_id, sid
-HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
+FROM g GROUP BY user_id, sid""")
 def q_stream_session(spark, sf_dir):
-    """A session is emitted when the watermark has passed its end; those still open when the data end are not."""
-    out, _ = S.run_to_table(S.sessions(S.event_stream(spark, sf_dir), "user_id", "30 minutes", DELAY), "sessions")
+    """A session is emitted when the watermark has passed its end, those still open when the data end at the end of the
+    stream."""
+    out, _ = S.run_until_closed(S.event_stream(spark, sf_dir), _newest(spark, sf_dir),
+                                lambda events: S.sessions(events, "user_id", "30 minutes", DELAY), "sessions", "30 minutes", DELAY)
     return out.select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
                       F.col("session_end").cast("timestamp_ntz").alias("session_end"), "n_events",
                       r6("total_value").alias("total_value"))

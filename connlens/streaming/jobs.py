@@ -95,6 +95,24 @@ def run_to_table(stream: DataFrame, name: str, mode: str = "append",
     return found, stats
 
 
+def run_until_closed(events: DataFrame, newest: DataFrame, job: Callable[[DataFrame], DataFrame], name: str, gap: str,
+                     delay: str) -> tuple[DataFrame, dict]:
+    """Run the append-mode ``job`` over ``events``, then end the stream: the query resumes from its checkpoint and reads
+    one row of nulls later than the ``newest`` time (a table of one ``ts``) by ``gap`` and ``delay``.  The watermark then
+    passes the end of every window of the events, so that those open when the data ended come out too."""
+    spark = events.sparkSession
+    root = _run_dir(spark, name)
+    ends = os.path.join(root, "end")
+    spark.createDataFrame([], events.schema).write.parquet(ends)
+    whole = events.unionByName(spark.readStream.schema(events.schema).parquet(ends))
+    run_to_table(job(whole), name, root=root)
+    end = newest.where("ts IS NOT NULL").select(
+        *[(F.col("ts").cast("timestamp") + F.expr(f"INTERVAL {gap}") + F.expr(f"INTERVAL {delay}") + F.expr("INTERVAL 1 second")).alias("ts")
+          if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema.fields])
+    end.write.mode("append").parquet(ends)
+    return run_to_table(job(whole), name, root=root)
+
+
 def _progress(p) -> dict:
     """Of a micro-batch: its id, rows read, rows behind the watermark, rows in the state, and observed metrics."""
     operators = p.get("stateOperators", [])

@@ -112,3 +112,10 @@ def test_window_state_is_bounded_by_the_watermark(spark, tmp_path, kind):
         assert len(rows) == 12 and {r["n"] for r in rows} == {10}
     else:
         assert [r["n_events"] for r in out.collect()] == [20] * 5  # the sixth is still open
+
+
+def test_sessions_open_at_the_end_of_the_data_come_out(spark):
+    got = E.queries()["stream_session"](spark, SF)
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    assert got.agg(F.sum("n_events")).first()[0] == events.count()
+    assert got.agg(F.max("session_end")).first()[0] == events.agg(F.max("ts") + F.expr("INTERVAL 30 MINUTES")).first()[0]
