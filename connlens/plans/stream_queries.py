@@ -75,12 +75,19 @@ def q_stream_session(spark, sf_dir):
 REPEATED = "substr(md5(concat_ws('|', '60', cast(event_id as string))), 1, 1) IN ('0', '1')"
 
 
-@register("stream_dedup", "SELECT event_id, user_id, event_type, ts FROM events")
+@register("stream_dedup", """
+SELECT event_id, user_id, event_type, ts FROM (
+  SELECT *, lag(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS prev FROM events)
+WHERE prev IS NULL OR ts - prev >= INTERVAL 1 HOUR""")
 def q_stream_dedup(spark, sf_dir):
-    """The stream delivers one event in eight twice; each comes out once."""
-    s = S.event_stream(spark, sf_dir)
-    twice = s.withColumn("again", F.explode(F.when(F.expr(REPEATED), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-    out, _ = S.run_to_table(S.dedup(twice, ["event_id"], DELAY), "dedup")
+    """The stream delivers one event in eight twice: copies are dropped first.  Of a user's events of one type less than
+    an hour apart, the first is then kept."""
+    def job(events):
+        twice = events.withColumn("again", F.explode(F.when(F.expr(REPEATED), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+        once = S.dedup(twice, ["event_id", "user_id", "event_type", "ts"], DELAY)
+        return S.burst_firsts(once, ["user_id", "event_type"], "1 hour")
+
+    out, _ = S.run_until_closed(S.event_stream(spark, sf_dir), _newest(spark, sf_dir), job, "dedup", "1 hour", DELAY)
     return out.select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 

@@ -11,6 +11,7 @@ Operators
   tumbling / sliding windows     withWatermark + window()           update, each window's last emission counts
   sessions                       session_window()                   append, a session once it is over
   dedup                          dropDuplicatesWithinWatermark      append
+  bursts                         session_window()                   append, a burst's first row once it is over
   late-data policy               rows behind Spark's own watermark, from the queries' progress and observed metrics
   scoring / rejects              stateless projection; two sinks per micro-batch
   alert rollup                   stateful groupBy over a bounded key space (families)
@@ -168,6 +169,13 @@ def dedup(events: DataFrame, keys: list[str], delay: str) -> DataFrame:
     return events.withWatermark("ts", delay).dropDuplicatesWithinWatermark(keys)
 
 
+def burst_firsts(events: DataFrame, keys: list[str], gap: str) -> DataFrame:
+    """Of rows with the same ``keys`` that follow each other less than ``gap`` apart, the first by (ts, event_id), once
+    its burst is over (append; ``events`` carry their watermark)."""
+    firsts = events.groupBy(F.session_window("ts", gap).alias("s"), *keys).agg(F.min(F.struct("ts", "event_id")).alias("first"))
+    return firsts.select("first.*", *keys)
+
+
 def late_counts(events: DataFrame, key: str, delay: str) -> DataFrame:
     """Distinct rows by ``key``; what comes behind Spark's watermark is dropped and counted by its late-row metric, what
     stays by the observed metric ``accepted``."""

@@ -119,3 +119,11 @@ def test_sessions_open_at_the_end_of_the_data_come_out(spark):
     events = spark.read.parquet(f"{SF}/events.parquet")
     assert got.agg(F.sum("n_events")).first()[0] == events.count()
     assert got.agg(F.max("session_end")).first()[0] == events.agg(F.max("ts") + F.expr("INTERVAL 30 MINUTES")).first()[0]
+
+
+def test_repeats_within_the_hour_are_dropped(spark, tmp_path):
+    rows = [(1, 0, 1, "a"), (2, 50, 1, "a"), (3, 109, 1, "a"), (4, 170, 1, "a"), (5, 10, 1, "b"), (6, 10, 2, "a"), (7, 10, 2, "a"), (None, 300, 3, "a"), (None, 300, 4, "a")]
+    df = spark.createDataFrame(rows, "event_id long, m int, user_id long, event_type string").withColumn("ts", F.timestamp_seconds(F.col("m") * 60 + 999_997_200))
+    df.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", F.lit(1.0).alias("value"), F.lit("{}").alias("props")).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    got = [(r.event_id, r.user_id) for r in E.queries()["stream_dedup"](spark, str(tmp_path)).collect()]
+    assert Counter(got) == Counter([(1, 1), (4, 1), (5, 1), (6, 2), (None, 3), (None, 4)])
