@@ -52,8 +52,7 @@ def learn_split(spark, sf_dir):
     three-table join (lineage cut; survives executor loss).  The rows are dealt evenly over
     several files a core: a learner's tasks follow the files, and where the join ran beside
     the scan of one row group, one task had all the rows in every pass."""
-    files = 4 * spark.sparkContext.defaultParallelism
-    d = MD.assemble(materialize(learn_frame(spark, sf_dir).repartition(files, "rkey"), "learn-frame"), FEATS)
+    d = MD.assemble(materialize(learn_frame(spark, sf_dir), "learn-frame", spread="rkey"), FEATS)
     return d.where("split = 'train'"), d.where("split = 'val'")
 
 

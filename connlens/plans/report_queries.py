@@ -96,11 +96,12 @@ def model_eval(spark, sf_dir):
     """Per validation or holdout row and learner fitted to the training rows: its probability, its binary and its
     5-class prediction."""
     from connlens.session import materialize
-    rows = materialize(FIT.learner_rows(spark, sf_dir), "learner-rows")
+    rows = materialize(FIT.learner_rows(spark, sf_dir), "learner-rows", spread="row_id")
     return FIT.scored(rows, FIT.fit(rows))
 
 
 def records(spark, sf_dir):
+    """A row per learner, target and split, written once: reports read it several times."""
     from connlens.session import materialize
     # five metric families (binary, 5-class, macro, AUC bounds, AUC sums) read the
     # per-(row, learner) table: written once as a table in the shared checkpoint folder,
@@ -145,8 +146,9 @@ def records(spark, sf_dir):
     both = b.unionByName(mc).join(auc, keys)
     metric_cols = ["accuracy", "precision", "recall", "f1", "roc_auc", "fpr", "seen_recall", "novel_recall",
                    "u2r_recall", "r2l_recall"]
-    return both.select("model_name", "target_type", "split", *[r6(c).alias(c) for c in metric_cols],
-                       r6(F.col("n") * (F.col("midx") + 1) / 100000.0).alias("fit_time"))
+    out = both.select("model_name", "target_type", "split", *[r6(c).alias(c) for c in metric_cols],
+                      r6(F.col("n") * (F.col("midx") + 1) / 100000.0).alias("fit_time"))
+    return materialize(out, "model-records")
 
 
 def _sdiv_cnt(cond, among):
@@ -251,8 +253,7 @@ def q_report_leaderboard(spark, sf_dir):
 GAP_METRICS = ["recall", "f1", "accuracy"]
 
 
-def _gap(spark, sf_dir):
-    rec = records(spark, sf_dir)
+def _gap(rec):
     val = rec.where("split = 'val'")  # a holdout record without a validation record counts as 0 there
     hold = rec.where("split = 'holdout'").select("model_name", "target_type", *GAP_METRICS, "precision", "roc_auc",
                                                   "seen_recall", "novel_recall")
@@ -274,14 +275,14 @@ GAP_SELECT = f"""SELECT model_name, target_type, test_recall, test_f1, test_accu
 
 @register("join_val_holdout_gap", GAP_SQL + GAP_SELECT + " FROM g")
 def q_join_val_holdout_gap(spark, sf_dir):
-    return _gap(spark, sf_dir)
+    return _gap(records(spark, sf_dir))
 
 
 @register("report_holdout_gap", GAP_SQL + GAP_SELECT + f""", {Q.r6('seen_recall - novel_recall')} AS novel_deficit,
        CAST(row_number() OVER (PARTITION BY target_type ORDER BY novel_recall DESC, model_name) AS INTEGER) AS rank
 FROM g""")
 def q_report_holdout_gap(spark, sf_dir):
-    g = _gap(spark, sf_dir).withColumn("novel_deficit", r6(F.col("seen_recall") - F.col("novel_recall")))
+    g = _gap(records(spark, sf_dir)).withColumn("novel_deficit", r6(F.col("seen_recall") - F.col("novel_recall")))
     return R.leaderboard(g, ["target_type"], ["novel_recall"])
 
 
@@ -319,8 +320,9 @@ UNION ALL SELECT * FROM (SELECT 'best_generalizer', model_name, target_type, abs
 UNION ALL SELECT * FROM (SELECT 'best_rare_detector', model_name, target_type, u2r_recall FROM records
                WHERE split = 'holdout' ORDER BY u2r_recall DESC, model_name, target_type LIMIT 1)""")
 def q_best_by(spark, sf_dir):
-    h = records(spark, sf_dir).where("split = 'holdout'")
-    g = _gap(spark, sf_dir).withColumn("abs_gap", F.abs(F.col("val_recall") - F.col("test_recall")))
+    rec = records(spark, sf_dir)
+    h = rec.where("split = 'holdout'")
+    g = _gap(rec).withColumn("abs_gap", F.abs(F.col("val_recall") - F.col("test_recall")))
     a = R.best_by(h, "fit_time", "min").select(F.lit("fastest").alias("criterion"), "model_name", "target_type",
                                                 F.col("fit_time").alias("value"))
     b = R.best_by(g, "abs_gap", "min").select(F.lit("best_generalizer").alias("criterion"), "model_name",

@@ -35,7 +35,7 @@ def _name(members) -> str:
 
 
 def _wide(spark, sf_dir):
-    rows = materialize(FIT.learner_rows(spark, sf_dir), "learner-rows")
+    rows = materialize(FIT.learner_rows(spark, sf_dir), "learner-rows", spread="row_id")
     return materialize(FIT.probabilities(rows, FIT.fit(rows)), "learner-votes")
 
 

@@ -91,17 +91,22 @@ def ship_package(spark: SparkSession) -> None:
     sc._connlens_shipped = True
 
 
-def materialize(df, name: str = "table"):
+def materialize(df, name: str = "table", spread: str | None = None):
     """Cut lineage by writing ``df`` once as a parquet table under the shared
     checkpoint folder and reading it back.
 
     Unlike ``DataFrame.checkpoint()`` -- which runs the plan twice (an eager count,
     then the checkpoint write) unless cached -- the plan runs exactly once, and later
     readers get column pruning and filter pushdown on the written table.  A lost
-    executor re-reads files from the shared folder; nothing lives on one machine."""
+    executor re-reads files from the shared folder; nothing lives on one machine.
+
+    With ``spread`` (a column of many values) the rows are dealt evenly over several files a core.  Later tasks follow
+    the files: a plan of one scan and broadcast joins has as many tasks with rows as its file has row groups."""
     import uuid
 
     spark = df.sparkSession
+    if spread is not None:
+        df = df.repartition(4 * spark.sparkContext.defaultParallelism, spread)
     path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)

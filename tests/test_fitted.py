@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from connlens.operators import models as MD
 from connlens.plans import fitted as FIT
+from connlens.plans import report_queries
 
 SF = "/root/testdata/sf0.01"
 
@@ -38,3 +39,12 @@ def test_one_class_and_no_training_rows(spark):
     assert {(r["pb"], r["sm"] > 0.99) for r in one.collect()} == {(1, True)}
     none = rows.where("split = 'val'")
     assert FIT.fit(none) == {} and FIT.scored(none, {}).collect() == []
+
+
+def test_best_by_fits_the_learners_once(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(report_queries.FIT, "fit", lambda rows, fit=report_queries.FIT.fit: calls.append(1) or fit(rows))
+    best = report_queries.q_best_by(spark, "/root/testdata/sf0.001").collect()
+    assert len(best) == 3 and len(calls) == 1
+    written = report_queries.records(spark, "/root/testdata/sf0.001")
+    assert all("model-records" in f for f in written.inputFiles())
