@@ -224,8 +224,9 @@ SELECT DISTINCT lower(trim(class)) AS label FROM conn WHERE NOT ({SPLIT_SQL})
 EXCEPT SELECT DISTINCT lower(trim(class)) FROM conn WHERE {SPLIT_SQL} AND lower(trim(class)) <> 'mscan'""")
 def q_novel_labels_except(spark, sf_dir):
     c = conn_view(spark, sf_dir).select(F.lower(F.trim("class")).alias("label"), _split_col().alias("is_train"))
-    train = c.where("is_train AND label <> 'mscan'").select("label")
-    hold = c.where("NOT is_train").select("label")
+    # distinct first: the set difference joins its sides by label, which would send all rows of a label to one task
+    train = c.where("is_train AND label <> 'mscan'").select("label").distinct()
+    hold = c.where("NOT is_train").select("label").distinct()
     return hold.subtract(train)
 
 
@@ -233,7 +234,7 @@ def q_novel_labels_except(spark, sf_dir):
 SELECT DISTINCT lower(trim(class)) AS label FROM conn WHERE NOT ({SPLIT_SQL})
 INTERSECT SELECT attack FROM (VALUES {", ".join(f"('{a}')" for a in config.SEEN_ATTACKS)}) s(attack)""")
 def q_intersect_labels(spark, sf_dir):
-    c = conn_view(spark, sf_dir).where(~_split_col()).select(F.lower(F.trim("class")).alias("label"))
+    c = conn_view(spark, sf_dir).where(~_split_col()).select(F.lower(F.trim("class")).alias("label")).distinct()
     return c.intersect(J.seen_table(spark).withColumnRenamed("attack", "label"))
 
 

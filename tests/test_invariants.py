@@ -279,3 +279,13 @@ def test_traffic_windows_of_an_empty_table(spark):
     yes = F.lit(True)
     assert TR.traffic_time_window(df, "id", "ts", "host", "svc", yes, yes, 2).collect() == []
     assert TR.traffic_host_window(df, "id", "ts", "host", "svc", "src", "port", yes, yes).collect() == []
+
+
+def test_set_operations_join_distinct_labels(spark, capsys):
+    from connlens.plans import label_queries as LBL
+    for query, join in ((LBL.q_novel_labels_except, "LeftAnti"), (LBL.q_intersect_labels, "LeftSemi")):
+        capsys.readouterr()
+        query(spark, "/root/testdata/sf0.001").explain("extended")
+        plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+        sides = plan.split(join, 1)[1]  # a label reaches the join once, not once a row
+        assert sides.count("Aggregate [label") >= (2 if join == "LeftAnti" else 1)
