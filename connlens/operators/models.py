@@ -5,8 +5,8 @@
   is compiled into a projection (no UDF, no join).
 * Logistic regression, trees, forests, GBT, linear SVM go through MLlib estimators
   (distributed treeAggregate / histogram training); class weights ride on ``weightCol``.
-* AdaBoost (SAMME) fits stumps on quantile bins; each round is one grouped aggregate
-  and the row weights are an expression of the stumps so far (no lineage growth).
+* AdaBoost (SAMME) fits stumps on quantile bins; each round is one pass that adds up
+  weights, which are a sum of table entries of the stumps so far (no lineage growth).
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from connlens.functions.arrays import argmax, mean_arrays
-from connlens.session import checkpoint_dir
+from connlens.session import materialize, ship_package
 
 
 # ---------------------------------------------------------------------------
@@ -230,52 +230,86 @@ def adaboost_bins(df: DataFrame, features: Sequence[str], n_bins: int = 32) -> t
     return bk.transform(df), splits
 
 
-def _stump_expr(st: dict) -> Column:
-    return F.when(F.col(f"_bin_{st['feature']}") < st["cut"], F.lit(st["left"])).otherwise(F.lit(st["right"]))
+def adaboost_votes(stumps: Sequence[dict], splits: dict, classes: int) -> dict:
+    """Per feature the votes of its stumps for each class at each bin, (bins x classes).  A stump reads one feature, so
+    a row's votes for a class are the sum of one entry a feature; rows without a value are in the last bin."""
+    import numpy as np
+    votes = {f: np.zeros((len(cuts), classes)) for f, cuts in splits.items()}
+    for st in stumps:
+        t = votes[st["feature"]]
+        t[:st["cut"], st["left"]] += st["alpha"]
+        t[st["cut"]:, st["right"]] += st["alpha"]
+    return votes
+
+
+def _bin(f: str, splits: dict) -> Column:
+    return F.coalesce(F.col(f"_bin_{f}").cast("int"), F.lit(len(splits[f]) - 1))
 
 
 def fit_adaboost(train: DataFrame, features: Sequence[str], label: str, n_rounds: int = 100, classes: int = 2,
-                 n_bins: int = 32, checkpoint_every: int = 10):
+                 n_bins: int = 32) -> dict:
     """SAMME with decision stumps on quantile bins.
 
-    Round r is ONE grouped aggregate: weights summed by (feature, bin, class); the
-    histogram (<= features x bins x classes rows) comes to the driver, which picks the
-    stump with the smallest weighted error.  The row log-weight is a running column
-    updated by one term per round; every ``checkpoint_every`` rounds the frame is
-    checkpointed, so plans and generated code stay small and lineage is cut."""
-    checkpoint_dir(train.sparkSession)
+    The binned rows are written once, a number per feature for the bin and the class.  A row's weight is the exponential
+    of the votes against its class so far, the sum of one entry per feature of ``adaboost_votes``; so no weight column is
+    kept.  Round r is one pass in which every task adds up the weights by (feature, bin, class); their sum (<= features x
+    bins x classes rows) comes to the driver, which picks the stump with the smallest weighted error."""
+    ship_package(train.sparkSession)
     binned, splits = adaboost_bins(train, features, n_bins)
-    cur = binned.select(F.col(label).cast("int").alias("_y"), *[f"_bin_{f}" for f in features],
-                        F.lit(0.0).alias("_lw")).checkpoint()
-    stumps = []
-    for r in range(n_rounds):
-        long = cur.select("_y", F.exp("_lw").alias("_w"), F.explode(F.array(*[
-            F.struct(F.lit(f).alias("f"), F.col(f"_bin_{f}").cast("int").alias("b")) for f in features])).alias("e"))
-        hist = long.groupBy("e.f", "e.b", "_y").agg(F.sum("_w").alias("w")).collect()
+    y = F.col(label).cast("int")
+    cur = materialize(binned.where(y.between(0, classes - 1)).select(*[(_bin(f, splits) * classes + y).alias(f) for f in features]), "adaboost-bins")
+    stumps: list[dict] = []
+    for _ in range(n_rounds):
+        sums = _weight_sums(list(features), classes, adaboost_votes(stumps, splits, classes), sum(st["alpha"] for st in stumps))
+        hist = cur.mapInArrow(sums, "f string, b int, _y int, w double").groupBy("f", "b", "_y").agg(F.sum("w").alias("w")).collect()
         best = _best_stump(hist, features, classes)
         if best is None:
             break
         err = best["err"]
         if err >= 1 - 1.0 / classes:
             break
-        alpha = (math.log((1 - err) / err) + math.log(classes - 1)) if err > 0 else 1.0
-        best["alpha"] = alpha
+        best["alpha"] = (math.log((1 - err) / err) + math.log(classes - 1)) if err > 0 else 1.0
         stumps.append(best)
         if err <= 0:
             break
-        cur = cur.withColumn("_lw", F.col("_lw") + F.lit(alpha) * (_stump_expr(best) != F.col("_y")).cast("double"))
-        if (r + 1) % checkpoint_every == 0:
-            cur = cur.checkpoint()
     return {"stumps": stumps, "splits": splits, "features": list(features), "classes": classes}
 
 
+def _weight_sums(features: list[str], classes: int, votes: dict, total: float):
+    """A task's weights by (feature, bin, class), for rows of bin * classes + class per feature."""
+    tables = [votes[f].ravel() for f in features]
+
+    def sums(batches):
+        import numpy as np
+        import pyarrow as pa
+        held = [np.zeros(len(t)) for t in tables]
+        for batch in batches:
+            codes = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            weight = np.full(batch.num_rows, total / 2)  # weights count relative to one another: away from over- and underflow
+            for t, c in zip(tables, codes):
+                weight -= t[c]
+            np.exp(weight, out=weight)
+            for h, c in zip(held, codes):
+                h += np.bincount(c, weights=weight, minlength=len(h))
+        at = [np.flatnonzero(h) for h in held]
+        cells = np.concatenate(at)
+        yield pa.RecordBatch.from_pydict({
+            "f": pa.array(np.repeat(features, [len(a) for a in at]).tolist(), pa.string()), "b": pa.array(cells // classes, pa.int32()),
+            "_y": pa.array(cells % classes, pa.int32()), "w": pa.array(np.concatenate([h[a] for h, a in zip(held, at)]), pa.float64())})
+
+    return sums
+
+
 def _best_stump(hist, features, classes):
     import numpy as np
     tot_by_f = {}
     for r in hist:
         tot_by_f.setdefault(r["f"], {})[(r["b"], r["_y"])] = r["w"]
     best = None
-    for f, cells in tot_by_f.items():
+    for f in features:  # the first feature wins a tie
+        cells = tot_by_f.get(f)
+        if cells is None:
+            continue
         nb = max(b for b, _ in cells) + 1
         m = np.zeros((nb, classes))
         for (b, y), w in cells.items():
@@ -295,33 +329,26 @@ def _best_stump(hist, features, classes):
 
 
 def adaboost_predict(model: dict, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """argmax_k sum_i alpha_i [stump_i(x) = k]: the stumps are literal arrays folded with
-    ``aggregate`` -- one compact expression whatever the number of rounds."""
+    """argmax_k sum_i alpha_i [stump_i(x) = k]: per feature and class one look-up of the stumps' votes at the row's
+    bin, whatever the number of rounds."""
     from pyspark.ml.feature import Bucketizer
-    feats = model["features"]
-    stumps = model["stumps"]
-    bk = Bucketizer(splitsArray=[model["splits"][f] for f in feats], inputCols=feats,
+    feats, splits, classes = model["features"], model["splits"], model["classes"]
+    bk = Bucketizer(splitsArray=[splits[f] for f in feats], inputCols=feats,
                     outputCols=[f"_bin_{f}" for f in feats], handleInvalid="keep")
-    d = bk.transform(df).withColumn("_bins", F.array(*[F.col(f"_bin_{f}").cast("int") for f in feats]))
-    if not stumps:
+    d = bk.transform(df)
+    if not model["stumps"]:
         return d.select(*keep, F.lit(0).alias("pred"), F.lit(0.0).alias("score"))
-    fidx = F.array(*[F.lit(feats.index(st["feature"])) for st in stumps])
-    cuts = F.array(*[F.lit(st["cut"]) for st in stumps])
-    lefts = F.array(*[F.lit(st["left"]) for st in stumps])
-    rights = F.array(*[F.lit(st["right"]) for st in stumps])
-    alphas = F.array(*[F.lit(float(st["alpha"])) for st in stumps])
-    idx = F.sequence(F.lit(1), F.lit(len(stumps)))
-
-    def stump(i):
-        b = F.element_at(F.col("_bins"), F.element_at(fidx, i) + 1)
-        return F.when(b < F.element_at(cuts, i), F.element_at(lefts, i)).otherwise(F.element_at(rights, i))
+    tables = adaboost_votes(model["stumps"], splits, classes)
 
-    def vote_for(k):
-        return lambda acc, i: acc + F.element_at(alphas, i) * (stump(i) == k).cast("double")
+    def votes_for(k):
+        out = F.lit(0.0)
+        for f in feats:
+            if tables[f].any():  # features without a stump have no votes
+                out = out + F.element_at(F.array(*[F.lit(float(v)) for v in tables[f][:, k]]), _bin(f, splits) + 1)
+        return out
 
-    votes = F.array(*[F.aggregate(idx, F.lit(0.0), vote_for(k)) for k in range(model["classes"])])
     share = F.element_at("_votes", 2) / F.aggregate("_votes", F.lit(0.0), lambda s, v: s + v)
-    return d.withColumn("_votes", votes).select(*keep, argmax("_votes").alias("pred"), share.alias("score"))
+    return d.withColumn("_votes", F.array(*[votes_for(k) for k in range(classes)])).select(*keep, argmax("_votes").alias("pred"), share.alias("score"))
 
 
 def soft_vote(*prob_cols: str) -> tuple[Column, Column]:

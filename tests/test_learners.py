@@ -1,5 +1,7 @@
 """Queries whose result SQL cannot give: invariants, closed forms and exact round trips."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -169,3 +171,28 @@ def test_training_rows_are_dealt_evenly_over_the_tasks(spark):
     for rows in LQ.learn_split(spark, SF):  # the lineitem file has one row group
         sizes = [r["n"] for r in rows.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
         assert len(sizes) >= spark.sparkContext.defaultParallelism and max(sizes) <= 2 * sum(sizes) / len(sizes)
+
+
+def test_adaboost_weights_come_from_the_votes(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(900, 3))
+    x[::50, 0], x[1::60, 1] = np.nan, np.nan
+    y = rng.integers(0, 3, 900) * (np.nan_to_num(x[:, 0]) > -0.5)
+    df = spark.createDataFrame([(float(b), *(None if np.isnan(v) and i % 2 else float(v) for v in a)) for i, (a, b) in enumerate(zip(x, y))], "y double, a double, b double, c double").repartition(5)
+    names = ["a", "b", "c"]
+    model = MD.fit_adaboost(df, names, "y", 25, 3)
+    bins = np.stack([np.where(np.isnan(v), len(s) - 1, np.searchsorted(s[1:-1], v, side="right")) for v, s in zip(x.T, model["splits"].values())])
+    log_weight = np.zeros(900)  # SAMME as written: a row's log-weight grows by alpha where the stump is wrong
+    for st in model["stumps"]:
+        weight = np.exp(log_weight - log_weight.max())
+        errors = {}
+        for f in range(3):
+            cells = np.array([[weight[(bins[f] == b) & (y == k)].sum() for k in range(3)] for b in range(bins[f].max() + 1)])
+            errors.update({(f, cut): weight.sum() - cells[:cut].sum(0).max() - cells[cut:].sum(0).max() for cut in range(1, len(cells))})
+        own = errors[names.index(st["feature"]), st["cut"]]
+        assert np.isclose(own, min(errors.values())) and np.isclose(st["err"], own / weight.sum())
+        log_weight += st["alpha"] * (np.where(bins[names.index(st["feature"])] < st["cut"], st["left"], st["right"]) != y)
+    votes = sum(t[bins[names.index(f)]] for f, t in MD.adaboost_votes(model["stumps"], model["splits"], 3).items())
+    assert np.allclose(log_weight, sum(st["alpha"] for st in model["stumps"]) - votes[np.arange(900), y])
+    got = Counter(r.pred for r in MD.adaboost_predict(model, df).collect())
+    assert len(model["stumps"]) == 25 and got == Counter(votes.argmax(1).tolist())
