@@ -271,7 +271,7 @@ def q_score_records(spark, sf_dir):
     preprocessor and model.  Rejected lines come back with a null score."""
     from pyspark.ml import PipelineModel
     root = IO.scratch(spark, "scoring")
-    scoring_pipeline(spark, sf_dir).write().save(os.path.join(root, "model"))
+    scoring_pipeline(scoring_rows(spark, sf_dir)).write().save(os.path.join(root, "model"))
     request_records(spark, sf_dir).write.text(os.path.join(root, "requests"))
     recs = IO.read_json_records(spark, os.path.join(root, "requests"), REQUESTS, schemas.REQUEST.names)
     return scored_requests(recs, PipelineModel.load(os.path.join(root, "model")))
@@ -280,15 +280,20 @@ def q_score_records(spark, sf_dir):
 REQUESTS = T.StructType([T.StructField("rkey", T.StringType()), *schemas.REQUEST.fields])
 
 
-def scoring_pipeline(spark, sf_dir, max_iter=100):
-    """Preprocessor and logistic regression, fitted to the training records, as one PipelineModel."""
+def scoring_rows(spark, sf_dir):
+    """The training records of the scoring pipelines, written once."""
+    train = conn_view(spark, sf_dir).withColumnRenamed("count_", "count").withColumn("y", L.binary_label().cast("double"))
+    return materialize(train.where(md5_uniform("l_orderkey", 9) < config.TRAIN_RATIO), "score-train", spread="l_orderkey")
+
+
+def scoring_pipeline(train, max_iter=100, fitted=None):
+    """Preprocessor and logistic regression, fitted to the training records, as one PipelineModel; the preprocessor is
+    that of the pipeline ``fitted`` if given (to the same records)."""
     from pyspark.ml.classification import LogisticRegression
 
     from connlens import ml
     from connlens.plans.feature_queries import BIN, CAT, LOG, RATE, THRESH
-    train = conn_view(spark, sf_dir).withColumnRenamed("count_", "count").withColumn("y", L.binary_label().cast("double"))
-    train = materialize(train.where(md5_uniform("l_orderkey", 9) < config.TRAIN_RATIO), "score-train")
-    stages = ml.record_stages(CAT, LOG, ["count", "hot", "serror_rate"], RATE, BIN, THRESH)
+    stages = fitted.stages[:5] if fitted else ml.record_stages(CAT, LOG, ["count", "hot", "serror_rate"], RATE, BIN, THRESH)
     return ml.fit_pipeline(train, stages, LogisticRegression(featuresCol="features", labelCol="y", maxIter=max_iter))
 
 
@@ -307,10 +312,12 @@ def q_stream_score_records(spark, sf_dir):
     picked up between micro-batches.  Rejected lines come from their own sink with a null score."""
     from connlens.streaming import jobs as SJ
     root, models = IO.scratch(spark, "stream_scoring"), IO.scratch(spark, "models")
-    lines = materialize(request_records(spark, sf_dir), "request-lines")
+    lines = materialize(request_records(spark, sf_dir), "request-lines", spread="value")
+    train, model = scoring_rows(spark, sf_dir), None
     online = SJ.score_online(models, lambda b: IO.json_records(b, REQUESTS, schemas.REQUEST.names), lambda rows, model: scored_requests(rows, model))
     for version, max_iter, half in (("v1", 5, 0), ("v2", 100, 1)):
-        SJ.publish_model(scoring_pipeline(spark, sf_dir, max_iter), models, version)
+        model = scoring_pipeline(train, max_iter, fitted=model)
+        SJ.publish_model(model, models, version)
         lines.where(F.pmod(F.xxhash64("value"), F.lit(2)) == half).write.mode("append").text(os.path.join(root, "requests"))
         stream = spark.readStream.schema("value string").text(os.path.join(root, "requests"))
         SJ.run_to_table(stream, "score_records", per_batch=online, root=root)

@@ -196,3 +196,11 @@ def test_adaboost_weights_come_from_the_votes(spark):
     assert np.allclose(log_weight, sum(st["alpha"] for st in model["stumps"]) - votes[np.arange(900), y])
     got = Counter(r.pred for r in MD.adaboost_predict(model, df).collect())
     assert len(model["stumps"]) == 25 and got == Counter(votes.argmax(1).tolist())
+
+
+def test_both_published_models_are_fitted_to_one_table(spark, monkeypatch):
+    rows, fits = [], []
+    monkeypatch.setattr(LQ, "scoring_rows", lambda *a, read=LQ.scoring_rows: rows.append(1) or read(*a))
+    monkeypatch.setattr(FE.RobustScaler, "fit", lambda self, *a, fit=FE.RobustScaler.fit: fits.append(1) or fit(self, *a))
+    versions = {r.model_version for r in run(spark, "stream_score_records")}
+    assert versions == {"v1", "v2"} and len(rows) == 1 and len(fits) == 1
