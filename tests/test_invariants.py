@@ -289,3 +289,15 @@ def test_set_operations_join_distinct_labels(spark, capsys):
         plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
         sides = plan.split(join, 1)[1]  # a label reaches the join once, not once a row
         assert sides.count("Aggregate [label") >= (2 if join == "LeftAnti" else 1)
+
+
+def test_a_rank_is_dealt_over_several_buckets_a_partition(spark, monkeypatch):
+    from pyspark.sql import Window
+    from connlens.operators import ordered as O
+    seen = []
+    monkeypatch.setattr(O, "bucketize", lambda *a, cut=O.bucketize, **k: seen.append(cut(*a, **k)) or seen[-1])
+    rows = spark.range(4000).select((F.col("id") % 3).alias("g"), F.md5(F.col("id").cast("string")).alias("h"))
+    want = {(r.h, r.k) for r in rows.select("h", F.row_number().over(Window.partitionBy("g").orderBy("h")).alias("k")).collect()}
+    assert {(r.h, r.k) for r in O.row_rank(rows, "h", ["g"], "k").collect()} == want
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert seen[0].select("_pid").distinct().count() >= 8 * parts
