@@ -194,7 +194,9 @@ def _widened(found: DataFrame, open_: DataFrame, chunks: DataFrame, chunk: int)
     whole = named.groupBy("row", "piece").agg(F.min("k").alias("k"), F.max("last").alias("last"), F.max_by(grown, "k").alias("over"),
                                               F.max(F.coalesce("after", F.lit(False)) | F.coalesce("before", F.lit(False))).alias("again"))
     whole = whole.withColumn("over_left", F.coalesce(F.lag("over").over(order), F.lit(0))).where("again").drop("again", "piece")
-    inside = whole.withColumn("b", F.explode(F.sequence(F.col("k"), F.col("last") + 1)))
+    # written, so that the few rows that most rounds want are known to be few before the join: the texts of all other
+    # chunks then stay where they are
+    inside = materialize(whole.withColumn("b", F.explode(F.sequence(F.col("k"), F.col("last") + 1))), "widened-pieces")
     body = chunks.select("row", F.col("k").alias("b"), F.substring("text", 1, chunk).alias("body"))
     part = F.when(F.col("b") <= F.col("last"), F.col("body")).otherwise(F.expr("substring(body, 1, cast(over as int))"))
     texts = (inside.join(body, ["row", "b"]).groupBy("row", "k", "last", "over", "over_left")

@@ -52,6 +52,29 @@ def test_a_long_text_is_spread_and_only_bad_seams_are_widened(spark, frame, monk
     assert len(rounds) > 2 and all(len(r) < 4 for r in rounds) and len({row for r in rounds for row, _ in r}) == 1
 
 
+def test_a_widening_round_does_not_shuffle_the_texts_of_all_chunks(spark, frame, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    plain = T._widened
+
+    def widened(*args):
+        raise Seen(plain(*args)[0]._jdf.queryExecution().sparkPlan().toString())
+
+    monkeypatch.setattr(T, "_widened", widened)
+    rng = random.Random(3)
+    others = [(i, " ".join("%x" % rng.getrandbits(32) for _ in range(300))) for i in range(2, 30)]  # 75 kB, hardly compressible
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        with pytest.raises(Seen) as plan:
+            T.token_counts(frame([(1, "x" * 500), *others]), WORD, chunk=100, overlap=40).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    by_chunk = [line for line in str(plan.value).splitlines() if "Join [row" in line and ", b#" in line]
+    assert len(by_chunk) == 1 and "BroadcastHashJoin" in by_chunk[0]
+
+
 def test_null_and_repeated_ids_and_an_empty_table(spark, frame):
     rows = [(None, "a b"), (3, "c"), (3, "c"), (None, "d " * 200)]
     got = sorted(((r[0], r[2]) for r in T.token_counts(frame(rows), WORD, chunk=50, overlap=10).collect()), key=str)
