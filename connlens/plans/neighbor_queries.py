@@ -59,12 +59,12 @@ FROM sc, off"""
 def q_lof(spark, sf_dir):
     e = _emb(spark, sf_dir)
     ref = e.where("label <> 5")
-    # the kNN table feeds k-distance, reachability and the training factor: write it once
-    ref_nn = materialize(N.knn_join(ref, ref, LOF_K, qid="vec_id", qvec="embedding", exclude_self=True), "lof-neighbours")
+    # one search serves the scores and, without each row itself, the fit; its table is read several times: write it once
+    nn = materialize(N.knn_join(e, ref, LOF_K + 1, qid="vec_id", qvec="embedding"), "lof-neighbours")
+    ref_nn = N.without_self(nn.join(ref.select(F.col("vec_id").cast("long").alias("qid")), "qid", "left_semi"), LOF_K)
     fitted = N.lof_fit(ref_nn)
     nof = N.lof_training_factor(ref_nn, fitted)
     offset = exact_quantiles(nof, ["score"], [0.1]).agg(F.first("value")).scalar()
-    q_nn = N.knn_join(e, ref, LOF_K, qid="vec_id", qvec="embedding", exclude_self=False)
-    sc = N.lof_score(q_nn, fitted)
+    sc = N.lof_score(nn.where(F.col("rank") <= LOF_K), fitted)
     return sc.select(F.col("qid").alias("vec_id"), r6("score").alias("score"),
                      (F.col("score") < -1.5).alias("outlier_auto"), (F.col("score") < offset).alias("outlier_c10"))
