@@ -3,7 +3,10 @@
 A plain ``Window.partitionBy(service)`` would put every connection of a popular
 service into one task.  Both operators bound their window partitions instead:
 
-* time window [ts - T, ts]: time is cut into slices much shorter than T.  Every row
+* time window [ts - T, ts], few rows in any T: it is what the row's stretch of length T
+  holds up to ts and what the stretch before holds from ts - T on.  A window partition
+  holds one key's traffic in one stretch.
+* time window [ts - T, ts], many rows: time is cut into slices much shorter than T.  Every row
   asks for two running totals of its key, up to ts and up to just before ts - T; each
   is the total of the earlier slices (prefix sums of the slice table) plus a running
   sum inside one slice.  A window partition holds one key's traffic in one slice.
@@ -32,6 +35,7 @@ def _ghosted(df: DataFrame, bucket: Column) -> DataFrame:
 
 
 NO_TIME = -(2**60)      # rows without a time are peers of one another
+STRETCH_ROWS = 2048   # rows of all keys in a stretch of the window's length that windows run over undivided: with as many probes what Spark keeps of a partition in memory
 SLICES_PER_BLOCK = 4096  # slices of a key whose prefix sums one task computes
 
 
@@ -74,12 +78,40 @@ def time_window_totals(rows: DataFrame, keys: dict[str, list[str]], at: str, wid
         for name in keys for m in measures])
 
 
+def time_stretch_totals(rows: DataFrame, keys: dict[str, list[str]], at: str, width: int, measures: Sequence[str], row_id: str) -> DataFrame:
+    """What ``time_window_totals`` gives, by stretches of length ``width``: a row and its probe at the window's start lie
+    in successive ones, so no prefix sums over stretches are needed, and every key is a window over the same two rows."""
+    time = F.coalesce(F.col(at), F.lit(NO_TIME))
+    stretch = ((time - F.pmod(time, F.lit(width).cast("long"))) / width).cast("long")
+    asked = [F.struct(F.lit(True).alias("_own"), stretch.alias("_stretch"), (2 * time + 1).alias("_order"), *[F.col(m).cast("long").alias(m) for m in measures]),
+             F.struct(F.lit(False).alias("_own"), (stretch - 1).alias("_stretch"), (2 * (time - width)).alias("_order"), *[F.lit(0).cast("long").alias(m) for m in measures])]
+    names = sorted({c for columns in keys.values() for c in columns})
+    out = rows.select(row_id, *names, F.explode(F.array(*asked)).alias("a")).select(row_id, *names, "a.*")
+    for name, columns in keys.items():
+        order = Window.partitionBy(*columns, "_stretch").orderBy("_order")
+        upto = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        out = out.select("*", *[F.when(F.col("_own"), F.sum(m).over(upto)).otherwise(F.sum(m).over(whole) - F.sum(m).over(upto)).alias(f"{name}_{m}") for m in measures])
+    return out.groupBy(row_id).agg(*[F.sum(f"{name}_{m}").alias(f"{name}_{m}") for name in keys for m in measures])
+
+
+def most_rows_in_a_stretch(rows: DataFrame, at: str, width: int) -> int:
+    """The largest number of rows, of whatever keys, in one stretch of length ``width``."""
+    per = rows.groupBy(F.floor((F.col(at) - F.pmod(F.col(at), F.lit(width).cast("long"))) / width)).agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.max("n")).first()[0] or 0
+
+
 def traffic_time_window(events: DataFrame, row_id: str, ts: str, host: str, service: str,
-                        serror: Column, rerror: Column, seconds: float, slices: int = 64) -> DataFrame:
-    """count, srv_count and the seven rate features over the last ``seconds``."""
+                        serror: Column, rerror: Column, seconds: float, slices: int = 64, stretch_rows: int = STRETCH_ROWS) -> DataFrame:
+    """count, srv_count and the seven rate features over the last ``seconds``; by slices if more than ``stretch_rows``
+    rows lie in one stretch of that length."""
     base = events.select(row_id, host, service, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"), F.lit(1).cast("long").alias("count"),
                          F.coalesce(serror.cast("long"), F.lit(0)).alias("se"), F.coalesce(rerror.cast("long"), F.lit(0)).alias("re"))
-    j = time_window_totals(base, {"h": [host], "s": [service], "hs": [host, service]}, "_us", int(seconds * 1_000_000), ["count", "se", "re"], row_id, slices)
+    keys, width, measures = {"h": [host], "hs": [host, service], "s": [service]}, int(seconds * 1_000_000), ["count", "se", "re"]
+    if most_rows_in_a_stretch(base, "_us", width) <= stretch_rows:
+        j = time_stretch_totals(base, keys, "_us", width, measures, row_id)
+    else:
+        j = time_window_totals(base, keys, "_us", width, measures, row_id, slices)
     same = safe_div("hs_count", "h_count")
     return j.select(
         row_id, F.col("h_count").alias("count"), F.col("s_count").alias("srv_count"),
