@@ -165,10 +165,15 @@ def fit_tree(train: DataFrame, label: str, max_depth: int = 10, weight: str | No
     return dt.fit(train)
 
 
+#: A pass of a forest's training adds up one table per open node of its node group, at random places: a group whose
+#: tables fit a core's cache costs more passes, each of them much cheaper.
+FOREST_NODE_MB = 8
+
+
 def fit_random_forest(train: DataFrame, label: str, n_trees: int = 100, max_depth: int = 10,
                       weight: str | None = None, seed: int = 42):
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=n_trees, maxDepth=max_depth,
-                                seed=seed, featureSubsetStrategy="sqrt")
+                                seed=seed, featureSubsetStrategy="sqrt", maxMemoryInMB=FOREST_NODE_MB)
     if weight:
         rf.setWeightCol(weight)
     return rf.fit(train)

@@ -204,3 +204,10 @@ def test_both_published_models_are_fitted_to_one_table(spark, monkeypatch):
     monkeypatch.setattr(FE.RobustScaler, "fit", lambda self, *a, fit=FE.RobustScaler.fit: fits.append(1) or fit(self, *a))
     versions = {r.model_version for r in run(spark, "stream_score_records")}
     assert versions == {"v1", "v2"} and len(rows) == 1 and len(fits) == 1
+
+
+def test_forests_are_grown_in_node_groups_that_fit_a_cache(spark, separable):
+    model = MD.fit_random_forest(separable, "y", 10, 4)
+    assert model.getMaxMemoryInMB() == MD.FOREST_NODE_MB <= 16 and model.getNumTrees == 10
+    whole = MD.RandomForestClassifier(featuresCol="features", labelCol="y", numTrees=10, maxDepth=4, seed=42, featureSubsetStrategy="sqrt").fit(separable)
+    assert model.toDebugString.splitlines()[1:] == whole.toDebugString.splitlines()[1:]  # one group either way: the same trees
