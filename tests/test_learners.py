@@ -211,3 +211,16 @@ def test_forests_are_grown_in_node_groups_that_fit_a_cache(spark, separable):
     assert model.getMaxMemoryInMB() == MD.FOREST_NODE_MB <= 16 and model.getNumTrees == 10
     whole = MD.RandomForestClassifier(featuresCol="features", labelCol="y", numTrees=10, maxDepth=4, seed=42, featureSubsetStrategy="sqrt").fit(separable)
     assert model.toDebugString.splitlines()[1:] == whole.toDebugString.splitlines()[1:]  # one group either way: the same trees
+
+
+@pytest.mark.parametrize("report, label", [(LQ._multi_report, "y_multi"), (LQ._binary_report, "y")])
+def test_reports_score_each_row_once(spark, report, label):
+    scored_rows = spark.sparkContext.accumulator(0)
+
+    def score(x):
+        scored_rows.add(1)
+        return float(x % 2)
+
+    pred = spark.range(0, 200, 1, 4).select((F.col("id") % 2).cast("double").alias(label), F.udf(score, "double")("id").alias("prediction"),
+                                            (F.col("id") % 7).cast("double").alias("p1"))
+    assert report(pred, "m").first()["accuracy"] == 1.0 and scored_rows.value == 200
