@@ -46,13 +46,17 @@ def learn_frame(spark, sf_dir):
     return d
 
 
-def learn_split(spark, sf_dir):
+def learn_split(spark, sf_dir, keyed=True):
     """Train / validation rows of one table written to the checkpoint folder: MLlib makes
     many passes over its input, which then read the table instead of re-running the
     three-table join (lineage cut; survives executor loss).  The rows are dealt evenly over
     several files a core: a learner's tasks follow the files, and where the join ran beside
-    the scan of one row group, one task had all the rows in every pass."""
-    d = MD.assemble(materialize(learn_frame(spark, sf_dir), "learn-frame", spread="rkey"), FEATS)
+    the scan of one row group, one task had all the rows in every pass.  Learners that do not
+    use the row key (``keyed=False``), a long string, have its hash shuffled and nothing of it written."""
+    d = learn_frame(spark, sf_dir)
+    if not keyed:
+        d = d.withColumn("rkey", F.xxhash64("rkey"))
+    d = MD.assemble(materialize(d, "learn-frame", spread="rkey", keep_spread=keyed), FEATS)
     return d.where("split = 'train'"), d.where("split = 'val'")
 
 
@@ -74,7 +78,7 @@ def _p1(df):
 
 @register("fit_logistic")
 def q_fit_logistic(spark, sf_dir):
-    tr, va = learn_split(spark, sf_dir)
+    tr, va = learn_split(spark, sf_dir, keyed=False)
     base = MD.fit_logistic(tr, "y")
     w = J.join_class_weight(tr, "y")
     cs = MD.fit_logistic(w, "y", weight="weight")
@@ -84,7 +88,7 @@ def q_fit_logistic(spark, sf_dir):
 
 @register("fit_tree")
 def q_fit_tree(spark, sf_dir):
-    tr, va = learn_split(spark, sf_dir)
+    tr, va = learn_split(spark, sf_dir, keyed=False)
     w = J.join_class_weight(tr, "y_multi")
     a = MD.fit_tree(tr, "y_multi", 10)
     b = MD.fit_tree(w, "y_multi", 10, weight="weight")
@@ -93,28 +97,28 @@ def q_fit_tree(spark, sf_dir):
 
 @register("fit_random_forest")
 def q_fit_random_forest(spark, sf_dir):
-    tr, va = learn_split(spark, sf_dir)
+    tr, va = learn_split(spark, sf_dir, keyed=False)
     m = MD.fit_random_forest(tr, "y", 100, 10)
     return _binary_report(_p1(m.transform(va)), "random_forest")
 
 
 @register("fit_gbt")
 def q_fit_gbt(spark, sf_dir):
-    tr, va = learn_split(spark, sf_dir)
+    tr, va = learn_split(spark, sf_dir, keyed=False)
     m = MD.fit_gbt(tr, "y", 100, 5, 0.05, 0.8)
     return _binary_report(_p1(m.transform(va)), "gradient_boosting")
 
 
 @register("fit_gbt_ovr")
 def q_fit_gbt_ovr(spark, sf_dir):
-    tr, va = learn_split(spark, sf_dir)
+    tr, va = learn_split(spark, sf_dir, keyed=False)
     m = MD.fit_gbt_ovr(tr, "y_multi", 100, 5, 0.05, 0.8)
     return _multi_report(MD.ovr_probabilities(m.transform(va)), "gradient_boosting")
 
 
 @register("fit_linear_svm")
 def q_fit_linear_svm(spark, sf_dir):
-    tr, va = learn_split(spark, sf_dir)
+    tr, va = learn_split(spark, sf_dir, keyed=False)
     svm, platt = MD.fit_linear_svm(tr, "y")
     p = MD.svm_probability(svm, platt, va)
     return _binary_report(_p1(p), "svm")
@@ -122,7 +126,7 @@ def q_fit_linear_svm(spark, sf_dir):
 
 @register("fit_adaboost")
 def q_fit_adaboost(spark, sf_dir):
-    tr, va = learn_split(spark, sf_dir)
+    tr, va = learn_split(spark, sf_dir, keyed=False)
     model = MD.fit_adaboost(tr, FEATS, "y", 100, 2)
     p = MD.adaboost_predict(model, va, keep=["y"])
     p = p.withColumn("prediction", F.col("pred").cast("double")).withColumn("p1", F.col("score"))
@@ -131,19 +135,19 @@ def q_fit_adaboost(spark, sf_dir):
 
 @register("fit_random_forest_multi")
 def q_fit_random_forest_multi(spark, sf_dir):
-    tr, va = learn_split(spark, sf_dir)
+    tr, va = learn_split(spark, sf_dir, keyed=False)
     return _multi_report(MD.fit_random_forest(tr, "y_multi", 100, 10).transform(va), "random_forest")
 
 
 @register("fit_linear_svm_multi")
 def q_fit_linear_svm_multi(spark, sf_dir):
-    tr, va = learn_split(spark, sf_dir)
+    tr, va = learn_split(spark, sf_dir, keyed=False)
     return _multi_report(MD.fit_linear_svm_ovr(tr, "y_multi").transform(va), "svm")
 
 
 @register("fit_adaboost_multi")
 def q_fit_adaboost_multi(spark, sf_dir):
-    tr, va = learn_split(spark, sf_dir)
+    tr, va = learn_split(spark, sf_dir, keyed=False)
     p = MD.adaboost_predict(MD.fit_adaboost(tr, FEATS, "y_multi", 100, 5), va, keep=["y_multi"])
     return _multi_report(p.withColumn("prediction", F.col("pred").cast("double")), "adaboost")
 
@@ -151,7 +155,7 @@ def q_fit_adaboost_multi(spark, sf_dir):
 @register("vote_soft_mllib")
 def q_vote_soft_mllib(spark, sf_dir):
     """Mean of naive-Bayes, random-forest and logistic probabilities, argmax."""
-    tr, va = learn_split(spark, sf_dir)
+    tr, va = learn_split(spark, sf_dir, keyed=False)
     nb = MD.gaussian_nb_fit(tr, FEATS, "y")
     rf = MD.fit_random_forest(tr, "y", 100, 10)
     lr = MD.fit_logistic(tr, "y")
@@ -192,7 +196,7 @@ def q_model_store(spark, sf_dir):
     the rows on which it differs from the saved model."""
     from pyspark.ml import PipelineModel
     from pyspark.ml.classification import LogisticRegression
-    tr, va = learn_split(spark, sf_dir)
+    tr, va = learn_split(spark, sf_dir, keyed=False)
     model = MD.pipeline_fit([LogisticRegression(featuresCol="features", labelCol="y", maxIter=100)], tr)
     root = IO.scratch(spark, "models")
     path = os.path.join(root, "binary", "logistic_regression")
@@ -210,7 +214,7 @@ def q_model_store(spark, sf_dir):
 @register("coef_importance")
 def q_coef_importance(spark, sf_dir):
     """Mean |coefficient| across classes of a multinomial logistic regression."""
-    tr, _ = learn_split(spark, sf_dir)
+    tr, _ = learn_split(spark, sf_dir, keyed=False)
     lr = MD.fit_logistic(tr, "y_multi")
     mat = lr.coefficientMatrix.toArray()  # classes x features: bounded by the schema
     rows = [(f, float(abs(mat[:, j]).mean())) for j, f in enumerate(FEATS)]

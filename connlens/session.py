@@ -91,7 +91,7 @@ def ship_package(spark: SparkSession) -> None:
     sc._connlens_shipped = True
 
 
-def materialize(df, name: str = "table", spread: str | None = None):
+def materialize(df, name: str = "table", spread: str | None = None, keep_spread: bool = True):
     """Cut lineage by writing ``df`` once as a parquet table under the shared
     checkpoint folder and reading it back.
 
@@ -101,12 +101,14 @@ def materialize(df, name: str = "table", spread: str | None = None):
     executor re-reads files from the shared folder; nothing lives on one machine.
 
     With ``spread`` (a column of many values) the rows are dealt evenly over several files a core.  Later tasks follow
-    the files: a plan of one scan and broadcast joins has as many tasks with rows as its file has row groups."""
+    the files: a plan of one scan and broadcast joins has as many tasks with rows as its file has row groups.  The
+    column itself is left out of the table without ``keep_spread``."""
     import uuid
 
     spark = df.sparkSession
     if spread is not None:
         df = df.repartition(4 * spark.sparkContext.defaultParallelism, spread)
+        df = df if keep_spread else df.drop(spread)
     path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)

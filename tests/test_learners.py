@@ -213,6 +213,15 @@ def test_forests_are_grown_in_node_groups_that_fit_a_cache(spark, separable):
     assert model.toDebugString.splitlines()[1:] == whole.toDebugString.splitlines()[1:]  # one group either way: the same trees
 
 
+def test_learners_without_a_key_read_the_same_rows_without_it(spark):
+    kept, bare = LQ.learn_split(spark, SF), LQ.learn_split(spark, SF, keyed=False)
+    for a, b in zip(kept, bare):
+        cols = [*LQ.FEATS, "y", "y_multi"]
+        assert "rkey" not in b.columns and Counter(a.select(cols).collect()) == Counter(b.select(cols).collect())
+        sizes = [r["n"] for r in b.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert max(sizes) <= 2 * sum(sizes) / len(sizes)
+
+
 @pytest.mark.parametrize("report, label", [(LQ._multi_report, "y_multi"), (LQ._binary_report, "y")])
 def test_reports_score_each_row_once(spark, report, label):
     scored_rows = spark.sparkContext.accumulator(0)
