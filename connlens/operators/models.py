@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from connlens.functions.arrays import argmax, mean_arrays
 from connlens.operators import boosting
-from connlens.session import materialize, ship_package
+from connlens.session import drop_table
 
 
 # ---------------------------------------------------------------------------
@@ -257,19 +257,27 @@ def fit_adaboost(train: DataFrame, features: Sequence[str], label: str, n_rounds
                  n_bins: int = 32) -> dict:
     """SAMME with decision stumps on quantile bins.
 
-    The binned rows are written once, a number per feature for the bin and the class.  A row's weight is the exponential
-    of the votes against its class so far, the sum of one entry per feature of ``adaboost_votes``; so no weight column is
-    kept.  Round r is one pass in which every task adds up the weights by (feature, bin, class); their sum (<= features x
-    bins x classes rows) comes to the driver, which picks the stump with the smallest weighted error."""
-    ship_package(train.sparkSession)
+    The binned rows are written once, in blocks, with one code per group of features for the bins and the class.  A row's
+    weight is the exponential of the votes against its class so far, the sum of one entry per group of ``adaboost_votes``;
+    so no weight column is kept.  Round r is one pass in which every task adds up the weights by (feature, bin, class);
+    their sum (<= features x bins x classes numbers) comes to the driver, which picks the stump with the smallest weighted error."""
     binned, splits = adaboost_bins(train, features, n_bins)
+    bins = [len(splits[f]) for f in features]
+    groups = boosting.feature_groups(bins)
     y = F.col(label).cast("int")
-    cur = materialize(binned.where(y.between(0, classes - 1)).select(*[(_bin(f, splits) * classes + y).alias(f) for f in features]), "adaboost-bins")
+
+    def codes_of(batch):
+        import numpy as np
+        cols = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("_y", *features)]
+        return cols[0], [c * classes + cols[0] for c in boosting.group_codes(cols[1:], bins, groups)]
+
+    rows = binned.where(y.between(0, classes - 1)).select(y.alias("_y"), *[_bin(f, splits).alias(f) for f in features])
+    cells = max(math.prod(bins[i] for i in g) for g in groups) * classes
+    blocks = boosting.write_blocks(rows, codes_of, len(groups), "uint16" if cells <= 1 << 16 else "uint32", "adaboost-blocks")
     stumps: list[dict] = []
     for _ in range(n_rounds):
-        sums = _weight_sums(list(features), classes, adaboost_votes(stumps, splits, classes), sum(st["alpha"] for st in stumps))
-        hist = cur.mapInArrow(sums, "f string, b int, _y int, w double").groupBy("f", "b", "_y").agg(F.sum("w").alias("w")).collect()
-        best = _best_stump(hist, features, classes)
+        sums = _weight_sums(bins, groups, classes, list(adaboost_votes(stumps, splits, classes).values()), sum(st["alpha"] for st in stumps), cells <= 1 << 16)
+        best = _best_stump(boosting.sum_over_blocks(blocks, sums), features, bins, classes)
         if best is None:
             break
         err = best["err"]
@@ -279,54 +287,42 @@ def fit_adaboost(train: DataFrame, features: Sequence[str], label: str, n_rounds
         stumps.append(best)
         if err <= 0:
             break
+    drop_table(blocks)
     return {"stumps": stumps, "splits": splits, "features": list(features), "classes": classes}
 
 
-def _weight_sums(features: list[str], classes: int, votes: dict, total: float):
-    """A task's weights by (feature, bin, class), for rows of bin * classes + class per feature."""
-    tables = [votes[f].ravel() for f in features]
-
-    def sums(batches):
+def _weight_sums(bins: list[int], groups: list[list[int]], classes: int, votes: list, total: float, short: bool):
+    """A task's weights by feature, bin and class, from blocks whose group codes are cell * classes + class."""
+    def sums(blocks):
         import numpy as np
-        import pyarrow as pa
+        tables = [boosting.over_group({i: votes[i] for i in g}, bins, g, np.add, None).ravel() for g in groups]
         held = [np.zeros(len(t)) for t in tables]
-        for batch in batches:
-            codes = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            weight = np.full(batch.num_rows, total / 2)  # weights count relative to one another: away from over- and underflow
+        for block in blocks:
+            codes = [np.frombuffer(block[f"g{i}"], np.uint16 if short else np.uint32).astype(np.int64) for i in range(len(groups))]
+            weight = np.full(len(codes[0]), total / 2)  # weights count relative to one another: away from over- and underflow
             for t, c in zip(tables, codes):
                 weight -= t[c]
             np.exp(weight, out=weight)
             for h, c in zip(held, codes):
                 h += np.bincount(c, weights=weight, minlength=len(h))
-        at = [np.flatnonzero(h) for h in held]
-        cells = np.concatenate(at)
-        yield pa.RecordBatch.from_pydict({
-            "f": pa.array(np.repeat(features, [len(a) for a in at]).tolist(), pa.string()), "b": pa.array(cells // classes, pa.int32()),
-            "_y": pa.array(cells % classes, pa.int32()), "w": pa.array(np.concatenate([h[a] for h, a in zip(held, at)]), pa.float64())})
+        parts = {}
+        for g, h in zip(groups, held):
+            parts |= boosting.by_feature(h.reshape(-1, classes).T, bins, g)
+        return [parts[i].T for i in range(len(bins))]
 
     return sums
 
 
-def _best_stump(hist, features, classes):
+def _best_stump(sums, features, bins, classes):
     import numpy as np
-    tot_by_f = {}
-    for r in hist:
-        tot_by_f.setdefault(r["f"], {})[(r["b"], r["_y"])] = r["w"]
     best = None
-    for f in features:  # the first feature wins a tie
-        cells = tot_by_f.get(f)
-        if cells is None:
-            continue
-        nb = max(b for b, _ in cells) + 1
-        m = np.zeros((nb, classes))
-        for (b, y), w in cells.items():
-            if 0 <= y < classes:
-                m[b, y] += w
+    for f, b, flat in zip(features, bins, sums):  # the first feature wins a tie
+        m = flat.reshape(b, classes)
         total = m.sum()
         if total <= 0:
             continue
         cum = np.cumsum(m, axis=0)
-        for cut in range(1, nb):
+        for cut in range(1, int(np.flatnonzero(m.any(axis=1))[-1]) + 1):
             left, right = cum[cut - 1], cum[-1] - cum[cut - 1]
             lc, rc = int(np.argmax(left)), int(np.argmax(right))
             err = (total - left[lc] - right[rc]) / total
