@@ -26,7 +26,7 @@ from connlens.plans import sqlfrag as Q
 from connlens.plans.label_queries import DIFF_SQL
 from connlens.plans.quality_queries import CONN_COLS
 from connlens.plans.registry import register
-from connlens.session import materialize
+from connlens.session import drop_table, materialize
 from connlens.sources import io as IO
 from connlens.sources import schemas
 from connlens.sources.tables import CONN_CTE, conn_view, with_ctes
@@ -277,8 +277,11 @@ def q_score_records(spark, sf_dir):
     preprocessor and model.  Rejected lines come back with a null score."""
     from pyspark.ml import PipelineModel
     root = IO.scratch(spark, "scoring")
-    scoring_pipeline(scoring_rows(spark, sf_dir)).write().save(os.path.join(root, "model"))
-    request_records(spark, sf_dir).write.text(os.path.join(root, "requests"))
+    train = scoring_rows(spark, sf_dir)
+    scoring_pipeline(train).write().save(os.path.join(root, "model"))
+    drop_table(train)
+    # a line is some 900 characters, most of them field names: gzip stores a twentieth; its files are read whole, so they are short
+    request_records(spark, sf_dir).write.option("compression", "gzip").option("maxRecordsPerFile", 100_000).text(os.path.join(root, "requests"))
     recs = IO.read_json_records(spark, os.path.join(root, "requests"), REQUESTS, schemas.REQUEST.names)
     return scored_requests(recs, PipelineModel.load(os.path.join(root, "model")))
 
@@ -287,9 +290,11 @@ REQUESTS = T.StructType([T.StructField("rkey", T.StringType()), *schemas.REQUEST
 
 
 def scoring_rows(spark, sf_dir):
-    """The training records of the scoring pipelines, written once."""
+    """What the scoring pipelines use of the training records, written once."""
     train = conn_view(spark, sf_dir).withColumnRenamed("count_", "count").withColumn("y", L.binary_label().cast("double"))
-    return materialize(train.where(md5_uniform("l_orderkey", 9) < config.TRAIN_RATIO), "score-train", spread="l_orderkey")
+    used = dict.fromkeys([*FQ.CAT, *FQ.LOG, "count", "hot", "serror_rate", *FQ.RATE, *FQ.BIN, "y"])
+    train = train.where(md5_uniform("l_orderkey", 9) < config.TRAIN_RATIO).select("l_orderkey", *used)
+    return materialize(train, "score-train", spread="l_orderkey", keep_spread=False)
 
 
 def scoring_pipeline(train, max_iter=100, fitted=None):

@@ -1,5 +1,6 @@
 """Queries whose result SQL cannot give: invariants, closed forms and exact round trips."""
 
+import os
 from collections import Counter
 
 import numpy as np
@@ -233,3 +234,17 @@ def test_reports_score_each_row_once(spark, report, label):
     pred = spark.range(0, 200, 1, 4).select((F.col("id") % 2).cast("double").alias(label), F.udf(score, "double")("id").alias("prediction"),
                                             (F.col("id") % 7).cast("double").alias("p1"))
     assert report(pred, "m").first()["accuracy"] == 1.0 and scored_rows.value == 200
+
+
+def test_scoring_stores_lean_rows_and_compressed_requests(spark, monkeypatch):
+    roots, trained = [], []
+    monkeypatch.setattr(LQ.IO, "scratch", lambda *a, new=LQ.IO.scratch: roots.append(new(*a)) or roots[-1])
+    monkeypatch.setattr(LQ, "scoring_rows", lambda *a, read=LQ.scoring_rows: trained.append(read(*a)) or trained[-1])
+    columns = set(LQ.scoring_rows(spark, SF).columns)
+    assert not columns & {"l_orderkey", "ts", "src_host", "class"} and {"y", "count", *LQ.FQ.CAT} <= columns
+    run(spark, "score_records")
+    (root,), files = roots, trained[1].inputFiles()
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)  # the training table has no more readers
+    folder = os.path.join(root.removeprefix("file:"), "requests")
+    stored = sum(os.path.getsize(os.path.join(folder, f)) for f in os.listdir(folder))
+    assert stored < LQ.request_records(spark, SF).agg(F.sum(F.length("value"))).first()[0] / 5
