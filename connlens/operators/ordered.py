@@ -93,13 +93,14 @@ RANK_BUCKETS = 8  # buckets of a rank's order per shuffle partition
 
 
 def row_rank(df: DataFrame, hash_col: str, group_cols: Sequence[str] = (), name: str = "rank") -> DataFrame:
-    """1-based row number within each group in order of a UNIQUE hex hash column."""
+    """1-based row number within each group in order of a UNIQUE hash column, of hex digits or of their bytes."""
+    digits = F.hex(F.substring(hash_col, 1, 6)) if df.schema[hash_col].dataType.typeName() == "binary" else F.col(hash_col)
     one = df.withColumn("_one", F.lit(1).cast("long"))
     # a window's task holds whole buckets: several a partition, so that one holding more than its share stays small
     n = RANK_BUCKETS * _parts(df, None)
     # md5 is uniform: equal-width bounds over the 48-bit proxy are balanced, no sampling job
     uniform = [float(i * (2 ** 48) // n) for i in range(1, n)]
-    ranked = prefix_sums(one, hash_order(F.col(hash_col)), ["_one"], group_cols, prefix="_r", tiebreak=[hash_col],
+    ranked = prefix_sums(one, hash_order(digits), ["_one"], group_cols, prefix="_r", tiebreak=[hash_col],
                          num_buckets=n, bounds=uniform)
     return ranked.withColumnRenamed("_r_one", name).drop("_one")
 

@@ -91,8 +91,12 @@ def random_oversample(df: DataFrame, key: Column, label: str, targets: dict,
 
 def kfold_assign(df: DataFrame, key: Column, label: str, folds: int = 5, seed: int = config.RANDOM_STATE) -> DataFrame:
     """Stratified fold id = (rank in stratum - 1) mod folds."""
-    h = df.withColumn("_h", md5_hex(key, seed))
-    return row_rank(h, "_h", [label], "_rk").withColumn("fold", ((F.col("_rk") - 1) % folds).cast("int")).drop("_h", "_rk")
+    return kfold_of_hash(df.withColumn("_h", md5_hex(key, seed)), "_h", [label], folds)
+
+
+def kfold_of_hash(df: DataFrame, hash_col: str, strata: list[str], folds: int = 5) -> DataFrame:
+    """The same from a column of the md5 (hex or its bytes), which is left out."""
+    return row_rank(df, hash_col, strata, "_rk").withColumn("fold", ((F.col("_rk") - 1) % folds).cast("int")).drop(hash_col, "_rk")
 
 
 def uniform(key: Column, seed: int) -> Column:
