@@ -21,7 +21,7 @@ def rows(spark):
     rng = np.random.default_rng(3)
     x = rng.normal([1, 200, 0, 7], [1, 50, 0.01, 0], (1500, 4))
     level = x[:, 0] + (x[:, 1] - 200) / 40 + 60 * x[:, 2] + rng.logistic(size=1500)
-    data = [(*map(float, a), float(v > 1.5), float((v > 0) + (v > 2)), int(f)) for a, v, f in zip(x, level, rng.integers(0, 3, 1500))]
+    data = [(*map(float, a), float(v > 1.5), float(int(v > 0) + int(v > 2)), int(f)) for a, v, f in zip(x, level, rng.integers(0, 3, 1500))]
     return MD.assemble(spark.createDataFrame(data, "a double, b double, c double, d double, y double, k double, fold int").repartition(3), ["a", "b", "c", "d"]).cache()
 
 
@@ -59,3 +59,23 @@ def test_stacking_keeps_one_table_of_the_rows(spark):
 def test_a_loss_that_is_not_finite_is_an_error(rows):
     with pytest.raises(ValueError, match="not finite"):
         MD.fit_logistic_leaving_out(rows.withColumn("a", F.lit(float("nan"))), ["a", "b"], "y")
+
+
+def hinge(x, sign, weights, shift):
+    return np.maximum(1 - sign * (x @ weights + shift), 0).mean()
+
+
+def test_support_vector_machines_of_all_classes_share_their_passes(rows, monkeypatch):
+    passes = []
+    monkeypatch.setattr(LI, "_loss_sums", lambda t, models, *a, run=LI._loss_sums: passes.append((len(models), t.count())) or run(t, models, *a))
+    own = MD.fit_linear_svm_ovr(rows, "k")
+    assert passes[0][0] == 3 and len(passes) < 300 and max(b for _, b in passes) <= 6  # blocks instead of 1,500 rows
+    got = rows.select("features", "k").collect()
+    x, y = np.array([r.features.toArray() for r in got]), np.array([r.k for r in got])
+    for k, m in enumerate(own.models):
+        whole = MD.LinearSVC(featuresCol="features", labelCol="t", maxIter=100).fit(rows.withColumn("t", (F.col("k") == k).cast("double")))
+        sign = np.where(y == k, 1, -1)
+        assert hinge(x, sign, np.array(m.coefficients), m.intercept) <= 1.01 * hinge(x, sign, whole.coefficients.toArray(), whole.intercept)
+    margins = np.stack([x @ m.coefficients + m.intercept for m in own.models], axis=1)
+    out = own.transform(rows.select("features", "k")).collect()
+    assert Counter((tuple(r.features), r.prediction) for r in out) == Counter((tuple(a), float(i)) for a, i in zip(x, margins.argmax(axis=1)))
