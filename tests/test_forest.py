@@ -19,7 +19,7 @@ def rows(spark):
     n = 3000
     x = np.c_[rng.integers(0, 20, n), rng.integers(0, 30, n), rng.integers(0, 4, n), np.ones(n)].astype(float)
     level = x[:, 0] * (x[:, 2] > 1) + 0.5 * x[:, 1] + 3 * rng.normal(size=n)
-    data = [(*map(float, a), float(v > 14), float((v > 10) + (v > 18)), float(w)) for a, v, w in zip(x, level, rng.integers(1, 5, n))]
+    data = [(*map(float, a), float(v > 14), float(int(v > 10) + int(v > 18)), float(w)) for a, v, w in zip(x, level, rng.integers(1, 5, n))]
     return MD.assemble(spark.createDataFrame(data, "a double, b double, c double, d double, y double, k double, w double").repartition(3), ["a", "b", "c", "d"]).cache()
 
 
