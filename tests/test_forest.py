@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from connlens.operators import forest as FO
 from connlens.operators import metrics as M
 from connlens.operators import models as MD
+from connlens.plans import learner_queries as LQ
 
 
 @pytest.fixture(scope="module")
@@ -66,3 +67,11 @@ def test_weights_count_as_copies(rows, monkeypatch):
     copies = rows.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("w").cast("int"))))
     a, b = (FO.fit_forest(d, "k", 1, 4, w, slots=4, bootstrap=False).transform(rows) for d, w in ((rows, "w"), (copies, None)))
     assert np.isclose(probabilities(a), probabilities(b), atol=1e-9).all(axis=1).mean() > 0.99
+
+
+def test_voting_uses_the_forest_on_blocks(spark, monkeypatch):
+    fits = []
+    monkeypatch.setattr(MD, "FOREST_MLLIB_ROWS", 1000)
+    monkeypatch.setattr(FO, "fit_forest", lambda *a, run=FO.fit_forest: fits.append(a[2:4]) or run(*a))
+    (r,) = LQ.q_vote_soft_mllib(spark, "/root/testdata/sf0.001").collect()
+    assert fits == [(100, 10)] and 0 <= r.roc_auc <= 1 and 0.5 < r.accuracy <= 1
